@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("basics",)
+MODULES = ("storage", "basics", "aggregates", "features")
 
 
 def load_all() -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from tabforge.operators import clean, leaderboard, profile
 from tabforge.plans.catalog import query, table
@@ -296,10 +296,10 @@ def jn_semi(spark, sf):
     return o.join(c, "o_custkey", "left_semi").select("o_orderkey", "o_custkey")
 
 
-@query("jn_anti", "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("jn_anti", "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)")
 def jn_anti(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", "c_name")
-    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    o = table(spark, sf, "orders").where("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"))
     return c.join(o, "c_custkey", "left_anti")
 
 
@@ -337,11 +337,8 @@ def wn_topkeepall(spark, sf):
 
 @query(
     "wn_cum",
-    """SELECT value AS key, sum(n) OVER (ORDER BY value) AS n_to, sum(n) OVER (ORDER BY value) - n AS n_before
-    FROM (SELECT value, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY value)""".replace(
-        "sum(n) OVER (ORDER BY value) AS n_to, sum(n) OVER (ORDER BY value) - n",
-        "CAST(sum(n) OVER (ORDER BY value) AS BIGINT) AS n_to, CAST(sum(n) OVER (ORDER BY value) - n AS BIGINT)",
-    ),
+    """SELECT value AS key, CAST(sum(n) OVER (ORDER BY value) AS BIGINT) AS n_to, CAST(sum(n) OVER (ORDER BY value) - n AS BIGINT) AS n_before
+    FROM (SELECT value, count(*) AS n FROM events GROUP BY value)""",
 )
 def wn_cum(spark, sf):
     from tabforge.operators.prefix import running_totals
@@ -358,16 +355,13 @@ def wn_cum(spark, sf):
 )
 def wn_lagroll(spark, sf):
     """Previous reading and trailing 3 h / 6 h means per sensor."""
-    e = table(spark, sf, "events")
+    from tabforge.operators.timeseries import lag_and_trailing_means
+
+    hour = 3_600_000_000
+    e = table(spark, sf, "events").select(F.col("event_id").alias("row_id"), "user_id", "ts", "value")
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    one = Window.partitionBy("user_id")
-    hours = lambda n: one.orderBy(micros).rangeBetween(-n * 3_600_000_000, 0)
-    return e.select(
-        F.col("event_id").alias("row_id"),
-        F.lag("value").over(one.orderBy("ts", "event_id")).alias("lag1"),
-        F.round(F.avg("value").over(hours(3)), 6).alias("mean_3h"),
-        F.round(F.avg("value").over(hours(6)), 6).alias("mean_6h"),
-    )
+    out = lag_and_trailing_means(e, "user_id", micros, "row_id", "value", {"mean_3h": 3 * hour, "mean_6h": 6 * hour})
+    return out.select("row_id", "lag1", F.round("mean_3h", 6).alias("mean_3h"), F.round("mean_6h", 6).alias("mean_6h"))
 
 
 # ---- sort, limit -----------------------------------------------------------
