@@ -100,6 +100,24 @@ class ColumnScalerModel(Model, HasInputCols, _Stage):
 
 # ---- labels ----------------------------------------------------------------
 
+MAX_LABELS = 20_000
+
+
+def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
+    """Collect a dictionary, refusing one too large to hold on the driver."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} {what}: use label_codes and a join instead")
+    return rows
+
+
+def label_codes(df: DataFrame, column: str) -> DataFrame:
+    """(label, code) in text order as a table, for dictionaries of any size."""
+    from tabforge.operators.prefix import global_positions
+
+    labels = df.select(F.col(quoted(column)).cast("string").alias("label")).where(F.col("label").isNotNull()).distinct()
+    return global_positions(labels, ["label"], "code")
+
 
 class LabelCoder(Estimator, HasInputCols, _Stage):
     """Integer codes in text order. NULL stays NULL, or becomes the label 'nan'."""
@@ -119,7 +137,7 @@ class LabelCoder(Estimator, HasInputCols, _Stage):
             x = F.col(quoted(c)).cast("string")
             x = F.coalesce(x, F.lit("nan")) if flag else x
             found = df.select(x.alias("v")).where(F.col("v").isNotNull()).distinct().orderBy("v")
-            labels[c] = [r["v"] for r in found.collect()]
+            labels[c] = [r["v"] for r in bounded_rows(found, MAX_LABELS, f"labels of {c}")]
         return LabelCoderModel(inputCols=self.getInputCols(), labels=json.dumps(labels), missingAsLabel=flag)
 
 

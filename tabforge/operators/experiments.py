@@ -13,3 +13,11 @@ def fold_stats(per_fold: DataFrame, metrics: Sequence[str], by: Sequence[str] =
     for m in metrics:
         aggs += [F.avg(m).alias(f"{m}_mean"), F.stddev_pop(m).alias(f"{m}_std"), F.stddev_samp(m).alias(f"{m}_std_samp")]
     return per_fold.groupBy(*by).agg(*aggs)
+
+
+def cross_validated_metrics(predictions: DataFrame, fold: str = "fold") -> DataFrame:
+    """Five metrics per fold from given predictions, then mean and deviation over folds."""
+    from tabforge.operators.metrics import binary_metrics, roc_auc
+
+    per = binary_metrics(predictions, by=[fold]).join(roc_auc(predictions, by=[fold]).select(fold, "auc"), fold)
+    return fold_stats(per, ["auc", "accuracy", "precision", "recall", "f1_score"])

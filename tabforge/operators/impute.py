@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabforge.functions.rng import uniform
 from tabforge.operators import knn
-from tabforge.operators.encode import _Stage
+from tabforge.operators.encode import MAX_LABELS, _Stage, bounded_rows
 from tabforge.operators.profile import quoted
 from tabforge.operators.quantiles import exact_quantiles
 
@@ -86,19 +86,15 @@ def impute_by_distribution(df: DataFrame, column: str, row_id: str, seed: int =
     """
     x = F.col(quoted(column))
     counts = df.where(x.isNotNull()).groupBy(x.alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    ladder = counts.agg(
-        F.array_sort(F.collect_list(F.struct("label", "n"))).alias("steps"), F.sum("n").alias("total")
-    ).select(
-        F.struct(
-            "total",
-            F.expr(
-                "transform(steps, (s, i) -> named_struct('label', s.label, 'upto', "
-                "aggregate(slice(steps, 1, i + 1), 0L, (acc, t) -> acc + t.n)))"
-            ).alias("steps"),
-        )
-    ).scalar()
-    at = uniform(row_id, seed) * ladder["total"]
-    drawn = F.get(F.filter(ladder["steps"], lambda s: s["upto"] > at), F.lit(0))["label"]
+    ladder = bounded_rows(counts.orderBy("label"), MAX_LABELS, f"labels of {column}")
+    upto, total = [], 0
+    for r in ladder:
+        total += r["n"]
+        upto.append(total)
+    at = uniform(row_id, seed) * F.lit(float(total))
+    steps = F.array(*[F.lit(float(u)) for u in upto]).cast("array<double>")
+    labels = F.array(*[F.lit(r["label"]) for r in ladder])
+    drawn = F.get(labels, F.size(F.filter(steps, lambda u: u <= at)))
     return df.withColumn(column, F.coalesce(x, drawn))
 
 

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from tabforge.session import cut_lineage
+
 BUCKETS = 128
 
 
@@ -64,3 +66,19 @@ def running_totals(
         out.append((F.col(f"_r_{s}") + F.col(f"_o_{s}")).alias(f"{s}_to"))
         out.append((F.col(f"_r_{s}") + F.col(f"_o_{s}") - F.col(s)).alias(f"{s}_before"))
     return joined.select(*out)
+
+
+def global_positions(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
+    """0-based position of every row in a total order, for keys of any type.
+
+    One range-partitioned sort, kept by a checkpoint so that positions cannot change
+    on a retry; only the row count per partition is accumulated centrally.
+    """
+    ordered = cut_lineage(df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright("_id", 33)
+    sizes = ordered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    joined = ordered.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    position = F.col("_id") - F.shiftleft("_part", 33) + F.col("_offset")
+    return joined.select(*df.columns, position.cast("long").alias(out))

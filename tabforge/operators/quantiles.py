@@ -101,9 +101,12 @@ def value_at_rank(df: DataFrame, expr: Column, rank: int, distinct_limit: int =
     """The value of an expression with 0-based ascending ``rank``, NULL left out."""
     base = df.select(expr.alias("x")).where(F.col("x").isNotNull())
     size = base.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("x").alias("d")).first()
-    if size["d"] <= distinct_limit:
+    if size["d"] > distinct_limit:
+        return _select_rank(base, size["n"], rank, distinct_limit)
+    if base.schema["x"].dataType.typeName() != "double":
         return _rank_by_counts(base, rank)
-    return _select_rank(base, size["n"], rank, distinct_limit)
+    share = (rank + 0.5) / size["n"]
+    return base.agg(F.expr(f"percentile_disc({share!r}D) WITHIN GROUP (ORDER BY x)")).first()[0]
 
 
 def _rank_by_counts(df: DataFrame, offset: int) -> float:

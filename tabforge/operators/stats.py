@@ -9,19 +9,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tabforge.functions.special import correlation_p, kolmogorov_p
 from tabforge.operators.prefix import running_totals
 from tabforge.operators.profile import correlation_with, quoted
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _corr_p(r: pd.Series, n: pd.Series) -> pd.Series:
     return pd.Series([correlation_p(None if pd.isna(a) else float(a), int(b)) for a, b in zip(r, n)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _ks_p(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
     return pd.Series(
         [kolmogorov_p(None if pd.isna(a) else float(a), int(b), int(c)) for a, b, c in zip(d, n1, n2)], dtype="float64"

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("storage", "basics", "aggregates", "features")
+MODULES = ("storage", "basics", "aggregates", "features", "evaluation", "imputation")
 
 
 def load_all() -> None:
