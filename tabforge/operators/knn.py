@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tabforge.session import cut_lineage
+from tabforge.session import cut_lineage, spread
 
 BROADCAST_BYTES = 16 * 1024 * 1024
 BROADCAST_ROWS = 20_000
@@ -316,7 +316,7 @@ def _small_search(q: DataFrame, d: DataFrame, width: int, k: int, p: float, targ
                 qv = _floats(b.column("v").flatten()).reshape(-1, width)
                 yield from _search(b.column("id").to_numpy(), qv, ids, vectors, values, k, p, targets, skip_self)
 
-    return q.mapInArrow(search, EDGE_SCHEMA)
+    return spread(q).mapInArrow(search, EDGE_SCHEMA)
 
 
 def _cell_search(q, marked, cells, width, k, p, targets, skip_self, block_rows) -> DataFrame:
@@ -340,7 +340,7 @@ def _cell_search(q, marked, cells, width, k, p, targets, skip_self, block_rows)
                     names=["id", "v", "cell"],
                 )
 
-    routed = cut_lineage(q.mapInArrow(route, "id long, v array<double>, cell int"))
+    routed = cut_lineage(spread(q).mapInArrow(route, "id long, v array<double>, cell int"))
     routed_sizes = routed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
     cell_rows = [(key, i, int(cells.count[i])) for key, i in cells.index.items()]
     cell_table = spark.createDataFrame(cell_rows, "cell_key string, cell int, n long")

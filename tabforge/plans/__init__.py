@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("storage", "basics", "aggregates", "features", "evaluation", "imputation")
+MODULES = ("storage", "basics", "aggregates", "features", "evaluation", "imputation", "learning")
 
 
 def load_all() -> None:

@@ -55,3 +55,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{ensure_checkpoint_dir(spark)}/tabforge-{name}-{uuid.uuid4().hex}"
+
+
+_SPLIT_BYTES = 4 * 1024 * 1024
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for compute-heavy work on a table of few file splits.
+
+    A file of a few MB is one split, hence one task, however dear each row is. The
+    check is on the planner's size estimate; a table with enough splits is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * _SPLIT_BYTES else df
