@@ -8,8 +8,8 @@ ordinary norm, which gives exact bounds:
 1. Donors are put into cells: missing pattern x quantile grid over the features of
    largest spread. A cell keeps its row count and bounding box. The number of
    cells is limited, so the table of boxes is a few MB whatever the data size.
-2. For every query the boxes give a radius that surely holds k donors, and the
-   cells that can reach into that radius. All other cells are skipped.
+2. For every query the boxes and a small donor sample give a radius that surely
+   holds k donors; cells that do not reach into it are skipped.
 3. Queries and donors are packed into blocks of bounded size per cell and joined on
    the cell. A task sees one pair of blocks at a time, measures it in numpy and
    emits at most k rows per query; pairs are never written out.
@@ -23,7 +23,7 @@ donor matrix broadcast.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +34,11 @@ from tabforge.session import cut_lineage, spread
 BROADCAST_BYTES = 16 * 1024 * 1024
 BROADCAST_ROWS = 20_000
 MAX_CELLS = 4096
-ROWS_PER_CELL = 256
+ROWS_PER_CELL = 64
 BLOCK_ROWS = 1024
 MAX_PATTERNS = 64
+SAMPLE_ROWS = 8192
+_CHUNK = 200_000  # matrix cells worked on at once, so that they stay in cache
 PLAIN = -1  # target index of an ordinary search
 
 EDGE_SCHEMA = "query_id long, target int, donor_id long, power double, value double, place int"
@@ -58,74 +60,97 @@ _EDGE_ARROW = pa.schema(
 def _power_distances(q: np.ndarray, d: np.ndarray, p: float) -> np.ndarray:
     """Scaled sum of |difference|**p for every pair; inf where nothing is shared."""
     width = q.shape[1]
+    q_gap, d_gap = np.isnan(q), np.isnan(d)
+    alike = not len(d) or not (d_gap != d_gap[0]).any()
     total = np.zeros((len(q), len(d)))
-    shared = None
+    shared = np.full((len(q), 1 if alike else len(d)), float(width))
     for j in range(width):
-        diff = np.abs(q[:, j, None] - d[None, :, j])
+        if alike and len(d) and d_gap[0, j]:
+            shared -= 1
+            continue
+        diff = np.subtract.outer(q[:, j], d[:, j])
         if p == 2.0:
             diff *= diff
-        elif p != 1.0:
-            diff **= p
-        missing = np.isnan(diff)
-        if missing.any():
-            if shared is None:
-                shared = np.full(total.shape, float(width))
-            shared -= missing
-            diff[missing] = 0.0
+        else:
+            np.abs(diff, out=diff)
+            if p != 1.0:
+                diff **= p
+        lost_rows = q_gap[:, j]
+        if alike:
+            if lost_rows.any():
+                diff[lost_rows] = 0.0
+                shared[lost_rows] -= 1
+        elif lost_rows.any() or d_gap[:, j].any():
+            lost = lost_rows[:, None] | d_gap[None, :, j]
+            shared -= lost
+            diff[lost] = 0.0
         total += diff
-    if shared is not None:
+    if (shared < width).any():
         with np.errstate(divide="ignore", invalid="ignore"):
             total = np.where(shared > 0, total * (width / shared), np.inf)
     return total
 
 
-def _smallest(dist: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, column, place) of the k smallest finite entries per row; ties to the lower column."""
-    k = min(k, dist.shape[1])
-    kth = np.partition(dist, k - 1, axis=1)[:, k - 1]
-    rows, cols = np.nonzero((dist <= kth[:, None]) & np.isfinite(dist))
-    order = np.lexsort((cols, dist[rows, cols], rows))
-    rows, cols = rows[order], cols[order]
-    starts = np.searchsorted(rows, np.arange(dist.shape[0]))
-    place = np.arange(len(rows)) - starts[rows] + 1
+def _first(rows: np.ndarray, cols: np.ndarray, dist: np.ndarray, n: int, k: int):
+    """Keep the k nearest (row, column) entries of each row, with their place."""
+    order = np.lexsort((cols, dist, rows))
+    rows, cols, dist = rows[order], cols[order], dist[order]
+    place = np.arange(len(rows)) - np.searchsorted(rows, np.arange(n))[rows] + 1
     keep = place <= k
-    return rows[keep], cols[keep], place[keep]
+    return rows[keep], cols[keep], dist[keep], place[keep]
+
+
+def _smallest(dist: np.ndarray, k: int):
+    """(row, column, distance, place) of the k smallest finite entries per row; ties to the lower column."""
+    kth = np.partition(dist, min(k, dist.shape[1]) - 1, axis=1)[:, min(k, dist.shape[1]) - 1]
+    rows, cols = np.nonzero((dist <= kth[:, None]) & np.isfinite(dist))
+    return _first(rows, cols, dist[rows, cols], len(dist), k)
 
 
-def _search(qid, qv, did, dv, dval, k, p, targets, skip_self) -> list[pa.RecordBatch]:
-    """Edges from a block of queries to a block of donors (sorted by id)."""
+def _search(qid, qv, did, dv, dval, k, p, targets, skip_self, limit=None) -> list[pa.RecordBatch]:
+    """Edges from a block of queries to a block of donors (sorted by id), none beyond the radius."""
     out = []
-    step = max(1, 4_000_000 // max(1, len(did)))
+    step = max(1, _CHUNK // max(1, len(did)))
     for s in range(0, len(qid), step):
         ids, vectors = qid[s : s + step], qv[s : s + step]
         dist = _power_distances(vectors, dv, p)
         if skip_self:
             dist[ids[:, None] == did[None, :]] = np.inf
-        for t in targets:
-            if t == PLAIN:
-                pick_q, pick_d, values = np.arange(len(ids)), np.arange(len(did)), dval
+        for i, t in enumerate(targets):
+            has = np.ones(len(did), dtype=bool) if t == PLAIN else ~np.isnan(dv[:, t])
+            asks = np.ones(len(ids), dtype=bool) if t == PLAIN else np.isnan(vectors[:, t])
+            values = dval if t == PLAIN else dv[:, t]
+            if not has.any() or not asks.any():
+                continue
+            if limit is None:
+                pick_q, pick_d = np.nonzero(asks)[0], np.nonzero(has)[0]
+                sub = dist if t == PLAIN else dist[np.ix_(pick_q, pick_d)]
+                rows, cols, power, place = _smallest(sub, k)
+                rows, donors = pick_q[rows], pick_d[cols]
             else:
-                pick_q, pick_d = np.nonzero(np.isnan(vectors[:, t]))[0], np.nonzero(~np.isnan(dv[:, t]))[0]
-                values = dv[:, t]
-            if not len(pick_q) or not len(pick_d):
+                # Rows that do not ask have a negative limit, so they select nothing.
+                most, last_id = limit[0][s : s + step, i], limit[1][s : s + step, i]
+                inside = dist <= most[:, None]
+                if not has.all():
+                    inside &= has
+                rows, cols = np.nonzero(inside)
+                power = dist[rows, cols]
+                keep = np.isfinite(power) & ((power < most[rows]) | (did[cols] <= last_id[rows]))
+                rows, donors, power, place = _first(rows[keep], cols[keep], power[keep], len(ids), k)
+            if not len(rows):
                 continue
-            sub = dist if t == PLAIN else dist[np.ix_(pick_q, pick_d)]
-            rows, cols, place = _smallest(sub, k)
-            donors = pick_d[cols]
-            out.append(
-                pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids[pick_q[rows]], pa.int64()),
-                        pa.array(np.full(len(rows), t, dtype=np.int32)),
-                        pa.array(did[donors], pa.int64()),
-                        pa.array(sub[rows, cols], pa.float64()),
-                        pa.array(values[donors], pa.float64()),
-                        pa.array(place.astype(np.int32)),
-                    ],
-                    schema=_EDGE_ARROW,
-                )
-            )
-    return out
+            out.append((ids[rows], np.full(len(rows), t, dtype=np.int32), did[donors], power, values[donors], place))
+    if not out:
+        return []
+    columns = [np.concatenate(c) for c in zip(*out)]
+    columns[5] = columns[5].astype(np.int32)
+    return [pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_EDGE_ARROW)]
+
+
+def _lists(matrix: np.ndarray) -> pa.Array:
+    """Rows of a matrix as list cells, NaN as NULL."""
+    offsets = pa.array(np.arange(0, matrix.size + 1, max(1, matrix.shape[1])), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(matrix.ravel(), from_pandas=True))
 
 
 def _floats(arr: pa.Array) -> np.ndarray:
@@ -137,15 +162,15 @@ def _floats(arr: pa.Array) -> np.ndarray:
 
 @dataclass
 class _Cells:
-    """Boxes of all donor cells: the only thing that is broadcast at scale."""
+    """Boxes of all donor cells and a few of their rows: all that is broadcast at scale."""
 
-    keys: list[str]
     count: np.ndarray
     low: np.ndarray
     high: np.ndarray
     present: np.ndarray  # feature observed in the whole cell
     mixed: np.ndarray  # rare patterns share a cell: no bound is known
-    index: dict[str, int] = field(default_factory=dict)
+    sample_id: np.ndarray  # some donors of every cell
+    sample: np.ndarray
 
     def reach(self, q: np.ndarray, p: float) -> tuple[np.ndarray, np.ndarray]:
         """Lower and upper bound of the distance power from each query to each cell."""
@@ -168,23 +193,46 @@ class _Cells:
         lower[:, self.mixed], upper[:, self.mixed] = 0.0, np.inf
         return lower, upper
 
-    def candidates(self, q: np.ndarray, k: int, p: float, targets: Sequence[int]) -> np.ndarray:
-        """Boolean (query, cell): cells that may hold one of the k nearest for any target."""
+    def radius(self, ids, q: np.ndarray, upper: np.ndarray, k: int, p: float, t: int, skip_self: bool):
+        """(power, donor id) that the k-th nearest donor surely does not exceed.
+
+        The smaller of two bounds: boxes that lie wholly within a power hold k donors,
+        and the k-th nearest sampled donor. The id matters where many donors tie.
+        """
+        usable = ~self.mixed if t == PLAIN else (self.present[:, t] & ~self.mixed)
+        power, last_id = np.full(len(q), np.inf), np.full(len(q), np.iinfo(np.int64).max)
+        if usable.any():
+            order = np.argsort(upper[:, usable], axis=1)
+            far = np.take_along_axis(upper[:, usable], order, axis=1)
+            enough = np.cumsum(self.count[usable][order], axis=1) >= (k + 1 if skip_self else k)
+            sure = enough.any(axis=1)
+            power[sure] = far[sure, enough.argmax(axis=1)[sure]]
+        pick = np.arange(len(self.sample)) if t == PLAIN else np.nonzero(~np.isnan(self.sample[:, t]))[0]
+        if len(pick) > k:
+            dist = _power_distances(q, self.sample[pick], p)
+            if skip_self:
+                dist[ids[:, None] == self.sample_id[pick][None, :]] = np.inf
+            rows, cols, dist, place = _smallest(dist, k)
+            last = place == k
+            at, near, near_id = rows[last], dist[last], self.sample_id[pick][cols[last]]
+            better = near <= power[at]
+            power[at[better]], last_id[at[better]] = near[better], near_id[better]
+        return power, last_id
+
+    def candidates(self, ids, q: np.ndarray, k: int, p: float, targets: Sequence[int], skip_self: bool):
+        """(query, cell) flags of cells that may hold one of the k nearest, and the radius per target."""
         lower, upper = self.reach(q, p)
         chosen = np.zeros(lower.shape, dtype=bool)
-        order = np.argsort(upper, axis=1)
-        sorted_upper = np.take_along_axis(upper, order, axis=1)
-        for t in targets:
-            usable = np.ones(len(self.count), dtype=bool) if t == PLAIN else (self.present[:, t] | self.mixed)
-            counted = np.where(usable & ~self.mixed, self.count, 0)
-            enough = np.cumsum(counted[order], axis=1) >= k
-            first = np.where(enough.any(axis=1), enough.argmax(axis=1), enough.shape[1] - 1)
-            radius = np.where(enough.any(axis=1), sorted_upper[np.arange(len(q)), first], np.inf)
-            wanted = (lower <= radius[:, None]) & np.isfinite(lower) & usable[None, :]
-            if t != PLAIN:
-                wanted &= np.isnan(q[:, t])[:, None]
-            chosen |= wanted
-        return chosen
+        power = np.full((len(q), len(targets)), -1.0)
+        last_id = np.zeros((len(q), len(targets)), dtype=np.int64)
+        for i, t in enumerate(targets):
+            asks = np.ones(len(q), dtype=bool) if t == PLAIN else np.isnan(q[:, t])
+            if not asks.any():
+                continue
+            power[asks, i], last_id[asks, i] = self.radius(ids[asks], q[asks], upper[asks], k, p, t, skip_self)
+            holds = np.ones(len(self.count), dtype=bool) if t == PLAIN else (self.present[:, t] | self.mixed)
+            chosen |= (lower <= power[:, i, None]) & np.isfinite(lower) & holds[None, :] & asks[:, None]
+        return chosen, power, last_id
 
 
 def _pattern(v: str) -> Column:
@@ -226,25 +274,31 @@ def _build_cells(donors: DataFrame, width: int, n: int, spread: list[float], max
         *[F.max(F.get("v", F.lit(j))).alias(f"hi{j}") for j in range(width)],
     )
     rows = boxes.orderBy("cell_key").collect()
-    low = np.array([[r[f"lo{j}"] if r[f"lo{j}"] is not None else np.nan for j in range(width)] for r in rows], dtype=float)
-    high = np.array([[r[f"hi{j}"] if r[f"hi{j}"] is not None else np.nan for j in range(width)] for r in rows], dtype=float)
-    keys = [r["cell_key"] for r in rows]
-    mixed = np.array([key == "*" for key in keys])
+
+    def bound(name: str) -> np.ndarray:
+        return np.array([[np.nan if r[f"{name}{j}"] is None else r[f"{name}{j}"] for j in range(width)] for r in rows], dtype=float)
+
+    low, high = bound("lo"), bound("hi")
+    mixed = np.array([r["cell_key"] == "*" for r in rows])
     present = ~np.isnan(low) & ~mixed[:, None]
+    # Any rows may serve as the sample: a different one changes the pruning, never the result.
+    share = min(1.0, SAMPLE_ROWS / max(n, 1))
+    taken = donors.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000)).limit(2 * SAMPLE_ROWS).toArrow().sort_by("id")
+    flat = taken.column("v").combine_chunks()
+    sample = _floats(flat.flatten()).reshape(-1, width) if taken.num_rows else np.empty((0, width))
     cells = _Cells(
-        keys, np.array([r["n"] for r in rows], dtype=np.int64), np.nan_to_num(low), np.nan_to_num(high), present, mixed
+        np.array([r["n"] for r in rows], dtype=np.int64), np.nan_to_num(low), np.nan_to_num(high), present, mixed,
+        taken.column("id").to_numpy(), sample,
     )
-    cells.index = {key: i for i, key in enumerate(keys)}
-    return marked, cells
+    return marked, cells, [r["cell_key"] for r in rows]
 
 
-def _pack(df: DataFrame, sizes: DataFrame, block_rows: int, prefix: str, with_value: bool) -> DataFrame:
+def _pack(df: DataFrame, sizes: DataFrame, block_rows: int, prefix: str, extra: dict[str, Column]) -> DataFrame:
     """Blocks of about ``block_rows`` rows per cell; ``sizes`` has one row per cell."""
     salted = df.join(F.broadcast(sizes), "cell")
     block = F.pmod(F.xxhash64("id"), F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(block_rows))).cast("long"))
     aggs = [F.collect_list("id").alias(f"{prefix}_id"), F.flatten(F.collect_list("v")).alias(f"{prefix}_v")]
-    if with_value:
-        aggs.append(F.collect_list("value").alias(f"{prefix}_value"))
+    aggs += [e.alias(f"{prefix}_{name}") for name, e in extra.items()]
     return salted.groupBy("cell", block.alias(f"{prefix}_block")).agg(*aggs)
 
 
@@ -296,9 +350,9 @@ def knn_edges(
     n = stats["n"]
     if n <= broadcast_rows and n * (width + 2) * 8 <= BROADCAST_BYTES:
         return _small_search(q, d, width, k, p, wanted, skip_self)
-    spread = [stats[f"s{j}"] or 0.0 for j in range(width)]
-    marked, cells = _build_cells(d, width, n, spread, max_cells, rows_per_cell)
-    return _cell_search(q, marked, cells, width, k, p, wanted, skip_self, block_rows)
+    spread_of = [stats[f"s{j}"] or 0.0 for j in range(width)]
+    marked, cells, keys = _build_cells(d, width, n, spread_of, max_cells, rows_per_cell)
+    return _cell_search(q, marked, cells, keys, width, k, p, wanted, skip_self, block_rows)
 
 
 def _small_search(q: DataFrame, d: DataFrame, width: int, k: int, p: float, targets: list[int], skip_self: bool) -> DataFrame:
@@ -319,40 +373,43 @@ def _small_search(q: DataFrame, d: DataFrame, width: int, k: int, p: float, targ
     return spread(q).mapInArrow(search, EDGE_SCHEMA)
 
 
-def _cell_search(q, marked, cells, width, k, p, targets, skip_self, block_rows) -> DataFrame:
+def _cell_search(q, marked, cells, keys, width, k, p, targets, skip_self, block_rows) -> DataFrame:
     spark = q.sparkSession
-    boxes = spark.sparkContext.broadcast(cells)
-    radius_k = k + 1 if skip_self else k
+    boxes = spark.sparkContext.broadcast(astuple(cells))
+    asked = len(targets)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = boxes.value
-        step = max(1, 1_000_000 // max(1, len(table.count)))
+        table = _Cells(*boxes.value)
+        step = max(1, _CHUNK // max(1, len(table.count) + len(table.sample)))
         for b in batches:
             ids = b.column("id").to_numpy()
             vectors = _floats(b.column("v").flatten()).reshape(-1, width)
+            found = []
             for s in range(0, len(ids), step):
-                rows, cols = np.nonzero(table.candidates(vectors[s : s + step], radius_k, p, targets))
-                taken = vectors[s : s + step][rows]
-                flat = pa.array(taken.ravel(), pa.float64(), from_pandas=True)
-                offsets = pa.array(np.arange(0, len(rows) * width + 1, width), pa.int32())
+                chosen, power, last_id = table.candidates(ids[s : s + step], vectors[s : s + step], k, p, targets, skip_self)
+                rows, cols = np.nonzero(chosen)
+                found.append((rows + s, cols.astype(np.int32), power[rows], last_id[rows]))
+            if found:
+                rows, cols, power, last_id = (np.concatenate(c) for c in zip(*found))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[s : s + step][rows]), pa.ListArray.from_arrays(offsets, flat), pa.array(cols.astype(np.int32))],
-                    names=["id", "v", "cell"],
+                    [pa.array(ids[rows]), _lists(vectors[rows]), _lists(power), _lists(last_id), pa.array(cols)],
+                    names=["id", "v", "power", "last_id", "cell"],
                 )
 
-    routed = cut_lineage(spread(q).mapInArrow(route, "id long, v array<double>, cell int"))
+    routed = cut_lineage(spread(q).mapInArrow(route, "id long, v array<double>, power array<double>, last_id array<long>, cell int"))
     routed_sizes = routed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-    cell_rows = [(key, i, int(cells.count[i])) for key, i in cells.index.items()]
+    cell_rows = [(key, i, int(cells.count[i])) for i, key in enumerate(keys)]
     cell_table = spark.createDataFrame(cell_rows, "cell_key string, cell int, n long")
     numbered = marked.join(F.broadcast(cell_table.select("cell_key", "cell")), "cell_key").drop("cell_key")
-    donor_blocks = _pack(numbered, cell_table.select("cell", "n"), block_rows, "d", True)
-    query_blocks = _pack(routed, routed_sizes, block_rows, "q", False)
-    met = query_blocks.join(donor_blocks, "cell").select("q_id", "q_v", "d_id", "d_v", "d_value")
+    donor_blocks = _pack(numbered, cell_table.select("cell", "n"), block_rows, "d", {"value": F.collect_list("value")})
+    query_blocks = _pack(routed, routed_sizes, block_rows, "q", {c: F.flatten(F.collect_list(c)) for c in ("power", "last_id")})
+    parts = ("q_id", "q_v", "q_power", "q_last_id", "d_id", "d_v", "d_value")
+    met = query_blocks.join(donor_blocks, "cell").select(*parts)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                part = {name: b.column(name)[i].values for name in ("q_id", "q_v", "d_id", "d_v", "d_value")}
+                part = {name: b.column(name)[i].values for name in parts}
                 did = part["d_id"].to_numpy()
                 order = np.argsort(did)
                 yield from _search(
@@ -365,6 +422,7 @@ def _cell_search(q, marked, cells, width, k, p, targets, skip_self, block_rows)
                     p,
                     targets,
                     skip_self,
+                    (_floats(part["q_power"]).reshape(-1, asked), part["q_last_id"].to_numpy().reshape(-1, asked)),
                 )
 
     return _placed(met.mapInArrow(measure, EDGE_SCHEMA), k)
