@@ -38,6 +38,7 @@ ROWS_PER_CELL = 64
 BLOCK_ROWS = 1024
 MAX_PATTERNS = 64
 SAMPLE_ROWS = 8192
+_SPLIT_BYTES = 8 * 1024  # each query row is dear, so even small tables are spread out
 _CHUNK = 200_000  # matrix cells worked on at once, so that they stay in cache
 PLAIN = -1  # target index of an ordinary search
 
@@ -370,7 +371,7 @@ def _small_search(q: DataFrame, d: DataFrame, width: int, k: int, p: float, targ
                 qv = _floats(b.column("v").flatten()).reshape(-1, width)
                 yield from _search(b.column("id").to_numpy(), qv, ids, vectors, values, k, p, targets, skip_self)
 
-    return spread(q).mapInArrow(search, EDGE_SCHEMA)
+    return spread(q, _SPLIT_BYTES).mapInArrow(search, EDGE_SCHEMA)
 
 
 def _cell_search(q, marked, cells, keys, width, k, p, targets, skip_self, block_rows) -> DataFrame:
@@ -396,7 +397,7 @@ def _cell_search(q, marked, cells, keys, width, k, p, targets, skip_self, block_
                     names=["id", "v", "power", "last_id", "cell"],
                 )
 
-    routed = cut_lineage(spread(q).mapInArrow(route, "id long, v array<double>, power array<double>, last_id array<long>, cell int"))
+    routed = cut_lineage(spread(q, _SPLIT_BYTES).mapInArrow(route, "id long, v array<double>, power array<double>, last_id array<long>, cell int"))
     routed_sizes = routed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
     cell_rows = [(key, i, int(cells.count[i])) for i, key in enumerate(keys)]
     cell_table = spark.createDataFrame(cell_rows, "cell_key string, cell int, n long")

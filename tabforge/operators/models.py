@@ -273,10 +273,11 @@ def _margin(df: DataFrame) -> DataFrame:
 def fit_kernel_svm(df: DataFrame, columns: Sequence[str], label: str, row_id: str, kind: str = "rbf", gamma: float | None = None) -> KernelSvm:
     """Columns should be scaled; gamma defaults to 1 / number of columns."""
     kernel = KernelMap(kind, columns, gamma or 1.0 / len(columns)).fit(df, row_id)
-    mapped = kernel.transform(df)
+    mapped = kernel.transform(df).cache()
     svm = LinearSVC(featuresCol="kernel_features", labelCol=label, maxIter=50, regParam=1e-3).fit(mapped)
     scored = _margin(svm.transform(mapped))
     calibrator = LogisticRegression(featuresCol="margin_vec", labelCol=label, maxIter=100).fit(scored)
+    mapped.unpersist()
     return KernelSvm(kernel, svm, calibrator)
 
 
@@ -284,7 +285,10 @@ def fit_kernel_regression(df: DataFrame, columns: Sequence[str], label: str, row
     """Kernel regression under the Huber loss (stands in for the epsilon-insensitive loss)."""
     kernel = KernelMap(kind, columns, gamma or 1.0 / len(columns)).fit(df, row_id)
     learner = LinearRegression(featuresCol="kernel_features", labelCol=label, loss="huber", regParam=1e-4, maxIter=200)
-    return kernel, learner.fit(kernel.transform(df))
+    mapped = kernel.transform(df).cache()
+    model = learner.fit(mapped)
+    mapped.unpersist()
+    return kernel, model
 
 
 # ---- neighbours ------------------------------------------------------------

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from tabforge.session import cut_lineage
 
 BUCKETS = 128
+SMALL_KEYS = 50_000
 
 
 def running_totals(
@@ -34,9 +35,15 @@ def running_totals(
     by = list(by)
     cuts = [i / buckets for i in range(1, buckets)]
     limits_df = counts.groupBy(*by).agg(
-        F.percentile_approx(F.col(key).cast("double"), F.array(*[F.lit(c) for c in cuts]), F.lit(1000)).alias("limits")
+        F.percentile_approx(F.col(key).cast("double"), F.array(*[F.lit(c) for c in cuts]), F.lit(1000)).alias("limits"),
+        F.count(F.lit(1)).alias("keys"),
     )
-    limits = [{**r.asDict(), "limits": sorted(set(r["limits"] or []))} for r in limits_df.collect()]
+    limits = [r.asDict() for r in limits_df.collect()]
+    for r in limits:
+        r["limits"] = sorted(set(r["limits"] or []))
+    if sum(r["keys"] for r in limits) <= SMALL_KEYS:
+        # Proven small: one window per group, no bucket bookkeeping.
+        return _running_small(counts, key, sums, by, descending)
     x = F.col(key).cast("double")
     if by:
         schema = T.StructType(
@@ -68,6 +75,13 @@ def running_totals(
     return joined.select(*out)
 
 
+def _running_small(counts: DataFrame, key: str, sums: Sequence[str], by: Sequence[str], descending: bool) -> DataFrame:
+    order = F.col(key).desc() if descending else F.col(key).asc()
+    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    out = counts.select("*", *[F.sum(s).over(w).alias(f"{s}_to") for s in sums])
+    return out.select("*", *[(F.col(f"{s}_to") - F.col(s)).alias(f"{s}_before") for s in sums])
+
+
 def global_positions(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
     """0-based position of every row in a total order, for keys of any type.
 

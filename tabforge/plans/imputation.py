@@ -12,6 +12,7 @@ from tabforge.operators.mice import ChainedLinearImputer
 from tabforge.plans.aggregates import rounded
 from tabforge.plans.catalog import query, table
 from tabforge.plans.inputs import GAP_COLUMNS, PART_FEATURES, PARTS_SQL, READINGS_SQL, parts, readings, with_sql
+from tabforge.session import cut_lineage, scratch_path
 
 # ---- SQL of the neighbour fill ---------------------------------------------
 
@@ -195,8 +196,6 @@ def im_hybrid_fixed(spark, sf):
 
 @query("im_hybrid_best2")
 def im_hybrid_best2(spark, sf):
-    from tabforge.session import cut_lineage
-
     r, models = _two_methods(spark, sf)
     wide = cut_lineage(models["mice"].add_filled(models["knn"].add_filled(r, "knn"), "mice"))
     best = impute.best_strategy(impute.best_method_table(wide, ["a", "b", "c"], ["knn", "mice"]))
@@ -204,8 +203,6 @@ def im_hybrid_best2(spark, sf):
 
 
 def _four_methods(spark, sf):
-    from tabforge.session import cut_lineage
-
     r, models = _two_methods(spark, sf)
     wide = models["mice"].add_filled(models["knn"].add_filled(r, "knn"), "mice")
     for name, scaled in (("tree", False), ("tree_scaled", True)):
@@ -246,8 +243,6 @@ def im_joint(spark, sf):
 @query("im_apply")
 def im_apply(spark, sf):
     """Imputers fitted on one half, saved, loaded and applied to the other half."""
-    from tabforge.session import scratch_path
-
     r = readings(spark, sf).select("row_id", *GAP_COLUMNS)
     old, new = r.where(F.col("row_id") % 2 == 0), r.where(F.col("row_id") % 2 == 1)
     path = scratch_path(spark, "imputer")
@@ -267,8 +262,9 @@ _BOTH = _FILLED + ", both_ AS (SELECT p.row_id, p.label, p.size, p.price, f.size
 
 
 def _wide_parts(spark, sf):
+    """Original and filled columns side by side, kept because a report scans them several times."""
     p = parts(spark, sf).select("row_id", "label", *PART_FEATURES)
-    return KnnImputer(inputCols=PART_FEATURES, k=5).fit(p).add_filled(p, "knn")
+    return cut_lineage(KnnImputer(inputCols=PART_FEATURES, k=5).fit(p).add_filled(p, "knn"))
 
 
 def _drift_sql(c):

@@ -17,6 +17,7 @@ def build_session(app: str = "tabforge", cpus: str = "*") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("TABFORGE_DRIVER_MEMORY", "12g"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -57,15 +58,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/tabforge-{name}-{uuid.uuid4().hex}"
 
 
-_SPLIT_BYTES = 4 * 1024 * 1024
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for compute-heavy work on a table of few file splits.
+def spread(df: DataFrame, split_bytes: int = 256 * 1024) -> DataFrame:
+    """Use more cores for compute-heavy work on a table of few file splits.
 
     A file of a few MB is one split, hence one task, however dear each row is. The
     check is on the planner's size estimate; a table with enough splits is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * _SPLIT_BYTES else df
+    tasks = min(cores, -(-size // split_bytes))
+    return df.repartition(tasks) if tasks > 1 and size < cores * _FILE_SPLIT_BYTES else df
+
+
+_FILE_SPLIT_BYTES = 4 * 1024 * 1024

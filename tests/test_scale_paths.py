@@ -86,6 +86,13 @@ def test_quantile_narrowing_is_exact(spark):
     assert got == pytest.approx(list(np.quantile(values, probs)))
 
 
+def test_quantile_between_two_huge_ties(spark):
+    values = np.concatenate([np.zeros(50_000), np.linspace(0.1, 0.9, 8), np.ones(50_000)])
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    got = quantiles.exact_quantiles(df, {"x": F.col("x")}, [0.5, 0.49999], distinct_limit=2)["x"]
+    assert got == pytest.approx(list(np.quantile(values, [0.5, 0.49999])))
+
+
 def test_value_at_rank(spark):
     values = [5, 1, 1, 1, 9, 7]
     df = spark.createDataFrame([(v, float(v)) for v in values], "i long, x double")
@@ -93,8 +100,10 @@ def test_value_at_rank(spark):
     assert [quantiles.value_at_rank(df, F.col("i"), r) for r in range(6)] == sorted(values)
 
 
+@pytest.mark.parametrize("small_keys", [0, 50_000])
 @pytest.mark.parametrize("descending", [False, True])
-def test_running_totals(spark, descending):
+def test_running_totals(spark, monkeypatch, descending, small_keys):
+    monkeypatch.setattr(prefix, "SMALL_KEYS", small_keys)
     rng = np.random.default_rng(2)
     keys = np.unique(rng.integers(0, 5000, 900))
     counts = {(g, int(k)): int(rng.integers(1, 9)) for g in ("a", "b") for k in keys}
