@@ -194,14 +194,14 @@ class _Cells:
         lower[:, self.mixed], upper[:, self.mixed] = 0.0, np.inf
         return lower, upper
 
-    def radius(self, ids, q: np.ndarray, upper: np.ndarray, k: int, p: float, t: int, skip_self: bool):
+    def radius(self, upper: np.ndarray, to_sample: np.ndarray, k: int, t: int, skip_self: bool):
         """(power, donor id) that the k-th nearest donor surely does not exceed.
 
         The smaller of two bounds: boxes that lie wholly within a power hold k donors,
         and the k-th nearest sampled donor. The id matters where many donors tie.
         """
         usable = ~self.mixed if t == PLAIN else (self.present[:, t] & ~self.mixed)
-        power, last_id = np.full(len(q), np.inf), np.full(len(q), np.iinfo(np.int64).max)
+        power, last_id = np.full(len(upper), np.inf), np.full(len(upper), np.iinfo(np.int64).max)
         if usable.any():
             order = np.argsort(upper[:, usable], axis=1)
             far = np.take_along_axis(upper[:, usable], order, axis=1)
@@ -210,10 +210,7 @@ class _Cells:
             power[sure] = far[sure, enough.argmax(axis=1)[sure]]
         pick = np.arange(len(self.sample)) if t == PLAIN else np.nonzero(~np.isnan(self.sample[:, t]))[0]
         if len(pick) > k:
-            dist = _power_distances(q, self.sample[pick], p)
-            if skip_self:
-                dist[ids[:, None] == self.sample_id[pick][None, :]] = np.inf
-            rows, cols, dist, place = _smallest(dist, k)
+            rows, cols, dist, place = _smallest(to_sample if t == PLAIN else to_sample[:, pick], k)
             last = place == k
             at, near, near_id = rows[last], dist[last], self.sample_id[pick][cols[last]]
             better = near <= power[at]
@@ -223,6 +220,9 @@ class _Cells:
     def candidates(self, ids, q: np.ndarray, k: int, p: float, targets: Sequence[int], skip_self: bool):
         """(query, cell) flags of cells that may hold one of the k nearest, and the radius per target."""
         lower, upper = self.reach(q, p)
+        to_sample = _power_distances(q, self.sample, p)
+        if skip_self:
+            to_sample[ids[:, None] == self.sample_id[None, :]] = np.inf
         chosen = np.zeros(lower.shape, dtype=bool)
         power = np.full((len(q), len(targets)), -1.0)
         last_id = np.zeros((len(q), len(targets)), dtype=np.int64)
@@ -230,7 +230,7 @@ class _Cells:
             asks = np.ones(len(q), dtype=bool) if t == PLAIN else np.isnan(q[:, t])
             if not asks.any():
                 continue
-            power[asks, i], last_id[asks, i] = self.radius(ids[asks], q[asks], upper[asks], k, p, t, skip_self)
+            power[asks, i], last_id[asks, i] = self.radius(upper[asks], to_sample[asks], k, t, skip_self)
             holds = np.ones(len(self.count), dtype=bool) if t == PLAIN else (self.present[:, t] | self.mixed)
             chosen |= (lower <= power[:, i, None]) & np.isfinite(lower) & holds[None, :] & asks[:, None]
         return chosen, power, last_id
