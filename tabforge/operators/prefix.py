@@ -51,7 +51,7 @@ def running_totals(
         )
         rows = [tuple(r[b] for b in by) + (r["limits"],) for r in limits]
         side = counts.sparkSession.createDataFrame(rows, schema)
-        marked = counts.join(F.broadcast(side), by, "left")
+        marked = _match(counts, side, by)
         limit_col = F.col("_limits")
     else:
         marked = counts
@@ -67,7 +67,7 @@ def running_totals(
         *by, "_bucket", *[F.coalesce(F.sum(f"_t_{s}").over(before), F.lit(0)).alias(f"_o_{s}") for s in sums]
     )
     running = marked.select("*", *[F.sum(s).over(inner).alias(f"_r_{s}") for s in sums])
-    joined = running.join(F.broadcast(offsets), [*by, "_bucket"])
+    joined = _match(running, offsets, [*by, "_bucket"])
     out = [F.col(c) for c in counts.columns]
     for s in sums:
         out.append((F.col(f"_r_{s}") + F.col(f"_o_{s}")).alias(f"{s}_to"))
@@ -75,6 +75,15 @@ def running_totals(
     return joined.select(*out)
 
 
+def _match(left: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Attach a small per-group table; NULL is a group like any other."""
+    renamed = small.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return left.join(F.broadcast(renamed), same).drop(*[f"_k_{k}" for k in keys])
+
+
 def _running_small(counts: DataFrame, key: str, sums: Sequence[str], by: Sequence[str], descending: bool) -> DataFrame:
     order = F.col(key).desc() if descending else F.col(key).asc()
     w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)

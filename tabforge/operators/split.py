@@ -47,14 +47,19 @@ def hashed_rank(df: DataFrame, row_id: str, by: Sequence[str], seed: int = 42, b
     upto = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
     offsets = totals.select(
-        *by, "_b", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before"), F.sum("_n").over(whole).alias("_size")
+        *[F.col(c).alias(f"_o_{c}") for c in by],
+        F.col("_b").alias("_ob"),
+        F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before"),
+        F.sum("_n").over(whole).alias("_size"),
     )
     inner = Window.partitionBy(*by, "_b").orderBy("_u", row_id)
     ranked = marked.withColumn("_in", F.row_number().over(inner))
-    joined = ranked.join(offsets, [*by, "_b"])
-    return joined.withColumn("_rank", F.col("_in") + F.col("_before")).drop("_in", "_before", "_u", "_b").select(
-        *df.columns, "_rank", "_size"
-    )
+    # Null-safe, so rows without a class form a class of their own and are kept.
+    same = F.col("_b") == F.col("_ob")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_o_{c}"))
+    joined = ranked.join(offsets, same)
+    return joined.select(*df.columns, (F.col("_in") + F.col("_before")).alias("_rank"), "_size")
 
 
 def stratified_split(df: DataFrame, row_id: str, label: str, train_share: float = 0.8, seed: int = 42) -> DataFrame:

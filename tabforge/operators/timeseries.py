@@ -34,9 +34,11 @@ def lag_and_trailing_means(
     local = spread.withColumns({**means, "_lag": previous, "_first": own_first}).where(F.col("_in") == F.col("_slot"))
     last = base.groupBy(series, "_slot").agg(F.max(F.struct("_t", order, value)).alias("_last"))
     carried = last.select(
-        series, "_slot", F.lag(F.col(f"_last.{value}")).over(Window.partitionBy(series).orderBy("_slot")).alias("_carry")
+        F.col(series).alias("_c_series"),
+        F.col("_slot").alias("_c_slot"),
+        F.lag(F.col(f"_last.{value}")).over(Window.partitionBy(series).orderBy("_slot")).alias("_carry"),
     )
-    joined = local.join(carried, [series, "_slot"])
+    joined = local.join(carried, (F.col("_slot") == F.col("_c_slot")) & F.col(series).eqNullSafe(F.col("_c_series")), "left")
     lag1 = F.when(F.col("_first") == 1, F.col("_carry")).otherwise(F.col("_lag"))
     keep: Sequence[str] = df.columns
     return joined.select(*keep, lag1.alias("lag1"), *spans_us)

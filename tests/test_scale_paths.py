@@ -106,11 +106,12 @@ def test_running_totals(spark, monkeypatch, descending, small_keys):
     monkeypatch.setattr(prefix, "SMALL_KEYS", small_keys)
     rng = np.random.default_rng(2)
     keys = np.unique(rng.integers(0, 5000, 900))
-    counts = {(g, int(k)): int(rng.integers(1, 9)) for g in ("a", "b") for k in keys}
+    counts = {(g, int(k)): int(rng.integers(1, 9)) for g in ("a", "b", None) for k in keys}
     df = spark.createDataFrame([(g, k, n) for (g, k), n in counts.items()], "g string, key long, n long").repartition(7)
     out = prefix.running_totals(df, "key", ["n"], by=["g"], buckets=16, descending=descending)
-    for g in ("a", "b"):
-        rows = sorted((r.key, r.n_to, r.n_before) for r in out.where(F.col("g") == g).collect())
+    for g in ("a", "b", None):
+        rows = sorted((r.key, r.n_to, r.n_before) for r in out.where(F.col("g").eqNullSafe(F.lit(g))).collect())
+        assert len(rows) == len(keys)
         total = 0
         for key, upto, before in reversed(rows) if descending else rows:
             assert before == total
@@ -138,13 +139,22 @@ def test_stratified_split_is_exact(spark):
     assert {r.y: r.t for r in out} == {0: 720, 1: 80}
 
 
+def test_rows_without_a_class_are_kept(spark):
+    df = spark.range(100).select(F.col("id"), F.when(F.col("id") % 2 == 0, F.lit("a")).alias("g"))
+    out = split.stratified_kfold(df, "id", "g", 5)
+    assert out.count() == 100
+    assert {(r.g, r.fold): r["count"] for r in out.groupBy("g", "fold").count().collect()} == {
+        (g, f): 10 for g in ("a", None) for f in range(5)
+    }
+
+
 def test_lag_across_slots(spark):
     day = timeseries.DAY
-    rows = [(1, 0, 1, 1.0), (1, day // 2, 2, 2.0), (1, 3 * day, 3, 3.0), (1, 3 * day + 5, 4, 4.0), (2, 10, 5, 9.0)]
+    rows = [(1, 0, 1, 1.0), (1, day // 2, 2, 2.0), (1, 3 * day, 3, 3.0), (1, 3 * day + 5, 4, 4.0), (2, 10, 5, 9.0), (None, 0, 6, 7.0)]
     df = spark.createDataFrame(rows, "s long, t long, id long, v double")
     out = timeseries.lag_and_trailing_means(df, "s", F.col("t"), "id", "v", {"m": day // 4})
     got = {r.id: (r.lag1, r.m) for r in out.collect()}
-    assert got == {1: (None, 1.0), 2: (1.0, 2.0), 3: (2.0, 3.0), 4: (3.0, 3.5), 5: (None, 9.0)}
+    assert got == {1: (None, 1.0), 2: (1.0, 2.0), 3: (2.0, 3.0), 4: (3.0, 3.5), 5: (None, 9.0), 6: (None, 7.0)}
 
 
 # ---- chained regressions ---------------------------------------------------
