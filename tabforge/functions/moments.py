@@ -28,3 +28,10 @@ def kurtosis_unbiased(c: Column | str) -> Column:
 def exact_quantile(c: Column | str, q: float) -> Column:
     """Linear-interpolated quantile, exact."""
     return F.percentile(_c(c), F.lit(float(q)))
+
+
+def correlation(a: Column | str, b: Column | str) -> Column:
+    """Pearson r over rows where both exist; NULL for a constant column (``corr`` raises there under ANSI)."""
+    x, y = _c(a).cast("double"), _c(b).cast("double")
+    px, py = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(px) * F.stddev_pop(py))

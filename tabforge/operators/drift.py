@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tabforge.functions.moments import correlation
 from tabforge.functions.scalar import pct_change, quality_grade
 from tabforge.operators.profile import long_rows, quoted
 from tabforge.operators.quantiles import exact_quantiles
@@ -154,7 +155,7 @@ def correlation_shift(wide: DataFrame, columns: Sequence[str], label: str, first
     y = F.col(label).cast("double")
     aggs = []
     for i, c in enumerate(columns):
-        aggs += [F.corr(_pair(c, first)[1], y).alias(f"{i}_a"), F.corr(_pair(c, second)[1], y).alias(f"{i}_b")]
+        aggs += [correlation(_pair(c, first)[1], y).alias(f"{i}_a"), correlation(_pair(c, second)[1], y).alias(f"{i}_b")]
     out = long_rows(wide.agg(*aggs), columns, {"corr_first": "a", "corr_second": "b"})
     return out.withColumn("shift", F.col("corr_second") - F.col("corr_first"))
 

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tabforge.functions.moments import correlation
 from tabforge.operators.prefix import running_totals
 
 
@@ -170,7 +171,7 @@ def residual_summary(df: DataFrame, label: str = "label", pred: str = "predictio
     return df.agg(
         F.avg(y - p).alias("residual_mean"),
         F.stddev_pop(y - p).alias("residual_std"),
-        F.corr(y, p).alias("corr_actual_predicted"),
+        correlation(y, p).alias("corr_actual_predicted"),
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tabforge.functions.moments import kurtosis_unbiased, skew_unbiased
+from tabforge.functions.moments import correlation, kurtosis_unbiased, skew_unbiased
 from tabforge.operators.quantiles import exact_quantiles
 
 _NUMERIC = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.DecimalType)
@@ -154,7 +154,7 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str], chunk: int = 150) -
         part = pairs[start : start + chunk]
         wide = df.agg(
             *[
-                F.corr(F.col(quoted(a)).cast("double"), F.col(quoted(b)).cast("double")).alias(f"{i}_r")
+                correlation(F.col(quoted(a)), F.col(quoted(b))).alias(f"{i}_r")
                 for i, (a, b) in enumerate(part)
             ]
         )
@@ -172,7 +172,7 @@ def correlation_with(df: DataFrame, columns: Sequence[str], target: str) -> Data
     aggs = []
     for i, c in enumerate(columns):
         x = F.col(quoted(c)).cast("double")
-        aggs += [F.corr(x, y).alias(f"{i}_r"), F.count_if(x.isNotNull() & y.isNotNull()).alias(f"{i}_n")]
+        aggs += [correlation(x, y).alias(f"{i}_r"), F.count_if(x.isNotNull() & y.isNotNull()).alias(f"{i}_n")]
     return long_rows(df.agg(*aggs), columns, {"r": "r", "n": "n"})
 
 

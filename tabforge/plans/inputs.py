@@ -161,14 +161,14 @@ def parts(spark: SparkSession, sf: str) -> DataFrame:
         "*",
         gap(7919, 20, F.col("size0")).alias("size"),
         gap(104729, 30, F.col("price0")).alias("price"),
-        (F.col("price0") + 8 * F.col("size0") > 700).cast("int").alias("label"),
+        (8 * F.col("size0") + 10 * F.col("brand") > 330).cast("int").alias("label"),
     )
 
 
 PARTS_SQL = """parts AS (
   SELECT *, CASE WHEN (row_id * 7919) % 100 >= 20 THEN size0 END AS size,
     CASE WHEN (row_id * 104729) % 100 >= 30 THEN price0 END AS price,
-    CAST(price0 + 8 * size0 > 700 AS INTEGER) AS label
+    CAST(8 * size0 + 10 * brand > 330 AS INTEGER) AS label
   FROM (SELECT p_partkey AS row_id, CAST(p_size AS DOUBLE) AS size0, round(p_retailprice * 10 - 9000) AS price0,
     CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS DOUBLE) AS brand, CAST(length(p_name) AS DOUBLE) AS name_len FROM part))"""
 PART_FEATURES = ["size", "price", "brand", "name_len"]

@@ -115,6 +115,12 @@ def test_spearman_with_ties(spark):
     assert stats.spearman(df, ["x"], "y").first().spearman_r == pytest.approx(0.8660254, abs=1e-6)
 
 
+def test_correlation_of_a_constant_is_null(spark):
+    df = spark.createDataFrame([(1.0, 1.0, 2.0), (1.0, 2.0, 4.0), (1.0, None, 9.0)], "a double, b double, c double")
+    got = {(r.a, r.b): r.r for r in profile.correlation_pairs(df, ["a", "b", "c"]).collect()}
+    assert got == {("a", "b"): None, ("a", "c"): None, ("b", "c"): pytest.approx(1.0)}
+
+
 def test_class_weights(spark):
     df = spark.createDataFrame([(0,), (0,), (0,), (1,)], "label int")
     w = {r.label: r.weight for r in profile.class_weights(df, "label").collect()}
