@@ -4,7 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tabforge.llm.decontaminate import decontaminate
+from tabforge.llm.near_dedup import near_duplicates
+from tabforge.llm.secrets import KINDS, find_secrets, joined
+from tabforge.llm.spotsigs import edit_likeness, fingerprint
 from tabforge.llm.substrings import remove_repeats
+from tabforge.llm.toxicity import held_out, toxicity
 from tabforge.plans.catalog import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -21,3 +26,73 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without word windows that stand earlier."""
     out = remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in windows of benchmark items."""
+    out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_items = F.size("items").cast("long").alias("n_items")
+    return out.select("doc_id", "n_words", "n_hit", n_items, F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLES["op3_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, w, least(10, len(w)) AS k FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, k, array_to_string(w[p:p + k - 1], ' ') AS words
+  FROM (SELECT item_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS p FROM i)),
+pos AS (SELECT doc_id, k, p, array_to_string(w[p:p + k - 1], ' ') AS words
+  FROM (SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS p FROM d, (SELECT DISTINCT k FROM win) WHERE len(w) >= k)),
+occ AS (SELECT doc_id, p, k, item_id FROM pos JOIN win USING (words, k)),
+hit AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(generate_series(p, p + k - 1)) AS q FROM occ) GROUP BY 1),
+item AS (SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM occ) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN item USING (doc_id)"""
+
+
+@query
+def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document, of an edited self, and their likeness."""
+    out = edit_likeness(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprint(F.col("signature")).alias("fingerprint"),
+        fingerprint(F.col("edited_signature")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
+def _equals(value: str):
+    return lambda column: column == value
+
+
+@query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, in the open and inside encoded layers."""
+    out = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.size(F.filter(F.col("secrets.base")["kind"], _equals(kind))).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    return out.select(
+        "doc_id", *counts, F.sha2(joined("secrets.base"), 256).alias("base_sha256"), joined("secrets.spans").alias("spans"), "secrets.n_layers", "secrets.cut"
+    )
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = toxicity(docs, table(spark, sf_dir, "labels"))
+    return out.select("doc_id", held_out("doc_id").alias("held_out"), F.col("toxicity.score").alias("score"), "predicted")

@@ -6,8 +6,11 @@ whose words also start earlier: in a document of smaller id, or further up in th
 Seeds are winnowed anchors: of the ``seed_words``-word grams in a window the one of least hash.
 Equal windows choose equal anchors, so all repeats of a window meet at its anchor. Neighbouring
 windows that choose the same anchor form one segment: the anchor, extended to both sides as far
-as its windows reach. Repeats are then settled in two steps of linear size.
+as its windows reach. Repeats are then settled in three steps of linear size.
 
+0. Anchors are counted; those of one place only are out. A bitmap of the hashes that stand at
+   several places, of at most ``BITMAP_BITS``, spares most other segments the shuffle. It lets some
+   through that stand once, never the reverse, and the next steps are exact by themselves.
 1. Segments of equal words are grouped (with partial sums, so thousands of copies are one row a
    task); all but the earliest are repeats as a whole.
 2. Where one anchor stands in different segments, the earliest segment of each wording is cut
@@ -24,11 +27,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tabforge.llm.tables import id_of, keyed
+from tabforge.llm.tables import id_of, keyed, settled
 from tabforge.llm.words import Block, blocks
 
 MIN_WORDS = 20
 SEED_WORDS = 5
+#: Bits of the anchor bitmap at most: 32 for each repeated anchor, up to 32 MB.
+BITMAP_BITS = 2**28
+
+
+def _first_least(values: np.ndarray, width: int) -> np.ndarray:
+    """For each window of ``width`` values the place of the least, the first among equals."""
+    least, at, size = values, np.arange(len(values)), 1
+    while size < width:
+        step = min(size, width - size)
+        later = least[step:] < least[:-step]
+        least, at = np.where(later, least[step:], least[:-step]), np.where(later, at[step:], at[:-step])
+        size += step
+    return at
 
 
 def _anchors(block: Block, min_words: int, seed_words: int) -> tuple[np.ndarray, ...]:
@@ -38,20 +54,47 @@ def _anchors(block: Block, min_words: int, seed_words: int) -> tuple[np.ndarray,
         return windows.astype(np.uint64), windows, windows
     first = np.arange(block.n_words - seed_words + 1)
     grams = block.ranges(first, first + seed_words)
-    reach = np.lib.stride_tricks.sliding_window_view(grams, min_words - seed_words + 1)
-    best = windows + reach.argmin(axis=1)[windows]
+    best = _first_least(grams, min_words - seed_words + 1)[windows]
     new = np.flatnonzero(np.concatenate([[True], (best[1:] != best[:-1]) | (windows[1:] != windows[:-1] + 1)]))
     return grams[best[new]], windows[new], np.diff(np.append(new, len(windows)))
 
 
-def segments(docs: DataFrame, min_words: int, seed_words: int) -> DataFrame:
-    """(anchor, context, key, lo, n): windows lo .. lo+n-1 of a document share an anchor."""
+def repeated_anchors(docs: DataFrame, min_words: int, seed_words: int) -> np.ndarray:
+    """A bitmap over anchor hashes, as bytes: set where an anchor stands at several places."""
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in blocks(batch.column("text"), "space"):
+                anchor, n = np.unique(_anchors(b, min_words, seed_words)[0], return_counts=True)
+                yield pa.RecordBatch.from_pydict({"anchor": anchor.view(np.int64), "n": n})
+
+    counted = docs.select("text").mapInArrow(count, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+    repeated = settled(counted.where("n > 1").select("anchor"))
+    bits = min(max(2**15, 1 << (32 * repeated.count()).bit_length()), BITMAP_BITS)
+    bit = F.pmod("anchor", F.lit(bits))
+    parts = repeated.select(bit.alias("bit")).groupBy(F.shiftright("bit", 15).alias("part")).agg(F.bitmap_construct_agg(F.col("bit") % 2**15).alias("map"))
+    out = np.zeros(bits // 8, dtype=np.uint8)
+    for row in parts.toLocalIterator():  # at most BITMAP_BITS in all
+        out[row["part"] * 4096 : (row["part"] + 1) * 4096] = np.frombuffer(row["map"], dtype=np.uint8)
+    return out
+
+
+def segments(docs: DataFrame, min_words: int, seed_words: int, bitmap: np.ndarray) -> DataFrame:
+    """(anchor, context, key, lo, n): windows lo .. lo+n-1 of a document share an anchor.
+
+    Segments whose anchor is not in the bitmap are left out.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
         for batch in batches:
             keys = batch.column("key").to_numpy()
             for b in blocks(batch.column("text"), "space"):
                 anchor, lo, n = _anchors(b, min_words, seed_words)
+                bit = anchor & np.uint64(8 * len(known) - 1)
+                on = (known[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                anchor, lo, n = anchor[on], lo[on], n[on]
                 text = b.text_of_word[lo]
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -92,7 +135,7 @@ def _windows(docs: DataFrame, min_words: int) -> DataFrame:
 
 def repeats(docs: DataFrame, min_words: int = MIN_WORDS, seed_words: int = SEED_WORDS) -> DataFrame:
     """(key, lo, hi): word ranges of ``keyed`` documents that also start earlier; they may overlap."""
-    seeds = segments(docs, min_words, seed_words)
+    seeds = segments(docs, min_words, seed_words, repeated_anchors(docs, min_words, seed_words))
     wordings = seeds.groupBy("anchor", "context").agg(F.min(F.struct("key", "lo", "n")).alias("first"), F.count("*").alias("copies"))
     contested = wordings.groupBy("anchor").agg(F.count("*").alias("wordings")).where("wordings > 1")
     parts = wordings.join(contested, "anchor", "left_semi").groupBy("first.key").agg(F.collect_list(F.struct("first.lo", "first.n")).alias("parts"))
