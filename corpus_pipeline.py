@@ -1,13 +1,63 @@
-"""Cleaning of a document table in stages, each one operator of ``tabforge.llm``."""
+"""Cleaning of a document table in stages, each one operator of ``tabforge.llm``.
+
+Every stage but the last takes the columns of documents and returns them. Rows that share an id
+are one document: decisions of the near-duplicate stage are made for documents, and of rows that
+share an id one goes on.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tabforge.llm.decontaminate import decontaminate
+from tabforge.llm.near_dedup import near_duplicates
+from tabforge.llm.packing import pack
+from tabforge.llm.secrets import find_secrets, redacted
+from tabforge.llm.tables import keyed_rows
+from tabforge.llm.toxicity import toxicity
 from tabforge.session import scratch_path
 
-STAGES = []
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents not predicted to be toxic; the model learns from the labels of the table."""
+    rated = toxicity(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return rated.where("predicted = 0").select(*COLUMNS)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the least id, of each class of near duplicates."""
+    kept = near_duplicates(docs).where("is_kept").select("key")
+    return keyed_rows(docs.select(*COLUMNS)).join(kept, "key", "left_semi").dropDuplicates(["key"]).select(*COLUMNS)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    hit = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("contaminated").select("key")
+    return keyed_rows(docs.select(*COLUMNS)).join(hit, "key", "left_anti").select(*COLUMNS)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, each secret replaced by its kind; n_chars counts the new text."""
+    out = redacted(find_secrets(docs.select(*COLUMNS)))
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The bin of every piece of every document."""
+    return pack(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("secret_scans", redact_secrets),
+    ("best_fit_packing", pack_sequences),
+]
 
+#: Learning, hashing and bin packing are no SQL; tests hold each stage against a plain version.
 ORACLE_SQL = None
 
 

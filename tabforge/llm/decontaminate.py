@@ -89,7 +89,7 @@ def decontaminate(
     window_words: int = WINDOW_WORDS,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """(doc_id, n_words, n_hit, items, contaminated): words inside windows, and whose windows.
+    """(key, doc_id, n_words, n_hit, items, contaminated): words inside windows, and whose windows.
 
     ``items`` holds the ids of the items with occurring windows, as strings in order; an item
     without an id counts for hits but is not named. Null or empty texts have no words, an item
@@ -111,6 +111,7 @@ def decontaminate(
     n_words = words.select("key", F.size("words").cast("long").alias("n_words"))
     out = n_words.join(hits.join(items, "key", "left"), "key", "left")
     return out.select(
+        "key",
         id_of("key").alias("doc_id"),
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),

@@ -206,7 +206,7 @@ def near_links(docs: DataFrame, table: DataFrame, similarity: float) -> tuple[Da
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, class_id, class_size, is_kept): the class of each document.
+    """(key, doc_id, class_id, class_size, is_kept): the class of each document, by its key of ``keyed``.
 
     A class is named by its least doc_id, which is kept. Equal texts are one class, empty and
     null ones too; a text without words is like equal texts only. Rows that share an id are one
@@ -221,5 +221,5 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     members = table.select("key", "t1", "t2").join(named, ["t1", "t2"]).groupBy("key").agg(F.min("component").alias("component"))
     sizes = members.groupBy("component").agg(F.count("*").alias("class_size"))
     return members.join(sizes, "component").select(
-        id_of("key").alias("doc_id"), id_of("component").alias("class_id"), "class_size", (F.col("key") == F.col("component")).alias("is_kept")
+        "key", id_of("key").alias("doc_id"), id_of("component").alias("class_id"), "class_size", (F.col("key") == F.col("component")).alias("is_kept")
     )

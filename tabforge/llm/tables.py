@@ -21,9 +21,17 @@ def keyed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     The key is the id. Rows without an id come before all others and are told apart by their
     texts. Rows that share an id are one document, so a repeated row changes nothing.
     """
-    text = text_of(text_col)
-    nameless = F.lit(-(2**63)) + F.xxhash64(text).bitwiseAND(F.lit(2**62 - 1))
-    return df.select(F.coalesce(F.col(id_col).cast("long"), nameless).alias("key"), text.alias("text"))
+    return df.select(_key(id_col, text_col).alias("key"), text_of(text_col).alias("text"))
+
+
+def keyed_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``df`` with the column key of ``keyed``."""
+    return df.withColumn("key", _key(id_col, text_col))
+
+
+def _key(id_col: str, text_col: str) -> Column:
+    nameless = F.lit(-(2**63)) + F.xxhash64(text_of(text_col)).bitwiseAND(F.lit(2**62 - 1))
+    return F.coalesce(F.col(id_col).cast("long"), nameless)
 
 
 def id_of(key: str) -> Column:
