@@ -32,14 +32,11 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER)), _BETWEEN_WORDS), "")
 
 
-def _shingles(df: DataFrame, sizes: list[int]) -> DataFrame:
-    """One row (..., at, shingle) for each shingle of column ``words`` in each of the sizes."""
+def _shingles(df: DataFrame, size: int) -> DataFrame:
+    """One row (..., at, shingle) for each shingle of ``size`` words in column ``words``."""
     n = F.size("words")
-    parts = []
-    for size in sizes:
-        at = df.withColumn("at", F.explode(F.when(n >= size, F.sequence(F.lit(0), n - size))))
-        parts.append(at.withColumn("shingle", F.xxhash64(F.lit(size), *[F.col("words")[F.col("at") + k] for k in range(size)])))
-    return reduce(DataFrame.union, parts)
+    at = df.withColumn("at", F.explode(F.when(n >= size, F.sequence(F.lit(0), n - size))))
+    return at.withColumn("shingle", F.xxhash64(F.lit(size), *[F.col("words")[F.col("at") + k] for k in range(size)]))
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str, window_words: int) -> DataFrame:
@@ -52,31 +49,41 @@ def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str, window_w
 
 
 def occurrences(docs: DataFrame, windows: DataFrame, shingle_words: int = SHINGLE_WORDS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """(key, start, n, window): all places of the windows (window, n, words) in documents (key, words)."""
+    """(key, start, n, window): all places of the windows (window, n, words) in documents (key, words).
+
+    Windows of fewer words than a shingle are shingles of their own size, so documents are read
+    once for each size there is. Words are compared in the row they come from, or, where there
+    are too many windows for a broadcast, after a second join; they are not carried otherwise.
+    """
     size = F.least(F.lit(shingle_words), F.col("n"))
-    sizes = [r["size"] for r in windows.select(size.alias("size")).distinct().collect()]  # at most shingle_words numbers
+    sizes = sorted(r["size"] for r in windows.select(size.alias("size")).distinct().collect())  # at most shingle_words numbers
     if not sizes:
-        return docs.select("key", F.lit(0).alias("start"), F.lit(0).alias("n"), F.lit("").alias("window")).limit(0)
-    own_size = [_shingles(windows.where(size == k), [k]).withColumn("size", F.lit(k)) for k in sizes]
-    tokens = settled(reduce(DataFrame.union, own_size).select("window", "n", "size", "at", "shingle"))
+        return windows.select(F.lit(0).cast("long").alias("key"), F.lit(0).alias("start"), "n", "window")
+    every = [_shingles(windows.where(size == k), k).withColumn("size", F.lit(k)) for k in sizes]
+    tokens = settled(reduce(DataFrame.union, every).select("window", "n", "size", "at", "shingle"))
     different = tokens.select("shingle").distinct()
     wanted = sized_broadcast(different, different.count(), broadcast_rows)
-    found = _shingles(docs, sizes).select("shingle").join(wanted, "shingle").groupBy("shingle").agg(F.count("*").alias("rarity"))
+    found = reduce(DataFrame.union, [_shingles(docs, k).select("shingle").join(wanted, "shingle") for k in sizes])
+    found = found.groupBy("shingle").agg(F.count("*").alias("rarity"))
     rated = tokens.join(found, "shingle").groupBy("window", "n", "size").agg(F.min(F.struct("rarity", "shingle", "at")).alias("t"), F.count("*").alias("held"))
-    prefixes = settled(rated.where(F.col("held") == F.col("n") - F.col("size") + 1).select("window", "n", "t.shingle", F.col("t.at").alias("offset")))
-    rows = prefixes.count()
-    places = _shingles(docs, sizes)
-    start = F.col("at") - F.col("offset")
-    fits = (start >= 0) & (start + F.col("n") <= F.col("n_words"))
-    same = F.slice("words", F.col("start") + 1, F.col("n")) == F.col("own")
+    whole = F.col("held") == F.col("n") - F.col("size") + 1
+    prefixes = settled(rated.where(whole).select("window", "n", "size", "t.shingle", F.col("t.at").alias("offset")))
     known = windows.select("window", F.col("words").alias("own"))
-    if rows <= broadcast_rows:
-        side = F.broadcast(prefixes.join(known, "window"))
-        met = places.withColumn("n_words", F.size("words")).join(side, "shingle").where(fits).withColumn("start", start).where(same)
-    else:
-        met = places.select("key", "at", "shingle", F.size("words").alias("n_words")).join(prefixes, "shingle").where(fits).withColumn("start", start)
-        met = met.select("key", "start", "n", "window").join(docs, "key").join(known, "window").where(same)
-    return met.select("key", "start", "n", "window")
+    fits = (F.col("at") >= F.col("offset")) & (F.col("at") - F.col("offset") + F.col("n") <= F.col("n_words"))
+    same = F.slice("words", F.col("start") + 1, F.col("n")) == F.col("own")
+    start = (F.col("at") - F.col("offset")).alias("start")
+    in_row = prefixes.count() <= broadcast_rows
+    parts = []
+    for k in sizes:
+        side = prefixes.where(F.col("size") == k)
+        places = _shingles(docs, k).withColumn("n_words", F.size("words"))
+        if in_row:
+            met = places.join(F.broadcast(side.join(known, "window")), "shingle").where(fits).select("key", "words", start, "n", "window", "own")
+            parts.append(met.where(same).select("key", "start", "n", "window"))
+        else:
+            parts.append(places.select("key", "at", "shingle", "n_words").join(side, "shingle").where(fits).select("key", start, "n", "window"))
+    met = reduce(DataFrame.union, parts)
+    return met if in_row else met.distinct().join(docs, "key").join(known, "window").where(same).select("key", "start", "n", "window")
 
 
 def decontaminate(
