@@ -134,13 +134,19 @@ def _windows(docs: DataFrame, min_words: int) -> DataFrame:
 
 
 def repeats(docs: DataFrame, min_words: int = MIN_WORDS, seed_words: int = SEED_WORDS) -> DataFrame:
-    """(key, lo, hi): word ranges of ``keyed`` documents that also start earlier; they may overlap."""
+    """(key, lo, hi): word ranges of ``keyed`` documents that also start earlier; they may overlap.
+
+    Earliest places are tables of their own, so that the joins with them are plain shuffles on
+    both sides and Spark can split a wording or window with very many places.
+    """
     seeds = segments(docs, min_words, seed_words, repeated_anchors(docs, min_words, seed_words))
     wordings = seeds.groupBy("anchor", "context").agg(F.min(F.struct("key", "lo", "n")).alias("first"), F.count("*").alias("copies"))
+    wordings = settled(wordings)
     contested = wordings.groupBy("anchor").agg(F.count("*").alias("wordings")).where("wordings > 1")
     parts = wordings.join(contested, "anchor", "left_semi").groupBy("first.key").agg(F.collect_list(F.struct("first.lo", "first.n")).alias("parts"))
-    single = _windows(docs.join(parts, "key"), min_words)
+    single = settled(_windows(docs.join(parts, "key"), min_words))
     earliest = single.groupBy("window").agg(F.min(F.struct("key", "start")).alias("first"), F.count("*").alias("places")).where("places > 1")
+    earliest = settled(earliest.select("window", "first"))
     whole = (
         seeds.join(wordings.where("copies > 1").select("anchor", "context", "first"), ["anchor", "context"])
         .where("struct(key, lo) > struct(first.key, first.lo)")
