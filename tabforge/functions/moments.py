@@ -35,3 +35,11 @@ def correlation(a: Column | str, b: Column | str) -> Column:
     x, y = _c(a).cast("double"), _c(b).cast("double")
     px, py = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(px) * F.stddev_pop(py))
+
+
+def exact_mean(c: Column | str, digits: int = 6) -> Column:
+    """Mean of values rounded to decimals, the same in whatever order they are summed.
+
+    For thresholds: a mean of doubles may differ in its last bit from run to run.
+    """
+    return F.sum(_c(c).cast(f"decimal(18,{digits})")).cast("double") / F.count(_c(c))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tabforge.functions.moments import exact_mean
 from tabforge.operators import clean, leaderboard, profile
 from tabforge.plans.catalog import query, table
 from tabforge.plans.inputs import READINGS_SQL, RUNS_SQL, readings, runs, with_sql
@@ -184,12 +185,12 @@ def flt_missing(spark, sf):
 
 @query(
     "flt_exists",
-    with_sql(RUNS_SQL, "SELECT model, normalization, accuracy FROM runs WHERE accuracy < (SELECT avg(accuracy) FROM runs)"),
+    with_sql(RUNS_SQL, "SELECT model, normalization, accuracy FROM runs WHERE accuracy < (SELECT CAST(sum(CAST(accuracy AS DECIMAL(18, 6))) AS DOUBLE) / count(*) FROM runs)"),
 )
 def flt_exists(spark, sf):
     """Runs not registered yet; here the registry holds those at or above the mean accuracy."""
     new = runs(spark, sf).select("model", "normalization", "accuracy")
-    mean = new.agg(F.avg("accuracy").alias("m")).scalar()
+    mean = new.agg(exact_mean("accuracy").alias("m")).scalar()
     registered = new.where(F.col("accuracy") >= mean).select("model", "normalization")
     return leaderboard.unregistered(new, registered, ["model", "normalization"])
 

@@ -10,6 +10,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
+from tabforge.functions.moments import exact_mean
 from tabforge.functions.rng import uniform, uniform_sql
 from tabforge.operators import ensemble, experiments, impute, leaderboard, metrics, mice, models, outliers, serve, split
 from tabforge.operators.encode import ColumnScaler
@@ -576,7 +577,7 @@ def rg_best(spark, sf):
     "rg_gate",
     with_sql(
         RUNS_SQL
-        + """, p AS (SELECT max(roc_auc) - 0.002e0 AS best_auc, max(accuracy) - 0.002e0 AS best_accuracy, avg(training_time_s) AS best_drift FROM runs)""",
+        + """, p AS (SELECT max(roc_auc) - 0.002e0 AS best_auc, max(accuracy) - 0.002e0 AS best_accuracy, CAST(sum(CAST(training_time_s AS DECIMAL(18, 6))) AS DOUBLE) / count(*) AS best_drift FROM runs)""",
         """SELECT model, normalization, CAST(roc_auc > best_auc OR accuracy > best_accuracy OR (training_time_s < best_drift AND roc_auc >= best_auc * 0.995) AS INTEGER) AS save,
         concat_ws(',', CASE WHEN roc_auc > best_auc THEN 'auc' END, CASE WHEN accuracy > best_accuracy THEN 'accuracy' END, CASE WHEN training_time_s < best_drift THEN 'drift' END) AS reasons FROM runs, p""",
     ),
@@ -584,7 +585,7 @@ def rg_best(spark, sf):
 def rg_gate(spark, sf):
     r = runs(spark, sf)
     previous = r.agg(
-        (F.max("roc_auc") - 0.002).alias("best_auc"), (F.max("accuracy") - 0.002).alias("best_accuracy"), F.avg("training_time_s").alias("best_drift")
+        (F.max("roc_auc") - 0.002).alias("best_auc"), (F.max("accuracy") - 0.002).alias("best_accuracy"), exact_mean("training_time_s").alias("best_drift")
     )
     out = leaderboard.gate(r, previous, "roc_auc", "accuracy", "training_time_s")
     return out.select("model", "normalization", "save", "reasons")
