@@ -1,23 +1,28 @@
 """Exact k-nearest-neighbour join on numeric vectors with missing cells.
 
 Distance between rows that share some observed features is the Minkowski sum over
-the shared ones, scaled up by (all features / shared features). There is no index
-for that distance as a whole, but between two fixed missing patterns it is an
-ordinary norm, which gives exact bounds:
-
-1. Donors are put into cells: missing pattern x quantile grid over the features of
-   largest spread. A cell keeps its row count and bounding box. The number of
-   cells is limited, so the table of boxes is a few MB whatever the data size.
-2. For every query the boxes and a small donor sample give a radius that surely
-   holds k donors; cells that do not reach into it are skipped.
-3. Queries and donors are packed into blocks of bounded size per cell and joined on
-   the cell. A task sees one pair of blocks at a time, measures it in numpy and
-   emits at most k rows per query; pairs are never written out.
-4. The per-block winners are merged by a grouped rank.
-
-A cell that holds a third of all rows is simply many blocks. If the donors are few
-(checked, not assumed) steps 1-4 collapse to one map over the queries with the
-donor matrix broadcast.
+the shared ones, scaled up by (all features / shared features). For a group of donors
+it is bounded from below by what the features observed in the whole group contribute,
+scaled by the most features that a row of the group can share:
+
+1. Donors are put into cells of a quantile grid over the features of largest spread; a
+   missing value is a bin of its own. A cell keeps its row count and bounding box, the
+   features observed in all and in any of its rows. The number of cells grows with the
+   donors, up to a table of boxes of ``BOX_BYTES``; neighbouring cells share a larger box.
+2. Equal query rows are searched once.
+3. Each query first meets its home cells only, the nearest ones that hold enough donors.
+   The k-th nearest found there is its radius; then it meets the cells that reach into
+   that radius and no others.
+4. Queries and donors are packed into blocks of bounded size per cell; pairs of blocks
+   are joined on cell and both block numbers, so no cell is a hot key. A task sees one
+   pair of blocks at a time, measures it in numpy and emits at most k rows per query.
+5. The per-block winners are merged by a grouped rank.
+
+On few features the work per query is then a few cells, whatever the number of donors.
+On wide dense vectors the boxes of a few features bound little, and most cells are met:
+exact search has no better general bound there. If the donors are few (checked, not
+assumed) all this collapses to one map over the queries with the donor matrix broadcast;
+results are the same.
 """
 
 from __future__ import annotations
@@ -33,13 +38,15 @@ from tabforge.session import cut_lineage, spread
 
 BROADCAST_BYTES = 16 * 1024 * 1024
 BROADCAST_ROWS = 20_000
-MAX_CELLS = 4096
+BOX_BYTES = 64 * 1024 * 1024
+MAX_CELLS = 65_536
+AXES = 5
 ROWS_PER_CELL = 64
 BLOCK_ROWS = 1024
-MAX_PATTERNS = 64
-SAMPLE_ROWS = 8192
+CELLS_PER_GROUP = 64
 _SPLIT_BYTES = 8 * 1024  # each query row is dear, so even small tables are spread out
 _CHUNK = 200_000  # matrix cells worked on at once, so that they stay in cache
+_ROUTE_ROWS = 512  # queries whose bounds are held at once
 PLAIN = -1  # target index of an ordinary search
 
 EDGE_SCHEMA = "query_id long, target int, donor_id long, power double, value double, place int"
@@ -162,145 +169,135 @@ def _floats(arr: pa.Array) -> np.ndarray:
 
 
 @dataclass
-class _Cells:
-    """Boxes of all donor cells and a few of their rows: all that is broadcast at scale."""
+class _Boxes:
+    """Boxes of cells, and of groups of neighbouring cells: all that is broadcast at scale."""
 
-    count: np.ndarray
+    count: np.ndarray  # (cells, features): rows that have the feature
     low: np.ndarray
     high: np.ndarray
-    present: np.ndarray  # feature observed in the whole cell
-    mixed: np.ndarray  # rare patterns share a cell: no bound is known
-    sample_id: np.ndarray  # some donors of every cell
-    sample: np.ndarray
-
-    def reach(self, q: np.ndarray, p: float) -> tuple[np.ndarray, np.ndarray]:
-        """Lower and upper bound of the distance power from each query to each cell."""
-        n, width = q.shape
-        lower, upper = np.zeros((n, len(self.count))), np.zeros((n, len(self.count)))
-        shared = np.zeros((n, len(self.count)))
+    every: np.ndarray  # feature observed in the whole cell
+    some: np.ndarray  # feature observed somewhere in it
+
+    def grouped(self) -> _Boxes:
+        first = np.arange(0, len(self.low), CELLS_PER_GROUP)
+        return _Boxes(
+            np.add.reduceat(self.count, first),
+            np.minimum.reduceat(np.where(self.some, self.low, np.inf), first),
+            np.maximum.reduceat(np.where(self.some, self.high, -np.inf), first),
+            np.logical_and.reduceat(self.every, first),
+            np.logical_or.reduceat(self.some, first),
+        )
+
+    def lower(self, q: np.ndarray, p: float, cells: np.ndarray) -> np.ndarray:
+        """Lower bound of the distance power from each query to each of the cells; inf where nothing is shared."""
+        width = q.shape[1]
+        total, shared = np.zeros((len(q), len(cells))), np.zeros((len(q), len(cells)))
         for j in range(width):
             x = q[:, j, None]
-            ok = self.present[None, :, j] & ~np.isnan(x)
-            below, above = self.low[None, :, j] - x, x - self.high[None, :, j]
-            near = np.maximum(0.0, np.maximum(below, above))
-            far = np.maximum(np.abs(below), np.abs(above))
-            lower += np.where(ok, near**p, 0.0)
-            upper += np.where(ok, far**p, 0.0)
-            shared += ok
+            seen = ~np.isnan(x)
+            near = np.maximum(0.0, np.maximum(self.low[None, cells, j] - x, x - self.high[None, cells, j]))
+            total += np.where(self.every[None, cells, j] & seen, near**p, 0.0)
+            shared += self.some[None, cells, j] & seen
         with np.errstate(divide="ignore", invalid="ignore"):
-            scale = np.where(shared > 0, width / shared, np.inf)
-            lower = np.where(shared > 0, lower * scale, np.inf) * (1 - 1e-9)
-            upper = np.where(shared > 0, upper * scale, np.inf) * (1 + 1e-9)
-        lower[:, self.mixed], upper[:, self.mixed] = 0.0, np.inf
-        return lower, upper
-
-    def radius(self, upper: np.ndarray, to_sample: np.ndarray, k: int, t: int, skip_self: bool):
-        """(power, donor id) that the k-th nearest donor surely does not exceed.
-
-        The smaller of two bounds: boxes that lie wholly within a power hold k donors,
-        and the k-th nearest sampled donor. The id matters where many donors tie.
-        """
-        usable = ~self.mixed if t == PLAIN else (self.present[:, t] & ~self.mixed)
-        power, last_id = np.full(len(upper), np.inf), np.full(len(upper), np.iinfo(np.int64).max)
-        if usable.any():
-            order = np.argsort(upper[:, usable], axis=1)
-            far = np.take_along_axis(upper[:, usable], order, axis=1)
-            enough = np.cumsum(self.count[usable][order], axis=1) >= (k + 1 if skip_self else k)
-            sure = enough.any(axis=1)
-            power[sure] = far[sure, enough.argmax(axis=1)[sure]]
-        pick = np.arange(len(self.sample)) if t == PLAIN else np.nonzero(~np.isnan(self.sample[:, t]))[0]
-        if len(pick) > k:
-            rows, cols, dist, place = _smallest(to_sample if t == PLAIN else to_sample[:, pick], k)
-            last = place == k
-            at, near, near_id = rows[last], dist[last], self.sample_id[pick][cols[last]]
-            better = near <= power[at]
-            power[at[better]], last_id[at[better]] = near[better], near_id[better]
-        return power, last_id
-
-    def candidates(self, ids, q: np.ndarray, k: int, p: float, targets: Sequence[int], skip_self: bool):
-        """(query, cell) flags of cells that may hold one of the k nearest, and the radius per target."""
-        lower, upper = self.reach(q, p)
-        to_sample = _power_distances(q, self.sample, p)
-        if skip_self:
-            to_sample[ids[:, None] == self.sample_id[None, :]] = np.inf
-        chosen = np.zeros(lower.shape, dtype=bool)
-        power = np.full((len(q), len(targets)), -1.0)
-        last_id = np.zeros((len(q), len(targets)), dtype=np.int64)
-        for i, t in enumerate(targets):
-            asks = np.ones(len(q), dtype=bool) if t == PLAIN else np.isnan(q[:, t])
-            if not asks.any():
-                continue
-            power[asks, i], last_id[asks, i] = self.radius(upper[asks], to_sample[asks], k, t, skip_self)
-            holds = np.ones(len(self.count), dtype=bool) if t == PLAIN else (self.present[:, t] | self.mixed)
-            chosen |= (lower <= power[:, i, None]) & np.isfinite(lower) & holds[None, :] & asks[:, None]
-        return chosen, power, last_id
-
-
-def _pattern(v: str) -> Column:
-    return F.array_join(F.transform(F.col(v), lambda x: F.when(x.isNull(), F.lit("0")).otherwise(F.lit("1"))), "")
+            return np.where(shared > 0, total * (width / shared) * (1 - 1e-9), np.inf)
 
 
-def _build_cells(donors: DataFrame, width: int, n: int, spread: list[float], max_cells: int, rows_per_cell: int):
-    """Return the donors marked with a cell key, and the boxes."""
-    patterns = (
-        donors.groupBy(_pattern("v").alias("pattern"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.col("n").desc(), "pattern")
-        .limit(MAX_PATTERNS)
-        .collect()
-    )
-    known = [r["pattern"] for r in patterns]
-    per_pattern = max(1, min(max_cells, -(-n // rows_per_cell)) // max(1, len(known)))
-    axes = [j for j in np.argsort(-np.nan_to_num(np.array(spread)), kind="stable") if spread[j]][:3]
-    steps = int(max(1, round(per_pattern ** (1.0 / max(1, len(axes))))))
-    marked = donors.withColumn("pattern", _pattern("v"))
-    key = [F.when(F.col("pattern").isin(known), F.col("pattern")).otherwise(F.lit("*"))]
-    if steps > 1 and axes:
-        cuts = [i / steps for i in range(1, steps)]
-        row = donors.agg(
-            *[
-                F.percentile_approx(F.get("v", F.lit(int(j))), F.array(*[F.lit(c) for c in cuts]), F.lit(2000)).alias(f"e{j}")
-                for j in axes
-            ]
-        ).first()
+def _home(boxes: _Boxes, groups: _Boxes, q: np.ndarray, k: int, p: float, targets: Sequence[int]) -> list[np.ndarray]:
+    """For each query the nearest cells that hold twice the donors asked for, per target."""
+    far = groups.lower(q, p, np.arange(len(groups.low)))
+    out = []
+    for i in range(len(q)):
+        chosen: set[int] = set()
+        order = np.argsort(far[i], kind="stable")
+        order = order[np.isfinite(far[i][order])]
+        for t in targets:
+            if t != PLAIN and not np.isnan(q[i, t]):
+                continue
+            have = groups.count[order].max(axis=1) if t == PLAIN else groups.count[order, t]
+            some = order[: int(np.searchsorted(np.cumsum(have), 4 * k)) + 1]
+            cells = (some[:, None] * CELLS_PER_GROUP + np.arange(CELLS_PER_GROUP)).ravel()
+            cells = cells[cells < len(boxes.low)]
+            near = boxes.lower(q[i : i + 1], p, cells)[0]
+            cells = cells[np.argsort(near, kind="stable")]
+            cells = cells[: int(np.isfinite(near).sum())]
+            have = boxes.count[cells].max(axis=1) if t == PLAIN else boxes.count[cells, t]
+            cells, have = cells[have > 0], have[have > 0]
+            chosen.update(cells[: int(np.searchsorted(np.cumsum(have), 2 * k)) + 1].tolist())
+        out.append(np.array(sorted(chosen), dtype=np.int32))
+    return out
+
+
+def _reached(boxes: _Boxes, groups: _Boxes, q: np.ndarray, power: np.ndarray, p: float, targets: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(query, cell) pairs of the cells that reach into a query's radius and hold a target it asks for."""
+
+    def inside(table: _Boxes, rows: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        near = table.lower(q[rows], p, cells)
+        out = np.zeros(near.shape, dtype=bool)
+        for i, t in enumerate(targets):
+            holds = np.ones(len(cells), dtype=bool) if t == PLAIN else table.some[cells, t]
+            out |= (near <= power[rows, i, None]) & np.isfinite(near) & holds[None, :]
+        return out
+
+    found_q, found_c = [], []
+    which, group = np.nonzero(inside(groups, np.arange(len(q)), np.arange(len(groups.low))))
+    for g in np.unique(group):
+        rows = which[group == g]
+        cells = np.arange(g * CELLS_PER_GROUP, min((g + 1) * CELLS_PER_GROUP, len(boxes.low)))
+        a, b = np.nonzero(inside(boxes, rows, cells))
+        found_q.append(rows[a])
+        found_c.append(cells[b])
+    if not found_q:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
+    return np.concatenate(found_q), np.concatenate(found_c).astype(np.int32)
+
+
+def _build_cells(donors: DataFrame, width: int, n: int, weight: list[float], max_cells: int, rows_per_cell: int):
+    """The donors marked with a cell number, the boxes and the number of rows of each cell."""
+    most = max(1, min(max_cells, BOX_BYTES // (width * 26)))
+    wanted = max(1, min(most, -(-n // rows_per_cell)))
+    axes = [int(j) for j in np.argsort(-np.array(weight), kind="stable") if weight[j]][:AXES]
+    steps = int(max(1, round(wanted ** (1.0 / max(1, len(axes))))))
+    key = [F.lit("")]
+    if steps > 1:
+        cuts = F.array(*[F.lit(i / steps) for i in range(1, steps)])
+        row = donors.agg(*[F.percentile_approx(F.get("v", F.lit(j)), cuts, F.lit(2000)).alias(f"e{j}") for j in axes]).first()
         for j in axes:
             edges = F.array(*[F.lit(float(e)) for e in sorted(set(row[f"e{j}"] or []))]).cast("array<double>")
-            x = F.get("v", F.lit(int(j)))
-            key.append(F.when(x.isNull(), F.lit(-1)).otherwise(F.size(F.filter(edges, lambda e: e <= x))).cast("string"))
-    grid_key = F.concat_ws(":", *key)
-    marked = marked.withColumn("cell_key", F.when(key[0] == "*", F.lit("*")).otherwise(grid_key)).drop("pattern")
+            x = F.get("v", F.lit(j))
+            key.append(F.when(x.isNull(), F.lit("-")).otherwise(F.lpad(F.size(F.filter(edges, lambda e: e <= x)).cast("string"), 6, "0")))
+    marked = donors.withColumn("cell_key", F.concat_ws(":", *key))
+    x = [F.get("v", F.lit(j)) for j in range(width)]
     boxes = marked.groupBy("cell_key").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.min(F.get("v", F.lit(j))).alias(f"lo{j}") for j in range(width)],
-        *[F.max(F.get("v", F.lit(j))).alias(f"hi{j}") for j in range(width)],
+        F.count(F.lit(1)).alias("n"), F.array(*[F.count(c) for c in x]).alias("has"), F.array(*[F.min(c) for c in x]).alias("lo"), F.array(*[F.max(c) for c in x]).alias("hi")
     )
-    rows = boxes.orderBy("cell_key").collect()
-
-    def bound(name: str) -> np.ndarray:
-        return np.array([[np.nan if r[f"{name}{j}"] is None else r[f"{name}{j}"] for j in range(width)] for r in rows], dtype=float)
-
-    low, high = bound("lo"), bound("hi")
-    mixed = np.array([r["cell_key"] == "*" for r in rows])
-    present = ~np.isnan(low) & ~mixed[:, None]
-    # Any rows may serve as the sample: a different one changes the pruning, never the result.
-    share = min(1.0, SAMPLE_ROWS / max(n, 1))
-    taken = donors.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000)).limit(2 * SAMPLE_ROWS).toArrow().sort_by("id")
-    flat = taken.column("v").combine_chunks()
-    sample = _floats(flat.flatten()).reshape(-1, width) if taken.num_rows else np.empty((0, width))
-    cells = _Cells(
-        np.array([r["n"] for r in rows], dtype=np.int64), np.nan_to_num(low), np.nan_to_num(high), present, mixed,
-        taken.column("id").to_numpy(), sample,
-    )
-    return marked, cells, [r["cell_key"] for r in rows]
+    rows = boxes.toArrow().sort_by("cell_key")  # as many as the limits above allow
+
+    def matrix(name: str) -> np.ndarray:
+        return _floats(rows.column(name).combine_chunks().flatten()).reshape(-1, width)
+
+    size, has = rows.column("n").to_numpy(), matrix("has")
+    table = _Boxes(has, np.nan_to_num(matrix("lo")), np.nan_to_num(matrix("hi")), has == size[:, None], has > 0)
+    spark = donors.sparkSession
+    numbers = [(key, i, int(c)) for i, (key, c) in enumerate(zip(rows.column("cell_key").to_pylist(), size))]
+    cells = spark.createDataFrame(numbers, "cell_key string, cell int, n long")
+    return marked.join(F.broadcast(cells.drop("n")), "cell_key").drop("cell_key"), table, cells.drop("cell_key")
 
 
-def _pack(df: DataFrame, sizes: DataFrame, block_rows: int, prefix: str, extra: dict[str, Column]) -> DataFrame:
-    """Blocks of about ``block_rows`` rows per cell; ``sizes`` has one row per cell."""
-    salted = df.join(F.broadcast(sizes), "cell")
-    block = F.pmod(F.xxhash64("id"), F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(block_rows))).cast("long"))
-    aggs = [F.collect_list("id").alias(f"{prefix}_id"), F.flatten(F.collect_list("v")).alias(f"{prefix}_v")]
-    aggs += [e.alias(f"{prefix}_{name}") for name, e in extra.items()]
-    return salted.groupBy("cell", block.alias(f"{prefix}_block")).agg(*aggs)
+def _pack(df: DataFrame, own: DataFrame, other: DataFrame, block_rows: int, prefix: str, columns: Sequence[str]) -> DataFrame:
+    """Blocks of about ``block_rows`` rows per cell, one copy for each block of the other side.
+
+    ``own`` and ``other`` have one row (cell, n) per cell.
+    """
+
+    def blocks(n: str) -> Column:
+        return F.greatest(F.lit(1), F.ceil(F.col(n) / F.lit(block_rows))).cast("int")
+
+    there = "d_block" if prefix == "q" else "q_block"
+    sizes = own.select("cell", blocks("n").alias("own_blocks")).join(other.select("cell", blocks("n").alias("other_blocks")), "cell")
+    salted = df.join(F.broadcast(sizes), "cell").withColumn(f"{prefix}_block", F.pmod(F.xxhash64("id"), F.col("own_blocks")).cast("int"))
+    aggs = [F.collect_list("id").alias(f"{prefix}_id"), *[F.flatten(F.collect_list(c)).alias(f"{prefix}_{c}") for c in columns]]
+    packed = salted.groupBy("cell", f"{prefix}_block").agg(F.max("other_blocks").alias("other_blocks"), *aggs)
+    return packed.withColumn(there, F.explode(F.sequence(F.lit(0), F.col("other_blocks") - 1))).drop("other_blocks")
 
 
 # ---- public ----------------------------------------------------------------
@@ -347,13 +344,54 @@ def knn_edges(
     d = donors.select(
         F.col(donor_id).cast("long").alias("id"), donor_vector.alias("v"), F.coalesce(payload, F.lit(float("nan"))).alias("value")
     )
-    stats = d.agg(F.count(F.lit(1)).alias("n"), *[F.stddev_pop(F.get("v", F.lit(j))).alias(f"s{j}") for j in range(width)]).first()
+    x = [F.get("v", F.lit(j)) for j in range(width)]
+    stats = d.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[f(c).alias(f"{name}{j}") for j, c in enumerate(x) for name, f in (("s", F.stddev_pop), ("c", F.count))],
+    ).first()
     n = stats["n"]
     if n <= broadcast_rows and n * (width + 2) * 8 <= BROADCAST_BYTES:
         return _small_search(q, d, width, k, p, wanted, skip_self)
-    spread_of = [stats[f"s{j}"] or 0.0 for j in range(width)]
-    marked, cells, keys = _build_cells(d, width, n, spread_of, max_cells, rows_per_cell)
-    return _cell_search(q, marked, cells, keys, width, k, p, wanted, skip_self, block_rows)
+    weight = [(stats[f"s{j}"] or 0.0) * stats[f"c{j}"] for j in range(width)]
+    marked, boxes, cells = _build_cells(d, width, n, weight, max_cells, rows_per_cell)
+    marked = cut_lineage(marked.withColumn("value", F.array("value")))
+    members = cut_lineage(q.withColumn("code", F.xxhash64("v")))
+    distinct = cut_lineage(members.groupBy("code", "v").agg(F.min("id").alias("id")))
+    more = k + 1 if skip_self else k  # an own row is found too, and dropped at the end
+    tables = q.sparkSession.sparkContext.broadcast(astuple(boxes))
+
+    def home(ids: np.ndarray, vectors: np.ndarray, _: np.ndarray):
+        table = _Boxes(*tables.value)
+        cells_of = _home(table, table.grouped(), vectors, more, p, wanted)
+        rows = np.repeat(np.arange(len(ids)), [len(c) for c in cells_of])
+        return rows, np.concatenate(cells_of) if cells_of else np.zeros(0, dtype=np.int32)
+
+    def reached(ids: np.ndarray, vectors: np.ndarray, power: np.ndarray):
+        table = _Boxes(*tables.value)
+        return _reached(table, table.grouped(), vectors, power, p, wanted)
+
+    args = (marked, cells, width, more, p, wanted, block_rows)
+    near = _met(distinct.withColumns(_radius(wanted)).drop("code"), home, *args)
+    last = near.where(F.col("place") == more).groupBy("query_id").agg(F.map_from_entries(F.collect_list(F.struct("target", F.struct("power", "donor_id")))).alias("last"))
+    asked = distinct.drop("code").join(last.withColumnRenamed("query_id", "id"), "id", "left")
+    edges = _met(asked.withColumns(_radius(wanted, "last")).drop("last"), reached, *args)
+    copies = members.join(distinct.withColumnRenamed("id", "query_id"), ["code", "v"]).select("id", "query_id")
+    if not skip_self:
+        return edges.join(copies, "query_id").select(F.col("id").alias("query_id"), "target", "donor_id", "power", "value", "place")
+    every = edges.join(copies, "query_id").where("id <> donor_id").select(F.col("id").alias("query_id"), "target", "donor_id", "power", "value")
+    return _placed(every, k)
+
+
+def _radius(targets: Sequence[int], last: str | None = None) -> dict[str, Column]:
+    """Per target the power, and the donor id among equals, of the k-th nearest so far; without one, no limit."""
+    no_power, no_id = F.lit(float("inf")), F.lit(2**63 - 1)
+    power, last_id = [], []
+    for t in targets:
+        asks = F.lit(True) if t == PLAIN else F.get("v", F.lit(t)).isNull()
+        found = F.try_element_at(F.col(last), F.lit(t)) if last else None
+        power.append(F.when(asks, F.coalesce(found["power"], no_power) if last else no_power).otherwise(F.lit(-1.0)))
+        last_id.append(F.coalesce(found["donor_id"], no_id) if last else no_id)
+    return {"power": F.array(*power), "last_id": F.array(*last_id)}
 
 
 def _small_search(q: DataFrame, d: DataFrame, width: int, k: int, p: float, targets: list[int], skip_self: bool) -> DataFrame:
@@ -374,38 +412,31 @@ def _small_search(q: DataFrame, d: DataFrame, width: int, k: int, p: float, targ
     return spread(q, _SPLIT_BYTES).mapInArrow(search, EDGE_SCHEMA)
 
 
-def _cell_search(q, marked, cells, keys, width, k, p, targets, skip_self, block_rows) -> DataFrame:
-    spark = q.sparkSession
-    boxes = spark.sparkContext.broadcast(astuple(cells))
-    asked = len(targets)
+def _met(queries: DataFrame, choose, marked: DataFrame, cells: DataFrame, width: int, k: int, p: float, targets: Sequence[int], block_rows: int) -> DataFrame:
+    """Edges of the queries (id, v, power, last_id) to the donors of the cells that ``choose`` picks."""
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _Cells(*boxes.value)
-        step = max(1, _CHUNK // max(1, len(table.count) + len(table.sample)))
-        for b in batches:
-            ids = b.column("id").to_numpy()
-            vectors = _floats(b.column("v").flatten()).reshape(-1, width)
-            found = []
-            for s in range(0, len(ids), step):
-                chosen, power, last_id = table.candidates(ids[s : s + step], vectors[s : s + step], k, p, targets, skip_self)
-                rows, cols = np.nonzero(chosen)
-                found.append((rows + s, cols.astype(np.int32), power[rows], last_id[rows]))
-            if found:
-                rows, cols, power, last_id = (np.concatenate(c) for c in zip(*found))
+        for whole in batches:
+            for s in range(0, whole.num_rows, _ROUTE_ROWS):
+                b = whole.slice(s, _ROUTE_ROWS)
+                ids = b.column("id").to_numpy()
+                vectors = _floats(b.column("v").flatten()).reshape(-1, width)
+                power = _floats(b.column("power").flatten()).reshape(-1, len(targets))
+                rows, found = choose(ids, vectors, power)
+                last_id = b.column("last_id").flatten().to_numpy().reshape(-1, len(targets))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[rows]), _lists(vectors[rows]), _lists(power), _lists(last_id), pa.array(cols)],
+                    [pa.array(ids[rows]), _lists(vectors[rows]), _lists(power[rows]), _lists(last_id[rows]), pa.array(found.astype(np.int32))],
                     names=["id", "v", "power", "last_id", "cell"],
                 )
 
-    routed = cut_lineage(spread(q, _SPLIT_BYTES).mapInArrow(route, "id long, v array<double>, power array<double>, last_id array<long>, cell int"))
-    routed_sizes = routed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-    cell_rows = [(key, i, int(cells.count[i])) for i, key in enumerate(keys)]
-    cell_table = spark.createDataFrame(cell_rows, "cell_key string, cell int, n long")
-    numbered = marked.join(F.broadcast(cell_table.select("cell_key", "cell")), "cell_key").drop("cell_key")
-    donor_blocks = _pack(numbered, cell_table.select("cell", "n"), block_rows, "d", {"value": F.collect_list("value")})
-    query_blocks = _pack(routed, routed_sizes, block_rows, "q", {c: F.flatten(F.collect_list(c)) for c in ("power", "last_id")})
+    plain = queries.select("id", "v", "power", "last_id")
+    routed = cut_lineage(spread(plain, _SPLIT_BYTES).mapInArrow(route, "id long, v array<double>, power array<double>, last_id array<long>, cell int"))
+    visits = routed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    visits = cut_lineage(visits)  # one row per cell
+    donor_blocks = _pack(marked, cells, visits, block_rows, "d", ("v", "value"))
+    query_blocks = _pack(routed, visits, cells, block_rows, "q", ("v", "power", "last_id"))
     parts = ("q_id", "q_v", "q_power", "q_last_id", "d_id", "d_v", "d_value")
-    met = query_blocks.join(donor_blocks, "cell").select(*parts)
+    met = query_blocks.join(donor_blocks, ["cell", "q_block", "d_block"]).select(*parts)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -422,8 +453,8 @@ def _cell_search(q, marked, cells, keys, width, k, p, targets, skip_self, block_
                     k,
                     p,
                     targets,
-                    skip_self,
-                    (_floats(part["q_power"]).reshape(-1, asked), part["q_last_id"].to_numpy().reshape(-1, asked)),
+                    False,
+                    (_floats(part["q_power"]).reshape(-1, len(targets)), part["q_last_id"].to_numpy().reshape(-1, len(targets))),
                 )
 
     return _placed(met.mapInArrow(measure, EDGE_SCHEMA), k)

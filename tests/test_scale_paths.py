@@ -63,8 +63,7 @@ def test_small_and_cell_search_fill_alike(spark):
         assert small[i] == pytest.approx(cells[i])
 
 
-def test_many_patterns_share_a_mixed_cell(spark, monkeypatch):
-    monkeypatch.setattr(knn, "MAX_PATTERNS", 2)
+def test_many_missing_patterns(spark):
     rng = np.random.default_rng(6)
     x = rng.integers(0, 40, (150, 4)).astype(float)
     x[rng.random(x.shape) < 0.4] = np.nan
@@ -77,6 +76,43 @@ def test_many_patterns_share_a_mixed_cell(spark, monkeypatch):
     assert found == {i: v for i, v in _brute(x, 3).items() if v}
 
 
+SCALE_PATH = "im_knn_uniform im_knn_dist jn_knn im_joint md_knn out_lof im_hybrid_thresh".split()
+
+
+@pytest.mark.parametrize("name", SCALE_PATH)
+def test_neighbour_queries_match_sql_on_the_cell_path(spark, monkeypatch, name):
+    import duckdb
+
+    import __spark_entry__ as entry
+    from tools.check import TABLES, compare
+
+    monkeypatch.setitem(knn.knn_edges.__kwdefaults__, "broadcast_rows", 0)
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.001/{t}.parquet'")
+    assert compare(entry.queries()[name](spark, "/root/testdata/sf0.001"), con, entry.oracle_sql()[name]) == ""
+
+
+def test_donors_met_per_query_hardly_grow_with_the_donors(spark):
+    """Exact radii, so what is counted is what the second pass measures."""
+    met = {}
+    for n in (2_000, 20_000):
+        rng = np.random.default_rng(4)
+        x = rng.normal(0, 1, (n, 3))
+        x[rng.random(x.shape) < 0.15] = np.nan
+        x[np.isnan(x).all(axis=1), 0] = 0.0
+        rows = [(i, [None if np.isnan(v) else float(v) for v in r], None) for i, r in enumerate(x)]
+        donors = spark.createDataFrame(rows, "id long, v array<double>, value double")
+        _, boxes, cells = knn._build_cells(donors, 3, n, [1.0] * 3, knn.MAX_CELLS, 32)
+        size = np.array([r.n for r in cells.orderBy("cell").collect()])
+        queries = rng.normal(0, 1, (100, 3))
+        power = np.sort(knn._power_distances(queries, x, 2.0), axis=1)[:, 4:5]
+        _, reached = knn._reached(boxes, boxes.grouped(), queries, power, 2.0, [knn.PLAIN])
+        met[n] = size[reached].sum() / len(queries)
+        assert met[n] < 0.25 * n
+    assert met[20_000] < 4 * met[2_000]
+
+
 def test_quantile_narrowing_is_exact(spark):
     rng = np.random.default_rng(1)
     values = np.concatenate([rng.normal(0, 1, 6000), np.full(3000, 0.25), rng.exponential(5, 3000)])
