@@ -233,16 +233,19 @@ def test_chain_from_products_equals_chain_on_rows(spark, monkeypatch, jvm_width)
     assert np.abs(got - full)[np.isnan(x)].mean() < np.abs(np.nanmean(x, axis=0) - full)[np.isnan(x)].mean()
 
 
-def test_chain_by_scans_when_patterns_are_many(spark, monkeypatch):
+@pytest.mark.parametrize("order", ["sequential", "simultaneous"])
+def test_chain_by_scans_when_patterns_are_many(spark, monkeypatch, order):
     x, full = _gappy(1)
     df = _frame(spark, x)
     cols = [f"f{j}" for j in range(x.shape[1])]
-    at_once = ChainedLinearImputer(inputCols=cols, maxRounds=3, tol=0.0, order="simultaneous").fit(df)
-    monkeypatch.setattr(mice, "pattern_products", lambda *a: None)
-    scanned = ChainedLinearImputer(inputCols=cols, maxRounds=3, tol=0.0).fit(df)
-    a = [tuple(r) for r in at_once.transform(df).orderBy("row_id").collect()]
-    b = [tuple(r) for r in scanned.transform(df).orderBy("row_id").collect()]
-    assert np.array(a, dtype=float) == pytest.approx(np.array(b, dtype=float), abs=1e-8)
+    fitted = ChainedLinearImputer(inputCols=cols, maxRounds=3, tol=0.0, order=order).fit(df)
+    monkeypatch.setattr(mice, "_JVM_WIDTH", 1)
+    monkeypatch.setattr(mice, "MAX_PRODUCTS", 1)
+    scanned = ChainedLinearImputer(inputCols=cols, maxRounds=3, tol=0.0, order=order).fit(df)
+    a, b = (np.array([tuple(r)[1:] for r in m.transform(df).orderBy("row_id").collect()], dtype=float) for m in (fitted, scanned))
+    assert a == pytest.approx(b, abs=1e-8)
+    if order == "sequential":
+        assert b == pytest.approx(_by_scanning(x, 3), abs=1e-8)
 
 
 def test_chain_keeps_observed_cells_and_leaves_no_gap(spark):
