@@ -134,16 +134,16 @@ def class_balance(df: DataFrame, label: str, threshold: float = 1.5) -> DataFram
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
-    """Balanced weight n / (k * n_c) per class."""
-    counts = df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    """Balanced weight n / (k * n_c) per class; rows without a label are no class and are not counted."""
+    counts = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg((F.sum("n") / F.count(F.lit(1))).alias("t")).scalar()
     return counts.withColumn("weight", total / F.col("n"))
 
 
 def with_class_weights(df: DataFrame, label: str, weight: str = "weight") -> DataFrame:
-    """Attach balanced weights; the weight table has one row per class."""
+    """Attach balanced weights; the weight table has one row per class. A row without a label stays, without a weight."""
     weights = class_weights(df, label).select(F.col("label").alias(label), F.col("weight").alias(weight))
-    return df.join(F.broadcast(weights), label)
+    return df.join(F.broadcast(weights), label, "left")
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str], chunk: int = 150) -> DataFrame:

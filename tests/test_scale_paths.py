@@ -292,6 +292,28 @@ def test_flagged_share_is_exact_with_ties(spark):
     assert sorted(r.row_id for r in out.where("NOT is_inlier").collect()) == list(range(25))
 
 
+def test_rows_without_scores_or_labels_stay(spark):
+    from tabforge.operators import profile
+
+    rng = np.random.default_rng(9)
+    x = rng.normal(0, 1, (200, 2))
+    x[:5] = np.nan
+    df = _frame(spark, x)
+    for out in (
+        outliers.lof_flags(df, "row_id", ["f0", "f1"], 0.1, 10),
+        outliers.lof_flags(df, "row_id", ["f0", "f1"], 0.1, 10, broadcast_rows=0, rows_per_cell=16),
+        outliers.envelope_flags(df, "row_id", ["f0", "f1"], 0.1),
+        outliers.isolation_flags(df, "row_id", ["f0", "f1"], 0.1),
+    ):
+        rows = {r.row_id: r for r in out.collect()}
+        assert len(rows) == 200 and all(r.is_inlier is not None for r in rows.values())
+        assert sum(not r.is_inlier for r in rows.values()) in (20, round(0.1 * 195))
+    labelled = df.withColumn("y", F.when(F.col("row_id") % 10 != 0, F.col("row_id") % 2))
+    weighted = profile.with_class_weights(labelled, "y").collect()
+    assert len(weighted) == 200 and sum(r.weight is None for r in weighted) == 20
+    assert sum(r.weight for r in weighted if r.weight) == pytest.approx(180)
+
+
 @pytest.mark.parametrize("method", ["forest", "envelope", "lof"])
 def test_planted_outliers_are_found(spark, method):
     rng = np.random.default_rng(8)
