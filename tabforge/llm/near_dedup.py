@@ -13,15 +13,19 @@ which is plain Jaccard where no shingle is repeated.
 3. Banding: four registers make a bucket, 32 bands. A pair at 0.8 misses them all with a
    probability of 5e-8.
 4. In a bucket each member is compared with one pivot, the member with most company over all
-   bands. Buckets that hold more than one component after that get another pivot from those not
-   yet used, a few times; what then is still apart is compared pair by pair, only across
-   components. So a bucket of like texts takes work in proportion to its size.
-5. Pairs whose registers agree within five standard errors are verified on the whole bags.
+   bands, so a bucket of like texts takes work in proportion to its size. Pairs whose registers
+   agree within five standard errors are verified on the whole bags.
+5. Members that are not in their pivot's component by then may still be like others of the
+   bucket. They are measured against all members of the pivot's buckets, in pairs of blocks of
+   bounded size: a product of two small matrices gives all shared counts of a pair of blocks,
+   and only links that join something are written. Blocks hold texts of a like number of
+   shingles, and blocks too different in that are not paired.
 6. Connected components of the verified links are the classes.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -36,7 +40,10 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 REGISTERS = 128
 ROWS = 4
-PIVOT_ROUNDS = 2
+#: Texts of a block, about.
+BLOCK_TEXTS = 128
+#: Shingles of a block that are held as a matrix at a time.
+MATRIX_COLUMNS = 16_384
 
 
 def bags(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -157,15 +164,99 @@ def _verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame
     return both.mapInArrow(measure, "a long, b long, similarity double")
 
 
-def _pairs_with_pivot(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Each member with the pivot of its bucket, across components; and the members left for later."""
-    pivots = members.groupBy("bucket").agg(F.max(F.struct("company", F.negative("key").alias("k"), F.col("component").alias("c"))).alias("p"))
-    with_pivot = members.join(pivots.select("bucket", F.negative("p.k").alias("pivot"), F.col("p.c").alias("pivot_component")), "bucket")
-    pairs = with_pivot.where("component <> pivot_component").select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
-    return pairs, with_pivot.where("key <> pivot").drop("pivot", "pivot_component")
-
-
-def near_links(docs: DataFrame, table: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+def _shared_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """How many ids each of the sets a shares with each of the sets b."""
+    ids_a, ids_b = np.concatenate(a), np.concatenate(b)
+    both = np.intersect1d(ids_a, ids_b)
+    text_a, text_b = (np.repeat(np.arange(len(x)), [len(i) for i in x]) for x in (a, b))
+    out = np.zeros((len(a), len(b)), dtype=np.float32)
+    for lo in range(0, len(both), MATRIX_COLUMNS):
+        part = both[lo : lo + MATRIX_COLUMNS]
+        sides = []
+        for ids, text, n in ((ids_a, text_a, len(a)), (ids_b, text_b, len(b))):
+            at = np.searchsorted(part, ids)
+            at[at == len(part)] = 0
+            on = part[at] == ids
+            m = np.zeros((n, len(part)), dtype=np.float32)
+            m[text[on], at[on]] = 1
+            sides.append(m)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _block_links(rows: pa.Table, similarity: float) -> list[tuple[int, int]]:
+    """Links between the two sides of a pair of blocks, no more than join their components."""
+    side = {}
+    for flag in (0, 1):
+        own = rows.filter(pa.array(rows.column("side").to_numpy() == flag))
+        ids = [np.frombuffer(i, np.uint32) for i in own.column("ids").to_pylist()]
+        counts = [np.frombuffer(c, np.uint32) if c else None for c in own.column("counts").to_pylist()]
+        side[flag] = (own.column("key").to_pylist(), own.column("component").to_pylist(), ids, counts)
+    (keys_a, parts_a, ids_a, counts_a), (keys_b, parts_b, ids_b, counts_b) = side[0], side[1]
+    if not keys_a or not keys_b:
+        return []
+    shared = _shared_counts(ids_a, ids_b)
+    sizes_a, sizes_b = (np.array([len(i) for i in ids]) for ids in (ids_a, ids_b))
+    near = shared >= similarity * (sizes_a[:, None] + sizes_b[None, :] - shared) - 1e-6
+    weighted = np.logical_or.outer([c is not None for c in counts_a], [c is not None for c in counts_b])
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while up.get(x, x) != x:
+            x = up[x]
+        return x
+
+    out = []
+    for i, j in zip(*np.nonzero((near & ~weighted) | (weighted & (shared > 0)))):
+        one, two = top(parts_a[i]), top(parts_b[j])
+        if one == two:
+            continue
+        if weighted[i, j]:
+            x, y = (np.ones(len(n), np.uint32) if c is None else c for n, c in ((ids_a[i], counts_a[i]), (ids_b[j], counts_b[j])))
+            if probability_jaccard(ids_a[i], x, ids_b[j], y) < similarity - 1e-12:
+                continue
+        up[one] = two
+        out.append((keys_a[i], keys_b[j]))
+    return out
+
+
+def _links_in_blocks(families: DataFrame, docs: DataFrame, similarity: float, block_texts: int) -> DataFrame:
+    """(a, b) between members of a family that are in different components.
+
+    ``families`` has pivot, key, component and main, the pivot's component. Of each pair at least
+    one is outside main. Where all shingles count once, sets whose sizes differ by more than
+    ``similarity`` cannot be like, so only blocks of neighbouring size classes meet; texts with
+    repeated shingles meet all.
+    """
+    apart = families.groupBy("pivot").agg(F.max(F.col("component") != F.col("main")).alias("apart")).where("apart").select("pivot")
+    families = settled(families.join(apart, "pivot", "left_semi"))
+    bags_of = settled(_bags(docs.join(families.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])))
+    size = F.floor(F.log(F.greatest(F.length("ids") / 4, F.lit(1))) / -math.log(similarity) + 1e-9).cast("int")
+    kinds = bags_of.select("key", F.when(F.length("counts") > 0, F.lit(-1)).otherwise(size).alias("kind"))
+    rows = settled(families.join(kinds, "key"))
+    sides = {}
+    for side, own in ((0, rows.where("component <> main")), (1, rows)):
+        blocks = own.groupBy("pivot", "kind").agg(F.ceil(F.count("*") / block_texts).cast("int").alias("blocks"))
+        placed = own.join(blocks, ["pivot", "kind"]).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+        sides[side] = (placed.select("pivot", "kind", "block", "key", "component"), blocks)
+    here, there = sides[0][1].toDF("pivot", "kind_a", "blocks_a"), sides[1][1].toDF("pivot", "kind_b", "blocks_b")
+    meets = (F.abs(F.col("kind_a") - F.col("kind_b")) <= 1) | (F.col("kind_a") == -1) | (F.col("kind_b") == -1)
+    kind_pairs = settled(here.join(there, "pivot").where(meets))  # kinds of a family are a few sizes
+    parts = []
+    for side, (own, other) in enumerate((("a", "b"), ("b", "a"))):
+        placed = sides[side][0].withColumnsRenamed({"kind": f"kind_{own}", "block": f"block_{own}"})
+        met = placed.join(kind_pairs, ["pivot", f"kind_{own}"]).withColumn(f"block_{other}", F.explode(F.sequence(F.lit(0), F.col(f"blocks_{other}") - 1)))
+        parts.append(met.select("pivot", "kind_a", "kind_b", "block_a", "block_b", "key", "component", F.lit(side).alias("side")))
+    both = parts[0].union(parts[1]).join(bags_of, "key")
+
+    def links(group: pa.Table) -> pa.Table:
+        found = _block_links(group, similarity)
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return both.groupBy("pivot", "kind_a", "kind_b", "block_a", "block_b").applyInArrow(links, "a long, b long")
+
+
+def near_links(docs: DataFrame, table: DataFrame, similarity: float, block_texts: int = BLOCK_TEXTS) -> tuple[DataFrame, DataFrame]:
     """Verified links between different texts, enough to connect every class; and those texts."""
     reps = settled(
         table.groupBy("t1", "t2").agg(F.min(F.struct("key", "registers")).alias("r")).select("t1", "t2", "r.key", "r.registers")
@@ -174,35 +265,20 @@ def near_links(docs: DataFrame, table: DataFrame, similarity: float) -> tuple[Da
     bands = F.explode(F.array(*[F.xxhash64(F.lit(k), *[F.col("registers")[k + i] for i in range(ROWS)]) for k in range(0, REGISTERS, ROWS)]))
     spread = has.select("key", bands.alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    crowd = spread.join(shared, "bucket")
-    company = crowd.groupBy("key").agg(F.sum("size").alias("company"))
-    members = settled(crowd.join(company, "key").select("bucket", "key", "company"))
+    crowd = settled(spread.join(shared, "bucket"))
+    company = settled(crowd.groupBy("key").agg(F.sum("size").alias("company")))
+    members = crowd.join(company, "key").select("bucket", "key", "company")
+    pivots = settled(members.groupBy("bucket").agg(F.max(F.struct("company", F.negative("key").alias("k"))).alias("p")).select("bucket", F.negative("p.k").alias("pivot")))
+    families = settled(crowd.select("bucket", "key").join(pivots, "bucket").where("key <> pivot").select("pivot", "key").distinct())
     least = similarity - 5 * (similarity * (1 - similarity) / REGISTERS) ** 0.5
-
-    def checked(pairs: DataFrame) -> DataFrame:
-        near = settled(_agreeing(pairs, has, least))
-        return settled(_verified(near, docs, similarity).select("a", "b"))
-
-    links, left, classes = None, members, None
-    for turn in range(PIVOT_ROUNDS + 1):
-        if classes is None:
-            now = left.withColumn("component", F.col("key"))
-        else:
-            now = left.join(classes.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-            apart = now.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
-            now = settled(now.join(apart, "bucket", "left_semi"))
-            if now.isEmpty():
-                break
-        if turn < PIVOT_ROUNDS:
-            pairs, left = _pairs_with_pivot(now)
-            left = settled(left.drop("component"))
-        else:
-            one, two = now.select("bucket", F.col("key").alias("a"), F.col("component").alias("c")), now.select("bucket", F.col("key").alias("b"), F.col("component").alias("d"))
-            pairs = one.join(two, "bucket").where("a < b and c <> d").select("a", "b").distinct()
-        fresh = checked(pairs)
-        links = fresh if links is None else links.union(fresh)
-        classes = components(links)
-    return links, reps
+    pairs = families.select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
+    near = settled(_agreeing(pairs, has, least))
+    links = settled(_verified(near, docs, similarity).select("a", "b"))
+    classes = components(links)
+    own, main = classes.toDF("key", "component"), classes.toDF("pivot", "main")
+    rated = families.join(own, "key", "left").join(main, "pivot", "left")
+    rated = rated.select("pivot", "key", F.coalesce("component", "key").alias("component"), F.coalesce("main", "pivot").alias("main"))
+    return links.union(settled(_links_in_blocks(rated, docs, similarity, block_texts))), reps
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
