@@ -95,16 +95,18 @@ def test_near_duplicates(documents, corpus):
     assert all(r.is_kept == (r.doc_id == r.class_id) for r in rows) and len(rows) == len(corpus)
 
 
-def test_near_duplicates_where_pivots_do_not_settle_a_bucket(spark, documents, monkeypatch):
-    monkeypatch.setattr(n, "PIVOT_ROUNDS", 1)
+def test_near_duplicates_that_no_pivot_joins(spark, documents, monkeypatch):
+    monkeypatch.setitem(n.near_links.__globals__, "MATRIX_COLUMNS", 7)
+    monkeypatch.setattr(n.near_links, "__defaults__", (4,))
     rng = random.Random(2)
     rows, own = [], [f"v{i}" for i in range(120)]
     for k in range(30):  # a chain: neighbours are alike, ends are not
         rows.append((k, " ".join(own)))
         own = own[2:] + [f"u{k}", f"t{k}"]
+    rows += [(100 + k, t + " same words again and same words again and same words again") for k, t in rows[::3]]  # repeated shingles
     rng.shuffle(rows)
     got = {r.doc_id: r.class_id for r in n.near_duplicates(documents(rows)).collect()}
-    assert got == plain.near_classes(rows) and len(set(got.values())) == 1
+    assert got == plain.near_classes(rows) and len({got[k] for k in range(30)}) == 1
 
 
 def test_registers_estimate_probability_jaccard():
