@@ -501,7 +501,7 @@ def _outlier_input(spark, sf):
 
 @query("out_iforest")
 def out_iforest(spark, sf):
-    return outliers.isolation_flags(_outlier_input(spark, sf), "row_id", ["value", "k"], 0.10, trees=50).select("row_id", "is_inlier")
+    return outliers.isolation_flags(_outlier_input(spark, sf), "row_id", ["value", "k"], 0.10, trees=100).select("row_id", "is_inlier")
 
 
 @query("out_ellip")

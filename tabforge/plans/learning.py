@@ -19,7 +19,7 @@ from tabforge.plans.aggregates import rounded
 from tabforge.plans.basics import _TWO_RUNS_SQL, _two_runs
 from tabforge.plans.catalog import query, table
 from tabforge.plans.inputs import GAP_COLUMNS, READINGS_SQL, RUNS_SQL, SCALER_NAMES, readings, runs, with_sql
-from tabforge.session import cut_lineage, scratch_path, spread
+from tabforge.session import cut_lineage, scratch_path, training_table
 
 X = ["v", "k", "h"]
 
@@ -50,7 +50,7 @@ LESSONS_SQL = f"""lessons AS (SELECT *, CAST(noisy > 100 AS INTEGER) AS label, 0
 
 def _train_test(spark, sf):
     """Materialised once, because every learner scans it many times."""
-    data = cut_lineage(spread(models.assemble(lessons(spark, sf), X)))
+    data = training_table(models.assemble(lessons(spark, sf), X), "row_id")
     return data.where("is_train"), data.where("NOT is_train")
 
 
@@ -262,7 +262,7 @@ def _two_target_stages(trees=10):
 
 @query("md_multiout")
 def md_multiout(spark, sf):
-    data = cut_lineage(spread(lessons(spark, sf)))
+    data = training_table(lessons(spark, sf), "row_id")
     fitted = Pipeline(stages=_two_target_stages()).fit(data.where("is_train"))
     return metrics.multi_target_metrics(
         fitted.transform(data.where("NOT is_train")), {"y": ("y", "y_hat"), "y2": ("y2", "y2_hat")}, {"y": 0.9, "y2": 0.9}
@@ -407,7 +407,7 @@ def ex_scaler(spark, sf):
 @query("ex_seeds")
 def ex_seeds(spark, sf):
     """Five splits: train and test metrics, then their spread."""
-    data = cut_lineage(spread(models.assemble(lessons(spark, sf).drop("is_train"), X)))
+    data = training_table(models.assemble(lessons(spark, sf).drop("is_train"), X), "row_id")
     exp = Experiment(spark, "row_id", "y")
 
     def fit(seed, part):
@@ -522,7 +522,7 @@ def _cv_row(data, name, removed, total):
 @query("out_sweep")
 def out_sweep(spark, sf):
     """Detectors at several levels: rows removed and CV metrics before and after, ranked by AUC."""
-    data = cut_lineage(spread(split.kfold(lessons(spark, sf), "row_id", 3, seed=4)))
+    data = training_table(split.kfold(lessons(spark, sf), "row_id", 3, seed=4), "row_id")
     total = data.count()
     detectors = {
         "z 2.5": lambda d: outliers.zscore_flags(d, X, 2.5),

@@ -58,6 +58,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/tabforge-{name}-{uuid.uuid4().hex}"
 
 
+#: Rows of a training partition, and training partitions at most.
+TRAINING_ROWS, TRAINING_PARTITIONS = 10_000, 2_000
+
+
+def training_table(df: DataFrame, row_id: str) -> DataFrame:
+    """Materialise ``df`` in partitions that depend on its rows alone.
+
+    Learners that sample rows draw by partition, so a fit follows the partitioning. Here it is
+    the hash of the row id, into as many parts as the number of rows gives, each in order of the
+    id; cores, files and earlier shuffles change nothing.
+    """
+    parts = min(max(1, -(-df.count() // TRAINING_ROWS)), TRAINING_PARTITIONS)
+    return cut_lineage(df.repartition(parts, row_id).sortWithinPartitions(row_id))
+
+
 def spread(df: DataFrame, split_bytes: int = 256 * 1024) -> DataFrame:
     """Use more cores for compute-heavy work on a table of few file splits.
 

@@ -211,3 +211,16 @@ def test_drift_monitor_closes_windows_behind_the_watermark(spark, tmp_path):
     out = spark.table("drift_out")
     assert out.count() >= 20
     assert out.agg(F.max("n")).first()[0] == 2
+
+
+def test_fits_do_not_follow_the_partitioning(spark):
+    from pyspark.ml.classification import RandomForestClassifier
+
+    from tabforge.session import training_table
+
+    rows = spark.range(3000).selectExpr("id AS row_id", "double(xxhash64(id) % 100) AS a", "double(xxhash64(id, 1) % 100) AS b")
+    rows = rows.withColumn("label", (F.col("a") + F.col("b") > 20).cast("double"))
+    data = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows)
+    forest = RandomForestClassifier(numTrees=5, subsamplingRate=0.5, seed=3)
+    trees = {forest.fit(training_table(data.repartition(n), "row_id")).toDebugString.split("\n", 1)[1] for n in (1, 3, 8)}
+    assert len(trees) == 1
