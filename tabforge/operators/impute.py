@@ -18,9 +18,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabforge.functions.rng import uniform
 from tabforge.operators import knn
-from tabforge.operators.encode import MAX_LABELS, _Stage, bounded_rows
+from tabforge.operators.encode import _Stage
+from tabforge.operators.prefix import global_positions, running_totals
 from tabforge.operators.profile import quoted
 from tabforge.operators.quantiles import exact_quantiles
+from tabforge.session import cut_lineage
 
 
 # ---- constants -------------------------------------------------------------
@@ -82,20 +84,26 @@ def impute_by_distribution(df: DataFrame, column: str, row_id: str, seed: int =
     """Draw a missing category from the observed frequencies, fixed by row id and seed.
 
     Categories stand in text order on a line of length total count; a row takes
-    the one its uniform number falls on. Integer counts make the draw exact.
+    the one its uniform number falls on. Integer counts make the draw exact. The line
+    is cut into as many equal buckets as there are categories, so a row meets the few
+    categories of its bucket in a join, however many there are.
     """
     x = F.col(quoted(column))
     counts = df.where(x.isNotNull()).groupBy(x.alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    ladder = bounded_rows(counts.orderBy("label"), MAX_LABELS, f"labels of {column}")
-    upto, total = [], 0
-    for r in ladder:
-        total += r["n"]
-        upto.append(total)
-    at = uniform(row_id, seed) * F.lit(float(total))
-    steps = F.array(*[F.lit(float(u)) for u in upto]).cast("array<double>")
-    labels = F.array(*[F.lit(r["label"]) for r in ladder])
-    drawn = F.get(labels, F.size(F.filter(steps, lambda u: u <= at)))
-    return df.withColumn(column, F.coalesce(x, drawn))
+    ladder = cut_lineage(running_totals(global_positions(counts, ["label"], "place"), "place", ["n"]))
+    size = ladder.agg(F.count(F.lit(1)).alias("labels"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first()
+    if not size["labels"]:
+        return df
+    width = size["rows"] / size["labels"]
+
+    def bucket(at: Column) -> Column:
+        return F.floor(at / F.lit(width))
+
+    steps = ladder.select("label", "n_before", "n_to", F.explode(F.sequence(bucket(F.col("n_before")), bucket(F.col("n_to")))).alias("bucket"))
+    open_rows = df.where(x.isNull()).withColumn("at", uniform(row_id, seed) * F.lit(float(size["rows"]))).withColumn("bucket", bucket(F.col("at")))
+    drawn = open_rows.drop(column).join(steps, "bucket").where("n_before <= at AND at < n_to")
+    filled = drawn.select(*[F.col("label").alias(c) if c == column else F.col(quoted(c)) for c in df.columns])
+    return df.where(x.isNotNull()).union(filled)
 
 
 # ---- neighbours ------------------------------------------------------------

@@ -128,16 +128,16 @@ def im_mice_gbt_scaled(spark, sf):
     return rounded(out, 6, *GAP_COLUMNS)
 
 
-@query(
-    "im_dist",
-    with_sql(
-        READINGS_SQL
-        + f""", ladder AS (SELECT cat AS label, sum(count(*)) OVER (ORDER BY cat) AS upto, sum(count(*)) OVER () AS total FROM readings WHERE cat IS NOT NULL GROUP BY cat),
-        holes AS (SELECT row_id, {uniform_sql('row_id', 42)} AS u FROM readings WHERE cat IS NULL),
-        drawn AS (SELECT row_id, min(label) AS label FROM holes JOIN ladder ON upto > u * total GROUP BY row_id)""",
-        "SELECT row_id, coalesce(r.cat, d.label) AS cat FROM readings r LEFT JOIN drawn d USING (row_id)",
-    ),
+_DRAW_SQL = with_sql(
+    READINGS_SQL
+    + f""", ladder AS (SELECT cat AS label, sum(count(*)) OVER (ORDER BY cat) AS upto, sum(count(*)) OVER () AS total FROM readings WHERE cat IS NOT NULL GROUP BY cat),
+    holes AS (SELECT row_id, {uniform_sql('row_id', 42)} AS u FROM readings WHERE cat IS NULL),
+    drawn AS (SELECT row_id, min(label) AS label FROM holes JOIN ladder ON upto > u * total GROUP BY row_id)""",
+    "SELECT row_id, coalesce(r.cat, d.label) AS cat FROM readings r LEFT JOIN drawn d USING (row_id)",
 )
+
+
+@query("im_dist", _DRAW_SQL)
 def im_dist(spark, sf):
     return impute.impute_by_distribution(readings(spark, sf).select("row_id", "cat"), "cat", "row_id")
 
@@ -149,7 +149,7 @@ def im_adaptive(spark, sf):
     return mice.impute_adaptive(r, "cat", "row_id", ["a", "h"]).select("row_id", "cat")
 
 
-@query("im_adaptive_draw")
+@query("im_adaptive_draw", _DRAW_SQL)
 def im_adaptive_draw(spark, sf):
     """Only the category has gaps, so the frequency draw runs."""
     r = readings(spark, sf).select("row_id", "cat", "v", "h")

@@ -1,5 +1,7 @@
 """Small tables with results worked out by hand."""
 
+from bisect import bisect_right
+from collections import Counter
 import math
 
 import pytest
@@ -206,3 +208,21 @@ def test_sky_distribution_sums_to_one(spark):
 def test_median_of_even_count(spark):
     df = spark.createDataFrame([(float(v),) for v in (4, 1, 3, 2)], "x double")
     assert quantiles.exact_quantiles(df, {"x": F.col("x")}, [0.5])["x"] == [2.5]
+
+
+def test_category_draw_from_very_many_labels(spark):
+    from tabforge.operators.impute import impute_by_distribution
+
+    label = F.when(F.col("id") % 10 != 0, F.when(F.col("id") % 3 == 0, "hot").otherwise(F.format_string("l%07d", "id")))
+    df = spark.range(60_000).select(F.col("id").alias("row_id"), label.alias("s"))
+    rows = [tuple(r) for r in df.orderBy("row_id").collect()]
+    counts = sorted((s, n) for s, n in Counter(s for _, s in rows if s).items())
+    ends, total = [], 0
+    for _, n in counts:
+        total += n
+        ends.append(total)
+    u = {r.row_id: r.u for r in df.where("s IS NULL").select("row_id", uniform("row_id", 42).alias("u")).collect()}
+    got = {r.row_id: r.s for r in impute_by_distribution(df, "s", "row_id").collect()}
+    assert len(got) == 60_000
+    for i, s in rows:
+        assert got[i] == (s or counts[bisect_right(ends, u[i] * total)][0])
