@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabforge.operators.profile import quoted
 from tabforge.operators.quantiles import exact_quantiles
+from tabforge.session import scratch_path
 
 
 class _Stage(DefaultParamsReadable, DefaultParamsWritable):
@@ -100,6 +101,7 @@ class ColumnScalerModel(Model, HasInputCols, _Stage):
 
 # ---- labels ----------------------------------------------------------------
 
+#: Labels that a model carries itself; a larger dictionary is a table that rows are joined with.
 MAX_LABELS = 20_000
 
 
@@ -120,35 +122,46 @@ def label_codes(df: DataFrame, column: str) -> DataFrame:
 
 
 class LabelCoder(Estimator, HasInputCols, _Stage):
-    """Integer codes in text order. NULL stays NULL, or becomes the label 'nan'."""
+    """Integer codes in text order. NULL stays NULL, or becomes the label 'nan'.
+
+    A dictionary of more than ``MAX_LABELS`` labels is written to ``dictionaryPath``, a folder
+    that must last as long as the model (default: one in the checkpoint folder).
+    """
 
     missingAsLabel = Param(Params._dummy(), "missingAsLabel", "NULL is the label 'nan'", TypeConverters.toBoolean)
+    dictionaryPath = Param(Params._dummy(), "dictionaryPath", "folder for large dictionaries", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, *, inputCols=None, missingAsLabel=False):
+    def __init__(self, *, inputCols=None, missingAsLabel=False, dictionaryPath=None):
         super().__init__()
         self._setDefault(missingAsLabel=False)
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, df: DataFrame) -> "LabelCoderModel":
         flag = self.getOrDefault(self.missingAsLabel)
-        labels = {}
+        labels, tables = {}, {}
         for c in self.getInputCols():
             x = F.col(quoted(c)).cast("string")
-            x = F.coalesce(x, F.lit("nan")) if flag else x
-            found = df.select(x.alias("v")).where(F.col("v").isNotNull()).distinct().orderBy("v")
-            labels[c] = [r["v"] for r in bounded_rows(found, MAX_LABELS, f"labels of {c}")]
-        return LabelCoderModel(inputCols=self.getInputCols(), labels=json.dumps(labels), missingAsLabel=flag)
+            own = df.select((F.coalesce(x, F.lit("nan")) if flag else x).alias("v")).where(F.col("v").isNotNull()).distinct()
+            found = own.orderBy("v").limit(MAX_LABELS + 1).collect()
+            if len(found) <= MAX_LABELS:
+                labels[c] = [r["v"] for r in found]
+                continue
+            folder = self.getOrDefault(self.dictionaryPath) if self.isDefined(self.dictionaryPath) else scratch_path(df.sparkSession, "labels")
+            tables[c] = f"{folder}/{len(tables)}"
+            label_codes(own, "v").write.mode("overwrite").parquet(tables[c])
+        return LabelCoderModel(inputCols=self.getInputCols(), labels=json.dumps(labels), missingAsLabel=flag, tables=json.dumps(tables))
 
 
 class LabelCoderModel(Model, HasInputCols, _Stage):
     labels = Param(Params._dummy(), "labels", "ordered labels per column as JSON", TypeConverters.toString)
     missingAsLabel = Param(Params._dummy(), "missingAsLabel", "NULL is the label 'nan'", TypeConverters.toBoolean)
+    tables = Param(Params._dummy(), "tables", "folder of (label, code) per column with a large dictionary, JSON", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, *, inputCols=None, labels=None, missingAsLabel=False):
+    def __init__(self, *, inputCols=None, labels=None, missingAsLabel=False, tables="{}"):
         super().__init__()
-        self._setDefault(missingAsLabel=False)
+        self._setDefault(missingAsLabel=False, tables="{}")
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def label_lists(self) -> dict[str, list[str]]:
@@ -167,9 +180,29 @@ class LabelCoderModel(Model, HasInputCols, _Stage):
         arr = F.array(*[F.lit(v) for v in self.label_lists()[column]])
         return F.get(arr, code.cast("int"))
 
+    def _dictionary(self, df: DataFrame, column: str) -> DataFrame:
+        return df.sparkSession.read.parquet(json.loads(self.getOrDefault(self.tables))[column])
+
+    def n_labels(self, df: DataFrame, column: str) -> int:
+        small = self.label_lists()
+        return len(small[column]) if column in small else self._dictionary(df, column).count()
+
+    def decode(self, df: DataFrame, column: str) -> DataFrame:
+        """``df`` with the codes of a column replaced by their labels, whatever the dictionary's size."""
+        if column in self.label_lists():
+            return df.withColumn(column, self.label_of(F.col(quoted(column)), column))
+        met = df.join(self._dictionary(df, column).toDF("_label", "_code"), F.col(quoted(column)) == F.col("_code"), "left")
+        return met.select(*[F.col("_label").alias(c) if c == column else F.col(quoted(c)) for c in df.columns])
+
     def _transform(self, df: DataFrame) -> DataFrame:
-        coded = set(self.getInputCols())
-        return df.select(*[self.code_of(c).alias(c) if c in coded else F.col(quoted(c)) for c in df.columns])
+        small = set(self.label_lists())
+        out = df.select(*[self.code_of(c).alias(c) if c in small else F.col(quoted(c)) for c in df.columns])
+        for column in json.loads(self.getOrDefault(self.tables)):
+            x = F.col(quoted(column)).cast("string")
+            x = F.coalesce(x, F.lit("nan")) if self.getOrDefault(self.missingAsLabel) else x
+            met = out.join(self._dictionary(df, column).toDF("_label", "_code"), x == F.col("_label"), "left")
+            out = met.select(*[F.col("_code").cast("int").alias(c) if c == column else F.col(quoted(c)) for c in out.columns])
+        return out
 
 
 class SentinelCleaner(Transformer, _Stage):
