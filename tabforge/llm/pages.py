@@ -35,6 +35,7 @@ _REST_NAMES = frozenset(
     "subscribe subscription sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead toolbar share sharing social related recommended "
     "comment comments respond reply replies disqus widget login signup pagination pager legal copyright disclaimer skip".split()
 )
+_ABOUT_OTHERS = frozenset("has with no without".split())  # "has-sidebar" names what stands beside
 _MAIN_NAMES = frozenset("article content entry post story main body text".split())
 _REST_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 _CLOSED_BY = {  # start tags that end an open element of these names
@@ -93,7 +94,8 @@ def _opened(tag: str, attributes: str, parent: _Element) -> _Element:
             role = value.strip()
         else:
             names += _PARTS.findall(value)
-    if tag in _REST or (tag == "header" and not parent.main) or role in _REST_ROLES or (tag not in ("body", "html") and not _REST_NAMES.isdisjoint(names)):
+    named_rest = tag not in ("body", "html") and not _REST_NAMES.isdisjoint(names) and _ABOUT_OTHERS.isdisjoint(names)
+    if tag in _REST or (tag == "header" and not parent.main) or role in _REST_ROLES or named_rest:
         rest = True
     if tag in _MAIN or role in ("main", "article"):
         main = True

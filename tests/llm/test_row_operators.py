@@ -102,6 +102,8 @@ def test_main_text(spark):
     df = spark.createDataFrame([(1, PAGE), (1, PAGE), (2, None), (3, ""), (4, plain_page), (5, long), (6, broken), (None, "just words in no element at all, but many of them.")], "page_id long, html string")
     got = [r.main.text for r in pages.extract(df.withColumn("main", F.lit(1)).withColumn("text", F.lit("t"))).collect()]
     assert got[:4] == [MAIN, MAIN, "", ""]
+    beside = "<div class='page has-sidebar'><p>" + "A sentence of some words that is long enough. " * 3 + "</p></div>"
+    assert pages.main_text(beside)[0].startswith("A sentence")
     assert got[4].split("\n")[1] == "Yes." and "Menu" not in got[4] and "About" not in got[4] and got[4].count("\n") == 2
     assert got[5].count("\n") == 2999
     assert got[6] == "Text that is never closed, of a page that ends in a <b" and got[7].startswith("just words")
