@@ -295,7 +295,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = components(links).toDF("key", "component")
     named = reps.join(classes, "key", "left").select("t1", "t2", F.coalesce("component", "key").alias("component"))
     members = table.select("key", "t1", "t2").join(named, ["t1", "t2"]).groupBy("key").agg(F.min("component").alias("component"))
-    sizes = members.groupBy("component").agg(F.count("*").alias("class_size"))
+    members = settled(members)
+    sizes = settled(members.groupBy("component").agg(F.count("*").alias("class_size")))  # both sides of the join are plain, so a large class can be split
     return members.join(sizes, "component").select(
         "key", id_of("key").alias("doc_id"), id_of("component").alias("class_id"), "class_size", (F.col("key") == F.col("component")).alias("is_kept")
     )
