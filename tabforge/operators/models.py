@@ -215,8 +215,8 @@ def fit_samme(df: DataFrame, label: str = "label", rounds: int = 100, depth: int
 class KernelMap:
     """Explicit features whose inner product approximates a kernel.
 
-    rbf: random Fourier features (Rahimi & Recht 2007). poly: all monomials up to
-    degree 3. sigmoid: kernel values to hash-chosen landmark rows.
+    linear: the columns themselves. rbf: random Fourier features (Rahimi & Recht 2007).
+    poly: all monomials up to degree 3. sigmoid: kernel values to hash-chosen landmark rows.
     """
 
     def __init__(self, kind: str, columns: Sequence[str], gamma: float, size: int = 100, seed: int = 42):
@@ -235,6 +235,8 @@ class KernelMap:
         return self
 
     def transform(self, df: DataFrame, out: str = "kernel_features") -> DataFrame:
+        if self.kind == "linear":
+            return assemble(df, self.columns, out)
         if self.kind == "poly":
             ready = assemble(df, self.columns, "_base")
             return PolynomialExpansion(degree=3, inputCol="_base", outputCol=out).transform(ready).drop("_base")
