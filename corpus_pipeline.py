@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tabforge.llm.decontaminate import decontaminate
 from tabforge.llm.near_dedup import near_duplicates
 from tabforge.llm.packing import pack
-from tabforge.llm.secrets import find_secrets, redacted
+from tabforge.llm.secrets import find_secrets
 from tabforge.llm.tables import keyed_rows
 from tabforge.llm.toxicity import toxicity
 from tabforge.session import scratch_path
@@ -40,7 +40,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each secret replaced by its kind; n_chars counts the new text."""
-    out = redacted(find_secrets(docs.select(*COLUMNS)))
+    out = find_secrets(docs.select(*COLUMNS), redact=True)
+    out = out.withColumn("text", F.when(F.col("text").isNotNull(), F.col("secrets.redacted")))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 

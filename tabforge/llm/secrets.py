@@ -185,29 +185,43 @@ def scan_layers(text: str, base: list[tuple[str, int, int]]) -> tuple[list[tuple
     return sorted(spans, key=_order), layers, was_cut
 
 
-def find_secrets(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` with a column ``secrets``: struct of base, spans, n_layers, cut.
+def _redacted(text: str, spans: list[tuple[str, int, int]]) -> str:
+    """Each span replaced by its kind in brackets; spans that overlap once, by the kind of the first."""
+    pieces, at = [], 0
+    for kind, start, end in spans:
+        if start >= at:
+            pieces += [text[at:start], f"[{kind}]"]
+        at = max(at, end)
+    return "".join([*pieces, text[at:]])
+
+
+_SPANS = "array<struct<kind:string,start:int,end:int>>"
+
+
+def find_secrets(df: DataFrame, text_col: str = "text", redact: bool = False) -> DataFrame:
+    """The rows of ``df`` with a column ``secrets``: struct of base, spans, n_layers, cut, redacted.
 
     ``base`` are spans (kind, start, end) that stand openly, ``spans`` all of them with those
     inside encoded layers, ordered by start and kind. Positions are code points of the text, the
-    end excluded. A finding in a base64 or compressed layer spans the whole encoded run. Null and
-    empty texts have none. Every row is scanned by itself, so repeated rows get equal results;
+    end excluded. A finding in a base64 or compressed layer spans the whole encoded run. With
+    ``redact``, ``redacted`` is the text with each span replaced by ``[kind]``, null else. Null and
+    empty texts have no spans. Every row is scanned by itself, so repeated rows get equal results;
     other columns stay as they are, and one named ``secrets`` is replaced.
     """
     one = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+    kind = pa.struct([("base", one), ("spans", one), ("n_layers", pa.int32()), ("cut", pa.bool_()), ("redacted", pa.string())])
 
-    @F.arrow_udf("struct<base:array<struct<kind:string,start:int,end:int>>,spans:array<struct<kind:string,start:int,end:int>>,n_layers:int,cut:boolean>")
+    @F.arrow_udf(f"struct<base:{_SPANS},spans:{_SPANS},n_layers:int,cut:boolean,redacted:string>")
     def look(texts: pa.Array) -> pa.Array:
         rows = []
         for text in texts:
             text = text.as_py() or ""
             base = sorted(scan(text), key=_order)
             spans, layers, cut = scan_layers(text, base)
-            rows.append({"base": base, "spans": spans, "n_layers": layers, "cut": cut})
-        lists = [pa.array([[dict(zip(("kind", "start", "end"), s)) for s in r[k]] for r in rows], one) for k in ("base", "spans")]
-        return pa.StructArray.from_arrays(
-            [*lists, pa.array([r["n_layers"] for r in rows], pa.int32()), pa.array([r["cut"] for r in rows], pa.bool_())], ["base", "spans", "n_layers", "cut"]
-        )
+            lists = [[dict(zip(("kind", "start", "end"), s)) for s in own] for own in (base, spans)]
+            rows.append((*lists, layers, cut, _redacted(text, spans) if redact else None))
+        columns = zip(*rows) if rows else [()] * 5
+        return pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind)], [f.name for f in kind])
 
     return df.withColumn("secrets", look(text_of(text_col)))
 
@@ -215,28 +229,3 @@ def find_secrets(df: DataFrame, text_col: str = "text") -> DataFrame:
 def joined(spans: str) -> Column:
     """Spans as text: kind:start:end, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-
-
-def redacted(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df`` of ``find_secrets`` with each found span of the text replaced by ``[kind]``.
-
-    Spans that overlap are replaced once, by the kind of the first.
-    """
-
-    @F.arrow_udf("string")
-    def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
-        out = []
-        for text, found in zip(texts, spans):
-            text, found = text.as_py(), found.as_py()
-            if not found:
-                out.append(text)
-                continue
-            pieces, at = [], 0
-            for s in found:
-                if s["start"] >= at:
-                    pieces += [text[at : s["start"]], f"[{s['kind']}]"]
-                at = max(at, s["end"])
-            out.append("".join([*pieces, text[at:]]))
-        return pa.array(out, pa.string())
-
-    return df.withColumn(text_col, cut(F.col(text_col), F.col("secrets.spans")))

@@ -14,6 +14,8 @@ import pyarrow as pa
 
 #: Bytes of text that are held as 8-byte numbers at a time; one longer text is a block of its own.
 BLOCK_BYTES = 1_000_000
+#: Texts of a block at most.
+BLOCK_TEXTS = 4_096
 
 _ODD = 0x9E3779B97F4A7C15 | 1
 _ODD_WORD = 0xD1342543DE82EF95 | 1
@@ -119,6 +121,7 @@ def blocks(column: pa.Array, kind: str, fold_case: bool = False) -> Iterator[Blo
     first = 0
     while first < len(column):
         last = max(int(np.searchsorted(bounds, bounds[first] + BLOCK_BYTES, side="right")) - 1, first + 1)
+        last = min(last, first + BLOCK_TEXTS)
         own = bounds[first : last + 1]
         yield Block(first, data[own[0] : own[-1]], own - own[0], kind, fold_case)
         first = last
