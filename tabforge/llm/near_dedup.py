@@ -229,6 +229,7 @@ def _links_in_blocks(families: DataFrame, docs: DataFrame, similarity: float, bl
     repeated shingles meet all.
     """
     apart = families.groupBy("pivot").agg(F.max(F.col("component") != F.col("main")).alias("apart")).where("apart").select("pivot")
+    apart = settled(apart)  # tables of their own, here and below, so that joins on a large family can be split
     families = settled(families.join(apart, "pivot", "left_semi"))
     bags_of = settled(_bags(docs.join(families.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])))
     size = F.floor(F.log(F.greatest(F.length("ids") / 4, F.lit(1))) / -math.log(similarity) + 1e-9).cast("int")
@@ -236,7 +237,7 @@ def _links_in_blocks(families: DataFrame, docs: DataFrame, similarity: float, bl
     rows = settled(families.join(kinds, "key"))
     sides = {}
     for side, own in ((0, rows.where("component <> main")), (1, rows)):
-        blocks = own.groupBy("pivot", "kind").agg(F.ceil(F.count("*") / block_texts).cast("int").alias("blocks"))
+        blocks = settled(own.groupBy("pivot", "kind").agg(F.ceil(F.count("*") / block_texts).cast("int").alias("blocks")))
         placed = own.join(blocks, ["pivot", "kind"]).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
         sides[side] = (placed.select("pivot", "kind", "block", "key", "component"), blocks)
     here, there = sides[0][1].toDF("pivot", "kind_a", "blocks_a"), sides[1][1].toDF("pivot", "kind_b", "blocks_b")
