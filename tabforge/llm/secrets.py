@@ -3,8 +3,9 @@
 Three kinds of secrets are looked for in a text. Then a worklist starts with the text; each layer
 taken from it is scanned, and what is encoded inside it (URL escapes, Unicode escapes and
 character references, base64, zlib or gzip data) is decoded into further layers until none is
-new: a layer that was seen before, whatever chain led to it, is not taken again. Each layer keeps
-where its characters stem from, so every finding maps to a span of the original text.
+new: a layer whose text was seen before from the same place is not taken again, whatever chain led
+to it; equal texts from other places are layers of their own. Each layer keeps where its
+characters stem from, so every finding maps to a span of the original text.
 """
 
 from __future__ import annotations
@@ -62,6 +63,10 @@ class _Layer:
         self.text, self.parts = text, parts
         self.ends = [p[1] for p in parts]
 
+    @property
+    def key(self) -> tuple[str, tuple]:
+        return self.text, tuple(self.parts)
+
     def origin(self, start: int, end: int) -> tuple[int, int]:
         first, last = (self.parts[bisect_right(self.ends, i)] for i in (start, end - 1))
         return first[2] + (start - first[0] if first[4] else 0), last[2] + end - last[0] if last[4] else last[3]
@@ -164,7 +169,7 @@ def scan_layers(text: str, base: list[tuple[str, int, int]]) -> tuple[list[tuple
     """All spans: ``base`` and those in the layers inside a text; number of layers; whether one was cut."""
     spans = set(base)
     work = [_Layer(text, [(0, len(text), 0, len(text), True)])] if text else []
-    seen, layers, was_cut = {text}, 0, False
+    seen, layers, was_cut = {layer.key for layer in work}, 0, False
     while work:
         layer = work.pop()
         layers += 1
@@ -179,8 +184,8 @@ def scan_layers(text: str, base: list[tuple[str, int, int]]) -> tuple[list[tuple
             inner.append(found)
             was_cut |= cut
         for found in inner:
-            if found and found.text not in seen:
-                seen.add(found.text)
+            if found and found.key not in seen:
+                seen.add(found.key)
                 work.append(found)
     return sorted(spans, key=_order), layers, was_cut
 

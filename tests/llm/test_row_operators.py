@@ -185,6 +185,20 @@ def test_find_and_redact(spark):
     assert [r.secrets.spans for r in again] == [r.secrets.spans for r in got]
 
 
+def test_an_encoded_secret_that_stands_twice(spark):
+    plain = base64.b64encode(SECRET.encode()).decode()
+    packed = base64.b64encode(gzip.compress(SECRET.encode(), mtime=0)).decode()
+    twice = base64.b64encode(plain.encode()).decode()
+    for runs in ([plain, plain], [packed, "x", packed], [plain, packed, twice, plain]):
+        text = " é ".join(runs)
+        own = [r for r in runs if r != "x"]
+        assert [text[lo:hi] for _, lo, hi in layers(text)[0]] == own
+        (row,) = secrets.find_secrets(spark.createDataFrame([(text,)], "text string"), redact=True).collect()
+        assert row.secrets.redacted == " é ".join("x" if r == "x" else "[assign]" for r in runs)
+    escaped = urllib.parse.quote(plain, safe="").replace("=", "%3D") + " " + plain
+    assert len(layers(escaped)[0]) == 2
+
+
 # ---- toxicity ---------------------------------------------------------------
 
 
