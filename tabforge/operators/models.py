@@ -87,6 +87,19 @@ def extra_trees(label: str = "label", trees: int = 100, depth: int = 10, regress
     return forest(label, trees, depth, regression, bootstrap=False, featureSubsetStrategy="sqrt")
 
 
+def forest_errors(fitted, df: DataFrame, label: str, sizes: Sequence[int], block: int = 25) -> dict[int, float]:
+    """Mean squared error of the first n trees of a regression forest, for each n of ``sizes``."""
+    wanted, errors = set(sizes), {}
+    state = df.select("features", F.col(label).cast("double").alias("_y"), F.lit(0.0).alias("_sum"))
+    for n, member in enumerate(fitted.trees[: max(wanted, default=0)], 1):
+        state = member.transform(state).withColumn("_sum", F.col("_sum") + F.col("prediction")).drop("prediction")
+        if n % block == 0 or n in wanted:
+            state = cut_lineage(state)
+        if n in wanted:
+            errors[n] = state.agg(F.avg((F.col("_sum") / n - F.col("_y")) ** 2)).first()[0]
+    return errors
+
+
 # How second-order boosting parameters map to MLlib's boosting.
 BOOST_PARAMS = {
     "n_estimators": "maxIter",

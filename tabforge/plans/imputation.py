@@ -110,21 +110,26 @@ def im_mice_bayes_onepass(spark, sf):
     return rounded(model.transform(r), 6, *GAP_COLUMNS)
 
 
+#: Sizes of the reference's chains.
+FOREST_CHAIN = {"rounds": 10, "trees": 10, "depth": 15}
+BOOSTED_CHAIN = {"rounds": 10, "trees": 50, "depth": 5, "step": 0.1}
+
+
 @query("im_mice_rf")
 def im_mice_rf(spark, sf):
-    out = mice.chained_trees(readings(spark, sf), "row_id", GAP_COLUMNS, "rf", rounds=1, trees=10, depth=5)
+    out = mice.chained_trees(readings(spark, sf), "row_id", GAP_COLUMNS, "rf", **FOREST_CHAIN)
     return rounded(out, 6, *GAP_COLUMNS)
 
 
 @query("im_mice_gbt")
 def im_mice_gbt(spark, sf):
-    out = mice.chained_trees(readings(spark, sf), "row_id", GAP_COLUMNS, "gbt", rounds=1, trees=8, depth=4, step=0.3)
+    out = mice.chained_trees(readings(spark, sf), "row_id", GAP_COLUMNS, "gbt", **BOOSTED_CHAIN)
     return rounded(out, 6, *GAP_COLUMNS)
 
 
 @query("im_mice_gbt_scaled")
 def im_mice_gbt_scaled(spark, sf):
-    out = mice.chained_trees(readings(spark, sf), "row_id", GAP_COLUMNS, "gbt", rounds=1, trees=8, depth=4, step=0.3, scaled=True)
+    out = mice.chained_trees(readings(spark, sf), "row_id", GAP_COLUMNS, "gbt", **BOOSTED_CHAIN, scaled=True)
     return rounded(out, 6, *GAP_COLUMNS)
 
 
@@ -206,7 +211,7 @@ def _four_methods(spark, sf):
     r, models = _two_methods(spark, sf)
     wide = models["mice"].add_filled(models["knn"].add_filled(r, "knn"), "mice")
     for name, scaled in (("tree", False), ("tree_scaled", True)):
-        filled = mice.chained_trees(r, "row_id", GAP_COLUMNS, "gbt", rounds=1, trees=5, depth=3, step=0.3, scaled=scaled)
+        filled = mice.chained_trees(r, "row_id", GAP_COLUMNS, "gbt", **BOOSTED_CHAIN, scaled=scaled)
         wide = mice.attach_filled(wide, filled, "row_id", GAP_COLUMNS, name)
     return cut_lineage(wide)
 

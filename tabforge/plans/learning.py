@@ -22,6 +22,8 @@ from tabforge.plans.inputs import GAP_COLUMNS, READINGS_SQL, RUNS_SQL, SCALER_NA
 from tabforge.session import cut_lineage, scratch_path, training_table
 
 X = ["v", "k", "h"]
+#: Depth of forests; the reference's classifiers stop there, its regressors have no limit.
+FOREST_DEPTH = 15
 
 
 def lessons(spark, sf):
@@ -115,47 +117,47 @@ def md_tree(spark, sf):
 def md_rf(spark, sf):
     train, test = _train_test(spark, sf)
     weighted = models.balanced(train, "label")
-    cls = _score(models.forest(trees=30, depth=8, weightCol="weight").fit(weighted).transform(test)).select(
+    cls = _score(models.forest(trees=100, depth=FOREST_DEPTH, weightCol="weight").fit(weighted).transform(test)).select(
         F.lit("classifier").alias("kind"), F.col("auc").alias("metric")
     )
-    reg = _regress(models.forest("y", trees=30, depth=8, regression=True).fit(train).transform(test))
+    reg = _regress(models.forest("y", trees=150, depth=FOREST_DEPTH, regression=True).fit(train).transform(test))
     return cls.unionByName(reg.select(F.lit("regressor").alias("kind"), F.col("r2_score").alias("metric")))
 
 
 @query("md_extratrees")
 def md_extratrees(spark, sf):
     train, test = _train_test(spark, sf)
-    return _score(models.extra_trees(trees=30, depth=8).fit(train).transform(test))
+    return _score(models.extra_trees(trees=150, depth=FOREST_DEPTH).fit(train).transform(test))
 
 
 @query("md_gbt")
 def md_gbt(spark, sf):
     train, test = _train_test(spark, sf)
-    cls = _score(models.boosted(n_estimators=15, learning_rate=0.2, max_depth=4).fit(train).transform(test)).select(
+    cls = _score(models.boosted(n_estimators=100, learning_rate=0.1, max_depth=5).fit(train).transform(test)).select(
         F.lit("classifier").alias("kind"), F.col("auc").alias("metric")
     )
-    reg = _regress(models.boosted("y", True, n_estimators=15, learning_rate=0.2, max_depth=4).fit(train).transform(test))
+    reg = _regress(models.boosted("y", True, n_estimators=150, learning_rate=0.1, max_depth=3).fit(train).transform(test))
     return cls.unionByName(reg.select(F.lit("regressor").alias("kind"), F.col("r2_score").alias("metric")))
 
 
 @query("md_xgb")
 def md_xgb(spark, sf):
     train, test = _train_test(spark, sf)
-    learner = models.boosted(n_estimators=15, learning_rate=0.2, max_depth=5, subsample=0.8, gamma=0.001, min_child_weight=3, colsample=0.8)
+    learner = models.boosted(n_estimators=150, learning_rate=0.1, max_depth=5, subsample=0.8, gamma=0.001, min_child_weight=3, colsample=0.8)
     return _score(learner.fit(train).transform(test))
 
 
 @query("md_lgbm")
 def md_lgbm(spark, sf):
     train, test = _train_test(spark, sf)
-    return _score(models.boosted(n_estimators=20, learning_rate=0.1, max_depth=6, subsample=0.9).fit(train).transform(test))
+    return _score(models.boosted(n_estimators=150, learning_rate=0.1, max_depth=5, subsample=0.8, min_child_weight=20, colsample=0.8).fit(train).transform(test))
 
 
 @query("md_multiclass_gbt")
 def md_multiclass_gbt(spark, sf):
     """Four classes: probabilities that sum to 1, class report and weighted AUC."""
     train, test = _train_test(spark, sf)
-    p = cut_lineage(models.fit_one_vs_rest(train, "cls", n_estimators=8, max_depth=4, learning_rate=0.3).transform(test))
+    p = cut_lineage(models.fit_one_vs_rest(train, "cls", n_estimators=200, max_depth=7, learning_rate=0.1, subsample=0.8).transform(test))
     wide = p.withColumns({f"s{i}": F.get("probabilities", F.lit(i)) for i in range(4)})
     report = metrics.class_report(p, "cls", "prediction")
     auc = metrics.auc_one_vs_rest(wide, "cls", {i: f"s{i}" for i in range(4)}).select("auc_weighted").scalar()
@@ -166,7 +168,7 @@ def md_multiclass_gbt(spark, sf):
 @query("md_adaboost")
 def md_adaboost(spark, sf):
     train, test = _train_test(spark, sf)
-    return _score(models.fit_samme(train, "label", rounds=10).transform(test))
+    return _score(models.fit_samme(train, "label", rounds=100).transform(test))
 
 
 _NB_SQL = with_sql(
@@ -286,24 +288,41 @@ def md_importance(spark, sf):
 # ---- stacking --------------------------------------------------------------
 
 
+class _KernelSvm:
+    """The rbf machine as a base of a stack."""
+
+    def fit(self, df):
+        return models.fit_kernel_svm(df, X, "label", "row_id", "rbf")
+
+
 @query("en_stack_cls")
 def en_stack_cls(spark, sf):
-    """Out-of-fold stack of three bases under a logistic meta model."""
+    """Out-of-fold stack of five bases under a logistic meta model."""
     train, test = _train_test(spark, sf)
-    folded = split.kfold(train, "row_id", 3, seed=9)
-    bases = {"tree": models.tree(depth=5), "nb": models.gaussian_bayes(), "lr": LogisticRegression(labelCol="label")}
-    return _score(ensemble.fit_stack(folded, bases, LogisticRegression(), k=3).transform(test))
+    train, test = experiments.scaled_pair(train.drop("features"), test.drop("features"), X, "standard")
+    folded = cut_lineage(models.balanced(split.kfold(train, "row_id", 5, seed=9), "label"))
+    bases = {
+        "svm": _KernelSvm(),
+        "forest": models.forest(trees=150, depth=FOREST_DEPTH, minInstancesPerNode=2, weightCol="weight"),
+        "gbt": models.boosted(n_estimators=150, learning_rate=0.1, max_depth=5, subsample=0.8),
+        "xgb": models.boosted(n_estimators=150, learning_rate=0.1, max_depth=5, subsample=0.8, colsample=0.8),
+        "lgbm": models.boosted(n_estimators=150, learning_rate=0.1, max_depth=5, subsample=0.8, colsample=0.8, min_child_weight=20),
+    }
+    return _score(ensemble.fit_stack(folded, bases, LogisticRegression(), k=5).transform(test))
 
 
 def _stack_reg(spark, sf):
     train, test = _train_test(spark, sf)
-    folded = split.kfold(train, "row_id", 3, seed=9)
+    folded = split.kfold(train, "row_id", 5, seed=9)
     bases = {
+        "xgb": models.boosted("y", True, n_estimators=150, learning_rate=0.3, max_depth=6),
+        "forest": models.forest("y", trees=150, depth=FOREST_DEPTH, regression=True),
+        "gbt": models.boosted("y", True, n_estimators=150, learning_rate=0.1, max_depth=3),
+        "extra": models.extra_trees("y", trees=150, depth=FOREST_DEPTH, regression=True),
         "ridge": models.ridge(train, "y"),
         "lasso": models.lasso("y"),
-        "forest": models.forest("y", trees=10, depth=6, regression=True),
     }
-    return ensemble.fit_stack(folded, bases, models.ridge(train, "y"), label="y", k=3), test
+    return ensemble.fit_stack(folded, bases, models.ridge(train, "y"), label="y", k=5), test
 
 
 @query("en_stack_reg")
@@ -335,22 +354,32 @@ def en_members(spark, sf):
 
 @query("ex_grid")
 def ex_grid(spark, sf):
-    """Exhaustive grid under fixed folds, best parameters refitted."""
+    """Exhaustive grids of three learners under fixed folds, best parameters refitted.
+
+    The two boosted learners map to the same MLlib learner and grid, which is fitted once.
+    """
     train, test = _train_test(spark, sf)
     folded = split.kfold(train, "row_id", 3, seed=3)
-    learner = GBTRegressor(labelCol="y", seed=42)
-    grid = ParamGridBuilder().addGrid(learner.maxDepth, [3, 5]).addGrid(learner.maxIter, [5, 10]).build()
-    cv = CrossValidator(
-        estimator=learner, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol="y", metricName="r2"),
-        numFolds=3, foldCol="fold", parallelism=4, collectSubModels=False,
-    ).fit(folded)
-    rows = [
-        (int(m[learner.maxDepth]), int(m[learner.maxIter]), float(avg), float(std))
-        for m, avg, std in zip(grid, cv.avgMetrics, cv.stdMetrics)
+    boosted, forest = GBTRegressor(labelCol="y", seed=42), models.forest("y", regression=True)
+    grids = [
+        (("XGBoost", "GradientBoosting"), boosted, boosted.maxIter, boosted.stepSize, ([100, 200], [5, 7], [0.1, 0.2])),
+        (("RandomForest",), forest, forest.numTrees, forest.minInstancesPerNode, ([100, 200], [10, 20], [1, 2])),
     ]
-    out = spark.createDataFrame(rows, "max_depth int, trees int, cv_r2 double, cv_r2_std double")
-    held = _regress(cv.bestModel.transform(test)).select("r2_score").scalar()
-    return out.withColumn("test_r2_of_best", held).orderBy(F.col("cv_r2").desc())
+    rows = []
+    for names, learner, trees, third, (sizes, depths, thirds) in grids:
+        grid = ParamGridBuilder().addGrid(trees, sizes).addGrid(learner.maxDepth, depths).addGrid(third, thirds).build()
+        cv = CrossValidator(
+            estimator=learner, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol="y", metricName="r2"),
+            numFolds=3, foldCol="fold", parallelism=4, collectSubModels=False,
+        ).fit(folded)
+        held = float(_regress(cv.bestModel.transform(test)).select("r2_score").first()[0])
+        for m, avg, std in zip(grid, cv.avgMetrics, cv.stdMetrics):
+            step, least = (float(m[third]), 1) if learner is boosted else (None, int(m[third]))
+            rows += [(n, int(m[learner.maxDepth]), int(m[trees]), step, least, float(avg), float(std), held) for n in names]
+    out = spark.createDataFrame(
+        rows, "model string, max_depth int, trees int, step double, min_rows int, cv_r2 double, cv_r2_std double, test_r2_of_best double"
+    )
+    return out.orderBy(F.col("cv_r2").desc(), "model", "max_depth", "trees")
 
 
 @query("ex_matrix")
@@ -369,13 +398,19 @@ def ex_matrix(spark, sf):
 
 @query("ex_trees")
 def ex_trees(spark, sf):
-    """Error by number of boosted trees from one fit at the largest number."""
+    """Error by number of trees, each learner fitted once at the largest number."""
     train, test = _train_test(spark, sf)
-    fitted = GBTRegressor(labelCol="y", maxIter=30, maxDepth=4, stepSize=0.2, seed=42).fit(train)
-    errors = fitted.evaluateEachIteration(test, "squared")
+    sizes = range(50, 251, 25)
+    errors = {}
+    for name, step, depth in (("XGBoost", 0.3, 6), ("GradientBoosting", 0.1, 3)):
+        fitted = models.boosted("y", True, n_estimators=sizes[-1], learning_rate=step, max_depth=depth).fit(train)
+        each = fitted.evaluateEachIteration(test, "squared")
+        errors[name] = {n: each[n - 1] for n in sizes}
+    fitted = models.forest("y", trees=sizes[-1], depth=FOREST_DEPTH, regression=True).fit(train)
+    errors["RandomForest"] = models.forest_errors(fitted, test, "y", sizes)
     spread = test.agg(F.var_pop("y")).first()[0]
-    rows = [(n, float(errors[n - 1]), float(1.0 - errors[n - 1] / spread)) for n in range(5, 31, 5)]
-    return spark.createDataFrame(rows, "n_estimators int, mse double, r2_score double")
+    rows = [(name, n, float(e), float(1.0 - e / spread)) for name, by_size in errors.items() for n, e in by_size.items()]
+    return spark.createDataFrame(rows, "model string, n_estimators int, mse double, r2_score double")
 
 
 def _regression_runs(spark, sf, tasks):
@@ -505,13 +540,13 @@ def ex_time(spark, sf):
 
 
 def _cv_row(data, name, removed, total):
-    """3-fold CV of a small tree; scaler fitted inside the fold, held-out rows untouched by it."""
+    """5-fold CV of boosted trees; scaler fitted inside the fold, held-out rows untouched by it."""
 
     def make(train, test):
         a, b = experiments.scaled_pair(train, test, X, "standard")
-        return models.tree(depth=5).fit(a).transform(b)
+        return models.boosted(n_estimators=200, learning_rate=0.05, max_depth=5).fit(a).transform(b)
 
-    m = experiments.cross_validate(data, make, "row_id", "label", 3)
+    m = experiments.cross_validate(data, make, "row_id", "label", 5)
     return m.select(
         F.lit(name).alias("method"),
         F.lit(total - removed).alias("samples"),
@@ -527,13 +562,13 @@ def _cv_row(data, name, removed, total):
 @query("out_sweep")
 def out_sweep(spark, sf):
     """Detectors at several levels: rows removed and CV metrics before and after, ranked by AUC."""
-    data = training_table(split.kfold(lessons(spark, sf), "row_id", 3, seed=4), "row_id")
+    data = training_table(split.kfold(lessons(spark, sf), "row_id", 5, seed=4), "row_id")
     total = data.count()
     detectors = {
         "z 2.5": lambda d: outliers.zscore_flags(d, X, 2.5),
         "z 3.0": lambda d: outliers.zscore_flags(d, X, 3.0),
-        "iforest 0.05": lambda d: outliers.isolation_flags(d, "row_id", X, 0.05, trees=30),
-        "iforest 0.10": lambda d: outliers.isolation_flags(d, "row_id", X, 0.10, trees=30),
+        "iforest 0.05": lambda d: outliers.isolation_flags(d, "row_id", X, 0.05),
+        "iforest 0.10": lambda d: outliers.isolation_flags(d, "row_id", X, 0.10),
         "envelope 0.10": lambda d: outliers.envelope_flags(d, "row_id", X, 0.10),
     }
     out = _cv_row(data, "none", 0, total)
@@ -554,9 +589,9 @@ def out_impute_scale_detect(spark, sf):
     def ready(df):
         return scaler.transform(filler.transform(df))
 
-    kept = outliers.isolation_flags(ready(train), "row_id", GAP_COLUMNS, 0.10, trees=30).where("is_inlier")
+    kept = outliers.isolation_flags(ready(train), "row_id", GAP_COLUMNS, 0.10).where("is_inlier")
     a, b = models.assemble(kept, GAP_COLUMNS), models.assemble(ready(test), GAP_COLUMNS)
-    return _score(models.tree(depth=6).fit(a).transform(b))
+    return _score(models.boosted(n_estimators=200, learning_rate=0.05, max_depth=5).fit(a).transform(b))
 
 
 # ---- registry --------------------------------------------------------------

@@ -12,6 +12,8 @@ from tabforge.operators import ensemble, experiments, models, serve, split
 from tabforge.operators.encode import ColumnScaler, LabelCoder, SentinelCleaner
 from tabforge.operators.impute import ColumnImputer, HybridImputerModel, KnnImputer
 from tabforge.operators.mice import ChainedLinearImputer
+from tabforge.plans import load_all
+from tabforge.plans.catalog import QUERIES
 from tabforge.streaming import scoring
 
 
@@ -224,3 +226,79 @@ def test_fits_do_not_follow_the_partitioning(spark):
     forest = RandomForestClassifier(numTrees=5, subsamplingRate=0.5, seed=3)
     trees = {forest.fit(training_table(data.repartition(n), "row_id")).toDebugString.split("\n", 1)[1] for n in (1, 3, 8)}
     assert len(trees) == 1
+
+
+# ---- full sizes ------------------------------------------------------------
+
+
+load_all()
+
+
+class Recorded(Exception):
+    pass
+
+
+def sizes_of(learner):
+    return {p.name: v for p, v in learner.extractParamMap().items()}
+
+
+@pytest.mark.parametrize(
+    ("name", "size"),
+    [("md_rf", {"numTrees": 100, "maxDepth": 15}), ("md_extratrees", {"numTrees": 150}), ("md_gbt", {"maxIter": 100, "maxDepth": 5}), ("md_xgb", {"maxIter": 150}),
+     ("md_lgbm", {"maxIter": 150}), ("md_multiclass_gbt", {"maxIter": 200, "maxDepth": 7}), ("ex_trees", {"maxIter": 250})],
+)
+def test_registered_learners_have_the_reference_sizes(spark, monkeypatch, name, size):
+    from pyspark.ml import Estimator
+
+    def fit(self, dataset, params=None):
+        raise Recorded(self)
+
+    monkeypatch.setattr(Estimator, "fit", fit)
+    with pytest.raises(Recorded) as caught:
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert sizes_of(caught.value.args[0]).items() >= size.items()
+
+
+@pytest.mark.parametrize(("name", "n"), [("en_stack_cls", 5), ("en_stack_reg", 6)])
+def test_registered_stacks_have_all_bases_and_folds(spark, monkeypatch, name, n):
+    def out_of_fold(df, bases, row_id, label, fold, k):
+        raise Recorded(len(bases), k)
+
+    monkeypatch.setattr(ensemble, "out_of_fold", out_of_fold)
+    with pytest.raises(Recorded) as caught:
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert caught.value.args == (n, 5)
+
+
+def test_registered_rounds_and_grids(spark, monkeypatch):
+    from pyspark.ml.tuning import CrossValidator
+    from tabforge.plans import imputation
+
+    seen = []
+
+    def record(*args, **sizes):
+        seen.append(sizes)
+        raise Recorded
+
+    def grid(self, dataset, params=None):
+        raise Recorded(len(self.getEstimatorParamMaps()))
+
+    monkeypatch.setattr(models, "fit_samme", record)
+    monkeypatch.setattr(imputation.mice, "chained_trees", record)
+    monkeypatch.setattr(CrossValidator, "fit", grid)
+    for name in ("md_adaboost", "im_mice_rf", "im_mice_gbt", "im_mice_gbt_scaled", "im_hybrid_best4"):
+        with pytest.raises(Recorded):
+            QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert [s["rounds"] for s in seen] == [100, 10, 10, 10, 10] and [s["trees"] for s in seen[1:]] == [10, 50, 50, 50]
+    with pytest.raises(Recorded) as caught:
+        QUERIES["ex_grid"](spark, "/root/testdata/sf0.001")
+    assert caught.value.args == (8,)
+
+
+def test_errors_of_the_first_trees_of_a_forest(spark):
+    rows = spark.range(300).selectExpr("id AS row_id", "CAST(id % 17 AS DOUBLE) AS v", "CAST(id % 17 * 2 + id % 5 AS DOUBLE) AS y")
+    df = models.assemble(rows, ["v"])
+    fitted = models.forest("y", trees=6, depth=3, regression=True).fit(df)
+    got = models.forest_errors(fitted, df, "y", [2, 6], block=3)
+    whole = fitted.transform(df).selectExpr("avg(power(prediction - y, 2))").first()[0]
+    assert sorted(got) == [2, 6] and got[6] == pytest.approx(whole)
