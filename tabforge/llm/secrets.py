@@ -11,9 +11,12 @@ characters stem from, so every finding maps to a span of the original text.
 from __future__ import annotations
 
 import base64
-import binascii
+import codecs
+import hashlib
 import html
+import mmap
 import re
+import tempfile
 import zlib
 from bisect import bisect_right
 from collections.abc import Callable, Iterable, Iterator
@@ -24,9 +27,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tabforge.llm.tables import text_of
 
 KINDS = ("assign", "access", "hex")
-#: Characters of one decompressed layer; a compressed layer that holds more is scanned up to there
-#: and marked as cut, so that a few bytes cannot fill a worker's memory.
+#: Characters of a layer, run or decoded run that is held in memory; longer ones are read in chunks,
+#: again for each step, or from a temporary file, so that a few bytes cannot fill a worker's memory.
 LAYER_CHARS = 50_000_000
+CHUNK = 1 << 20
+#: Layers that are remembered so as not to be taken twice; beyond, work is repeated but not results.
+SEEN_LAYERS = 100_000
 
 # What a secret looks like. Runs are taken whole, then tested for their length.
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -36,6 +42,12 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|U\+([0-9A-Fa-f]{4,6})|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};|&(?:amp|lt|gt|quot|apos);")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_RUN, _LEAST_RUN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", 16
+_STANDARD = bytes.maketrans(b"-_", b"+/")
+_HEADER = re.compile(rb"(?=\x1f\x8b\x08|[\x08\x18\x28\x38\x48\x58\x68\x78])")
+_SPACES = re.compile(" {2,}")
+#: Characters that the shortest match of each secret, spaces made one, and of each escape fits in.
+_OVERLAP, _ESCAPE = 64, 12
 
 
 def _order(span: tuple[str, int, int]) -> tuple[int, int, int]:
@@ -64,8 +76,8 @@ class _Layer:
         self.ends = [p[1] for p in parts]
 
     @property
-    def key(self) -> tuple[str, tuple]:
-        return self.text, tuple(self.parts)
+    def key(self) -> bytes:
+        return hashlib.blake2b(repr(self.parts).encode() + self.text.encode(errors="surrogatepass"), digest_size=16).digest()
 
     def origin(self, start: int, end: int) -> tuple[int, int]:
         first, last = (self.parts[bisect_right(self.ends, i)] for i in (start, end - 1))
@@ -80,12 +92,134 @@ class _Layer:
             yield (stop - start, frm + start - lo, frm + stop - lo, True) if exact else (stop - start, frm, to, False)
             start, k = stop, k + 1
 
+    def findings(self) -> set[tuple[str, int, int]]:
+        return {(kind, *self.origin(lo, hi)) for kind, lo, hi in scan(self.text)}
+
+    def inner(self) -> Iterator[_Layer | _Long]:
+        steps = []
+        if "%" in self.text:
+            steps.append((_URL, _url))
+        if "\\" in self.text or "&" in self.text or "U+" in self.text:
+            steps.append((_UNICODE, _unicode))
+        for pattern, decode in steps:
+            found = _unescaped(self, pattern, decode)
+            if found:
+                yield found
+        for m in _BASE64.finditer(self.text):
+            yield from _decoded(m[0].rstrip("=").encode(), self.origin(m.start(), m.end()))
+
+
+class _Long:
+    """A layer that is too long to hold; all of it stems from one span. ``read`` gives its chunks anew.
+
+    A secret anywhere in it is one of that span, so chunks need only overlap by the shortest match.
+    """
+
+    def __init__(self, read: Callable[[], Iterator[str]], span: tuple[int, int]):
+        self.read, self.span = read, span
+        self.kinds: set[str] = set()
+        self.steps = {}
+        digest, tail = hashlib.blake2b(repr(span).encode(), digest_size=16), ""
+        for chunk in read():
+            digest.update(chunk.encode(errors="surrogatepass"))
+            window = _SPACES.sub(" ", tail + chunk)
+            self.kinds.update(kind for kind, _, _ in scan(window))
+            for pattern, decode in ((_URL, _url), (_UNICODE, _unicode)):
+                if any(decode(m) for m in pattern.finditer(window)):
+                    self.steps[pattern] = decode
+            tail = window[-_OVERLAP:]
+        self.key = digest.digest()
+
+    def findings(self) -> set[tuple[str, int, int]]:
+        return {(kind, *self.span) for kind in self.kinds}
+
+    def inner(self) -> Iterator[_Layer | _Long]:
+        for pattern, decode in self.steps.items():
+            yield _layer(lambda pattern=pattern, decode=decode: _unescaped_chunks(self.read(), pattern, decode), self.span)
+        for run in _runs(self.read()):
+            yield from _decoded(run, self.span)
+
+
+class _Store:
+    """Bytes that are collected, in a temporary file once they are many."""
+
+    def __init__(self):
+        self.pieces, self.size, self.file = [], 0, None
+
+    def add(self, data: bytes) -> None:
+        self.size += len(data)
+        if self.file is None and self.size <= LAYER_CHARS:
+            self.pieces.append(data)
+            return
+        if self.file is None:
+            self.file = tempfile.TemporaryFile()
+            self.file.writelines(self.pieces)
+            self.pieces = []
+        self.file.write(data)
+
+    def data(self) -> bytes | mmap.mmap:
+        if self.file is None:
+            return b"".join(self.pieces)
+        self.file.flush()
+        return mmap.mmap(self.file.fileno(), 0, access=mmap.ACCESS_READ)
+
+
+def _layer(read: Callable[[], Iterator[str]], span: tuple[int, int]) -> _Layer | _Long:
+    pieces, size = [], 0
+    for chunk in read():
+        pieces.append(chunk)
+        size += len(chunk)
+        if size > LAYER_CHARS:
+            del pieces
+            return _Long(read, span)
+    return _Layer("".join(pieces), [(0, size, *span, False)])
+
+
+def _runs(chunks: Iterator[str]) -> Iterator[bytes | mmap.mmap]:
+    """The base64 runs of a text in chunks, without padding."""
+    store = _Store()
+    for chunk in chunks:
+        head = len(chunk) - len(chunk.lstrip(_RUN))
+        store.add(chunk[:head].encode())
+        if head == len(chunk):
+            continue
+        if store.size >= _LEAST_RUN:
+            yield store.data()
+        tail = len(chunk.rstrip(_RUN))
+        for m in _BASE64.finditer(chunk, head, tail):
+            yield m[0].rstrip("=").encode()
+        store = _Store()
+        store.add(chunk[tail:].encode())
+    if store.size >= _LEAST_RUN:
+        yield store.data()
+
+
+def _unescaped_chunks(chunks: Iterator[str], pattern: re.Pattern, decode: Callable[[re.Match], list[tuple[str, int]]]) -> Iterator[str]:
+    """A text in chunks with all matches decoded; what may be the begin of a match waits for the next chunk."""
+
+    def plain(m: re.Match) -> str:
+        return "".join(c for c, _ in decode(m)) or m[0]
+
+    held = ""
+    for chunk in chunks:
+        text = held + chunk
+        last = max(0, len(text) - _ESCAPE)
+        stop = min((k for k in (text.find(c, last) for c in "%\\&U") if k >= 0), default=len(text))
+        if stop and text[stop - 1] == "\\":
+            stop -= 1
+        held = text[stop:]
+        yield pattern.sub(plain, text[:stop])
+    yield pattern.sub(plain, held)
+
 
 def _unescaped(layer: _Layer, pattern: re.Pattern, decode: Callable[[re.Match], list[tuple[str, int]]]) -> _Layer | None:
     """The layer with all matches decoded, or None if nothing changes.
 
     ``decode`` gives characters with the number of characters each took in the match.
     """
+    if len(layer.parts) == 1 and not layer.parts[0][4]:  # all from one span
+        text = "".join(_unescaped_chunks(iter([layer.text]), pattern, decode))
+        return _Layer(text, [(0, len(text), *layer.parts[0][2:])]) if text != layer.text else None
     pieces: list[str] = []
     parts: list[tuple[int, int, int, int, bool]] = []
     at = size = 0
@@ -129,65 +263,119 @@ def _unicode(m: re.Match) -> list[tuple[str, int]]:
     return [(chr(code), len(m[0]))] if code < 0x110000 and not 0xD800 <= code < 0xE000 else []
 
 
-def _readable(data: bytes) -> str | None:
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\n\r" for c in text) else None
-
-
-def _inflated(data: bytes) -> tuple[str | None, bool]:
-    """Text of zlib or gzip data; and whether it was cut at ``LAYER_CHARS``."""
-    if data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] & 0x0F == 8 and (data[0] * 256 + data[1]) % 31 == 0):
-        unpack = zlib.decompressobj(wbits=47)
-        try:
-            out = unpack.decompress(data, LAYER_CHARS)
-        except zlib.error:
-            return None, False
-        return out.decode(errors="replace") or None, bool(unpack.unconsumed_tail)
-    return None, False
-
-
-def _packed(layer: _Layer) -> Iterator[tuple[_Layer, bool]]:
-    """Layers inside base64 runs; of a long word of a text hardly any decodes to readable text."""
-    for m in _BASE64.finditer(layer.text):
-        run = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if len(run) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        text, cut = _inflated(data)
-        text = text or _readable(data)
-        if text:
-            yield _Layer(text, [(0, len(text), *layer.origin(m.start(), m.end()), False)]), cut
+def _worth(text: str) -> bool:
+    """Whether a decoded text is readable, or holds a secret or an encoded run: nothing else is lost."""
+    if text and all(c.isprintable() and c != "\ufffd" or c in "\t\n\r" for c in text):
+        return True
+    return bool(scan(text) or _URL.search(text) or _UNICODE.search(text) or _BASE64.search(text))
+
+
+def _texts(chunks: Iterator[bytes]) -> Iterator[str]:
+    decoder = codecs.getincrementaldecoder("utf-8")("replace")
+    for chunk in chunks:
+        yield decoder.decode(chunk)
+    yield decoder.decode(b"", True)
+
+
+def _pieces(data: bytes | mmap.mmap) -> Iterator[bytes]:
+    for at in range(0, len(data), CHUNK):
+        yield data[at : at + CHUNK]
+
+
+def _packed(data: bytes | mmap.mmap, at: int) -> bool:
+    """Whether zlib or gzip data may start at a place."""
+    head = data[at : at + 3]
+    return head == b"\x1f\x8b\x08" or (len(head) == 3 and head[0] & 0x8F == 8 and not head[1] & 0x20 and (head[0] * 256 + head[1]) % 31 == 0)
+
+
+def _inflated(data: bytes | mmap.mmap, at: int, ends: list[int]) -> Iterator[bytes]:
+    """What zlib or gzip data from a place on hold, member after member, as far as it is sound.
+
+    The end of each whole member is added to ``ends``.
+    """
+    while _packed(data, at):
+        unpack, left = zlib.decompressobj(wbits=47), b""
+        while not unpack.eof:
+            piece = left or data[at : at + CHUNK // 16]
+            at += 0 if left else len(piece)
+            before = unpack.copy()
+            try:
+                out = unpack.decompress(piece, CHUNK)
+            except zlib.error:
+                for k in range(len(piece)):
+                    try:
+                        yield before.decompress(piece[k : k + 1])
+                    except zlib.error:
+                        break
+                return
+            if out:
+                yield out
+            elif not piece:  # the data end within the member
+                return
+            left = unpack.unconsumed_tail
+        at -= len(unpack.unused_data)
+        ends.append(at)
+        while data[at : at + 1] == b"\0":
+            at += 1
+
+
+def _plain(run: bytes | mmap.mmap, shift: int) -> bytes | mmap.mmap:
+    """A base64 run decoded from one of its first four characters on."""
+    store, end = _Store(), len(run) - ((len(run) - shift) % 4 == 1)
+    for at in range(shift, end, 4 * CHUNK):
+        piece = run[at : min(at + 4 * CHUNK, end)].translate(_STANDARD)
+        store.add(base64.b64decode(piece + b"=" * (-len(piece) % 4)))
+    return store.data()
+
+
+def _decoded(run: bytes | mmap.mmap, span: tuple[int, int]) -> Iterator[_Layer | _Long]:
+    """Layers inside a base64 run, which may be glued to a word before it: of the four ways to read
+    it, and of compressed data that start at a character. Of a long word hardly any are worth it."""
+    for shift in range(4):
+        data = _plain(run, shift)
+        read = [lambda: _texts(_pieces(data))]
+        until = 0
+        for m in _HEADER.finditer(data):
+            at = m.start()
+            if at < until or at % 3 or not _packed(data, at):
+                continue
+            ends: list[int] = []
+            for _ in _inflated(data, at, ends):
+                pass
+            until = max([until, *ends])
+            read.append(lambda at=at: _texts(_inflated(data, at, [])))
+        for again in read:
+            found = _layer(again, span)
+            if isinstance(found, _Long) or (found.text and _worth(found.text)):
+                yield found
 
 
 def scan_layers(text: str, base: list[tuple[str, int, int]]) -> tuple[list[tuple[str, int, int]], int, bool]:
-    """All spans: ``base`` and those in the layers inside a text; number of layers; whether one was cut."""
+    """All spans: ``base`` and those in the layers inside a text; number of layers; whether one was cut, which none is."""
     spans = set(base)
-    work = [_Layer(text, [(0, len(text), 0, len(text), True)])] if text else []
-    seen, layers, was_cut = {layer.key for layer in work}, 0, False
+    work = [iter([_Layer(text, [(0, len(text), 0, len(text), True)])] if text else [])]
+    path: list[bytes] = []  # of the layer taken last, from the text down
+    seen: set[bytes] = set()
+    layers = 0
     while work:
-        layer = work.pop()
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            if path:
+                path.pop()
+            continue
+        key = layer.key
+        if key in seen or key in path:
+            continue
+        if len(seen) >= SEEN_LAYERS:
+            seen.clear()
+        seen.add(key)
         layers += 1
-        if layers > 1:
-            spans.update((kind, *layer.origin(lo, hi)) for kind, lo, hi in scan(layer.text))
-        inner = []
-        if "%" in layer.text:
-            inner.append(_unescaped(layer, _URL, _url))
-        if "\\" in layer.text or "&" in layer.text or "U+" in layer.text:
-            inner.append(_unescaped(layer, _UNICODE, _unicode))
-        for found, cut in _packed(layer):
-            inner.append(found)
-            was_cut |= cut
-        for found in inner:
-            if found and found.key not in seen:
-                seen.add(found.key)
-                work.append(found)
-    return sorted(spans, key=_order), layers, was_cut
+        if path:
+            spans |= layer.findings()
+        path.append(key)
+        work.append(layer.inner())
+    return sorted(spans, key=_order), layers, False
 
 
 def _redacted(text: str, spans: list[tuple[str, int, int]]) -> str:
@@ -208,7 +396,8 @@ def find_secrets(df: DataFrame, text_col: str = "text", redact: bool = False) ->
 
     ``base`` are spans (kind, start, end) that stand openly, ``spans`` all of them with those
     inside encoded layers, ordered by start and kind. Positions are code points of the text, the
-    end excluded. A finding in a base64 or compressed layer spans the whole encoded run. With
+    end excluded. A finding in a base64 or compressed layer spans the whole encoded run. ``cut`` is
+    false: layers of any size are scanned whole. With
     ``redact``, ``redacted`` is the text with each span replaced by ``[kind]``, null else. Null and
     empty texts have no spans. Every row is scanned by itself, so repeated rows get equal results;
     other columns stay as they are, and one named ``secrets`` is replaced.

@@ -199,6 +199,38 @@ def test_an_encoded_secret_that_stands_twice(spark):
     assert len(layers(escaped)[0]) == 2
 
 
+@pytest.mark.parametrize("odd", ["\u00a0", "\u00ad", "\f", "\u200b", b"\xff"])
+def test_layers_that_are_not_all_readable(odd):
+    odd = odd if isinstance(odd, bytes) else odd.encode()
+    run = base64.b64encode(b"one line " + odd + b" " + SECRET.encode()).decode()
+    assert layers(f"so {run} it")[0] == [("assign", 3, 3 + len(run))]
+
+
+@pytest.mark.parametrize("glue", ["", "a/", "ab-", "key-", "path_", "a/b/", "a-long-word/"])
+def test_runs_that_are_glued_to_a_word(glue):
+    for data in (SECRET.encode(), zlib.compress(SECRET.encode()), gzip.compress(SECRET.encode())):
+        run = glue + base64.b64encode(data).decode()
+        assert layers(f"so {run} it")[0] == [("assign", 3, 3 + len(run))], (glue, data)
+
+
+@pytest.mark.parametrize("size", [100, 1000, 50_000_000])
+def test_compressed_layers_of_any_size(size, monkeypatch):
+    monkeypatch.setattr(secrets, "LAYER_CHARS", size)
+    monkeypatch.setattr(secrets, "CHUNK", 64)
+    words = b"word " * 700
+    deep = base64.b64encode(zlib.compress(words + urllib.parse.quote(SECRET).encode(), 0))
+    cases = [words + SECRET.encode(), words + b"token" + b" " * 3000 + b"= abcdefgh", words + deep, words + b"x/" + deep, words + b"\\x74oken=abcdefgh " + words]
+    for data in cases:
+        half = len(data) // 2
+        for packed in (zlib.compress(data), gzip.compress(words) + gzip.compress(data), gzip.compress(data[:half]) + gzip.compress(data[half:])):
+            run = base64.b64encode(packed).decode()
+            spans, _, cut = layers(f"so {run} it")
+            assert spans == [("assign", 3, 3 + len(run))] and not cut
+    broken = base64.b64encode(gzip.compress(words + SECRET.encode() + words)[:-9]).decode()
+    assert len(layers(broken)[0]) == 1
+    assert layers(base64.b64encode(gzip.compress(words * 20)).decode())[0] == []
+
+
 # ---- toxicity ---------------------------------------------------------------
 
 
