@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -26,7 +26,9 @@ _BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header "
     "hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
-_RAW = frozenset("script style noscript template svg math iframe object canvas audio video textarea select button title".split())
+_RAW = frozenset("script style textarea title xmp noembed noframes".split())
+_CODE = frozenset("script style".split())  # without an end tag all that follows is code
+_ASIDE = frozenset("noscript template svg iframe object canvas audio video select button".split())  # never main text, but elements like others
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _REST = frozenset("nav footer aside form menu dialog head search".split())
 _MAIN = frozenset("article main".split())
@@ -104,7 +106,7 @@ def _opened(tag: str, attributes: str, parent: _Element) -> _Element:
     return _Element(tag, parent, parent.depth + 1, min(parent.evidence + evidence, 2 * NAMED_MAIN), rest, main)
 
 
-def _tokens(page: str) -> Iterator[tuple[str, str, str]]:
+def _scanned(page: str) -> Iterator[tuple[str, str, str]]:
     """(kind, value, attributes) of texts, starts and ends of elements; contents of raw elements are left out."""
     at, n = 0, len(page)
     while at < n:
@@ -124,11 +126,71 @@ def _tokens(page: str) -> Iterator[tuple[str, str, str]]:
         attributes = m[3] or m[6] or ""
         if tag in _RAW and not attributes.endswith("/"):
             close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-            at = close.end() if close else n
+            if close or tag in _CODE:
+                at = close.end() if close else n
             continue
         yield "start", tag, attributes
 
 
+@dataclass
+class _Level:
+    """An open block element, and the aside elements that are open right in it."""
+
+    tag: str
+    asides: list[tuple[str, int]] = field(default_factory=list)
+    open: Counter = field(default_factory=Counter)
+
+
+def _closed_asides(tokens: list[tuple[str, str, str]]) -> dict[int, int]:
+    """Start and end of the aside elements that their own end tag closes, in the block they stand in.
+
+    One around an article was meant to end before it, except for a template.
+    """
+    levels, blocks, closed, main = [_Level("")], Counter(), {}, -1
+    for i, (kind, tag, attributes) in enumerate(tokens):
+        top = levels[-1]
+        if tag in _ASIDE and kind == "start" and not attributes.endswith("/"):
+            top.asides.append((tag, i))
+            top.open[tag] += 1
+        elif tag in _ASIDE and kind == "end" and top.open[tag]:
+            while True:
+                name, start = top.asides.pop()
+                top.open[name] -= 1
+                if name == tag:
+                    break
+            if tag == "template" or main < start:
+                closed[start] = i
+        elif tag not in _BLOCK or tag in _VOID:
+            continue
+        elif kind == "start":
+            main = i if tag in _MAIN else main
+            while not levels[-1].asides and levels[-1].tag in ("p", *_CLOSED_BY.get(tag, ())):
+                blocks[levels.pop().tag] -= 1
+            levels.append(_Level(tag))
+            blocks[tag] += 1
+        elif kind == "end" and blocks[tag]:
+            while True:
+                name = levels.pop().tag
+                blocks[name] -= 1
+                if name == tag:
+                    break
+    return closed
+
+
+def _tokens(page: str) -> Iterator[tuple[str, str, str]]:
+    """Texts, starts and ends without closed aside elements; one that is not closed is of the kind "aside"."""
+    tokens = list(_scanned(page))
+    closed = _closed_asides(tokens) if any(value in _ASIDE for kind, value, _ in tokens if kind == "start") else {}
+    i = 0
+    while i < len(tokens):
+        kind, value, attributes = tokens[i]
+        if kind == "text" or value not in _ASIDE:
+            yield tokens[i]
+        elif kind == "start" and i not in closed and not attributes.endswith("/"):
+            yield "aside", value, attributes
+        i = closed.get(i, i) + 1
+
+
 def read_blocks(page: str) -> _Blocks:
     out = _Blocks()
     root = now = _Element("", None, 0, 0.0, False, False)
@@ -151,6 +213,9 @@ def read_blocks(page: str) -> _Blocks:
             pieces.append(value)
             if links:
                 linked += len(value.strip())
+        elif kind == "aside":  # up to the next start or end of a block
+            flush()
+            now = _Element(value, now, now.depth + 1, now.evidence, True, now.main)
         elif value == "br":
             pieces.append(" ")
         elif value == "a":
@@ -159,6 +224,8 @@ def read_blocks(page: str) -> _Blocks:
             continue
         elif kind == "start":
             flush()
+            while now.tag in _ASIDE:
+                now = now.parent
             closing = _CLOSED_BY.get(value, ())
             e = now
             while e.tag in closing or e.tag == "p":  # a block element ends an open paragraph
@@ -168,6 +235,8 @@ def read_blocks(page: str) -> _Blocks:
                 now = _opened(value, attributes, now)
         else:
             flush()
+            while now.tag in _ASIDE:
+                now = now.parent
             e = now
             while e is not root and e.tag != value:
                 e = e.parent

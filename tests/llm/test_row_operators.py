@@ -109,6 +109,29 @@ def test_main_text(spark):
     assert got[6] == "Text that is never closed, of a page that ends in a <b" and got[7].startswith("just words")
 
 
+def test_elements_that_are_not_closed_cut_no_page():
+    paragraphs = ["A sentence of some words that is long enough to be read here.", "Another one, of about as many words, that must not be lost either."]
+    article = "<article>" + "".join(f"<p>{p}</p>" for p in paragraphs) + "</article>"
+    for tag in ("button", "select", "svg", "iframe", "object", "canvas", "audio", "video", "noscript", "template"):
+        for page in (
+            f"<body><{tag}>Menu{article}</body>",
+            f"<body><div><{tag}>Menu</div>{article}</body>",
+            f"<body><{tag}>Menu{article}<{tag}>Share</{tag}></body>",
+            f"<body><div><{tag}>Menu</div>{article}<div>Share</{tag}></div></body>",
+            f"<body><{tag}>Menu{article}<div>Share</{tag}></div></body>",
+            f"<body><{tag}><div>Menu</div></{tag}>{article}</body>",
+            f"<body>{article.replace('</p>', f'<{tag}>Menu</p>')}</body>",
+            f"<body>{article.replace('</p>', f'<{tag}>Menu</{tag}></p>')}</body>",
+        ):
+            assert pages.main_text(page)[0].split("\n") == paragraphs, page
+    assert pages.main_text("<title>T <textarea>" + article)[0].endswith("\n".join(paragraphs)[-40:])
+
+
+def test_formulas_are_kept():
+    page = "<article><p>We know that <math><mi>E</mi><mo>=</mo><mi>mc</mi></math> holds for all of the cases that are listed here.</p></article>"
+    assert pages.main_text(page)[0] == "We know that E=mc holds for all of the cases that are listed here."
+
+
 def test_minimum_cut_is_least():
     rng = random.Random(4)
     for _ in range(200):
