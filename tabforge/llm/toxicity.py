@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tabforge.llm.tables import settled, sized_broadcast, text_of
 from tabforge.llm.words import Block, blocks, mix
@@ -33,8 +33,11 @@ from tabforge.llm.words import Block, blocks, mix
 PREFIX_BYTES = (4, 6, 8)
 PRIOR = 2.0
 DRIFT = 0.75
-#: Words and word beginnings of the lexicon, the most frequent first; the model is as large at most.
-LEXICON = 200_000
+#: Words and word beginnings of a lexicon that is carried to the workers (24 bytes each); a larger one
+#: is a table that the words of blocks of rows are joined with. No entry is left out.
+LEXICON = 1_000_000
+#: Rows of such a block, as a power of two.
+BLOCK_BITS = 9
 LEAST_DOCUMENTS = 2
 #: Labelled rows that are broadcast at most; more meet the documents in a shuffle.
 BROADCAST_LABELS = 1_000_000
@@ -70,6 +73,21 @@ class Lexicon:
         return np.log(share / (1 - share)) - math.log(base / (1 - base)) - DRIFT
 
 
+@dataclass
+class LexiconTable:
+    """A lexicon that is too large to carry: (hash, documents, toxic) as a table."""
+
+    table: DataFrame
+    n: int
+    n_toxic: int
+
+
+def _sorted(entries: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    hashes = entries.column("hash").to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], entries.column("documents").to_numpy()[order], entries.column("toxic").to_numpy()[order]
+
+
 def _levels(block: Block) -> tuple[np.ndarray, list[np.ndarray]]:
     """Which different word each word is, and the hashes of their levels, from general to special."""
     different, first, which = np.unique(block.hashes, return_index=True, return_inverse=True)
@@ -130,67 +148,102 @@ def _counts(labelled: DataFrame) -> DataFrame:
     return labelled.select("text", "toxic").mapInArrow(count, "hash long, documents long, toxic long")
 
 
-def learn_lexicon(labelled: DataFrame, size: int = LEXICON) -> Lexicon:
-    """The lexicon of documents (text, toxic)."""
+def learn_lexicon(labelled: DataFrame, size: int = LEXICON) -> Lexicon | LexiconTable:
+    """The lexicon of documents (text, toxic); a table if it has more than ``size`` entries."""
     totals = labelled.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("t")).first()
     counted = _counts(labelled).groupBy("hash").agg(F.sum("documents").alias("documents"), F.sum("toxic").alias("toxic"))
-    top = counted.where(F.col("documents") >= LEAST_DOCUMENTS).orderBy(F.desc("documents"), "hash").limit(size).toArrow()
-    hashes = top.column("hash").to_numpy().view(np.uint64)
-    order = np.argsort(hashes)
-    return Lexicon(hashes[order], top.column("documents").to_numpy()[order], top.column("toxic").to_numpy()[order], totals["n"], totals["t"])
+    counted = settled(counted.where(F.col("documents") >= LEAST_DOCUMENTS))
+    if counted.count() > size:
+        return LexiconTable(counted, totals["n"], totals["t"])
+    return Lexicon(*_sorted(counted.toArrow()), totals["n"], totals["t"])
 
 
-def scanned(text: Column, lexicon: Lexicon, own: Column | None = None) -> Column:
+def _scan(texts: pa.Array, labels: pa.Array | None, lexicon: Lexicon) -> pa.Array:
     """Struct of n words, maximal segments, and a histogram of weights (in the first row of a
-    block, for the words of its non-toxic rows). ``own``: labels, where the rows are in the lexicon."""
-
-    def scan(texts: pa.Array, labels: pa.Array | None) -> pa.Array:
-        label = labels.to_numpy() if labels is not None else np.zeros(len(texts), dtype=int)
-        rows = []
-        for b in blocks(texts, "letter"):
-            mine = label[b.first : b.first + b.n_texts]
-            n = np.diff(b.word_bounds)
-            if b.n_words:
-                which, levels = _levels(b)
-                if labels is None:
-                    weight = lexicon.weights(levels, None)[which]
-                else:
-                    weight = np.where(mine[b.text_of_word] == 1, lexicon.weights(levels, 1)[which], lexicon.weights(levels, 0)[which])
-                total = np.concatenate([[0.0], np.cumsum(weight)])
-                positive = np.flatnonzero(weight > 0)
-                bounds = np.searchsorted(positive, b.word_bounds)
-                ordinary = weight[mine[b.text_of_word] == 0] if labels is not None else weight[:0]
-                bins = np.clip((ordinary / _BIN).astype(int) + _BINS // 2, 0, _BINS - 1)
-                histogram = np.bincount(bins, minlength=_BINS).tolist() if labels is not None else []
-            for t in range(b.n_texts):
-                segments = []
-                if n[t] and bounds[t] < bounds[t + 1]:
-                    at = positive[bounds[t] : bounds[t + 1]]
-                    first = b.word_bounds[t]
-                    segments = [{"lo": lo, "hi": hi, "score": s} for lo, hi, s in maximal_segments(at - first, weight[at], total[at] - total[first])]
-                rows.append({"n": int(n[t]), "segments": segments, "histogram": histogram if b.n_words and t == 0 else []})
-        kind = pa.struct(
-            [
-                ("n", pa.int32()),
-                ("segments", pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32()), ("score", pa.float64())]))),
-                ("histogram", pa.list_(pa.int32())),
-            ]
-        )
-        return pa.array(rows, kind)
-
+    block, for the words of its non-toxic rows). ``labels``: where the rows are in the lexicon."""
+    label = labels.to_numpy() if labels is not None else np.zeros(len(texts), dtype=int)
+    rows = []
+    for b in blocks(texts, "letter"):
+        mine = label[b.first : b.first + b.n_texts]
+        n = np.diff(b.word_bounds)
+        if b.n_words:
+            which, levels = _levels(b)
+            if labels is None:
+                weight = lexicon.weights(levels, None)[which]
+            else:
+                weight = np.where(mine[b.text_of_word] == 1, lexicon.weights(levels, 1)[which], lexicon.weights(levels, 0)[which])
+            total = np.concatenate([[0.0], np.cumsum(weight)])
+            positive = np.flatnonzero(weight > 0)
+            bounds = np.searchsorted(positive, b.word_bounds)
+            ordinary = weight[mine[b.text_of_word] == 0] if labels is not None else weight[:0]
+            bins = np.clip((ordinary / _BIN).astype(int) + _BINS // 2, 0, _BINS - 1)
+            histogram = np.bincount(bins, minlength=_BINS).tolist() if labels is not None else []
+        for t in range(b.n_texts):
+            segments = []
+            if n[t] and bounds[t] < bounds[t + 1]:
+                at = positive[bounds[t] : bounds[t + 1]]
+                first = b.word_bounds[t]
+                segments = [{"lo": lo, "hi": hi, "score": s} for lo, hi, s in maximal_segments(at - first, weight[at], total[at] - total[first])]
+            rows.append({"n": int(n[t]), "segments": segments, "histogram": histogram if b.n_words and t == 0 else []})
+    kind = pa.struct(
+        [
+            ("n", pa.int32()),
+            ("segments", pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32()), ("score", pa.float64())]))),
+            ("histogram", pa.list_(pa.int32())),
+        ]
+    )
+    return pa.array(rows, kind)
+
+
+def scanned(df: DataFrame, out: str, text: Column, lexicon: Lexicon | LexiconTable, own: Column | None = None) -> DataFrame:
+    """``df`` with a column ``out`` of ``_scan``. ``own``: labels, where the rows are in the lexicon."""
+    if isinstance(lexicon, LexiconTable):
+        return _scanned_by_blocks(df, out, text, lexicon, own)
     if own is None:
 
         @F.arrow_udf(_SCAN)
         def alone(texts: pa.Array) -> pa.Array:
-            return scan(texts, None)
+            return _scan(texts, None, lexicon)
 
-        return alone(text)
+        return df.withColumn(out, alone(text))
 
     @F.arrow_udf(_SCAN)
     def left_out(texts: pa.Array, labels: pa.Array) -> pa.Array:
-        return scan(texts, labels)
+        return _scan(texts, labels, lexicon)
+
+    return df.withColumn(out, left_out(text, own))
+
+
+def _scanned_by_blocks(df: DataFrame, out: str, text: Column, lexicon: LexiconTable, own: Column | None) -> DataFrame:
+    """The same, each block of rows with the entries of its own words: the different words of a block
+    are joined with the table, and what is found meets the block's rows again."""
+    order = [c for c in df.columns if c != out] + [out]
+    rows = df.withColumn("_text", text).withColumn("_own", own.cast("int") if own is not None else F.lit(0)).drop(out)
+    rows = settled(rows.withColumn("_block", F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS)))
+
+    def words(batches):
+        for batch in batches:
+            of = batch.column("_block").to_numpy()
+            bounds = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1), len(of)] if len(of) else []
+            for lo, hi in zip(bounds, bounds[1:]):
+                for b in blocks(batch.column("_text").slice(lo, hi - lo), "letter"):
+                    if b.n_words:
+                        hashes = np.unique(np.concatenate(_levels(b)[1]))
+                        hashes = hashes[hashes != 0]
+                        yield pa.RecordBatch.from_pydict({"_block": np.full(len(hashes), of[lo]), "hash": hashes.view(np.int64)})
+
+    wanted = rows.select("_block", "_text").mapInArrow(words, "_block long, hash long").distinct()
+    found = wanted.join(lexicon.table, "hash")
+    labelled, n, n_toxic = own is not None, lexicon.n, lexicon.n_toxic
+
+    def scan(left: pa.Table, right: pa.Table) -> pa.Table:
+        part = Lexicon(*_sorted(right), n, n_toxic)
+        texts, labels = (left.column(c).combine_chunks() for c in ("_text", "_own"))
+        return left.drop_columns(["_text", "_own", "_block"]).append_column(out, _scan(texts, labels if labelled else None, part))
 
-    return left_out(text, own)
+    kind = T.StructType([*rows.drop("_text", "_own", "_block").schema.fields, T.StructField(out, T.DataType.fromDDL(_SCAN))])
+    met = rows.groupBy("_block").cogroup(found.groupBy("_block")).applyInArrow(scan, kind)
+    return met.select(*[F.col(f"`{c}`") for c in (df.columns if out in df.columns else order)])
 
 
 def _decay(histogram: list[int]) -> float:
@@ -209,7 +262,7 @@ def _decay(histogram: list[int]) -> float:
 class ToxicityModel:
     """A lexicon, the Gumbel law of ordinary text, and the logistic curve of the score."""
 
-    lexicon: Lexicon
+    lexicon: Lexicon | LexiconTable
     decay: float
     log_k: float
     curve: list[float]
@@ -236,18 +289,18 @@ class ToxicityModel:
         first, second = self.surprises(scan)
         linear = self.curve[0] + self.curve[1] * first + self.curve[2] * second
         passages = F.filter(scan["segments"], lambda s: self.expected(s, scan["n"]) < 0)
-        found = df.withColumn("toxicity", scanned(F.lower(text_of(text_col)), self.lexicon))
+        found = scanned(df, "toxicity", F.lower(text_of(text_col)), self.lexicon)
         return found.withColumn("toxicity", F.struct((1 / (1 + F.exp(-linear))).alias("score"), passages.alias("passages")))
 
 
-def fit(labelled: DataFrame) -> ToxicityModel:
+def fit(labelled: DataFrame, size: int = LEXICON) -> ToxicityModel:
     """A model from documents (text, toxic); with no toxic or no other document all scores are the prior share."""
     rows = labelled.select(F.lower(text_of("text")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
-    lexicon = learn_lexicon(rows)
+    lexicon = learn_lexicon(rows, size)
     if lexicon.n_toxic in (0, lexicon.n):
         share = (lexicon.n_toxic + 0.5) / (lexicon.n + 1)
         return ToxicityModel(lexicon, 1.0, 0.0, [math.log(share / (1 - share)), 0.0, 0.0])
-    scans = settled(rows.select("toxic", scanned(F.col("text"), lexicon, F.col("toxic")).alias("s")))
+    scans = settled(scanned(rows, "s", F.col("text"), lexicon, F.col("toxic")).select("toxic", "s"))
     sums = {r["pos"]: r["n"] for r in scans.select(F.posexplode("s.histogram").alias("pos", "n")).groupBy("pos").agg(F.sum("n").alias("n")).collect()}
     decay = _decay([sums.get(k, 0) for k in range(_BINS)])
     best = F.array_max(F.transform("s.segments", lambda s: s["score"]))

@@ -302,6 +302,20 @@ def test_toxicity_on_held_out_rows(spark, documents):
     assert any(r.toxicity.passages for r in out if r.predicted)
 
 
+def test_a_lexicon_of_any_size_scores_alike(spark):
+    rows, labels = toxic_rows(random.Random(11), 300)
+    letters = str.maketrans("0123456789", "abcdefghij")
+    rows = [(i, f"{t} rare{i // 2}x".translate(letters)) for i, t in rows]
+    labelled = spark.createDataFrame([(t, y) for (_, t), (_, _, y) in zip(rows, labels)], "text string, toxic int").repartition(3)
+    docs = spark.createDataFrame([*rows, (None, None), (7, ""), (7, rows[7][1])], "doc_id long, text string")
+    small, large = tox.fit(labelled), tox.fit(labelled, 10)
+    assert isinstance(large.lexicon, tox.LexiconTable) and large.lexicon.table.count() == len(small.lexicon.hashes) > 300
+    assert large.curve == pytest.approx(small.curve, rel=1e-6) and large.decay == pytest.approx(small.decay)
+    scores = [sorted((r.doc_id or -1, r.text or "", r.toxicity.score) for r in m.score(docs.withColumn("toxicity", F.lit(1))).collect()) for m in (small, large)]
+    assert [s[:2] for s in scores[0]] == [s[:2] for s in scores[1]]
+    assert [s[2] for s in scores[0]] == pytest.approx([s[2] for s in scores[1]], rel=1e-5)
+
+
 def test_toxicity_with_labels_of_one_kind(spark, documents):
     table = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     assert {r.predicted for r in tox.toxicity(documents([(1, "a b"), (2, None)]), table).collect()} == {0}
