@@ -101,10 +101,20 @@ def fit_stack(
     df: DataFrame, bases: dict[str, object], meta: object, row_id: str = "row_id", label: str = "label", fold: str = "fold", k: int = 5
 ) -> StackedModel:
     """Stacked generalisation (Wolpert 1992): meta model on out-of-fold outputs only."""
+    return fit_stacks(df, bases, {"": meta}, row_id, label, fold, k)[""]
+
+
+def fit_stacks(
+    df: DataFrame, bases: dict[str, object], metas: dict[str, object], row_id: str = "row_id", label: str = "label", fold: str = "fold", k: int = 5
+) -> dict[str, StackedModel]:
+    """A stack for each meta model, all over the same bases, which are fitted once."""
     level_one = out_of_fold(df, bases, row_id, label, fold, k)
     assembled = VectorAssembler(inputCols=[f"z_{n}" for n in bases], outputCol="meta_features").transform(level_one)
-    meta_model = meta.copy({meta.featuresCol: "meta_features", meta.labelCol: label}).fit(assembled)
-    return StackedModel({n: learner.fit(df) for n, learner in bases.items()}, meta_model, list(bases))
+    whole = {n: learner.fit(df) for n, learner in bases.items()}
+    return {
+        name: StackedModel(whole, meta.copy({meta.featuresCol: "meta_features", meta.labelCol: label}).fit(assembled), list(bases))
+        for name, meta in metas.items()
+    }
 
 
 def fit_members(df: DataFrame, bases: dict[str, object]) -> dict[str, Model]:

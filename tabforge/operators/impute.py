@@ -223,6 +223,27 @@ def threshold_strategy(df: DataFrame, columns: Sequence[str], limit: float = 0.3
 FIXED_KNN_FEATURES = ("UREA", "PLT1", "NET", "MOT", "BAT")
 
 
+class ThresholdImputer:
+    """Median for columns with a larger share of gaps than ``limit``, neighbours in the others."""
+
+    def __init__(self, columns: Sequence[str], limit: float = 0.30, k: int = 5):
+        self.columns, self.limit, self.k = list(columns), limit, k
+        self.models: list = []
+
+    def fit(self, df: DataFrame) -> "ThresholdImputer":
+        shares = missing_shares(df, self.columns)
+        gappy = [c for c in self.columns if shares[c] > self.limit]
+        rest = [c for c in self.columns if c not in gappy]
+        self.models = [ColumnImputer(inputCols=gappy, strategy="median").fit(df)] if gappy else []
+        self.models += [KnnImputer(inputCols=rest, k=self.k).fit(df)] if rest else []
+        return self
+
+    def add_filled(self, df: DataFrame, method: str) -> DataFrame:
+        for model in self.models:
+            df = model.add_filled(df, method)
+        return df
+
+
 def fixed_strategy(columns: Sequence[str], knn_features: Sequence[str] = FIXED_KNN_FEATURES) -> dict[str, str]:
     return {c: "knn" if c in knn_features else "mice" for c in columns}
 

@@ -347,12 +347,19 @@ def q_grade(spark, sf):
 
 @query("q_strategies")
 def q_strategies(spark, sf):
-    """Nine strategies fitted and ranked by the mean drift."""
+    """All strategies fitted and ranked by the mean drift."""
     r = readings(spark, sf).select("row_id", *GAP_COLUMNS)
+    imputers = _strategies()
+    return rounded(drift.rank_strategies(r, imputers, GAP_COLUMNS), 6, "avg_mean_change_pct", "avg_std_change_pct", "max_mean_change_pct")
+
+
+def _strategies():
     imputers = {f"knn_{k}": KnnImputer(inputCols=GAP_COLUMNS, k=k) for k in (3, 5, 7, 10, 15, 20)}
-    imputers.update({f"mice_{n}": ChainedLinearImputer(inputCols=GAP_COLUMNS, maxRounds=n) for n in (5, 10)})
+    imputers.update({f"mice_{n}": ChainedLinearImputer(inputCols=GAP_COLUMNS, maxRounds=n) for n in (5, 10, 20, 50)})
+    imputers["mice_rf"] = mice.ChainedTreeImputer("row_id", GAP_COLUMNS, "rf", **FOREST_CHAIN)
     imputers["median"] = ColumnImputer(inputCols=GAP_COLUMNS, strategy="median")
-    return rounded(drift.rank_strategies(r, imputers, GAP_COLUMNS), 6, "avg_mean_change_pct", "avg_std_change_pct", "max_mean_change_pct")
+    imputers["median_knn"] = impute.ThresholdImputer(GAP_COLUMNS, 0.30, 5)
+    return imputers
 
 
 @query(

@@ -297,7 +297,7 @@ class _KernelSvm:
 
 @query("en_stack_cls")
 def en_stack_cls(spark, sf):
-    """Out-of-fold stack of five bases under a logistic meta model."""
+    """Out-of-fold stack of five bases under a logistic, a forest and a boosted meta model."""
     train, test = _train_test(spark, sf)
     train, test = experiments.scaled_pair(train.drop("features"), test.drop("features"), X, "standard")
     folded = cut_lineage(models.balanced(split.kfold(train, "row_id", 5, seed=9), "label"))
@@ -308,7 +308,16 @@ def en_stack_cls(spark, sf):
         "xgb": models.boosted(n_estimators=150, learning_rate=0.1, max_depth=5, subsample=0.8, colsample=0.8),
         "lgbm": models.boosted(n_estimators=150, learning_rate=0.1, max_depth=5, subsample=0.8, colsample=0.8, min_child_weight=20),
     }
-    return _score(ensemble.fit_stack(folded, bases, LogisticRegression(), k=5).transform(test))
+    metas = {
+        "logistic": LogisticRegression(),
+        "forest": models.forest(trees=50, depth=10),
+        "gbt": models.boosted(n_estimators=50, learning_rate=0.1, max_depth=3),
+    }
+    out = None
+    for name, stack in ensemble.fit_stacks(folded, bases, metas, k=5).items():
+        part = _score(stack.transform(test)).select(F.lit(name).alias("meta"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def _stack_reg(spark, sf):
@@ -559,21 +568,26 @@ def _cv_row(data, name, removed, total):
     )
 
 
+def _sweep_detectors():
+    """Four detectors at three levels each; each takes rows in standard units."""
+    detectors = {f"z {limit}": lambda d, limit=limit: outliers.zscore_flags(d, X, limit) for limit in (2.5, 3.0, 3.5)}
+    flags = {"iforest": outliers.isolation_flags, "lof": outliers.lof_flags, "envelope": outliers.envelope_flags}
+    for name, flag in flags.items():
+        for share in (0.05, 0.10, 0.15):
+            detectors[f"{name} {share:.2f}"] = lambda d, flag=flag, share=share: flag(d, "row_id", X, share)
+    return detectors
+
+
 @query("out_sweep")
 def out_sweep(spark, sf):
     """Detectors at several levels: rows removed and CV metrics before and after, ranked by AUC."""
     data = training_table(split.kfold(lessons(spark, sf), "row_id", 5, seed=4), "row_id")
     total = data.count()
-    detectors = {
-        "z 2.5": lambda d: outliers.zscore_flags(d, X, 2.5),
-        "z 3.0": lambda d: outliers.zscore_flags(d, X, 3.0),
-        "iforest 0.05": lambda d: outliers.isolation_flags(d, "row_id", X, 0.05),
-        "iforest 0.10": lambda d: outliers.isolation_flags(d, "row_id", X, 0.10),
-        "envelope 0.10": lambda d: outliers.envelope_flags(d, "row_id", X, 0.10),
-    }
+    scaled = cut_lineage(ColumnScaler(inputCols=X, kind="standard").fit(data).transform(data).select("row_id", *X))
     out = _cv_row(data, "none", 0, total)
-    for name, flag in detectors.items():
-        kept = cut_lineage(flag(data).where("is_inlier"))
+    for name, flag in _sweep_detectors().items():
+        inliers = flag(scaled).where("is_inlier").select("row_id")
+        kept = training_table(data.join(inliers, "row_id", "left_semi"), "row_id")
         out = out.unionByName(_cv_row(kept, name, total - kept.count(), total))
     return out.orderBy(F.col("cv_auc").desc(), "method")
 

@@ -302,3 +302,36 @@ def test_errors_of_the_first_trees_of_a_forest(spark):
     got = models.forest_errors(fitted, df, "y", [2, 6], block=3)
     whole = fitted.transform(df).selectExpr("avg(power(prediction - y, 2))").first()[0]
     assert sorted(got) == [2, 6] and got[6] == pytest.approx(whole)
+
+
+def test_all_strategies_detectors_and_metas_are_registered(spark, planted, monkeypatch):
+    from tabforge.plans import imputation, learning
+
+    assert {"mice_10", "mice_20", "mice_50", "mice_rf", "median_knn", "knn_20"} <= set(imputation._strategies())
+    assert len(learning._sweep_detectors()) == 12
+    for name, flag in learning._sweep_detectors().items():
+        kept = flag(planted.select("row_id", F.col("a").alias("v"), F.col("b").alias("k"), F.col("c").alias("h"))).where("is_inlier").count()
+        assert kept == (600 if name.startswith("z") else round(600 * (1 - float(name.split()[1])))), name
+
+    def fit_stacks(df, bases, metas, **options):
+        raise Recorded(sorted(metas))
+
+    monkeypatch.setattr(ensemble, "fit_stacks", fit_stacks)
+    with pytest.raises(Recorded) as caught:
+        QUERIES["en_stack_cls"](spark, "/root/testdata/sf0.001")
+    assert caught.value.args == (["forest", "gbt", "logistic"],)
+
+
+def test_stacks_and_added_strategies(spark, planted):
+    from tabforge.operators.impute import ThresholdImputer
+    from tabforge.operators.mice import ChainedTreeImputer
+
+    folded = split.kfold(planted, "row_id", 2, seed=9)
+    stacks = ensemble.fit_stacks(folded, {"tree": models.tree(depth=3), "lr": LogisticRegression(labelCol="label")}, {"f": models.forest(trees=5, depth=3), "g": models.boosted(n_estimators=3)}, k=2)
+    assert all(_accuracy(stack.transform(planted)) > 0.9 for stack in stacks.values())
+    holes = planted.select("row_id", F.when(F.col("a") > 0.6, F.col("a")).alias("a"), F.when(F.col("b") > 0.1, F.col("b")).alias("b"), "c")
+    for imputer in (ThresholdImputer(["a", "b", "c"]), ChainedTreeImputer("row_id", ["a", "b", "c"], "rf", rounds=1, trees=2, depth=2)):
+        out = imputer.fit(holes).add_filled(holes, "new")
+        assert out.count() == 600 and out.where("a__new IS NULL OR b__new IS NULL OR c__new IS NULL").count() == 0
+        if isinstance(imputer, ThresholdImputer):
+            assert out.where("a IS NULL").select("a__new").distinct().count() == 1 and out.where("b IS NULL").select("b__new").distinct().count() > 1
