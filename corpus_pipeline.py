@@ -1,8 +1,8 @@
 """Cleaning of a document table in stages, each one operator of ``tabforge.llm``.
 
-Every stage but the last takes the columns of documents and returns them. Rows that share an id
-are one document: decisions of the near-duplicate stage are made for documents, and of rows that
-share an id one goes on.
+Every stage but the last takes the columns of documents and returns them. Rows that share an id and
+a text are one document, and one of them goes on from the near-duplicate stage; different texts that
+share an id are documents of their own there. Decontamination decides by id.
 """
 
 from __future__ import annotations
@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabforge.llm.decontaminate import decontaminate
-from tabforge.llm.near_dedup import near_duplicates
+from tabforge.llm.near_dedup import near_duplicates, with_text_hashes
 from tabforge.llm.packing import pack
 from tabforge.llm.secrets import find_secrets
-from tabforge.llm.tables import keyed_rows
+from tabforge.llm.tables import keyed_rows, text_of
 from tabforge.llm.toxicity import toxicity
 from tabforge.session import scratch_path
 
@@ -28,8 +28,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the least id, of each class of near duplicates."""
-    kept = near_duplicates(docs).where("is_kept").select("key")
-    return keyed_rows(docs.select(*COLUMNS)).join(kept, "key", "left_semi").dropDuplicates(["key"]).select(*COLUMNS)
+    same = ["key", "t1", "t2"]
+    kept = near_duplicates(docs).where("is_kept").select(*same)
+    rows = with_text_hashes(keyed_rows(docs.select(*COLUMNS)), text_of("text")).join(kept, same, "left_semi")
+    return rows.groupBy(*same).agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

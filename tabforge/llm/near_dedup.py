@@ -30,7 +30,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tabforge.llm.graph import components
 from tabforge.llm.tables import id_of, keyed, settled
@@ -92,6 +92,19 @@ def probability_jaccard(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarr
     return total
 
 
+def with_text_hashes(docs: DataFrame, text: Column) -> DataFrame:
+    """``docs`` with t1 and t2, two hashes that together stand for a text."""
+    return docs.withColumns({"t1": F.xxhash64(text), "t2": F.xxhash64(F.length(text), F.hash(text))})
+
+
+def _wanted_texts(docs: DataFrame, reps: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(key, text) of those ``reps`` whose key is wanted; a text is found by an id and its hashes."""
+    own = reps.join(wanted, "key", "left_semi").select("doc_key", "t1", "t2", F.col("key").alias("rep"))
+    same = ["doc_key", "t1", "t2"]
+    found = docs.withColumnRenamed("key", "doc_key").join(own, same).dropDuplicates(same)
+    return found.select(F.col("rep").alias("key"), "text")
+
+
 def _signatures(docs: DataFrame) -> DataFrame:
     """(key, t1, t2, registers): t1 and t2 are hashes of the text, registers empty without words."""
 
@@ -107,8 +120,7 @@ def _signatures(docs: DataFrame) -> DataFrame:
                     [rows.column(c) for c in ("key", "t1", "t2")] + [pa.ListArray.from_arrays(bounds, found[has].ravel())], ["key", "t1", "t2", "registers"]
                 )
 
-    own = docs.select("key", F.xxhash64("text").alias("t1"), F.xxhash64(F.length("text"), F.hash("text")).alias("t2"), "text")
-    return own.mapInArrow(sign, "key long, t1 long, t2 long, registers array<int>")
+    return docs.select("key", "t1", "t2", "text").mapInArrow(sign, "key long, t1 long, t2 long, registers array<int>")
 
 
 def _bags(docs: DataFrame) -> DataFrame:
@@ -145,7 +157,7 @@ def _agreeing(pairs: DataFrame, reps: DataFrame, least: float) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(agree, "a long, b long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose whole bags are alike."""
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +171,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame
             yield out.filter(pa.array(np.array(found) >= similarity - 1e-12, pa.bool_()))
 
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    own = _bags(docs.join(wanted, "key", "left_semi").dropDuplicates(["key"]))
+    own = _bags(_wanted_texts(docs, reps, wanted))
     both = pairs.join(own.toDF("a", "ids_a", "counts_a"), "a").join(own.toDF("b", "ids_b", "counts_b"), "b")
     return both.mapInArrow(measure, "a long, b long, similarity double")
 
@@ -220,7 +232,7 @@ def _block_links(rows: pa.Table, similarity: float) -> list[tuple[int, int]]:
     return out
 
 
-def _links_in_blocks(families: DataFrame, docs: DataFrame, similarity: float, block_texts: int) -> DataFrame:
+def _links_in_blocks(families: DataFrame, docs: DataFrame, reps: DataFrame, similarity: float, block_texts: int) -> DataFrame:
     """(a, b) between members of a family that are in different components.
 
     ``families`` has pivot, key, component and main, the pivot's component. Of each pair at least
@@ -231,7 +243,7 @@ def _links_in_blocks(families: DataFrame, docs: DataFrame, similarity: float, bl
     apart = families.groupBy("pivot").agg(F.max(F.col("component") != F.col("main")).alias("apart")).where("apart").select("pivot")
     apart = settled(apart)  # tables of their own, here and below, so that joins on a large family can be split
     families = settled(families.join(apart, "pivot", "left_semi"))
-    bags_of = settled(_bags(docs.join(families.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])))
+    bags_of = settled(_bags(_wanted_texts(docs, reps, families.select("key").distinct())))
     size = F.floor(F.log(F.greatest(F.length("ids") / 4, F.lit(1))) / -math.log(similarity) + 1e-9).cast("int")
     kinds = bags_of.select("key", F.when(F.length("counts") > 0, F.lit(-1)).otherwise(size).alias("kind"))
     rows = settled(families.join(kinds, "key"))
@@ -258,10 +270,12 @@ def _links_in_blocks(families: DataFrame, docs: DataFrame, similarity: float, bl
 
 
 def near_links(docs: DataFrame, table: DataFrame, similarity: float, block_texts: int = BLOCK_TEXTS) -> tuple[DataFrame, DataFrame]:
-    """Verified links between different texts, enough to connect every class; and those texts."""
-    reps = settled(
-        table.groupBy("t1", "t2").agg(F.min(F.struct("key", "registers")).alias("r")).select("t1", "t2", "r.key", "r.registers")
-    )
+    """Verified links between different texts, enough to connect every class; and those texts.
+
+    A text has a key of its own, as an id may stand for several texts; ``doc_key`` is its least id.
+    """
+    reps = table.groupBy("t1", "t2").agg(F.min(F.struct("key", "registers")).alias("r"))
+    reps = settled(reps.select("t1", "t2", F.col("r.key").alias("doc_key"), F.monotonically_increasing_id().alias("key"), "r.registers"))
     has = reps.where(F.size("registers") > 0)
     bands = F.explode(F.array(*[F.xxhash64(F.lit(k), *[F.col("registers")[k + i] for i in range(ROWS)]) for k in range(0, REGISTERS, ROWS)]))
     spread = has.select("key", bands.alias("bucket"))
@@ -274,30 +288,32 @@ def near_links(docs: DataFrame, table: DataFrame, similarity: float, block_texts
     least = similarity - 5 * (similarity * (1 - similarity) / REGISTERS) ** 0.5
     pairs = families.select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
     near = settled(_agreeing(pairs, has, least))
-    links = settled(_verified(near, docs, similarity).select("a", "b"))
+    links = settled(_verified(near, docs, reps, similarity).select("a", "b"))
     classes = components(links)
     own, main = classes.toDF("key", "component"), classes.toDF("pivot", "main")
     rated = families.join(own, "key", "left").join(main, "pivot", "left")
     rated = rated.select("pivot", "key", F.coalesce("component", "key").alias("component"), F.coalesce("main", "pivot").alias("main"))
-    return links.union(settled(_links_in_blocks(rated, docs, similarity, block_texts))), reps
+    return links.union(settled(_links_in_blocks(rated, docs, reps, similarity, block_texts))), reps
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """(key, doc_id, class_id, class_size, is_kept): the class of each document, by its key of ``keyed``.
+    """(key, t1, t2, doc_id, class_id, class_size, is_kept): the class of each document, by its key
+    of ``keyed`` and the hashes of its text.
 
-    A class is named by its least doc_id, which is kept. Equal texts are one class, empty and
-    null ones too; a text without words is like equal texts only. Rows that share an id are one
-    document and make one row. Rows without an id are told apart by their texts, and their
+    A class is named by its least doc_id, which is kept; of texts that share that id, the one of
+    the least hashes. Equal texts are one class, empty and null ones too; a text without words is
+    like equal texts only. Rows that share an id and a text make one row; texts that share an id
+    are documents of their own. Rows without an id are told apart by their texts, and their
     doc_id, and class_id where the class has no other, is null. Other columns are ignored.
     """
-    docs = keyed(df, id_col, text_col)
+    docs = with_text_hashes(keyed(df, id_col, text_col), F.col("text"))
     table = settled(_signatures(docs))
     links, reps = near_links(docs, table, similarity)
     classes = components(links).toDF("key", "component")
     named = reps.join(classes, "key", "left").select("t1", "t2", F.coalesce("component", "key").alias("component"))
-    members = table.select("key", "t1", "t2").join(named, ["t1", "t2"]).groupBy("key").agg(F.min("component").alias("component"))
-    members = settled(members)
-    sizes = settled(members.groupBy("component").agg(F.count("*").alias("class_size")))  # both sides of the join are plain, so a large class can be split
+    members = settled(table.select("key", "t1", "t2").distinct().join(named, ["t1", "t2"]))
+    # Both sides of the join are plain, so a large class can be split.
+    sizes = settled(members.groupBy("component").agg(F.count("*").alias("class_size"), F.min(F.struct("key", "t1", "t2")).alias("first")))
     return members.join(sizes, "component").select(
-        "key", id_of("key").alias("doc_id"), id_of("component").alias("class_id"), "class_size", (F.col("key") == F.col("component")).alias("is_kept")
+        "key", "t1", "t2", id_of("key").alias("doc_id"), id_of("first.key").alias("class_id"), "class_size", (F.struct("key", "t1", "t2") == F.col("first")).alias("is_kept")
     )

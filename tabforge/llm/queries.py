@@ -35,7 +35,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
-    return near_duplicates(table(spark, sf_dir, "documents")).drop("key")
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("key", "t1", "t2")
 
 
 @query

@@ -82,6 +82,15 @@ def test_rows_without_ids_and_repeated_rows(spark):
         assert stage(spark, empty, SF).collect() == []
 
 
+def test_different_texts_of_one_id_all_stay(spark):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    texts = [" ".join(f"{w}{k}" for k in range(40)) for w in "abcd"]
+    rows = [(5, texts[0]), (5, texts[1]), (5, texts[1]), (6, texts[1]), (6, texts[2]), (7, texts[2] + " more"), (7, texts[3]), (8, texts[3]), (8, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], schema).repartition(4)
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()
+    assert sorted((r.doc_id, r.text or "") for r in out) == [(5, texts[0]), (5, texts[1]), (6, texts[2]), (7, texts[3]), (8, "")]
+
+
 def test_substring_query_matches_plain(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in QUERIES["op10_substring_dedup"](spark, SF).collect()}
