@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabforge.llm.chat import CONTROL, END, SAYS, TURN, conversations, format_chats, read_loss, read_turns
 from tabforge.llm.decontaminate import decontaminate
+from tabforge.llm.infill import PLAIN, PSM, SPM, fill_in_middle, restored
 from tabforge.llm.near_dedup import near_duplicates
 from tabforge.llm.packing import pack
 from tabforge.llm.pages import extract
@@ -159,3 +160,31 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, with what its host and path say."""
     out = quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.withColumn("held_out", held_out("doc_id"))
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut in three and put in fill-in-the-middle order, and rebuilt from that."""
+    out = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    back = restored(F.col("fim.output"), F.col("fim.form"))
+    return out.select(
+        "doc_id",
+        "fim.n",
+        "fim.form",
+        "fim.prefix_chars",
+        "fim.middle_chars",
+        F.sha2("fim.output", 256).alias("output_sha256"),
+        F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+ORACLES["op12_fill_in_middle"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || doc_id) AS h FROM documents),
+k AS (SELECT doc_id, text, length(text) AS n, {', '.join(f"CAST('0x' || substr(h, {8 * i + 1}, 8) AS BIGINT) AS h{i + 1}" for i in range(4))} FROM d),
+f AS (SELECT *, CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN '{PLAIN}'
+  WHEN h4 % 100 < 20 THEN '{SPM}' ELSE '{PSM}' END AS form, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM k),
+c AS (SELECT *, substr(text, 1, a) AS p, substr(text, a + 1, b - a) AS m, substr(text, b + 1) AS s FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> '{PLAIN}' THEN a END AS prefix_chars, CASE WHEN form <> '{PLAIN}' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN '{PSM}' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN '{SPM}' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE text END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM c"""
