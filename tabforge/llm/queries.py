@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tabforge.llm.caps import near_vectors
 from tabforge.llm.chat import CONTROL, END, SAYS, TURN, conversations, format_chats, read_loss, read_turns
 from tabforge.llm.decontaminate import decontaminate
 from tabforge.llm.infill import PLAIN, PSM, SPM, fill_in_middle, restored
@@ -188,3 +189,22 @@ SELECT doc_id, n, form, CASE WHEN form <> '{PLAIN}' THEN a END AS prefix_chars,
   sha256(CASE form WHEN '{PSM}' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN '{SPM}' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE text END) AS output_sha256,
   sha256(text) AS restored_sha256
 FROM c"""
+
+
+@query
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector among those of its label."""
+    return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")).select("vec_id", "near.*")
+
+
+ORACLES["op13_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (SELECT vec_id, label, e, list_dot_product(e, e) AS square
+  FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL)
+  WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (sqrt(a.square) * sqrt(b.square)) >= 0.98),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a AS vec_id, min(b) AS least FROM r GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(c.least, vec_id)) AS component_id, vec_id <= coalesce(c.least, vec_id) AS kept
+FROM embeddings LEFT JOIN n USING (vec_id) LEFT JOIN c USING (vec_id)"""
