@@ -48,6 +48,8 @@ SPREAD = 0.8
 PART = 1024
 #: Vectors that are decoded at a time, for 64 code words.
 DECODED = 1024
+#: Classes of a part that is small, and products of small parts that are held at a time.
+SMALL, PRODUCTS = 16, 1_000_000
 #: Products this close to the similarity are computed again in a fixed order of additions.
 CLOSE = 1e-9
 
@@ -246,6 +248,31 @@ def _roots(linked: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray
         a, b = rows, columns
 
 
+def _without_links(column: pa.ListArray, similarity: float) -> np.ndarray:
+    """Which small parts hold no two vectors near the similarity; many are measured in one product."""
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False)
+    small = np.flatnonzero(sizes <= SMALL)
+    rows = column.take(pa.array(small)).flatten().field("vector")
+    lengths = rows.value_lengths().to_numpy(zero_copy_only=False)
+    starts = np.cumsum(sizes[small]) - sizes[small]
+    out = np.zeros(len(column), dtype=bool)
+    for length in np.unique(lengths):
+        place = np.full(len(rows), -1)
+        own = np.flatnonzero(lengths == length)
+        place[own] = np.arange(len(own))
+        unit = _vectors(rows.take(pa.array(own)))
+        for size in np.unique(sizes[small]):
+            chosen = np.flatnonzero((sizes[small] == size) & (lengths[np.minimum(starts, len(rows) - 1)] == length))
+            step = max(1, PRODUCTS // (size * max(size, length)))
+            for lo in range(0, len(chosen), step):
+                some = chosen[lo : lo + step]
+                own = unit[place[starts[some][:, None] + np.arange(size)]]
+                products = own @ own.transpose(0, 2, 1)
+                products[:, np.arange(size), np.arange(size)] = -1
+                out[small[some]] = products.max(axis=(1, 2)) < similarity - CLOSE
+    return out
+
+
 def _verified(parts: DataFrame, similarity: float) -> DataFrame:
     """(node, links, root) from rows (a, b) of two parts of a filter; without b a part meets itself."""
 
@@ -253,7 +280,8 @@ def _verified(parts: DataFrame, similarity: float) -> DataFrame:
         for batch in batches:
             left, right = batch.column("a"), batch.column("b")
             nodes, links, roots = [], [], []
-            for i in range(len(batch)):
+            idle = _without_links(left, similarity) & right.is_null().to_numpy(zero_copy_only=False)
+            for i in np.flatnonzero(~idle).tolist():
                 a = Part(left[i].values)
                 b = Part(right[i].values) if right[i].is_valid else a
                 linked = _links(a, b, similarity)
