@@ -12,6 +12,7 @@ from tabforge.llm.near_dedup import near_duplicates
 from tabforge.llm.packing import pack
 from tabforge.llm.pages import extract
 from tabforge.llm.quality import quality
+from tabforge.llm.search import search
 from tabforge.llm.secrets import KINDS, find_secrets, joined
 from tabforge.llm.spotsigs import edit_likeness, fingerprint
 from tabforge.llm.substrings import remove_repeats
@@ -208,3 +209,23 @@ c AS (SELECT a AS vec_id, min(b) AS least FROM r GROUP BY a),
 n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a)
 SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(c.least, vec_id)) AS component_id, vec_id <= coalesce(c.least, vec_id) AS kept
 FROM embeddings LEFT JOIN n USING (vec_id) LEFT JOIN c USING (vec_id)"""
+
+
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The highest-scoring documents of every benchmark item."""
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+ORACLES["op11_lexical_search"] = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS w FROM documents), t AS (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d),
+s AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS words FROM d WHERE len(w) > 0),
+f AS (SELECT doc_id, n, term, count(*) AS tf FROM t GROUP BY ALL),
+g AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM f, s GROUP BY term, docs),
+i AS (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark),
+x AS (SELECT item_id, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + ((75 * n * docs) // words))))) AS BIGINT) AS score
+  FROM i JOIN g USING (term) JOIN f USING (term), s GROUP BY ALL),
+r AS (SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM x WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10"""
