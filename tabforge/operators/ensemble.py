@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tabforge.operators.boosting import Boosting, fit_many
 from tabforge.session import cut_lineage
 
+#: Fits that run at a time; each leaves cores idle between its jobs.
+PARALLEL = 6
+
 
 def hard_vote(votes: Sequence[Column], classes: Sequence) -> Column:
     """Most voted class; a tie goes to the earlier class."""
@@ -59,7 +65,30 @@ def _probability(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, value).drop("probability", "rawPrediction", "prediction")
 
 
-def out_of_fold(df: DataFrame, bases: dict[str, object], row_id: str, label: str, fold: str, k: int) -> DataFrame:
+def fit_side_by_side(tasks: dict, parallel: int = PARALLEL) -> dict:
+    """{name: result} of functions without arguments, run from several driver threads."""
+    with ThreadPoolExecutor(max(1, min(parallel, len(tasks)))) as pool:
+        return dict(zip(tasks, pool.map(lambda make: make(), tasks.values())))
+
+
+def fit_bases(df: DataFrame, bases: dict[str, object], row_id: str, fold: str, k: int, features: Sequence[str] = (), whole: bool = True) -> dict:
+    """{(base, fold or None): model}: every base on all rows but a fold's, and on all rows if ``whole``.
+
+    Bases given as ``Boosting`` grow together in one batch over ``features``; the others are fitted side by side.
+    """
+    parts = [*range(k), *([None] if whole else [])]
+    boosted = {n: b for n, b in bases.items() if isinstance(b, Boosting)}
+    batch = df.withColumns({f"_in{i}": F.col(fold) != i for i in range(k)}) if boosted else df
+    specs = {(n, i): replace(b, rows="" if i is None else f"_in{i}") for n, b in boosted.items() for i in parts}
+    tasks = {"batch": lambda: fit_many(batch, specs, features, row_id)} if boosted else {}
+    for n, b in bases.items():
+        if n not in boosted:
+            tasks |= {(n, i): lambda b=b, i=i: b.fit(df if i is None else df.where(F.col(fold) != i)) for i in parts}
+    found = fit_side_by_side(tasks)
+    return {**found.pop("batch", {}), **found}
+
+
+def out_of_fold(df: DataFrame, bases: Sequence[str], fitted: dict, row_id: str, label: str, fold: str, k: int) -> DataFrame:
     """Predictions of every base for every row by a model that did not see the row's fold.
 
     Each fold is scored by all bases in one chain of projections, so the table is
@@ -67,10 +96,9 @@ def out_of_fold(df: DataFrame, bases: dict[str, object], row_id: str, label: str
     """
     parts = None
     for i in range(k):
-        train, held = df.where(F.col(fold) != i), df.where(F.col(fold) == i)
-        scored = held
-        for name, learner in bases.items():
-            scored = _probability(learner.fit(train).transform(scored), f"z_{name}")
+        scored = df.where(F.col(fold) == i)
+        for name in bases:
+            scored = _probability(fitted[name, i].transform(scored), f"z_{name}")
         scored = scored.select(row_id, label, fold, *[f"z_{n}" for n in bases])
         parts = scored if parts is None else parts.unionByName(scored)
     return cut_lineage(parts)
@@ -91,30 +119,50 @@ class StackedModel(Model):
         return self.meta.transform(out).drop("meta_features", *[f"z_{n}" for n in self.names])
 
     def weights(self, spark) -> DataFrame:
-        """Meta coefficient per base."""
-        coefficients = self.meta.coefficients
-        rows = [(n, float(c)) for n, c in zip(self.names, coefficients)]
-        return spark.createDataFrame(rows, "base string, coefficient double")
+        return meta_weights(self.meta, self.names, spark)
+
+
+def meta_weights(meta: Model, names: Sequence[str], spark) -> DataFrame:
+    """Meta coefficient per base."""
+    rows = [(n, float(c)) for n, c in zip(names, meta.coefficients)]
+    return spark.createDataFrame(rows, "base string, coefficient double")
 
 
 def fit_stack(
-    df: DataFrame, bases: dict[str, object], meta: object, row_id: str = "row_id", label: str = "label", fold: str = "fold", k: int = 5
+    df: DataFrame,
+    bases: dict[str, object],
+    meta: object,
+    row_id: str = "row_id",
+    label: str = "label",
+    fold: str = "fold",
+    k: int = 5,
+    features: Sequence[str] = (),
 ) -> StackedModel:
     """Stacked generalisation (Wolpert 1992): meta model on out-of-fold outputs only."""
-    return fit_stacks(df, bases, {"": meta}, row_id, label, fold, k)[""]
+    return fit_stacks(df, bases, {"": meta}, row_id, label, fold, k, features)[""]
+
+
+def fit_metas(df: DataFrame, bases: Sequence[str], fitted: dict, metas: dict[str, object], row_id: str, label: str, fold: str, k: int) -> dict[str, Model]:
+    """Meta models over the out-of-fold outputs of fitted bases."""
+    level_one = out_of_fold(df, bases, fitted, row_id, label, fold, k)
+    assembled = VectorAssembler(inputCols=[f"z_{n}" for n in bases], outputCol="meta_features").transform(level_one)
+    return fit_side_by_side({n: lambda m=m: m.copy({m.featuresCol: "meta_features", m.labelCol: label}).fit(assembled) for n, m in metas.items()})
 
 
 def fit_stacks(
-    df: DataFrame, bases: dict[str, object], metas: dict[str, object], row_id: str = "row_id", label: str = "label", fold: str = "fold", k: int = 5
+    df: DataFrame,
+    bases: dict[str, object],
+    metas: dict[str, object],
+    row_id: str = "row_id",
+    label: str = "label",
+    fold: str = "fold",
+    k: int = 5,
+    features: Sequence[str] = (),
 ) -> dict[str, StackedModel]:
     """A stack for each meta model, all over the same bases, which are fitted once."""
-    level_one = out_of_fold(df, bases, row_id, label, fold, k)
-    assembled = VectorAssembler(inputCols=[f"z_{n}" for n in bases], outputCol="meta_features").transform(level_one)
-    whole = {n: learner.fit(df) for n, learner in bases.items()}
-    return {
-        name: StackedModel(whole, meta.copy({meta.featuresCol: "meta_features", meta.labelCol: label}).fit(assembled), list(bases))
-        for name, meta in metas.items()
-    }
+    fitted = fit_bases(df, bases, row_id, fold, k, features)
+    fitted_metas = fit_metas(df, list(bases), fitted, metas, row_id, label, fold, k)
+    return {name: StackedModel({n: fitted[n, None] for n in bases}, meta, list(bases)) for name, meta in fitted_metas.items()}
 
 
 def fit_members(df: DataFrame, bases: dict[str, object]) -> dict[str, Model]:

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tabforge.functions.rng import uniform
 from tabforge.operators import knn
+from tabforge.operators.boosting import Boosting, fit_many
 from tabforge.operators.encode import bounded_rows
 from tabforge.operators.profile import with_class_weights
 from tabforge.session import cut_lineage
@@ -156,13 +157,12 @@ class OneVsRestBoosting(Model):
         return out.withColumn("prediction", F.element_at(labels, best)).drop(*[f"_p{c}" for c in self.classes])
 
 
-def fit_one_vs_rest(df: DataFrame, label: str, **params) -> OneVsRestBoosting:
+def fit_one_vs_rest(df: DataFrame, label: str, features: Sequence[str], row_id: str, **params) -> OneVsRestBoosting:
+    """One boosted model for each class against the rest, all grown in the same passes."""
     classes = [r[0] for r in bounded_rows(df.select(label).distinct().orderBy(label), 1000, "classes")]
-    members = []
-    for c in classes:
-        binary = df.withColumn("_y", (F.col(label) == F.lit(c)).cast("double"))
-        members.append(boosted("_y", **params).fit(binary))
-    return OneVsRestBoosting(members, classes)
+    marked = df.withColumns({f"_y{i}": (F.col(label) == F.lit(c)).cast("double") for i, c in enumerate(classes)})
+    fitted = fit_many(marked, {i: Boosting(f"_y{i}", **params) for i in range(len(classes))}, features, row_id)
+    return OneVsRestBoosting([fitted[i] for i in range(len(classes))], classes)
 
 
 # ---- AdaBoost --------------------------------------------------------------

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from itertools import product
+
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from tabforge.functions.moments import exact_mean
 from tabforge.functions.rng import uniform, uniform_sql
 from tabforge.operators import ensemble, experiments, impute, leaderboard, metrics, mice, models, outliers, serve, split
+from tabforge.operators.boosting import Boosting, fit_many
 from tabforge.operators.encode import ColumnScaler
 from tabforge.operators.experiments import Experiment, with_score
 from tabforge.plans.aggregates import rounded
@@ -56,6 +59,16 @@ def _train_test(spark, sf):
     return data.where("is_train"), data.where("NOT is_train")
 
 
+def _boost(train, spec):
+    return fit_many(train, {"": spec}, X, "row_id")[""]
+
+
+#: Sizes of the reference's boosted learners.
+MULTICLASS = {"n_estimators": 200, "max_depth": 7, "learning_rate": 0.1, "subsample": 0.8}
+STACK_TREES, STACK_META_TREES, GRID_TREES, SWEEP_TREES = 150, 50, (100, 200), 200
+CURVE_TREES = tuple(range(50, 251, 25))
+
+
 def _score(predictions, label="label"):
     """Accuracy, F1, AUC of a two-class prediction table as one row."""
     p = with_score(predictions).select(F.col(label).cast("double").alias("label"), F.col("prediction").cast("double").alias("prediction"), "score")
@@ -142,22 +155,23 @@ def md_gbt(spark, sf):
 
 @query("md_xgb")
 def md_xgb(spark, sf):
+    """Second-order boosting with both penalties."""
     train, test = _train_test(spark, sf)
-    learner = models.boosted(n_estimators=150, learning_rate=0.1, max_depth=5, subsample=0.8, gamma=0.001, min_child_weight=3, colsample=0.8)
-    return _score(learner.fit(train).transform(test))
+    return _score(_boost(train, Boosting("label", n_estimators=150, subsample=0.8, colsample=0.8, gamma=0.001, min_child_weight=3, reg_lambda=1.0, reg_alpha=0.01)).transform(test))
 
 
 @query("md_lgbm")
 def md_lgbm(spark, sf):
+    """Second-order boosting whose trees are bounded by their leaves."""
     train, test = _train_test(spark, sf)
-    return _score(models.boosted(n_estimators=150, learning_rate=0.1, max_depth=5, subsample=0.8, min_child_weight=20, colsample=0.8).fit(train).transform(test))
+    return _score(_boost(train, Boosting("label", n_estimators=150, subsample=0.8, colsample=0.8, min_child_samples=20, num_leaves=31)).transform(test))
 
 
 @query("md_multiclass_gbt")
 def md_multiclass_gbt(spark, sf):
     """Four classes: probabilities that sum to 1, class report and weighted AUC."""
     train, test = _train_test(spark, sf)
-    p = cut_lineage(models.fit_one_vs_rest(train, "cls", n_estimators=200, max_depth=7, learning_rate=0.1, subsample=0.8).transform(test))
+    p = cut_lineage(models.fit_one_vs_rest(train, "cls", X, "row_id", **MULTICLASS).transform(test))
     wide = p.withColumns({f"s{i}": F.get("probabilities", F.lit(i)) for i in range(4)})
     report = metrics.class_report(p, "cls", "prediction")
     auc = metrics.auc_one_vs_rest(wide, "cls", {i: f"s{i}" for i in range(4)}).select("auc_weighted").scalar()
@@ -301,49 +315,54 @@ def en_stack_cls(spark, sf):
     train, test = _train_test(spark, sf)
     train, test = experiments.scaled_pair(train.drop("features"), test.drop("features"), X, "standard")
     folded = cut_lineage(models.balanced(split.kfold(train, "row_id", 5, seed=9), "label"))
+    boost = Boosting("label", weight="weight", n_estimators=STACK_TREES, subsample=0.8)
     bases = {
         "svm": _KernelSvm(),
-        "forest": models.forest(trees=150, depth=FOREST_DEPTH, minInstancesPerNode=2, weightCol="weight"),
-        "gbt": models.boosted(n_estimators=150, learning_rate=0.1, max_depth=5, subsample=0.8),
-        "xgb": models.boosted(n_estimators=150, learning_rate=0.1, max_depth=5, subsample=0.8, colsample=0.8),
-        "lgbm": models.boosted(n_estimators=150, learning_rate=0.1, max_depth=5, subsample=0.8, colsample=0.8, min_child_weight=20),
+        "forest": models.forest(trees=STACK_TREES, depth=FOREST_DEPTH, minInstancesPerNode=2, weightCol="weight"),
+        "gbt": replace(boost, newton=False),
+        "xgb": replace(boost, colsample=0.8, reg_lambda=1.0, min_child_weight=1.0),
+        "lgbm": replace(boost, colsample=0.8, min_child_samples=20, num_leaves=31),
     }
     metas = {
         "logistic": LogisticRegression(),
-        "forest": models.forest(trees=50, depth=10),
-        "gbt": models.boosted(n_estimators=50, learning_rate=0.1, max_depth=3),
+        "forest": models.forest(trees=STACK_META_TREES, depth=10),
+        "gbt": models.boosted(n_estimators=STACK_META_TREES, learning_rate=0.1, max_depth=3),
     }
     out = None
-    for name, stack in ensemble.fit_stacks(folded, bases, metas, k=5).items():
+    for name, stack in ensemble.fit_stacks(folded, bases, metas, k=5, features=X).items():
         part = _score(stack.transform(test)).select(F.lit(name).alias("meta"), "*")
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def _stack_reg(spark, sf):
+def _stack_reg_parts(spark, sf):
     train, test = _train_test(spark, sf)
-    folded = split.kfold(train, "row_id", 5, seed=9)
+    folded = cut_lineage(split.kfold(train, "row_id", 5, seed=9))
+    boost = Boosting("y", logistic=False, n_estimators=STACK_TREES)
     bases = {
-        "xgb": models.boosted("y", True, n_estimators=150, learning_rate=0.3, max_depth=6),
-        "forest": models.forest("y", trees=150, depth=FOREST_DEPTH, regression=True),
-        "gbt": models.boosted("y", True, n_estimators=150, learning_rate=0.1, max_depth=3),
-        "extra": models.extra_trees("y", trees=150, depth=FOREST_DEPTH, regression=True),
+        "xgb": replace(boost, learning_rate=0.3, max_depth=6, reg_lambda=1.0, min_child_weight=1.0),
+        "forest": models.forest("y", trees=STACK_TREES, depth=FOREST_DEPTH, regression=True),
+        "gbt": replace(boost, max_depth=3, newton=False),
+        "extra": models.extra_trees("y", trees=STACK_TREES, depth=FOREST_DEPTH, regression=True),
         "ridge": models.ridge(train, "y"),
         "lasso": models.lasso("y"),
     }
-    return ensemble.fit_stack(folded, bases, models.ridge(train, "y"), label="y", k=5), test
+    return folded, test, bases, models.ridge(train, "y")
 
 
 @query("en_stack_reg")
 def en_stack_reg(spark, sf):
-    stack, test = _stack_reg(spark, sf)
-    return _regress(stack.transform(test))
+    folded, test, bases, meta = _stack_reg_parts(spark, sf)
+    return _regress(ensemble.fit_stack(folded, bases, meta, label="y", k=5, features=X).transform(test))
 
 
 @query("en_weights")
 def en_weights(spark, sf):
-    stack, _ = _stack_reg(spark, sf)
-    return stack.weights(spark)
+    """Weights of the stack's meta model, which needs the out-of-fold models only."""
+    folded, _, bases, meta = _stack_reg_parts(spark, sf)
+    fitted = ensemble.fit_bases(folded, bases, "row_id", "fold", 5, X, whole=False)
+    metas = ensemble.fit_metas(folded, list(bases), fitted, {"": meta}, "row_id", "y", "fold", 5)
+    return ensemble.meta_weights(metas[""], list(bases), spark)
 
 
 @query("en_members")
@@ -363,32 +382,46 @@ def en_members(spark, sf):
 
 @query("ex_grid")
 def ex_grid(spark, sf):
-    """Exhaustive grids of three learners under fixed folds, best parameters refitted.
+    """Exhaustive grids of three learners under fixed folds; the best of each on the held-out rows.
 
-    The two boosted learners map to the same MLlib learner and grid, which is fitted once.
+    Numbers of trees are prefixes of the largest model. The boosted models of all folds, steps and
+    depths grow in the same passes; forests are fitted side by side.
     """
     train, test = _train_test(spark, sf)
-    folded = split.kfold(train, "row_id", 3, seed=3)
-    boosted, forest = GBTRegressor(labelCol="y", seed=42), models.forest("y", regression=True)
-    grids = [
-        (("XGBoost", "GradientBoosting"), boosted, boosted.maxIter, boosted.stepSize, ([100, 200], [5, 7], [0.1, 0.2])),
-        (("RandomForest",), forest, forest.numTrees, forest.minInstancesPerNode, ([100, 200], [10, 20], [1, 2])),
-    ]
+    folds, (small, large) = 3, GRID_TREES
+    folded = cut_lineage(split.kfold(train, "row_id", folds, seed=3)).withColumns({f"_in{i}": F.col("fold") != i for i in range(folds)})
+    specs = {}
+    for name, kind in (("XGBoost", {"reg_lambda": 1.0, "min_child_weight": 1.0}), ("GradientBoosting", {"newton": False})):
+        for depth, step, i in product((5, 7), (0.1, 0.2), (*range(folds), None)):
+            rows = "" if i is None else f"_in{i}"
+            specs[name, depth, step, i] = Boosting("y", rows=rows, logistic=False, n_estimators=large, learning_rate=step, max_depth=depth, **kind)
+
+    def forest(depth, least, i):
+        learner = models.forest("y", trees=large, depth=depth, regression=True, minInstancesPerNode=least)
+        return learner.fit(train if i is None else folded.where(F.col("fold") != i))
+
+    tasks = {("RandomForest", d, n, i): lambda d=d, n=n, i=i: forest(d, n, i) for d, n, i in product((10, 20), (1, 2), range(folds))}
+    fitted = ensemble.fit_side_by_side({"batch": lambda: fit_many(folded, specs, X, "row_id"), **tasks})
+    fitted = {**fitted.pop("batch"), **fitted}
+
+    def errors(model, df):
+        return model.errors(df, "y", (small, large)) if hasattr(model, "errors") else models.forest_errors(model, df, "y", (small, large))
+
+    parts = {i: cut_lineage(folded.where(F.col("fold") == i)) for i in range(folds)} | {None: cut_lineage(test)}
+    spread = {i: df.agg(F.var_pop("y")).first()[0] for i, df in parts.items()}
+    found = ensemble.fit_side_by_side({key: lambda key=key, m=m: errors(m, parts[key[3]]) for key, m in fitted.items()})
+    scores = {(*key[:3], n, key[3]): 1.0 - e / spread[key[3]] for key, by_size in found.items() for n, e in by_size.items()}
     rows = []
-    for names, learner, trees, third, (sizes, depths, thirds) in grids:
-        grid = ParamGridBuilder().addGrid(trees, sizes).addGrid(learner.maxDepth, depths).addGrid(third, thirds).build()
-        cv = CrossValidator(
-            estimator=learner, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol="y", metricName="r2"),
-            numFolds=3, foldCol="fold", parallelism=4, collectSubModels=False,
-        ).fit(folded)
-        held = float(_regress(cv.bestModel.transform(test)).select("r2_score").first()[0])
-        for m, avg, std in zip(grid, cv.avgMetrics, cv.stdMetrics):
-            step, least = (float(m[third]), 1) if learner is boosted else (None, int(m[third]))
-            rows += [(n, int(m[learner.maxDepth]), int(m[trees]), step, least, float(avg), float(std), held) for n in names]
-    out = spark.createDataFrame(
-        rows, "model string, max_depth int, trees int, step double, min_rows int, cv_r2 double, cv_r2_std double, test_r2_of_best double"
-    )
-    return out.orderBy(F.col("cv_r2").desc(), "model", "max_depth", "trees")
+    for name, depth, third, n in sorted({key[:4] for key in scores}):
+        each = [scores[name, depth, third, n, i] for i in range(folds)]
+        rows.append((name, depth, n, None if name == "RandomForest" else third, third if name == "RandomForest" else 1, float(np.mean(each)), float(np.std(each))))
+    held = {}
+    for name in {r[0] for r in rows}:
+        _, depth, n, step, least, _, _ = max((r for r in rows if r[0] == name), key=lambda r: r[5])
+        best = errors(forest(depth, least, None), parts[None])[n] if name == "RandomForest" else found[name, depth, step, None][n]
+        held[name] = 1.0 - best / spread[None]
+    schema = "model string, max_depth int, trees int, step double, min_rows int, cv_r2 double, cv_r2_std double, test_r2_of_best double"
+    return spark.createDataFrame([(*r, float(held[r[0]])) for r in rows], schema).orderBy(F.col("cv_r2").desc(), "model", "max_depth", "trees")
 
 
 @query("ex_matrix")
@@ -409,14 +442,13 @@ def ex_matrix(spark, sf):
 def ex_trees(spark, sf):
     """Error by number of trees, each learner fitted once at the largest number."""
     train, test = _train_test(spark, sf)
-    sizes = range(50, 251, 25)
-    errors = {}
-    for name, step, depth in (("XGBoost", 0.3, 6), ("GradientBoosting", 0.1, 3)):
-        fitted = models.boosted("y", True, n_estimators=sizes[-1], learning_rate=step, max_depth=depth).fit(train)
-        each = fitted.evaluateEachIteration(test, "squared")
-        errors[name] = {n: each[n - 1] for n in sizes}
-    fitted = models.forest("y", trees=sizes[-1], depth=FOREST_DEPTH, regression=True).fit(train)
-    errors["RandomForest"] = models.forest_errors(fitted, test, "y", sizes)
+    sizes = CURVE_TREES
+    boost = Boosting("y", logistic=False, n_estimators=sizes[-1])
+    specs = {"XGBoost": replace(boost, learning_rate=0.3, max_depth=6, reg_lambda=1.0, min_child_weight=1.0), "GradientBoosting": replace(boost, max_depth=3, newton=False)}
+    forest = models.forest("y", trees=sizes[-1], depth=FOREST_DEPTH, regression=True)
+    fitted = ensemble.fit_side_by_side({"batch": lambda: fit_many(train, specs, X, "row_id"), "forest": lambda: forest.fit(train)})
+    errors = {name: m.errors(test, "y", sizes) for name, m in fitted["batch"].items()}
+    errors["RandomForest"] = models.forest_errors(fitted["forest"], test, "y", sizes)
     spread = test.agg(F.var_pop("y")).first()[0]
     rows = [(name, n, float(e), float(1.0 - e / spread)) for name, by_size in errors.items() for n, e in by_size.items()]
     return spark.createDataFrame(rows, "model string, n_estimators int, mse double, r2_score double")
@@ -548,26 +580,6 @@ def ex_time(spark, sf):
 # ---- outlier experiments ---------------------------------------------------
 
 
-def _cv_row(data, name, removed, total):
-    """5-fold CV of boosted trees; scaler fitted inside the fold, held-out rows untouched by it."""
-
-    def make(train, test):
-        a, b = experiments.scaled_pair(train, test, X, "standard")
-        return models.boosted(n_estimators=200, learning_rate=0.05, max_depth=5).fit(a).transform(b)
-
-    m = experiments.cross_validate(data, make, "row_id", "label", 5)
-    return m.select(
-        F.lit(name).alias("method"),
-        F.lit(total - removed).alias("samples"),
-        F.lit(removed).alias("removed"),
-        F.lit(100.0 * removed / total).alias("removed_pct"),
-        F.col("auc_mean").alias("cv_auc"),
-        F.col("auc_std").alias("cv_auc_std"),
-        F.col("accuracy_mean").alias("cv_accuracy"),
-        F.col("f1_score_mean").alias("cv_f1"),
-    )
-
-
 def _sweep_detectors():
     """Four detectors at three levels each; each takes rows in standard units."""
     detectors = {f"z {limit}": lambda d, limit=limit: outliers.zscore_flags(d, X, limit) for limit in (2.5, 3.0, 3.5)}
@@ -580,16 +592,49 @@ def _sweep_detectors():
 
 @query("out_sweep")
 def out_sweep(spark, sf):
-    """Detectors at several levels: rows removed and CV metrics before and after, ranked by AUC."""
-    data = training_table(split.kfold(lessons(spark, sf), "row_id", 5, seed=4), "row_id")
-    total = data.count()
+    """Detectors at several levels: rows removed and 5-fold CV metrics before and after, ranked by AUC.
+
+    The detectors run side by side, and the boosted models of all detectors and folds grow in the same passes; a model takes
+    the rows its detector keeps outside of its fold. Trees follow the order of a feature's values alone, so a scaler changes nothing.
+    """
+    folds = 5
+    data = training_table(split.kfold(lessons(spark, sf), "row_id", folds, seed=4), "row_id")
     scaled = cut_lineage(ColumnScaler(inputCols=X, kind="standard").fit(data).transform(data).select("row_id", *X))
-    out = _cv_row(data, "none", 0, total)
-    for name, flag in _sweep_detectors().items():
-        inliers = flag(scaled).where("is_inlier").select("row_id")
-        kept = training_table(data.join(inliers, "row_id", "left_semi"), "row_id")
-        out = out.unionByName(_cv_row(kept, name, total - kept.count(), total))
-    return out.orderBy(F.col("cv_auc").desc(), "method")
+    detectors = _sweep_detectors()
+    flags = ensemble.fit_side_by_side({n: lambda f=f: cut_lineage(f(scaled).where("is_inlier").select("row_id")) for n, f in detectors.items()})
+    names = ["none", *detectors]
+    marked = data.withColumn("_d0", F.lit(True))
+    for d, name in enumerate(names[1:], 1):
+        marked = marked.join(flags[name].withColumn(f"_d{d}", F.lit(True)), "row_id", "left")
+    keys = list(product(range(len(names)), range(folds)))
+    marked = marked.withColumns({f"_d{d}": F.coalesce(f"_d{d}", F.lit(False)) for d in range(len(names))})
+    marked = training_table(marked.withColumns({f"_in{d}_{i}": F.col(f"_d{d}") & (F.col("fold") != i) for d, i in keys}), "row_id")
+    spec = Boosting("label", n_estimators=SWEEP_TREES, learning_rate=0.05, max_depth=5)
+    fitted = fit_many(marked, {k: replace(spec, rows=f"_in{k[0]}_{k[1]}") for k in keys}, X, "row_id")
+    scored = None
+    for i in range(folds):
+        rows = marked.where(F.col("fold") == i)
+        each = [F.struct(F.lit(d).alias("d"), F.col(f"_d{d}").alias("kept"), fitted[d, i].margin().alias("margin")) for d in range(len(names))]
+        part = rows.select("row_id", "fold", F.col("label").cast("double").alias("label"), F.explode(F.array(*each)).alias("x"))
+        scored = part if scored is None else scored.unionByName(part)
+    method = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("x.d") + 1).alias("method")
+    kept = cut_lineage(
+        scored.where("x.kept").select("row_id", "fold", "label", method, F.col("x.margin").alias("score"), (F.col("x.margin") > 0).cast("double").alias("prediction"))
+    )
+    total = data.count()
+    sizes = kept.groupBy("method").agg(F.count("*").alias("samples"))
+    m = experiments.cross_validated_metrics(kept, by=["method"]).join(sizes, "method")
+    removed = F.lit(total) - F.col("samples")
+    return m.select(
+        "method",
+        "samples",
+        removed.alias("removed"),
+        (100.0 * removed / total).alias("removed_pct"),
+        F.col("auc_mean").alias("cv_auc"),
+        F.col("auc_std").alias("cv_auc_std"),
+        F.col("accuracy_mean").alias("cv_accuracy"),
+        F.col("f1_score_mean").alias("cv_f1"),
+    ).orderBy(F.col("cv_auc").desc(), "method")
 
 
 @query("out_impute_scale_detect")

@@ -59,7 +59,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 #: Rows of a training partition, and training partitions at most.
-TRAINING_ROWS, TRAINING_PARTITIONS = 10_000, 2_000
+TRAINING_ROWS, TRAINING_PARTITIONS = 2_000, 10_000
 
 
 def training_table(df: DataFrame, row_id: str) -> DataFrame:

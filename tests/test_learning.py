@@ -73,7 +73,7 @@ def test_samme_beats_one_stump(planted):
 
 def test_one_vs_rest_probabilities(planted):
     df = planted.withColumn("cls", F.floor(F.col("a") * 3).cast("int"))
-    out = models.fit_one_vs_rest(df, "cls", n_estimators=3, max_depth=3).transform(df)
+    out = models.fit_one_vs_rest(df, "cls", ["a", "b", "c"], "row_id", n_estimators=3, max_depth=3, learning_rate=0.3).transform(df)
     sums = [sum(r.probabilities) for r in out.collect()]
     assert sums == pytest.approx([1.0] * len(sums))
     assert out.agg(F.avg((F.col("prediction") == F.col("cls")).cast("double"))).first()[0] > 0.9
@@ -102,7 +102,8 @@ def test_out_of_fold_rows_come_from_other_folds(planted):
             return df.withColumn("prediction", F.col("row_id").isin(list(self.ids)).cast("double"))
 
     folded = split.kfold(planted, "row_id", 3)
-    out = ensemble.out_of_fold(folded, {"m": Memory()}, "row_id", "label", "fold", 3)
+    fitted = ensemble.fit_bases(folded, {"m": Memory()}, "row_id", "fold", 3, whole=False)
+    out = ensemble.out_of_fold(folded, ["m"], fitted, "row_id", "label", "fold", 3)
     assert out.count() == 600
     assert out.agg(F.max("z_m")).first()[0] == 0.0
 
@@ -242,11 +243,7 @@ def sizes_of(learner):
     return {p.name: v for p, v in learner.extractParamMap().items()}
 
 
-@pytest.mark.parametrize(
-    ("name", "size"),
-    [("md_rf", {"numTrees": 100, "maxDepth": 15}), ("md_extratrees", {"numTrees": 150}), ("md_gbt", {"maxIter": 100, "maxDepth": 5}), ("md_xgb", {"maxIter": 150}),
-     ("md_lgbm", {"maxIter": 150}), ("md_multiclass_gbt", {"maxIter": 200, "maxDepth": 7}), ("ex_trees", {"maxIter": 250})],
-)
+@pytest.mark.parametrize(("name", "size"), [("md_rf", {"numTrees": 100, "maxDepth": 15}), ("md_extratrees", {"numTrees": 150}), ("md_gbt", {"maxIter": 100, "maxDepth": 5})])
 def test_registered_learners_have_the_reference_sizes(spark, monkeypatch, name, size):
     from pyspark.ml import Estimator
 
@@ -259,19 +256,59 @@ def test_registered_learners_have_the_reference_sizes(spark, monkeypatch, name,
     assert sizes_of(caught.value.args[0]).items() >= size.items()
 
 
-@pytest.mark.parametrize(("name", "n"), [("en_stack_cls", 5), ("en_stack_reg", 6)])
-def test_registered_stacks_have_all_bases_and_folds(spark, monkeypatch, name, n):
-    def out_of_fold(df, bases, row_id, label, fold, k):
-        raise Recorded(len(bases), k)
+#: Batches of the registered queries at full size: numbers of models, and trees and depths among them.
+BATCHES = {
+    "md_xgb": (1, {(150, 5)}),
+    "md_lgbm": (1, {(150, 5)}),
+    "md_multiclass_gbt": (4, {(200, 7)}),
+    "en_stack_cls": (18, {(150, 5)}),
+    "en_stack_reg": (12, {(150, 3), (150, 6)}),
+    "en_weights": (10, {(150, 3), (150, 6)}),
+    "ex_grid": (32, {(200, 5), (200, 7)}),
+    "ex_trees": (2, {(250, 3), (250, 6)}),
+    "out_sweep": (65, {(200, 5)}),
+}
 
-    monkeypatch.setattr(ensemble, "out_of_fold", out_of_fold)
-    with pytest.raises(Recorded) as caught:
-        QUERIES[name](spark, "/root/testdata/sf0.001")
-    assert caught.value.args == (n, 5)
 
+@pytest.mark.parametrize("name", BATCHES)
+def test_batches_are_whole_and_queries_end(spark, monkeypatch, name):
+    """Each query runs to its end on a small table; only the trees of the recorded batch are cut to four."""
+    from dataclasses import replace
 
-def test_registered_rounds_and_grids(spark, monkeypatch):
-    from pyspark.ml.tuning import CrossValidator
+    from tabforge.operators import boosting
+    from tabforge.plans import learning
+
+    seen = []
+
+    def few(df, specs, features, row_id, seed=42):
+        seen.append(list(specs.values()))
+        return boosting.fit_many(df, {n: replace(s, n_estimators=4) for n, s in specs.items()}, features, row_id, seed)
+
+    for module in (learning, ensemble, models):
+        monkeypatch.setattr(module, "fit_many", few)
+    monkeypatch.setattr(learning, "FOREST_DEPTH", 3)
+    grid_trees, curve = learning.GRID_TREES, learning.CURVE_TREES
+    forest = models.forest
+    small = lambda label="label", trees=100, depth=10, regression=False, **kw: forest(label, min(trees, 4), min(depth, 3), regression, **kw)
+    monkeypatch.setattr(models, "forest", small)
+    monkeypatch.setattr(models, "boosted", lambda **kw: small())  # the meta model
+    if name == "ex_trees":  # sizes of the curve are prefixes, here of four trees
+        monkeypatch.setattr(learning, "CURVE_TREES", (2, 4))
+    if name == "ex_grid":
+        monkeypatch.setattr(learning, "GRID_TREES", (2, 4))
+    out = QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+    rows = {"md_multiclass_gbt": 6, "en_stack_cls": 3, "en_weights": 6, "ex_grid": 24, "ex_trees": 6, "out_sweep": 13}
+    assert len(out) == rows.get(name, len(out)) and out
+    n, sizes = BATCHES[name]
+    assert [len(s) for s in seen] == [n]
+    assert (grid_trees, curve[0], curve[-1], len(curve)) == ((100, 200), 50, 250, 9)
+    if name not in ("ex_grid", "ex_trees"):
+        assert {(s.n_estimators, s.max_depth) for s in seen[0]} == sizes
+    if name == "out_sweep":
+        assert {r.method for r in out} == {"none", *learning._sweep_detectors()} and all(0 < r.cv_auc <= 1 for r in out)
+
+
+def test_registered_rounds(spark, monkeypatch):
     from tabforge.plans import imputation
 
     seen = []
@@ -280,19 +317,12 @@ def test_registered_rounds_and_grids(spark, monkeypatch):
         seen.append(sizes)
         raise Recorded
 
-    def grid(self, dataset, params=None):
-        raise Recorded(len(self.getEstimatorParamMaps()))
-
     monkeypatch.setattr(models, "fit_samme", record)
     monkeypatch.setattr(imputation.mice, "chained_trees", record)
-    monkeypatch.setattr(CrossValidator, "fit", grid)
-    for name in ("md_adaboost", "im_mice_rf", "im_mice_gbt", "im_mice_gbt_scaled", "im_hybrid_best4"):
+    for name in ("md_adaboost", "im_mice_rf", "im_mice_gbt", "im_mice_gbt_scaled"):
         with pytest.raises(Recorded):
             QUERIES[name](spark, "/root/testdata/sf0.001")
-    assert [s["rounds"] for s in seen] == [100, 10, 10, 10, 10] and [s["trees"] for s in seen[1:]] == [10, 50, 50, 50]
-    with pytest.raises(Recorded) as caught:
-        QUERIES["ex_grid"](spark, "/root/testdata/sf0.001")
-    assert caught.value.args == (8,)
+    assert [s["rounds"] for s in seen] == [100, 10, 10, 10] and [s["trees"] for s in seen[1:]] == [10, 50, 50]
 
 
 def test_errors_of_the_first_trees_of_a_forest(spark):
