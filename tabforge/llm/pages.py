@@ -1,7 +1,10 @@
 """Main text of web pages by a minimum cut.
 
 A page is read into blocks of text, each with its place in the element tree. A linear classifier
-over what a block is and stands in gives it an evidence; the evidence becomes the capacity of an
+over what a block is and stands in gives it an evidence. A class name such as "sidebar" or "comments"
+is evidence of bounded weight, for what stands below it up to the next article; where the
+element holds most of the page's running text it is none, as names there tell the state of a page
+("comments-open", "sidebar-right") and not what a part is. The evidence becomes the capacity of an
 edge to the source (main text) or to the sink (the rest). Blocks next to each other, and next
 blocks of one parent, are joined by smoothness edges, stronger the more ancestors they share. The
 minimum cut, found by maximum flow, is the labelling of least total cost: a block goes with its
@@ -37,6 +40,7 @@ _REST_NAMES = frozenset(
     "subscribe subscription sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead toolbar share sharing social related recommended "
     "comment comments respond reply replies disqus widget login signup pagination pager legal copyright disclaimer skip".split()
 )
+_COMMENT_NAMES = frozenset("comment comments respond reply replies disqus".split())
 _ABOUT_OTHERS = frozenset("has with no without".split())  # "has-sidebar" names what stands beside
 _MAIN_NAMES = frozenset("article content entry post story main body text".split())
 _REST_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
@@ -51,6 +55,7 @@ _CLOSED_BY = {  # start tags that end an open element of these names
 
 # Weights of the classifier and of the smoothness edges.
 IN_REST = -8.0
+NAMED_REST = -6.0
 IN_MAIN = 4.0
 NAMED_MAIN = 1.0
 KIND = {"p": 1.0, "h1": 1.0, "h2": 0.5, "h3": 0.5, "blockquote": 1.0, "pre": 1.0, "figcaption": 0.0, "li": -0.5, "td": -0.5, "dd": 0.0}
@@ -58,6 +63,8 @@ LINKED = -4.0
 LENGTH = 1.5
 SENTENCE = 0.5
 NEXT = 0.4
+LONG = 80  # characters of a block that is running text
+ELSEWHERE = 0.15  # share of an element's running text that articles elsewhere may hold for its names not to count
 SHARED = 0.6
 
 _TOKEN = re.compile(
@@ -75,6 +82,9 @@ class _Element:
     evidence: float  # of the place, from the root down
     rest: bool
     main: bool
+    named: _Element | None = None  # the nearest element with a name of boilerplate, unless an article stands between
+    comments: bool = False  # whether its own names tell of comments
+    running: int = 0  # characters of running text below it
 
 
 @dataclass
@@ -96,14 +106,46 @@ def _opened(tag: str, attributes: str, parent: _Element) -> _Element:
             role = value.strip()
         else:
             names += _PARTS.findall(value)
-    named_rest = tag not in ("body", "html") and not _REST_NAMES.isdisjoint(names) and _ABOUT_OTHERS.isdisjoint(names)
-    if tag in _REST or (tag == "header" and not parent.main) or role in _REST_ROLES or named_rest:
+    bad = _REST_NAMES.intersection(names) if tag not in ("body", "html") and _ABOUT_OTHERS.isdisjoint(names) else ()
+    is_main = tag in _MAIN or role in ("main", "article")
+    if tag in _REST - {"form"} or (tag == "header" and not parent.main) or role in _REST_ROLES:
         rest = True
-    if tag in _MAIN or role in ("main", "article"):
-        main = True
     if not _MAIN_NAMES.isdisjoint(names):
         evidence = NAMED_MAIN
-    return _Element(tag, parent, parent.depth + 1, min(parent.evidence + evidence, 2 * NAMED_MAIN), rest, main)
+    out = _Element(tag, parent, parent.depth + 1, min(parent.evidence + evidence, 2 * NAMED_MAIN), rest, main or is_main)
+    out.named = out if bad or tag == "form" else None if is_main else parent.named
+    out.comments = not is_main and not _COMMENT_NAMES.isdisjoint(bad)
+    return out
+
+
+def _running(blocks: _Blocks) -> set[int]:
+    """Elements whose names do not count, by identity: those that hold most of the page's running text.
+
+    Running text is that of long blocks without links, or of all without links if none is long. Where as much text of an
+    article stands elsewhere that the element may well be something else, its names count.
+    """
+    sizes = [len(t) if linked < 0.5 and not e.rest else 0 for e, t, linked in zip(blocks.elements, blocks.texts, blocks.linked)]
+    if any(n >= LONG for n in sizes):
+        sizes = [n if n >= LONG else 0 for n in sizes]
+    named: dict[int, _Element] = {}
+    main = 0  # running text of articles
+    within: Counter = Counter()
+    for element, n in zip(blocks.elements, sizes):
+        article = element.main or element.evidence > 0
+        main += n if article else 0
+        e: _Element | None = element
+        while e is not None and n:
+            e.running += n
+            if e.named is e:
+                named[id(e)] = e
+                within[id(e)] += n if article else 0
+            e = e.parent
+    out = set()
+    for key, e in named.items():
+        outside = main - within[key]
+        if 2 * e.running >= sum(sizes) and outside <= (0 if e.comments else ELSEWHERE * e.running):
+            out.add(key)
+    return out
 
 
 def _scanned(page: str) -> Iterator[tuple[str, str, str]]:
@@ -246,15 +288,23 @@ def read_blocks(page: str) -> _Blocks:
     return out
 
 
-def evidence(element: _Element, text: str, linked: float) -> float:
-    """Over 0: main text. The place in the page weighs most, then links, length and kind of the block."""
+def evidence(element: _Element, text: str, linked: float, running: set[int]) -> float:
+    """Over 0: main text. The place in the page weighs most, then links, length and kind of the block.
+
+    ``running`` are the elements whose names do not count.
+    """
     words = text.count(" ") + 1
     score = element.evidence + LENGTH * max(-1.0, min(1.0, (words - 8) / 10)) + KIND.get(element.tag, 0.0) + LINKED * max(0.0, linked - 0.3)
     if text[-1] in ".!?…。！？\"”":
         score += SENTENCE
     if element.main:
         score += IN_MAIN
-    return score + IN_REST if element.rest else score
+    if element.rest:
+        return score + IN_REST
+    named = element.named
+    while named is not None and id(named) in running:
+        named = named.parent.named if named.parent is not None else None
+    return score if named is None else score + NAMED_REST - (IN_MAIN if element.main else 0.0)
 
 
 def _shared(a: _Element, b: _Element) -> float:
@@ -335,7 +385,8 @@ def minimum_cut(terminal: list[float], edges: list[tuple[int, int, float]]) -> l
 def main_text(page: str) -> tuple[str, int, int]:
     """Main text, number of blocks, number kept."""
     blocks = read_blocks(page)
-    scores = [evidence(*b) for b in zip(blocks.elements, blocks.texts, blocks.linked)]
+    running = _running(blocks)
+    scores = [evidence(*b, running) for b in zip(blocks.elements, blocks.texts, blocks.linked)]
     if all(s > 0 for s in scores) or all(s <= 0 for s in scores):
         kept = [s > 0 for s in scores]
     else:
@@ -356,7 +407,7 @@ def main_text(page: str) -> tuple[str, int, int]:
 def extract(df: DataFrame, html_col: str = "html") -> DataFrame:
     """``df`` with ``main``: struct of text, n_blocks and n_kept.
 
-    A block's character references are decoded and its white space made one space; blocks stand
+    A block's character references are decoded and its white space, of Unicode and in ``pre`` too, made one space; blocks stand
     in page order, one a line. Null and empty pages, and pages without main text, have an empty
     text. Every page is read by itself and whole; other columns stay, one named ``main`` is replaced.
     """

@@ -109,6 +109,39 @@ def test_main_text(spark):
     assert got[6] == "Text that is never closed, of a page that ends in a <b" and got[7].startswith("just words")
 
 
+PARAGRAPHS = [f"This is paragraph {k} of the article, long enough to be the running text that a reader came for, with nothing linked in it." for k in range(4)]
+
+
+@pytest.mark.parametrize(
+    "frame",
+    [
+        '<article class="post comments-open">{}</article>',
+        '<article class="post-promo story">{}</article>',
+        '<div class="page sidebar-right"><article>{}</article><div class="sidebar"><p>{beside}</p></div></div>',
+        '<main><div class="legal-text">{}</div></main>',
+        '<div id="comments-closed"><div class="entry">{}</div></div>',
+        '<div class="wrap sidebar-left ad-free share-enabled"><section>{}</section></div>',
+        '<form id="aspnetForm"><div>{}</div></form>',
+        '<div class="layout menu-open"><main>{}</main><ol class="comment-list"><li><article class="comment-body"><p>{beside}</p></article></li></ol></div>',
+        '<article>{}<div class="comments"><p>{beside}</p><p>{beside}</p></div></article>',
+        '<article>{}</article><aside><article><p>{beside}</p></article></aside>',
+        '<article>{}<div class="promo-box"><p>{beside}</p></div></article><div class="cookie-notice"><p>{beside}</p></div>',
+        '<article>{}</article><section class="comments">' + "<p>{beside}</p>" * 12 + "</section>",
+    ],
+)
+def test_class_names_take_no_article_and_boilerplate_stays_out(frame):
+    """Names of states on what holds the article do not count; the same names on other parts do."""
+    beside = "Something else that stands beside the article, also long enough to look like running text to a reader."
+    page = "<html><body><nav><a href='/'>Home</a></nav>" + frame.format("".join(f"<p>{p}</p>" for p in PARAGRAPHS), beside=beside) + "<footer>Terms of use and more.</footer></body></html>"
+    assert pages.main_text(page)[0].split("\n") == PARAGRAPHS
+
+
+def test_smoothness_overrules_a_name():
+    """A short block with a bad name between paragraphs goes with them or not by the cut alone."""
+    scores = [3.0, -0.9, 3.0]
+    assert pages.minimum_cut(scores, [(0, 1, 0.6), (1, 2, 0.6)]) == [True, True, True]
+
+
 def test_elements_that_are_not_closed_cut_no_page():
     paragraphs = ["A sentence of some words that is long enough to be read here.", "Another one, of about as many words, that must not be lost either."]
     article = "<article>" + "".join(f"<p>{p}</p>" for p in paragraphs) + "</article>"
