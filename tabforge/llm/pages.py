@@ -121,24 +121,25 @@ def _opened(tag: str, attributes: str, parent: _Element) -> _Element:
 def _running(blocks: _Blocks) -> set[int]:
     """Elements whose names do not count, by identity: those that hold most of the page's running text.
 
-    Running text is that of long blocks without links, or of all without links if none is long. Where as much text of an
+    Running text is that of long blocks without links, or of all without links if none is long. Where so much text of an
     article stands elsewhere that the element may well be something else, its names count.
     """
     sizes = [len(t) if linked < 0.5 and not e.rest else 0 for e, t, linked in zip(blocks.elements, blocks.texts, blocks.linked)]
+    every = sizes
     if any(n >= LONG for n in sizes):
         sizes = [n if n >= LONG else 0 for n in sizes]
     named: dict[int, _Element] = {}
-    main = 0  # running text of articles
+    main = 0  # text of articles without links
     within: Counter = Counter()
-    for element, n in zip(blocks.elements, sizes):
-        article = element.main or element.evidence > 0
-        main += n if article else 0
+    for element, n, all_of_it in zip(blocks.elements, sizes, every):
+        of_article = all_of_it if element.main or element.evidence > 0 else 0
+        main += of_article
         e: _Element | None = element
-        while e is not None and n:
+        while e is not None and all_of_it:
             e.running += n
             if e.named is e:
                 named[id(e)] = e
-                within[id(e)] += n if article else 0
+                within[id(e)] += of_article
             e = e.parent
     out = set()
     for key, e in named.items():

@@ -136,6 +136,11 @@ def test_class_names_take_no_article_and_boilerplate_stays_out(frame):
     assert pages.main_text(page)[0].split("\n") == PARAGRAPHS
 
 
+def test_an_advert_longer_than_a_short_article_stays_out():
+    page = "<div class='ad'>An advert of one long block, which is more running text than the short article has in all.</div><article><h1>A title here</h1><p>Two words.</p></article>"
+    assert pages.main_text(page)[0] == "A title here\nTwo words."
+
+
 def test_smoothness_overrules_a_name():
     """A short block with a bad name between paragraphs goes with them or not by the cut alone."""
     scores = [3.0, -0.9, 3.0]
