@@ -15,7 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tabforge.llm.tables import id_of, keyed, settled, sized_broadcast, text_of
+from tabforge.llm.tables import settled, sized_broadcast, text_key, text_of
 
 WINDOW_WORDS = 10
 SHINGLE_WORDS = 5
@@ -58,7 +58,7 @@ def occurrences(docs: DataFrame, windows: DataFrame, shingle_words: int = SHINGL
     size = F.least(F.lit(shingle_words), F.col("n"))
     sizes = sorted(r["size"] for r in windows.select(size.alias("size")).distinct().collect())  # at most shingle_words numbers
     if not sizes:
-        return windows.select(F.lit(0).cast("long").alias("key"), F.lit(0).alias("start"), "n", "window")
+        return windows.select(F.lit(None).cast(docs.schema["key"].dataType).alias("key"), F.lit(0).alias("start"), "n", "window")
     every = [_shingles(windows.where(size == k), k).withColumn("size", F.lit(k)) for k in sizes]
     tokens = settled(reduce(DataFrame.union, every).select("window", "n", "size", "at", "shingle"))
     different = tokens.select("shingle").distinct()
@@ -100,14 +100,13 @@ def decontaminate(
 
     ``items`` holds the ids of the items with occurring windows, as strings in order; an item
     without an id counts for hits but is not named. Null or empty texts have no words, an item
-    without words has no window, an empty benchmark hits nothing. Rows that share an id are one
-    document, rows without one are told apart by their texts; a repeated row gives an equal
-    result row, a repeated item changes nothing. Other columns are ignored.
+    without words has no window, an empty benchmark hits nothing. Ids may be of any type with a string form.
+    Different texts that share an id are documents of their own, and ``key`` (``text_key``) tells them apart; a repeated
+    row gives an equal result row, a repeated item changes nothing. Other columns are ignored.
     """
-    whole = keyed(docs, id_col, text_col)
-    words = whole.select("key", words_of(F.col("text")).alias("words"))
+    words = docs.select(text_key(id_col, text_col).alias("key"), F.col(id_col).alias("doc_id"), words_of(text_of(text_col)).alias("words"))
     windows = settled(benchmark_windows(benchmark, item_col, item_text_col, window_words))
-    places = settled(occurrences(words, windows.select("window", "n", "words").distinct(), broadcast_rows=broadcast_rows).distinct())
+    places = settled(occurrences(words.select("key", "words"), windows.select("window", "n", "words").distinct(), broadcast_rows=broadcast_rows).distinct())
     ends = places.groupBy("key", "start").agg(F.max(F.col("start") + F.col("n")).alias("end"))
     before = F.max("end").over(Window.partitionBy("key").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
     covered = ends.select("key", F.greatest(F.lit(0), F.col("end") - F.greatest("start", F.coalesce(before, F.lit(0)))).alias("new"))
@@ -115,11 +114,11 @@ def decontaminate(
     owners = windows.where("item is not null").select("window", "item")
     named = places.select("key", "window").distinct().join(sized_broadcast(owners, owners.count(), broadcast_rows), "window")
     items = named.groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("items"))
-    n_words = words.select("key", F.size("words").cast("long").alias("n_words"))
+    n_words = words.select("key", "doc_id", F.size("words").cast("long").alias("n_words"))
     out = n_words.join(hits.join(items, "key", "left"), "key", "left")
     return out.select(
         "key",
-        id_of("key").alias("doc_id"),
+        "doc_id",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),

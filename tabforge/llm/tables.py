@@ -29,6 +29,13 @@ def keyed_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return df.withColumn("key", _key(id_col, text_col))
 
 
+def text_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """What tells documents apart: the id, of any type that has a string form, and two hashes of the text."""
+    text = text_of(text_col)
+    name = F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit(""))
+    return F.struct(name.alias("id"), F.xxhash64(text).alias("t1"), F.xxhash64(F.length(text), F.hash(text)).alias("t2"))
+
+
 def _key(id_col: str, text_col: str) -> Column:
     nameless = F.lit(-(2**63)) + F.xxhash64(text_of(text_col)).bitwiseAND(F.lit(2**62 - 1))
     return F.coalesce(F.col(id_col).cast("long"), nameless)

@@ -12,8 +12,8 @@ Extreme values. In ordinary text the best segment of n words follows a Gumbel la
 P(S >= s) = 1 - exp(-K n exp(-lambda s)). lambda solves E[exp(lambda weight)] = 1 over the words
 of non-toxic documents, K is fitted to their best segments. Segments expected less than once in
 a document are passages; the score is a logistic curve over the two surprises, of the best
-segment and of all passages together, fitted on the training documents. Where a training document is scored, its own counts are
-taken out of the lexicon first, so it is scored like one not seen.
+segment and of all passages together, fitted on the training documents. While the law and the curve are
+fitted, a training document's own counts are taken out of the lexicon first, so it counts like one not seen.
 """
 
 from __future__ import annotations
@@ -33,11 +33,11 @@ from tabforge.llm.words import Block, blocks, mix
 PREFIX_BYTES = (4, 6, 8)
 PRIOR = 2.0
 DRIFT = 0.75
-#: Words and word beginnings of a lexicon that is carried to the workers (24 bytes each); a larger one
+#: Words and word beginnings of a lexicon that is broadcast to the workers (24 bytes each); a larger one
 #: is a table that the words of blocks of rows are joined with. No entry is left out.
 LEXICON = 1_000_000
-#: Rows of such a block, as a power of two.
-BLOCK_BITS = 9
+#: Rows of such a block, about.
+BLOCK_ROWS = 512
 LEAST_DOCUMENTS = 2
 #: Labelled rows that are broadcast at most; more meet the documents in a shuffle.
 BROADCAST_LABELS = 1_000_000
@@ -195,55 +195,63 @@ def _scan(texts: pa.Array, labels: pa.Array | None, lexicon: Lexicon) -> pa.Arra
     return pa.array(rows, kind)
 
 
-def scanned(df: DataFrame, out: str, text: Column, lexicon: Lexicon | LexiconTable, own: Column | None = None) -> DataFrame:
-    """``df`` with a column ``out`` of ``_scan``. ``own``: labels, where the rows are in the lexicon."""
+def scanned(df: DataFrame, out: str, text_col: str, lexicon: Lexicon | LexiconTable, own: str | None = None) -> DataFrame:
+    """``df`` with a column ``out`` of ``_scan``. ``own``: the label's column, where the rows are in the lexicon."""
     if isinstance(lexicon, LexiconTable):
-        return _scanned_by_blocks(df, out, text, lexicon, own)
+        return _scanned_by_blocks(df, out, text_col, lexicon, own)
+    shared, text = df.sparkSession.sparkContext.broadcast(lexicon), F.lower(text_of(text_col))
     if own is None:
 
         @F.arrow_udf(_SCAN)
         def alone(texts: pa.Array) -> pa.Array:
-            return _scan(texts, None, lexicon)
+            return _scan(texts, None, shared.value)
 
         return df.withColumn(out, alone(text))
 
     @F.arrow_udf(_SCAN)
     def left_out(texts: pa.Array, labels: pa.Array) -> pa.Array:
-        return _scan(texts, labels, lexicon)
+        return _scan(texts, labels, shared.value)
 
-    return df.withColumn(out, left_out(text, own))
+    return df.withColumn(out, left_out(text, F.col(own)))
 
 
-def _scanned_by_blocks(df: DataFrame, out: str, text: Column, lexicon: LexiconTable, own: Column | None) -> DataFrame:
-    """The same, each block of rows with the entries of its own words: the different words of a block
-    are joined with the table, and what is found meets the block's rows again."""
-    order = [c for c in df.columns if c != out] + [out]
-    rows = df.withColumn("_text", text).withColumn("_own", own.cast("int") if own is not None else F.lit(0)).drop(out)
-    rows = settled(rows.withColumn("_block", F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS)))
+def _scanned_by_blocks(df: DataFrame, out: str, text_col: str, lexicon: LexiconTable, own: str | None) -> DataFrame:
+    """The same, each block of rows with the entries of its own words.
+
+    Rows go to blocks by a hash of all they hold, once: the different words of a block, found behind that shuffle, are
+    joined with the table, and what is found meets the block's rows, which stay where they are. Caller columns travel
+    in a struct, so none of their names can clash.
+    """
+    blocks_ = max(1, -(-df.count() // BLOCK_ROWS))
+    plain = [f"`{f.name}`" for f in df.schema.fields if isinstance(f.dataType, (T.AtomicType, T.NullType))]
+    block = F.pmod(F.xxhash64(*plain), F.lit(blocks_)).cast("int")
+    moved = df.select(block.alias("block"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")).repartition("block")
+    rows = moved.select("block", "row", F.lower(text_of(f"row.`{text_col}`")).alias("text"), (F.col(f"row.`{own}`").cast("int") if own else F.lit(0)).alias("own"))
 
     def words(batches):
         for batch in batches:
-            of = batch.column("_block").to_numpy()
+            of = batch.column("block").to_numpy()
             bounds = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1), len(of)] if len(of) else []
             for lo, hi in zip(bounds, bounds[1:]):
-                for b in blocks(batch.column("_text").slice(lo, hi - lo), "letter"):
+                for b in blocks(batch.column("text").slice(lo, hi - lo), "letter"):
                     if b.n_words:
                         hashes = np.unique(np.concatenate(_levels(b)[1]))
                         hashes = hashes[hashes != 0]
-                        yield pa.RecordBatch.from_pydict({"_block": np.full(len(hashes), of[lo]), "hash": hashes.view(np.int64)})
+                        yield pa.RecordBatch.from_pydict({"block": np.full(len(hashes), of[lo], dtype=np.int32), "hash": hashes.view(np.int64)})
 
-    wanted = rows.select("_block", "_text").mapInArrow(words, "_block long, hash long").distinct()
+    wanted = rows.sortWithinPartitions("block").mapInArrow(words, "block int, hash long").distinct()
     found = wanted.join(lexicon.table, "hash")
     labelled, n, n_toxic = own is not None, lexicon.n, lexicon.n_toxic
 
     def scan(left: pa.Table, right: pa.Table) -> pa.Table:
         part = Lexicon(*_sorted(right), n, n_toxic)
-        texts, labels = (left.column(c).combine_chunks() for c in ("_text", "_own"))
-        return left.drop_columns(["_text", "_own", "_block"]).append_column(out, _scan(texts, labels if labelled else None, part))
+        texts, labels = (left.column(c).combine_chunks() for c in ("text", "own"))
+        return left.select(["row"]).append_column("scan", _scan(texts, labels if labelled else None, part))
 
-    kind = T.StructType([*rows.drop("_text", "_own", "_block").schema.fields, T.StructField(out, T.DataType.fromDDL(_SCAN))])
-    met = rows.groupBy("_block").cogroup(found.groupBy("_block")).applyInArrow(scan, kind)
-    return met.select(*[F.col(f"`{c}`") for c in (df.columns if out in df.columns else order)])
+    kind = T.StructType([rows.schema["row"], T.StructField("scan", T.DataType.fromDDL(_SCAN))])
+    met = rows.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(scan, kind)
+    kept = [F.col("scan").alias(out) if c == out else F.col(f"row.`{c}`").alias(c) for c in df.columns]
+    return met.select(*kept, *([] if out in df.columns else [F.col("scan").alias(out)]))
 
 
 def _decay(histogram: list[int]) -> float:
@@ -289,18 +297,18 @@ class ToxicityModel:
         first, second = self.surprises(scan)
         linear = self.curve[0] + self.curve[1] * first + self.curve[2] * second
         passages = F.filter(scan["segments"], lambda s: self.expected(s, scan["n"]) < 0)
-        found = scanned(df, "toxicity", F.lower(text_of(text_col)), self.lexicon)
+        found = scanned(df, "toxicity", text_col, self.lexicon)
         return found.withColumn("toxicity", F.struct((1 / (1 + F.exp(-linear))).alias("score"), passages.alias("passages")))
 
 
 def fit(labelled: DataFrame, size: int = LEXICON) -> ToxicityModel:
-    """A model from documents (text, toxic); with no toxic or no other document all scores are the prior share."""
-    rows = labelled.select(F.lower(text_of("text")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
+    """A model from documents (text, toxic) with other columns; with no toxic or no other document all scores are the prior share."""
+    rows = labelled.withColumns({"text": F.lower(text_of("text")), "toxic": F.col("toxic").cast("int")})
     lexicon = learn_lexicon(rows, size)
     if lexicon.n_toxic in (0, lexicon.n):
         share = (lexicon.n_toxic + 0.5) / (lexicon.n + 1)
         return ToxicityModel(lexicon, 1.0, 0.0, [math.log(share / (1 - share)), 0.0, 0.0])
-    scans = settled(scanned(rows, "s", F.col("text"), lexicon, F.col("toxic")).select("toxic", "s"))
+    scans = settled(scanned(rows, "s", "text", lexicon, "toxic").select("toxic", "s"))
     sums = {r["pos"]: r["n"] for r in scans.select(F.posexplode("s.histogram").alias("pos", "n")).groupBy("pos").agg(F.sum("n").alias("n")).collect()}
     decay = _decay([sums.get(k, 0) for k in range(_BINS)])
     best = F.array_max(F.transform("s.segments", lambda s: s["score"]))
@@ -319,11 +327,11 @@ def held_out(id_col: str) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id", text_col: str = "text", broadcast_labels: int = BROADCAST_LABELS) -> DataFrame:
-    """(text, ``label``) of labelled documents outside the held-out part; of repeated labels the greatest."""
+    """(key, text, ``label``) of labelled documents outside the held-out part; of repeated labels the greatest."""
     known = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
-    known = known.groupBy(F.col(id_col).cast("long").alias("key")).agg(F.max(label).alias(label))
+    known = known.groupBy(F.col(id_col).cast("string").alias("key")).agg(F.max(label).alias(label))
     side = sized_broadcast(known, known.count(), broadcast_labels)
-    return docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text")).join(side, "key").select("text", label)
+    return docs.select(F.col(id_col).cast("string").alias("key"), F.col(text_col).alias("text")).join(side, "key").select("key", "text", label)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

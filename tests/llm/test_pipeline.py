@@ -109,3 +109,10 @@ def test_queries_return_every_row(spark, name):
     key = "page_id" if name == "op5_html_main_text" else "doc_id"
     table = "pages" if key == "page_id" else "documents"
     assert {r[0] for r in out.select(key).collect()} == {r[0] for r in spark.read.parquet(f"{SF}/{table}.parquet").select(key).collect()}
+
+
+def test_contamination_takes_one_text_of_an_id_only(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    rows = [(5, "a clean text", "en", "web", 12), (5, "x " + item, "en", "web", len(item) + 2), (6, "clean", "en", "web", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted((r.doc_id, r.text) for r in corpus_pipeline.drop_contaminated(spark, docs, SF).collect()) == [(5, "a clean text"), (6, "clean")]

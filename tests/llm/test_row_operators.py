@@ -354,6 +354,17 @@ def test_a_lexicon_of_any_size_scores_alike(spark):
     assert [s[2] for s in scores[0]] == pytest.approx([s[2] for s in scores[1]], rel=1e-5)
 
 
+def test_a_large_lexicon_keeps_columns_of_any_name(spark, documents):
+    rows, labels = toxic_rows(random.Random(12), 200)
+    labelled = spark.createDataFrame([(t, y) for (_, t), (_, _, y) in zip(rows, labels)], "text string, toxic int")
+    docs = documents([*rows, (None, None), (7, "")])
+    small, large = ({(r.doc_id, r.text): r for r in tox.fit(labelled, size).score(docs).collect()} for size in (10**6, 10))
+    assert small.keys() == large.keys() and len(small) == len(rows) + 2
+    for k, r in large.items():
+        assert r.toxicity.score == pytest.approx(small[k].toxicity.score, rel=1e-5) and r.asDict().keys() == small[k].asDict().keys()
+        assert (r["_text"], r["_block"], r["row"], r["own"], r["n"]) == ("_text", "_block", "row", "own", "n")
+
+
 def test_toxicity_with_labels_of_one_kind(spark, documents):
     table = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     assert {r.predicted for r in tox.toxicity(documents([(1, "a b"), (2, None)]), table).collect()} == {0}

@@ -186,3 +186,19 @@ def test_next_document_of_one(documents):
     (row,) = spotsigs.edit_likeness(documents([(3, "abcdef")])).collect()
     assert row.edited == "abcabc"
     assert hashlib.sha256(row.edited.encode()).hexdigest()
+
+
+def test_texts_of_one_id_are_contaminated_each(spark, documents):
+    item = " ".join(f"q{i}" for i in range(12))
+    rows = [(5, "clean text of five"), (5, "x " + item), (6, "clean"), (None, item), (None, "clean too"), (7, item), (7, item)]
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    out = d.decontaminate(documents(rows), items).collect()
+    got = sorted(((r.doc_id or 0, r.n_words, r.n_hit, r.contaminated) for r in out))
+    assert got == [(0, 2, 0, False), (0, 12, 12, True), (5, 4, 0, False), (5, 13, 12, True), (6, 1, 0, False), (7, 12, 12, True), (7, 12, 12, True)]
+
+
+def test_text_ids_are_contaminated_too(spark):
+    item = " ".join(f"q{i}" for i in range(12))
+    docs = spark.createDataFrame([("a", item), ("b", "clean"), (None, item)], "doc_id string, text string")
+    out = d.decontaminate(docs, spark.createDataFrame([("i", item)], "item_id string, text string")).collect()
+    assert {(r.doc_id, r.n_hit, tuple(r["items"])) for r in out} == {("a", 12, ("i",)), ("b", 0, ()), (None, 12, ("i",))}
