@@ -2,7 +2,7 @@
 
 Every stage but the last takes the columns of documents and returns them. Rows that share an id and
 a text are one document, and one of them goes on from the near-duplicate stage; different texts that
-share an id are documents of their own there. Decontamination decides by id.
+share an id are documents of their own, in that stage and in decontamination.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from tabforge.llm.decontaminate import decontaminate
 from tabforge.llm.near_dedup import near_duplicates, with_text_hashes
 from tabforge.llm.packing import pack
 from tabforge.llm.secrets import find_secrets
-from tabforge.llm.tables import keyed_rows, text_of
+from tabforge.llm.tables import keyed_rows, text_key, text_of
 from tabforge.llm.toxicity import toxicity
 from tabforge.session import scratch_path
 
@@ -36,8 +36,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
-    hit = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("contaminated").select("key")
-    return keyed_rows(docs.select(*COLUMNS)).join(hit, "key", "left_anti").select(*COLUMNS)
+    hit = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("contaminated").select("key").distinct()
+    return docs.select(*COLUMNS, text_key().alias("key")).join(hit, "key", "left_anti").select(*COLUMNS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
