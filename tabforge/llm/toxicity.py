@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tabforge.llm.tables import settled, sized_broadcast, text_of
 from tabforge.llm.words import Block, blocks, mix
+from tabforge.session import scratch_path
 
 PREFIX_BYTES = (4, 6, 8)
 PRIOR = 2.0
@@ -37,7 +38,9 @@ DRIFT = 0.75
 #: is a table that the words of blocks of rows are joined with. No entry is left out.
 LEXICON = 1_000_000
 #: Rows of such a block, about.
-BLOCK_ROWS = 512
+BLOCK_ROWS = 2048
+#: Bits of a bitmap of that table's entries at most: 32 for each, up to 32 MB; a fuller one spares fewer words the shuffle.
+BITMAP_BITS = 2**28
 LEAST_DOCUMENTS = 2
 #: Labelled rows that are broadcast at most; more meet the documents in a shuffle.
 BROADCAST_LABELS = 1_000_000
@@ -215,6 +218,17 @@ def scanned(df: DataFrame, out: str, text_col: str, lexicon: Lexicon | LexiconTa
     return df.withColumn(out, left_out(text, F.col(own)))
 
 
+def _bitmap(table: DataFrame) -> np.ndarray:
+    """Bytes with a bit for each entry of a lexicon; a few more words than the entries have theirs set."""
+    bits = min(max(2**15, 1 << (32 * table.count()).bit_length()), BITMAP_BITS)
+    bit = F.pmod("hash", F.lit(bits))
+    parts = table.select(bit.alias("bit")).groupBy(F.shiftright("bit", 15).alias("part")).agg(F.bitmap_construct_agg(F.col("bit") % 2**15).alias("map"))
+    out = np.zeros(bits // 8, dtype=np.uint8)
+    for row in parts.toLocalIterator():  # at most BITMAP_BITS in all
+        out[row["part"] * 4096 : (row["part"] + 1) * 4096] = np.frombuffer(row["map"], dtype=np.uint8)
+    return out
+
+
 def _scanned_by_blocks(df: DataFrame, out: str, text_col: str, lexicon: LexiconTable, own: str | None) -> DataFrame:
     """The same, each block of rows with the entries of its own words.
 
@@ -228,7 +242,10 @@ def _scanned_by_blocks(df: DataFrame, out: str, text_col: str, lexicon: LexiconT
     moved = df.select(block.alias("block"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")).repartition("block")
     rows = moved.select("block", "row", F.lower(text_of(f"row.`{text_col}`")).alias("text"), (F.col(f"row.`{own}`").cast("int") if own else F.lit(0)).alias("own"))
 
+    shared = df.sparkSession.sparkContext.broadcast(_bitmap(lexicon.table))
+
     def words(batches):
+        bitmap = shared.value
         for batch in batches:
             of = batch.column("block").to_numpy()
             bounds = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1), len(of)] if len(of) else []
@@ -236,10 +253,12 @@ def _scanned_by_blocks(df: DataFrame, out: str, text_col: str, lexicon: LexiconT
                 for b in blocks(batch.column("text").slice(lo, hi - lo), "letter"):
                     if b.n_words:
                         hashes = np.unique(np.concatenate(_levels(b)[1]))
-                        hashes = hashes[hashes != 0]
+                        bit = hashes & np.uint64(8 * len(bitmap) - 1)
+                        held = (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                        hashes = hashes[held & (hashes != 0)]
                         yield pa.RecordBatch.from_pydict({"block": np.full(len(hashes), of[lo], dtype=np.int32), "hash": hashes.view(np.int64)})
 
-    wanted = rows.sortWithinPartitions("block").mapInArrow(words, "block int, hash long").distinct()
+    wanted = rows.sortWithinPartitions("block").mapInArrow(words, "block int, hash long")
     found = wanted.join(lexicon.table, "hash")
     labelled, n, n_toxic = own is not None, lexicon.n, lexicon.n_toxic
 
@@ -331,7 +350,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, id_col: str =
     known = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
     known = known.groupBy(F.col(id_col).cast("string").alias("key")).agg(F.max(label).alias(label))
     side = sized_broadcast(known, known.count(), broadcast_labels)
-    return docs.select(F.col(id_col).cast("string").alias("key"), F.col(text_col).alias("text")).join(side, "key").select("key", "text", label)
+    rows = docs.where(~held_out(id_col)).select(F.col(id_col).cast("string").alias("key"), F.col(text_col).alias("text")).join(side, "key").select("key", "text", label)
+    if known.count() <= broadcast_labels:
+        return rows
+    path = scratch_path(docs.sparkSession, "training")  # learners scan the rows several times, the texts are shuffled once
+    rows.write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
