@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tabforge.functions.rng import uniform_sql
 from tabforge.operators import drift, impute, mice, outliers, profile
 from tabforge.operators.encode import ColumnScaler
+from tabforge.operators.ensemble import fit_side_by_side
 from tabforge.operators.impute import ColumnImputer, KnnImputer
 from tabforge.operators.mice import ChainedLinearImputer
 from tabforge.plans.aggregates import rounded
@@ -210,8 +211,8 @@ def im_hybrid_best2(spark, sf):
 def _four_methods(spark, sf):
     r, models = _two_methods(spark, sf)
     wide = models["mice"].add_filled(models["knn"].add_filled(r, "knn"), "mice")
-    for name, scaled in (("tree", False), ("tree_scaled", True)):
-        filled = mice.chained_trees(r, "row_id", GAP_COLUMNS, "gbt", **BOOSTED_CHAIN, scaled=scaled)
+    chains = {n: lambda s=s: mice.chained_trees(r, "row_id", GAP_COLUMNS, "gbt", **BOOSTED_CHAIN, scaled=s) for n, s in (("tree", False), ("tree_scaled", True))}
+    for name, filled in fit_side_by_side(chains).items():
         wide = mice.attach_filled(wide, filled, "row_id", GAP_COLUMNS, name)
     return cut_lineage(wide)
 

@@ -365,3 +365,20 @@ def test_stacks_and_added_strategies(spark, planted):
         assert out.count() == 600 and out.where("a__new IS NULL OR b__new IS NULL OR c__new IS NULL").count() == 0
         if isinstance(imputer, ThresholdImputer):
             assert out.where("a IS NULL").select("a__new").distinct().count() == 1 and out.where("b IS NULL").select("b__new").distinct().count() > 1
+
+
+def test_tree_chain_stops_and_fills_rows_it_has_not_seen(spark, planted):
+    """A chain over a feature that follows from the others settles early; its models fill new rows and do not change."""
+    from tabforge.operators.mice import ChainedTreeImputer, fit_chained_trees
+
+    holes = planted.select("row_id", F.when(F.col("row_id") % 5 > 0, F.col("a")).alias("a"), "b", (2 * F.col("a")).alias("c"))
+    chain, filled = fit_chained_trees(holes, "row_id", ["a", "b", "c"], "rf", rounds=6, trees=3, depth=5)
+    assert len(chain.rounds) == 2  # the second round moves nothing
+    again = {r.row_id: r.a for r in chain.transform(holes).collect()}
+    assert all(again[r.row_id] == pytest.approx(r.a) for r in filled.collect())
+    old, new = holes.where("row_id < 400"), holes.where("row_id >= 400")
+    model = ChainedTreeImputer("row_id", ["a", "b", "c"], "gbt", rounds=2, trees=5, depth=4, step=0.5, scaled=True).fit(old)
+    before = [m.toDebugString for steps in model.rounds for _, m in steps]
+    out = model.add_filled(new, "tree").collect()
+    assert len(out) == 200 and before == [m.toDebugString for steps in model.rounds for _, m in steps]
+    assert max(abs(r["a__tree"] - r["c"] / 2) for r in out if r["a"] is None) < 0.15
