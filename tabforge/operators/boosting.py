@@ -12,15 +12,22 @@ The margins of all models are part of the cached blocks; every ``CHECKPOINT`` tr
 checkpointed in the shared folder, so a lost executor costs at most so many trees. Rows are
 sampled by a hash of row id and tree, never by partition: results do not follow the partitioning,
 but for the order of additions.
+
+Binned rows with the same bins are one row to these models, with their weights added up and their
+labels averaged. Where the bins of all features make at most ``CELLS`` cells and no model samples
+rows, one aggregate gives that table of cells, whose size the number of rows does not
+change, and each model then grows in a task of its own: one scan in place of a pass a level.
 """
 
 from __future__ import annotations
 
+import math
 import pickle
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import RDD, StorageLevel
 from pyspark.ml import Model
@@ -33,6 +40,8 @@ from tabforge.session import ensure_checkpoint_dir
 BINS, BLOCK_ROWS = 32, 65_536
 #: Trees between two checkpoints of the margins.
 CHECKPOINT = 25
+#: Cells of the binned features up to which each model grows from sums by cell, in one task.
+CELLS = 65_536
 #: Partitions above which sums are combined on executors before the driver gets them.
 WIDE = 16
 
@@ -147,10 +156,10 @@ def _soft(g: np.ndarray, alpha: np.ndarray) -> np.ndarray:
 
 
 class _Batch:
-    """The models of a batch while they grow."""
+    """The models of a batch while they grow; ``first`` is the number of the first one, which its draws of features follow."""
 
-    def __init__(self, specs: Sequence[Boosting], limits: list[np.ndarray], seed: int):
-        self.specs, self.limits, self.seed = list(specs), limits, seed
+    def __init__(self, specs: Sequence[Boosting], seed: int, first: int = 0):
+        self.specs, self.seed, self.first = list(specs), seed, first
 
         def of(name: str, shape: tuple[int, ...]) -> np.ndarray:
             return np.array([float(getattr(s, name)) for s in self.specs]).reshape(shape)
@@ -167,7 +176,7 @@ class _Batch:
         for m, s in enumerate(self.specs):
             if s.colsample < 1.0:
                 out[m] = False
-                out[m, np.random.default_rng([self.seed, number, m]).permutation(d)[: max(1, round(s.colsample * d))]] = True
+                out[m, np.random.default_rng([self.seed, number, self.first + m]).permutation(d)[: max(1, round(s.colsample * d))]] = True
         return out
 
     def split(self, trees: _Trees, sums: np.ndarray, level: int, active: np.ndarray, allowed: np.ndarray, leaves: np.ndarray) -> bool:
@@ -202,6 +211,22 @@ class _Batch:
             trees.value[model, 2 * (first + node) + side] = value * self.step[model]
         return bool(chosen.any())
 
+    def grow(self, d: int, measure: Callable[..., np.ndarray], advance: Callable[[_Trees, int], None]) -> list[_Trees]:
+        """All trees; ``measure`` returns the sums of a level, ``advance`` adds a tree to the margins."""
+        kept, sizes = [], np.array([s.n_estimators for s in self.specs])
+        for number in range(int(sizes.max(initial=0))):
+            alive = sizes > number
+            trees = _Trees(len(self.specs), int(self.depth.max()))
+            allowed, leaves = self.columns(number, d), np.ones(len(self.specs), dtype=np.int64)
+            for level in range(int(self.depth[alive].max())):
+                active = alive & (self.depth > level)
+                sums = measure(trees, level, number, active, self.logistic, self.shares, self.seed)
+                if not sums.ndim or not self.split(trees, sums, level, active, allowed, leaves):
+                    break
+            advance(trees, number)
+            kept.append(trees)
+        return kept
+
 
 class BoostedModel(Model):
     """A fitted model: heaps of trees over feature columns; trees add to a margin that begins at ``begin``."""
@@ -215,6 +240,15 @@ class BoostedModel(Model):
         """The model of the first trees only."""
         return BoostedModel(self.features, self.begin, self.logistic, self.feature[:trees], self.limit[:trees], self.value[:trees])
 
+    @property
+    def toDebugString(self) -> str:
+        """Splits and leaves of all trees, by place in their heap."""
+        def node(t: int, i: int) -> str:
+            own = self.feature[t, i]
+            return f"{i}: {self.features[own]} <= {self.limit[t, i]!r}" if own >= 0 else f"{i}: {self.value[t, i]!r}"
+
+        return "\n".join(f"tree {t}: " + ", ".join(node(t, i) for i in range(self.feature.shape[1])) for t in range(len(self.feature)))
+
     def margins(self, x: np.ndarray) -> np.ndarray:
         out, rows = np.full(len(x), self.begin), np.arange(len(x))
         for feature, limit, value in zip(self.feature, self.limit, self.value):
@@ -267,15 +301,18 @@ class BoostedModel(Model):
         return out.withColumn("prediction", (F.col("_margin") > 0).cast("double")).drop("_margin")
 
 
-def _begin(rdd: RDD, specs: Sequence[Boosting]) -> np.ndarray:
-    """Start margins: the mean, or the log-odds of the mean."""
-    total = _added(rdd.map(lambda b: np.array([(b[2] * b[3]).sum(axis=0), b[3].sum(axis=0)])), rdd.getNumPartitions())
+def _begin(total: np.ndarray, specs: Sequence[Boosting]) -> np.ndarray:
+    """Start margins from the sums of labels and weights: the mean, or the log-odds of the mean."""
     total = total if total.ndim else np.zeros((2, len(specs)))
     mean = total[0] / np.maximum(total[1], 1e-300)
     odds = np.clip(mean, 1e-9, 1 - 1e-9)
     return np.where([s.logistic for s in specs], np.log(odds / (1 - odds)), mean)
 
 
+def _label_sums(block: tuple) -> np.ndarray:
+    return np.array([(block[2] * block[3]).sum(axis=0), block[3].sum(axis=0)])
+
+
 def _added(rdd: RDD, partitions: int) -> np.ndarray:
     """The sum of arrays over all blocks."""
 
@@ -297,50 +334,92 @@ def fit_many(df: DataFrame, specs: dict[str, Boosting], features: Sequence[str],
     a null label, weight or ``rows`` counts as 0.
     """
     names, models = list(specs), [specs[n] for n in specs]
-    ensure_checkpoint_dir(df.sparkSession)
     limits = bin_limits(df, features)
-    base = _blocks(df, features, limits, models, row_id).persist(StorageLevel.MEMORY_AND_DISK)
-    begin = _begin(base, models)
+    narrow = math.prod(len(x) + 1 for x in limits) <= CELLS and all(s.subsample >= 1.0 for s in models)
+    grown = _grow_by_cells(df, features, limits, models, seed) if narrow else _grow_by_passes(df, features, limits, models, row_id, seed)
+    edges = [np.append(x, np.full(BINS - len(x), np.inf)) for x in limits]
+    table = np.stack(edges) if edges else np.zeros((0, BINS))
+    return {n: BoostedModel(features, begin, s.logistic, feature, table[np.maximum(feature, 0), bins], value) for n, s, (begin, feature, bins, value) in zip(names, models, grown)}
+
+
+#: A grown model: start margin, and features, bins and values of its heaps.
+_Grown = tuple[float, np.ndarray, np.ndarray, np.ndarray]
+
+
+def _heaps(kept: list[_Trees], m: int, s: Boosting) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    own, width = kept[: s.n_estimators], 2 ** (s.max_depth + 1) - 1
+    if not own:
+        return np.zeros((0, 1), dtype=np.int16), np.zeros((0, 1), dtype=np.uint8), np.zeros((0, 1))
+    return tuple(np.stack([getattr(t, part)[m, :width] for t in own]) for part in ("feature", "bin", "value"))
+
+
+def _grow_by_cells(df: DataFrame, features: Sequence[str], limits: list[np.ndarray], specs: Sequence[Boosting], seed: int) -> list[_Grown]:
+    """Sums by cell in one aggregate, then one task a model over at most ``CELLS`` rows."""
+    x = [F.col(c).cast("double") for c in features]
+    bins = [sum(((x[i] > F.lit(float(v))).cast("int") for v in limits[i]), F.lit(0)).alias(f"b{i}") for i in range(len(x))]
+    sums, known = [], {}
+    for m, s in enumerate(specs):
+        takes = F.col(s.rows).cast("double") if s.rows else F.lit(1.0)
+        w = F.nanvl(F.coalesce((takes * (F.col(s.weight) if s.weight else F.lit(1.0))).cast("double"), F.lit(0.0)), F.lit(0.0))
+        y = F.nanvl(F.coalesce(F.col(s.label).cast("double"), F.lit(0.0)), F.lit(0.0))
+        known.setdefault((s.label, s.rows, s.weight), []).append(m)  # grid points share their sums
+        if known[s.label, s.rows, s.weight] == [m]:
+            sums += [F.sum(w).alias(f"w{m}"), F.sum(w * y).alias(f"y{m}")]
+    cells = df.groupBy(*bins).agg(*sums)
+    parts = [F.struct(F.lit(m).alias("model"), F.col(f"w{own[0]}").alias("w"), F.col(f"y{own[0]}").alias("y")) for own in known.values() for m in own]
+    names = [f"b{i}" for i in range(len(x))]
+    long = cells.select(*names, F.explode(F.array(*parts)).alias("_s")).select("_s.*", *names).where("w > 0")
+
+    def whole(m: int, binned: np.ndarray, w: np.ndarray, y: np.ndarray) -> _Grown:
+        own = [specs[m]]
+        order = np.lexsort(binned.T[::-1]) if binned.size else slice(None)  # sums do not follow the order of arrival
+        w, y = w[order, None], (y / np.maximum(w, 1e-300))[order, None]
+        block = [np.zeros(len(w), dtype=np.uint64), binned[order].astype(np.uint8), y, w]
+        begin = _begin(_label_sums(block), own)
+        block.append(np.tile(begin, (len(w), 1)))
+
+        def advance(trees: _Trees, number: int) -> None:
+            block[4] = _grown(trees)(tuple(block))[4]
+
+        batch = _Batch(own, seed, m)
+        kept = batch.grow(binned.shape[1], lambda *at: _sums(tuple(block), *at), advance)
+        return float(begin[0]), *_heaps(kept, 0, own[0])
+
+    def task(pdf: pd.DataFrame) -> pd.DataFrame:
+        m = int(pdf["model"].iloc[0])
+        return pd.DataFrame({"model": [m], "grown": [pickle.dumps(whole(m, pdf[names].to_numpy(), pdf["w"].to_numpy(), pdf["y"].to_numpy()))]})
+
+    spread = long.repartition(max(1, len(specs)), "model").groupBy("model").applyInPandas(task, "model int, grown binary")
+    found = {r["model"]: pickle.loads(r["grown"]) for r in spread.collect()}  # one row a model
+    empty = np.zeros((0, len(x))), np.zeros(0), np.zeros(0)
+    return [found[m] if m in found else whole(m, *empty) for m in range(len(specs))]
+
+
+def _grow_by_passes(df: DataFrame, features: Sequence[str], limits: list[np.ndarray], specs: Sequence[Boosting], row_id: str, seed: int) -> list[_Grown]:
+    """All models together, one pass over the cached blocks for each level of each tree."""
+    ensure_checkpoint_dir(df.sparkSession)
+    base = _blocks(df, features, limits, specs, row_id).persist(StorageLevel.MEMORY_AND_DISK)
     partitions = base.getNumPartitions()
+    begin = _begin(_added(base.map(_label_sums), partitions), specs)
     state = base.map(lambda b: (*b, np.tile(begin, (len(b[0]), 1)))).persist(StorageLevel.MEMORY_AND_DISK)
-    batch = _Batch(models, limits, seed)
-    kept: list[_Trees] = []
-    sizes, d = np.array([s.n_estimators for s in models]), len(features)
-    logistic, shares = batch.logistic, batch.shares
     older = [base]
-    for number in range(int(sizes.max(initial=0))):
-        alive = sizes > number
-        trees = _Trees(len(models), int(batch.depth.max()))
-        allowed, leaves = batch.columns(number, d), np.ones(len(models), dtype=np.int64)
-        for level in range(int(batch.depth[alive].max())):
-            active = alive & (batch.depth > level)
-            measure = _measure(trees, level, number, active, logistic, shares, seed)
-            sums = _added(state.map(measure), partitions)
-            if not sums.ndim or not batch.split(trees, sums, level, active, allowed, leaves):
-                break
+
+    def advance(trees: _Trees, number: int) -> None:
+        nonlocal older, state
         for rdd in older:  # the blocks behind it are no longer read
             rdd.unpersist()
-        kept.append(trees)
         older, state = [state], state.map(_grown(trees)).persist(StorageLevel.MEMORY_AND_DISK)
         if (number + 1) % CHECKPOINT == 0:
             state.checkpoint()
+
+    kept = _Batch(specs, seed).grow(len(features), lambda *at: _added(state.map(_measure(*at)), partitions), advance)
     for rdd in (*older, state):
         rdd.unpersist()
-    edges = [np.append(x, np.full(BINS - len(x), np.inf)) for x in limits]
-    table = np.stack(edges) if edges else np.zeros((0, BINS))
-    out = {}
-    for m, (name, s) in enumerate(zip(names, models)):
-        own = kept[: s.n_estimators]
-        width = 2 ** (s.max_depth + 1) - 1
-        feature = np.stack([t.feature[m, :width] for t in own]) if own else np.zeros((0, 1), dtype=np.int16)
-        bins = np.stack([t.bin[m, :width] for t in own]) if own else np.zeros((0, 1), dtype=np.uint8)
-        value = np.stack([t.value[m, :width] for t in own]) if own else np.zeros((0, 1))
-        out[name] = BoostedModel(features, float(begin[m]), s.logistic, feature, table[np.maximum(feature, 0), bins], value)
-    return out
-
-
-def _measure(trees: _Trees, level: int, number: int, active: np.ndarray, logistic: np.ndarray, shares: np.ndarray, seed: int) -> Callable:
-    return lambda block: _sums(block, trees, level, number, active, logistic, shares, seed)
+    return [(float(begin[m]), *_heaps(kept, m, s)) for m, s in enumerate(specs)]
+
+
+def _measure(*at) -> Callable:
+    return lambda block: _sums(block, *at)
 
 
 def _grown(trees: _Trees) -> Callable:

@@ -99,3 +99,30 @@ def test_empty_and_constant_tables(table):
     for df in (table.limit(0), table.withColumns({c: F.lit(1.0) for c in FEATURES})):
         m = fit_many(df, {"m": Boosting("y", logistic=False, n_estimators=2)}, FEATURES, "row_id")["m"]
         assert (m.feature < 0).all()
+
+
+def test_models_by_cells_equal_those_by_passes(table, monkeypatch):
+    """One scan and a task a model gives the trees that passes over the rows give, for folds, weights, few features and few leaves."""
+    specs = {n: s for n, s in SPECS.items() if s.subsample == 1.0}
+    specs["few"] = Boosting("label", rows="part", weight="w", n_estimators=6, max_depth=4, colsample=0.67, num_leaves=5, reg_lambda=0.5)
+    odd = table.withColumn("y", F.when(F.col("row_id") % 50 > 0, F.col("y"))).withColumn("part", F.when(F.col("row_id") % 40 > 0, F.col("part")))
+    calls = []
+    by_cells = boosting._grow_by_cells
+    monkeypatch.setattr(boosting, "_grow_by_cells", lambda *a: calls.append(1) or by_cells(*a))
+    fast = fit_many(odd, specs, FEATURES, "row_id")
+    monkeypatch.setattr(boosting, "CELLS", 0)
+    slow = fit_many(odd, specs, FEATURES, "row_id")
+    assert calls == [1]
+    for n in specs:
+        assert np.array_equal(fast[n].feature, slow[n].feature) and np.array_equal(fast[n].limit, slow[n].limit), n
+        assert np.allclose(fast[n].value, slow[n].value, atol=1e-9) and fast[n].begin == pytest.approx(slow[n].begin)
+
+
+def test_sampled_models_take_the_passes(table, monkeypatch):
+    monkeypatch.setattr(boosting, "_grow_by_cells", None)
+    assert len(fit_many(table, {0: Boosting("label", n_estimators=2, subsample=0.5)}, FEATURES, "row_id")[0].feature) == 2
+
+
+def test_debug_string_names_splits(table):
+    text = fit_many(table, {0: Boosting("label", n_estimators=2, max_depth=1)}, FEATURES, "row_id")[0].toDebugString
+    assert text.startswith("tree 0: 0: ") and " <= " in text and text.count("tree ") == 2
