@@ -34,6 +34,7 @@ from pyspark.ml import Model
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tabforge.operators.profile import quoted
 from tabforge.session import ensure_checkpoint_dir
 
 #: Bins of a feature, as many rows of which limits are taken, and rows of a cached block.
@@ -327,14 +328,14 @@ def _added(rdd: RDD, partitions: int) -> np.ndarray:
     return parts.treeReduce(np.add) if partitions > WIDE else sum(parts.collect(), np.zeros(()))
 
 
-def fit_many(df: DataFrame, specs: dict[str, Boosting], features: Sequence[str], row_id: str, seed: int = 42) -> dict[str, BoostedModel]:
+def fit_many(df: DataFrame, specs: dict[str, Boosting], features: Sequence[str], row_id: str, seed: int = 42, limits: list[np.ndarray] | None = None) -> dict[str, BoostedModel]:
     """Fit all models of ``specs`` together over the rows of ``df``.
 
-    Bins are those of all rows of ``df``, whatever rows a model takes. Features must not be null;
+    Bins are those of all rows of ``df``, whatever rows a model takes, unless their ``limits`` are given. Features must not be null;
     a null label, weight or ``rows`` counts as 0.
     """
     names, models = list(specs), [specs[n] for n in specs]
-    limits = bin_limits(df, features)
+    limits = bin_limits(df, features) if limits is None else limits
     narrow = math.prod(len(x) + 1 for x in limits) <= CELLS and all(s.subsample >= 1.0 for s in models)
     grown = _grow_by_cells(df, features, limits, models, seed) if narrow else _grow_by_passes(df, features, limits, models, row_id, seed)
     edges = [np.append(x, np.full(BINS - len(x), np.inf)) for x in limits]
@@ -353,10 +354,19 @@ def _heaps(kept: list[_Trees], m: int, s: Boosting) -> tuple[np.ndarray, np.ndar
     return tuple(np.stack([getattr(t, part)[m, :width] for t in own]) for part in ("feature", "bin", "value"))
 
 
+def _bin_sql(column: str, limits: np.ndarray, first: int = 0) -> str:
+    """The number of limits below the value, by halving."""
+    if not len(limits):
+        return str(first)
+    at = len(limits) // 2
+    upper, lower = _bin_sql(column, limits[at + 1 :], first + at + 1), _bin_sql(column, limits[:at], first)
+    return f"IF(double({column}) > double('{float(limits[at])!r}'), {upper}, {lower})"
+
+
 def _grow_by_cells(df: DataFrame, features: Sequence[str], limits: list[np.ndarray], specs: Sequence[Boosting], seed: int) -> list[_Grown]:
     """Sums by cell in one aggregate, then one task a model over at most ``CELLS`` rows."""
-    x = [F.col(c).cast("double") for c in features]
-    bins = [sum(((x[i] > F.lit(float(v))).cast("int") for v in limits[i]), F.lit(0)).alias(f"b{i}") for i in range(len(x))]
+    names = [f"b{i}" for i in range(len(features))]
+    bins = [F.expr(_bin_sql(quoted(c), limits[i])).alias(names[i]) for i, c in enumerate(features)]
     sums, known = [], {}
     for m, s in enumerate(specs):
         takes = F.col(s.rows).cast("double") if s.rows else F.lit(1.0)
@@ -367,7 +377,6 @@ def _grow_by_cells(df: DataFrame, features: Sequence[str], limits: list[np.ndarr
             sums += [F.sum(w).alias(f"w{m}"), F.sum(w * y).alias(f"y{m}")]
     cells = df.groupBy(*bins).agg(*sums)
     parts = [F.struct(F.lit(m).alias("model"), F.col(f"w{own[0]}").alias("w"), F.col(f"y{own[0]}").alias("y")) for own in known.values() for m in own]
-    names = [f"b{i}" for i in range(len(x))]
     long = cells.select(*names, F.explode(F.array(*parts)).alias("_s")).select("_s.*", *names).where("w > 0")
 
     def whole(m: int, binned: np.ndarray, w: np.ndarray, y: np.ndarray) -> _Grown:
@@ -391,7 +400,7 @@ def _grow_by_cells(df: DataFrame, features: Sequence[str], limits: list[np.ndarr
 
     spread = long.repartition(max(1, len(specs)), "model").groupBy("model").applyInPandas(task, "model int, grown binary")
     found = {r["model"]: pickle.loads(r["grown"]) for r in spread.collect()}  # one row a model
-    empty = np.zeros((0, len(x))), np.zeros(0), np.zeros(0)
+    empty = np.zeros((0, len(names))), np.zeros(0), np.zeros(0)
     return [found[m] if m in found else whole(m, *empty) for m in range(len(specs))]
 
 
