@@ -10,12 +10,12 @@ takes the rows whose column ``rows`` is true, so folds need no copies of the tab
 
 The margins of all models are part of the cached blocks; every ``CHECKPOINT`` trees they are
 checkpointed in the shared folder, so a lost executor costs at most so many trees. Rows are
-sampled by a hash of row id and tree, never by partition: results do not follow the partitioning,
-but for the order of additions.
+sampled in ``DRAWS`` groups made by a hash of the row id, never by partition: a tree takes the
+drawn groups whole, and results do not follow the partitioning, but for the order of additions.
 
 Binned rows with the same bins are one row to these models, with their weights added up and their
-labels averaged. Where the bins of all features make at most ``CELLS`` cells and no model samples
-rows, one aggregate gives that table of cells, whose size the number of rows does not
+labels averaged. Where the bins of all features make at most ``CELLS`` cells, one aggregate gives
+that table of cells (by group, where a model samples rows), whose size the number of rows does not
 change, and each model then grows in a task of its own: one scan in place of a pass a level.
 """
 
@@ -43,6 +43,8 @@ BINS, BLOCK_ROWS = 32, 65_536
 CHECKPOINT = 25
 #: Cells of the binned features up to which each model grows from sums by cell, in one task.
 CELLS = 65_536
+#: Groups of rows that a tree which samples takes or leaves; a share is rounded to so many parts.
+DRAWS = 64
 #: Partitions above which sums are combined on executors before the driver gets them.
 WIDE = 16
 
@@ -53,7 +55,8 @@ class Boosting:
 
     ``label`` names the label column, ``rows`` a boolean column (all rows if empty). ``newton`` takes second derivatives
     into gains (off: variances, as in first-order boosting). ``num_leaves`` bounds the
-    leaves of a tree, the most gainful splits of a level first.
+    leaves of a tree, the most gainful splits of a level first. ``subsample`` is the share of
+    the ``DRAWS`` groups of rows that a tree sees, at least one.
     """
 
     label: str
@@ -74,14 +77,6 @@ class Boosting:
     newton: bool = True
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = x.astype(np.uint64, copy=True)
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
-        x ^= x >> np.uint64(shift)
-        x *= np.uint64(factor)
-    return x
-
-
 def bin_limits(df: DataFrame, features: Sequence[str], bins: int = BINS) -> list[np.ndarray]:
     """Upper limits of the bins of each feature but the last, from approximate quantiles of all rows."""
     shares = [(k + 1) / bins for k in range(bins - 1)]
@@ -89,9 +84,13 @@ def bin_limits(df: DataFrame, features: Sequence[str], bins: int = BINS) -> list
     return [np.unique(np.array(x, dtype=float)) for x in found]
 
 
+def _draw_group(row_id: str) -> Column:
+    return F.pmod(F.xxhash64(row_id), F.lit(DRAWS)).cast("int")
+
+
 def _blocks(df: DataFrame, features: Sequence[str], limits: list[np.ndarray], specs: Sequence[Boosting], row_id: str) -> RDD:
-    """Blocks (hashes, bins, labels, weights) of the table; a weight of 0 marks rows that a model does not take."""
-    columns = [F.xxhash64(row_id).alias("_h"), *(F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(features))]
+    """Blocks (groups, bins, labels, weights) of the table; a weight of 0 marks rows that a model does not take."""
+    columns = [_draw_group(row_id).alias("_h"), *(F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(features))]
     for m, s in enumerate(specs):
         takes = F.col(s.rows).cast("double") if s.rows else F.lit(1.0)
         columns += [F.col(s.label).cast("double").alias(f"_y{m}"), (takes * (F.col(s.weight) if s.weight else F.lit(1.0))).cast("double").alias(f"_w{m}")]
@@ -102,7 +101,7 @@ def _blocks(df: DataFrame, features: Sequence[str], limits: list[np.ndarray], sp
                 get = {n: c.slice(lo, BLOCK_ROWS).to_numpy(zero_copy_only=False) for n, c in zip(batch.schema.names, batch.columns)}
                 binned = np.column_stack([np.searchsorted(limits[i], get[f"_x{i}"], side="left") for i in range(len(limits))]).astype(np.uint8)
                 y, w = (np.nan_to_num(np.column_stack([get[f"_{k}{m}"] for m in range(len(specs))]).astype(float)) for k in "yw")
-                yield pa.RecordBatch.from_pydict({"block": pa.array([pickle.dumps((get["_h"].astype(np.int64).view(np.uint64), binned, y, w))], pa.binary())})
+                yield pa.RecordBatch.from_pydict({"block": pa.array([pickle.dumps((get["_h"].astype(np.uint8), binned, y, w))], pa.binary())})
 
     return df.select(*columns).mapInArrow(pack, "block binary").rdd.map(lambda r: pickle.loads(r[0]))
 
@@ -132,15 +131,13 @@ def _gradients(margin: np.ndarray, y: np.ndarray, w: np.ndarray, logistic: np.nd
     return np.where(logistic, y - p, y - margin) * w, np.where(logistic, p * (1 - p), 1.0) * w
 
 
-def _sums(block: tuple, trees: _Trees, level: int, number: int, active: np.ndarray, logistic: np.ndarray, shares: np.ndarray, seed: int) -> np.ndarray:
+def _sums(block: tuple, trees: _Trees, level: int, active: np.ndarray, logistic: np.ndarray, drawn: np.ndarray) -> np.ndarray:
     """[model, node of the level, feature, bin, (gradient, second derivative, weight)]"""
-    hashes, binned, y, w, margin = block
+    groups, binned, y, w, margin = block
     n, d = binned.shape
-    draw = _mix(hashes + np.uint64((number * 0x9E3779B97F4A7C15 + seed) % 2**64))
-    drawn = (draw >> np.uint64(11)).astype(float)[:, None] * 2.0**-53 < shares[None, :]
     first = 2**level - 1
     place = trees.places(binned, level) - first
-    use = (place >= 0) & drawn & (w > 0) & active[None, :]
+    use = (place >= 0) & drawn[:, groups].T & (w > 0) & active[None, :]
     row, model = np.nonzero(use)
     g, h = _gradients(margin[row, model], y[row, model], w[row, model], logistic[model])
     key = (model * 2**level + place[row, model]) * BINS
@@ -180,6 +177,11 @@ class _Batch:
                 out[m, np.random.default_rng([self.seed, number, self.first + m]).permutation(d)[: max(1, round(s.colsample * d))]] = True
         return out
 
+    def drawn(self, number: int) -> np.ndarray:
+        """[model, group]: the groups of rows that a tree sees; a model of a smaller share sees part of those of a larger one."""
+        places = np.random.default_rng([self.seed, number, DRAWS]).permutation(DRAWS)
+        return places[None, :] < np.maximum(np.round(self.shares * DRAWS), 1.0)[:, None]
+
     def split(self, trees: _Trees, sums: np.ndarray, level: int, active: np.ndarray, allowed: np.ndarray, leaves: np.ndarray) -> bool:
         """Write the splits of a level and the values of its nodes' children; whether any was split."""
         first, nodes = 2**level - 1, np.arange(2**level)
@@ -219,9 +221,10 @@ class _Batch:
             alive = sizes > number
             trees = _Trees(len(self.specs), int(self.depth.max()))
             allowed, leaves = self.columns(number, d), np.ones(len(self.specs), dtype=np.int64)
+            drawn = self.drawn(number)
             for level in range(int(self.depth[alive].max())):
                 active = alive & (self.depth > level)
-                sums = measure(trees, level, number, active, self.logistic, self.shares, self.seed)
+                sums = measure(trees, level, active, self.logistic, drawn)
                 if not sums.ndim or not self.split(trees, sums, level, active, allowed, leaves):
                     break
             advance(trees, number)
@@ -336,8 +339,8 @@ def fit_many(df: DataFrame, specs: dict[str, Boosting], features: Sequence[str],
     """
     names, models = list(specs), [specs[n] for n in specs]
     limits = bin_limits(df, features) if limits is None else limits
-    narrow = math.prod(len(x) + 1 for x in limits) <= CELLS and all(s.subsample >= 1.0 for s in models)
-    grown = _grow_by_cells(df, features, limits, models, seed) if narrow else _grow_by_passes(df, features, limits, models, row_id, seed)
+    narrow = math.prod(len(x) + 1 for x in limits) <= CELLS
+    grown = _grow_by_cells(df, features, limits, models, row_id, seed) if narrow else _grow_by_passes(df, features, limits, models, row_id, seed)
     edges = [np.append(x, np.full(BINS - len(x), np.inf)) for x in limits]
     table = np.stack(edges) if edges else np.zeros((0, BINS))
     return {n: BoostedModel(features, begin, s.logistic, feature, table[np.maximum(feature, 0), bins], value) for n, s, (begin, feature, bins, value) in zip(names, models, grown)}
@@ -363,8 +366,12 @@ def _bin_sql(column: str, limits: np.ndarray, first: int = 0) -> str:
     return f"IF(double({column}) > double('{float(limits[at])!r}'), {upper}, {lower})"
 
 
-def _grow_by_cells(df: DataFrame, features: Sequence[str], limits: list[np.ndarray], specs: Sequence[Boosting], seed: int) -> list[_Grown]:
-    """Sums by cell in one aggregate, then one task a model over at most ``CELLS`` rows."""
+def _grow_by_cells(df: DataFrame, features: Sequence[str], limits: list[np.ndarray], specs: Sequence[Boosting], row_id: str, seed: int) -> list[_Grown]:
+    """Sums by cell in one aggregate, then one task a model over at most ``CELLS`` rows.
+
+    Where a model samples rows, sums are by cell and group, at most ``CELLS`` x ``DRAWS``; each tree
+    adds up those of its groups.
+    """
     names = [f"b{i}" for i in range(len(features))]
     bins = [F.expr(_bin_sql(quoted(c), limits[i])).alias(names[i]) for i, c in enumerate(features)]
     sums, known = [], {}
@@ -375,32 +382,44 @@ def _grow_by_cells(df: DataFrame, features: Sequence[str], limits: list[np.ndarr
         known.setdefault((s.label, s.rows, s.weight), []).append(m)  # grid points share their sums
         if known[s.label, s.rows, s.weight] == [m]:
             sums += [F.sum(w).alias(f"w{m}"), F.sum(w * y).alias(f"y{m}")]
-    cells = df.groupBy(*bins).agg(*sums)
+    samples = any(s.subsample < 1.0 for s in specs)
+    cells = df.groupBy(*bins, (_draw_group(row_id) if samples else F.lit(0)).alias("_g")).agg(*sums)
     parts = [F.struct(F.lit(m).alias("model"), F.col(f"w{own[0]}").alias("w"), F.col(f"y{own[0]}").alias("y")) for own in known.values() for m in own]
-    long = cells.select(*names, F.explode(F.array(*parts)).alias("_s")).select("_s.*", *names).where("w > 0")
+    long = cells.select(*names, "_g", F.explode(F.array(*parts)).alias("_s")).select("_s.*", *names, "_g").where("w > 0")
 
-    def whole(m: int, binned: np.ndarray, w: np.ndarray, y: np.ndarray) -> _Grown:
+    def whole(m: int, binned: np.ndarray, groups: np.ndarray, w: np.ndarray, y: np.ndarray) -> _Grown:
         own = [specs[m]]
-        order = np.lexsort(binned.T[::-1]) if binned.size else slice(None)  # sums do not follow the order of arrival
-        w, y = w[order, None], (y / np.maximum(w, 1e-300))[order, None]
-        block = [np.zeros(len(w), dtype=np.uint64), binned[order].astype(np.uint8), y, w]
-        begin = _begin(_label_sums(block), own)
-        block.append(np.tile(begin, (len(w), 1)))
+        binned, at = np.unique(binned, axis=0, return_inverse=True)  # sums do not follow the order of arrival
+        parts = np.zeros((2, len(binned), DRAWS if samples else 1))
+        parts[:, at.reshape(-1), groups] = w, y
+
+        def block(chosen: np.ndarray, margin: np.ndarray) -> tuple:
+            w, y = parts[:, :, chosen].sum(axis=2)
+            return np.zeros(len(w), dtype=np.uint8), binned.astype(np.uint8), (y / np.maximum(w, 1e-300))[:, None], w[:, None], margin
+
+        def measure(trees: _Trees, level: int, active: np.ndarray, logistic: np.ndarray, drawn: np.ndarray) -> np.ndarray:
+            nonlocal rows
+            if level == 0 and own[0].subsample < 1.0:
+                rows = block(drawn[0], rows[4])
+            return _sums(rows, trees, level, active, logistic, np.ones_like(drawn))
 
         def advance(trees: _Trees, number: int) -> None:
-            block[4] = _grown(trees)(tuple(block))[4]
+            nonlocal rows
+            rows = _grown(trees)(rows)
 
-        batch = _Batch(own, seed, m)
-        kept = batch.grow(binned.shape[1], lambda *at: _sums(tuple(block), *at), advance)
+        rows = block(np.ones(parts.shape[2], dtype=bool), np.zeros((len(binned), 1)))
+        begin = _begin(_label_sums(rows), own)
+        rows = (*rows[:4], np.tile(begin, (len(binned), 1)))
+        kept = _Batch(own, seed, m).grow(binned.shape[1], measure, advance)
         return float(begin[0]), *_heaps(kept, 0, own[0])
 
     def task(pdf: pd.DataFrame) -> pd.DataFrame:
         m = int(pdf["model"].iloc[0])
-        return pd.DataFrame({"model": [m], "grown": [pickle.dumps(whole(m, pdf[names].to_numpy(), pdf["w"].to_numpy(), pdf["y"].to_numpy()))]})
+        return pd.DataFrame({"model": [m], "grown": [pickle.dumps(whole(m, pdf[names].to_numpy(), pdf["_g"].to_numpy(), pdf["w"].to_numpy(), pdf["y"].to_numpy()))]})
 
     spread = long.repartition(max(1, len(specs)), "model").groupBy("model").applyInPandas(task, "model int, grown binary")
     found = {r["model"]: pickle.loads(r["grown"]) for r in spread.collect()}  # one row a model
-    empty = np.zeros((0, len(names))), np.zeros(0), np.zeros(0)
+    empty = np.zeros((0, len(names))), np.zeros(0, dtype=int), np.zeros(0), np.zeros(0)
     return [found[m] if m in found else whole(m, *empty) for m in range(len(specs))]
 
 
@@ -435,8 +454,8 @@ def _grown(trees: _Trees) -> Callable:
     depth = int(np.log2(trees.feature.shape[1] + 1)) - 1
 
     def add(block: tuple) -> tuple:
-        hashes, binned, y, w, margin = block
+        groups, binned, y, w, margin = block
         node = trees.places(binned, depth)
-        return hashes, binned, y, w, margin + trees.value[np.arange(len(trees.value))[None, :], node]
+        return groups, binned, y, w, margin + trees.value[np.arange(len(trees.value))[None, :], node]
 
     return add

@@ -102,8 +102,8 @@ def test_empty_and_constant_tables(table):
 
 
 def test_models_by_cells_equal_those_by_passes(table, monkeypatch):
-    """One scan and a task a model gives the trees that passes over the rows give, for folds, weights, few features and few leaves."""
-    specs = {n: s for n, s in SPECS.items() if s.subsample == 1.0}
+    """One scan and a task a model gives the trees that passes over the rows give, for folds, weights, samples of rows, few features and few leaves."""
+    specs = dict(SPECS, half=Boosting("label", n_estimators=5, max_depth=3, subsample=0.5), most=Boosting("y", rows="part", logistic=False, n_estimators=4, max_depth=4, subsample=0.8))
     specs["few"] = Boosting("label", rows="part", weight="w", n_estimators=6, max_depth=4, colsample=0.67, num_leaves=5, reg_lambda=0.5)
     odd = table.withColumn("y", F.when(F.col("row_id") % 50 > 0, F.col("y"))).withColumn("part", F.when(F.col("row_id") % 40 > 0, F.col("part")))
     calls = []
@@ -118,9 +118,15 @@ def test_models_by_cells_equal_those_by_passes(table, monkeypatch):
         assert np.allclose(fast[n].value, slow[n].value, atol=1e-9) and fast[n].begin == pytest.approx(slow[n].begin)
 
 
-def test_sampled_models_take_the_passes(table, monkeypatch):
-    monkeypatch.setattr(boosting, "_grow_by_cells", None)
-    assert len(fit_many(table, {0: Boosting("label", n_estimators=2, subsample=0.5)}, FEATURES, "row_id")[0].feature) == 2
+def test_sampled_trees_see_their_groups_only(table):
+    """The first tree of a sampled model is that of a model over the rows of the drawn groups, but for the start."""
+    spec = Boosting("y", logistic=False, n_estimators=1, max_depth=3, subsample=0.25)
+    own = np.nonzero(boosting._Batch([spec], 42).drawn(0)[0])[0]
+    assert len(own) == boosting.DRAWS / 4
+    marked = table.withColumn("seen", boosting._draw_group("row_id").isin(own.tolist()))
+    limits = boosting.bin_limits(table, FEATURES)
+    sampled, seen = (fit_many(marked, {0: s}, FEATURES, "row_id", limits=limits)[0] for s in (spec, Boosting("y", rows="seen", logistic=False, n_estimators=1, max_depth=3)))
+    assert np.array_equal(sampled.feature, seen.feature) and np.array_equal(sampled.limit, seen.limit)
 
 
 def test_debug_string_names_splits(table):
