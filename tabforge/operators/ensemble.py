@@ -11,7 +11,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabforge.operators.boosting import Boosting, fit_many
+from tabforge.operators import models
+from tabforge.operators.boosting import Boosting, bin_limits, fit_many
+from tabforge.operators.forests import Forest, fit_forests, fits_cells
 from tabforge.session import cut_lineage
 
 #: Fits that run at a time; each leaves cores idle between its jobs.
@@ -71,21 +73,38 @@ def fit_side_by_side(tasks: dict, parallel: int = PARALLEL) -> dict:
         return dict(zip(tasks, pool.map(lambda make: make(), tasks.values())))
 
 
+def fit_forest_batch(df: DataFrame, specs: dict, features: Sequence[str], row_id: str) -> dict:
+    """{name: model} of ``Forest`` specs: together from sums by cell, or as MLlib forests where the bins make too many cells."""
+    limits = bin_limits(df, features)
+    if fits_cells(limits):
+        return fit_forests(df, specs, features, row_id, limits=limits)
+    return fit_side_by_side({n: lambda s=s: _mllib_forest(s, len(features)).fit(df.where(s.rows) if s.rows else df) for n, s in specs.items()})
+
+
+def _mllib_forest(s: Forest, width: int):
+    """Nearest MLlib forest: it has no random cuts."""
+    tries = "all" if s.tries >= 1.0 else str(max(1, round(s.tries * width)))
+    extra = {"weightCol": s.weight} if s.weight else {}
+    return models.forest(s.label, s.trees, s.max_depth, not s.classes, minInstancesPerNode=s.least, bootstrap=s.bootstrap, featureSubsetStrategy=tries, **extra)
+
+
 def fit_bases(df: DataFrame, bases: dict[str, object], row_id: str, fold: str, k: int, features: Sequence[str] = (), whole: bool = True) -> dict:
     """{(base, fold or None): model}: every base on all rows but a fold's, and on all rows if ``whole``.
 
-    Bases given as ``Boosting`` grow together in one batch over ``features``; the others are fitted side by side.
+    Bases given as ``Boosting`` or ``Forest`` grow together in a batch of each kind over ``features``; the others are fitted side by side.
     """
     parts = [*range(k), *([None] if whole else [])]
-    boosted = {n: b for n, b in bases.items() if isinstance(b, Boosting)}
-    batch = df.withColumns({f"_in{i}": F.col(fold) != i for i in range(k)}) if boosted else df
-    specs = {(n, i): replace(b, rows="" if i is None else f"_in{i}") for n, b in boosted.items() for i in parts}
-    tasks = {"batch": lambda: fit_many(batch, specs, features, row_id)} if boosted else {}
+    batch = df.withColumns({f"_in{i}": F.col(fold) != i for i in range(k)})
+    tasks = {}
+    for kind, fit in ((Boosting, fit_many), (Forest, fit_forest_batch)):
+        specs = {(n, i): replace(b, rows="" if i is None else f"_in{i}") for n, b in bases.items() if isinstance(b, kind) for i in parts}
+        if specs:
+            tasks[kind] = lambda fit=fit, specs=specs: fit(batch, specs, features, row_id)
     for n, b in bases.items():
-        if n not in boosted:
+        if not isinstance(b, (Boosting, Forest)):
             tasks |= {(n, i): lambda b=b, i=i: b.fit(df if i is None else df.where(F.col(fold) != i)) for i in parts}
     found = fit_side_by_side(tasks)
-    return {**found.pop("batch", {}), **found}
+    return {**found.pop(Boosting, {}), **found.pop(Forest, {}), **found}
 
 
 def out_of_fold(df: DataFrame, bases: Sequence[str], fitted: dict, row_id: str, label: str, fold: str, k: int) -> DataFrame:

@@ -17,6 +17,7 @@ from tabforge.functions.rng import uniform, uniform_sql
 from tabforge.operators import ensemble, experiments, impute, leaderboard, metrics, mice, models, outliers, serve, split
 from tabforge.operators.boosting import Boosting, fit_many
 from tabforge.operators.encode import ColumnScaler
+from tabforge.operators.forests import Forest
 from tabforge.operators.experiments import Experiment, with_score
 from tabforge.plans.aggregates import rounded
 from tabforge.plans.basics import _TWO_RUNS_SQL, _two_runs
@@ -27,6 +28,8 @@ from tabforge.session import cut_lineage, scratch_path, training_table
 X = ["v", "k", "h"]
 #: Depth of forests; the reference's classifiers stop there, its regressors have no limit.
 FOREST_DEPTH = 15
+#: Share of the features that a split of a classifying forest looks at: the root of their number.
+ROOT = int(len(X) ** 0.5) / len(X)
 
 
 def lessons(spark, sf):
@@ -130,17 +133,21 @@ def md_tree(spark, sf):
 def md_rf(spark, sf):
     train, test = _train_test(spark, sf)
     weighted = models.balanced(train, "label")
-    cls = _score(models.forest(trees=100, depth=FOREST_DEPTH, weightCol="weight").fit(weighted).transform(test)).select(
-        F.lit("classifier").alias("kind"), F.col("auc").alias("metric")
-    )
-    reg = _regress(models.forest("y", trees=150, depth=FOREST_DEPTH, regression=True).fit(train).transform(test))
+    specs = {
+        "classifier": Forest("label", weight="weight", classes=True, trees=100, max_depth=FOREST_DEPTH, tries=ROOT),
+        "regressor": Forest("y", trees=150, max_depth=FOREST_DEPTH),
+    }
+    fitted = ensemble.fit_forest_batch(weighted, specs, X, "row_id")
+    cls = _score(fitted["classifier"].transform(test)).select(F.lit("classifier").alias("kind"), F.col("auc").alias("metric"))
+    reg = _regress(fitted["regressor"].transform(test))
     return cls.unionByName(reg.select(F.lit("regressor").alias("kind"), F.col("r2_score").alias("metric")))
 
 
 @query("md_extratrees")
 def md_extratrees(spark, sf):
     train, test = _train_test(spark, sf)
-    return _score(models.extra_trees(trees=150, depth=FOREST_DEPTH).fit(train).transform(test))
+    spec = Forest("label", classes=True, trees=150, max_depth=FOREST_DEPTH, tries=ROOT, bootstrap=False, cuts="random")
+    return _score(ensemble.fit_forest_batch(train, {"": spec}, X, "row_id")[""].transform(test))
 
 
 @query("md_gbt")
@@ -318,7 +325,7 @@ def en_stack_cls(spark, sf):
     boost = Boosting("label", weight="weight", n_estimators=STACK_TREES, subsample=0.8)
     bases = {
         "svm": _KernelSvm(),
-        "forest": models.forest(trees=STACK_TREES, depth=FOREST_DEPTH, minInstancesPerNode=2, weightCol="weight"),
+        "forest": Forest("label", weight="weight", classes=True, trees=STACK_TREES, max_depth=FOREST_DEPTH, least=2, tries=ROOT),
         "gbt": replace(boost, newton=False),
         "xgb": replace(boost, colsample=0.8, reg_lambda=1.0, min_child_weight=1.0),
         "lgbm": replace(boost, colsample=0.8, min_child_samples=20, num_leaves=31),
@@ -341,9 +348,9 @@ def _stack_reg_parts(spark, sf):
     boost = Boosting("y", logistic=False, n_estimators=STACK_TREES)
     bases = {
         "xgb": replace(boost, learning_rate=0.3, max_depth=6, reg_lambda=1.0, min_child_weight=1.0),
-        "forest": models.forest("y", trees=STACK_TREES, depth=FOREST_DEPTH, regression=True),
+        "forest": Forest("y", trees=STACK_TREES, max_depth=FOREST_DEPTH),
         "gbt": replace(boost, max_depth=3, newton=False),
-        "extra": models.extra_trees("y", trees=STACK_TREES, depth=FOREST_DEPTH, regression=True),
+        "extra": Forest("y", trees=STACK_TREES, max_depth=FOREST_DEPTH, bootstrap=False, cuts="random"),
         "ridge": models.ridge(train, "y"),
         "lasso": models.lasso("y"),
     }
@@ -385,7 +392,7 @@ def ex_grid(spark, sf):
     """Exhaustive grids of three learners under fixed folds; the best of each on the held-out rows.
 
     Numbers of trees are prefixes of the largest model. The boosted models of all folds, steps and
-    depths grow in the same passes; forests are fitted side by side.
+    depths grow together, and so do the forests.
     """
     train, test = _train_test(spark, sf)
     folds, (small, large) = 3, GRID_TREES
@@ -397,12 +404,12 @@ def ex_grid(spark, sf):
             specs[name, depth, step, i] = Boosting("y", rows=rows, logistic=False, n_estimators=large, learning_rate=step, max_depth=depth, **kind)
 
     def forest(depth, least, i):
-        learner = models.forest("y", trees=large, depth=depth, regression=True, minInstancesPerNode=least)
-        return learner.fit(train if i is None else folded.where(F.col("fold") != i))
+        return Forest("y", rows="" if i is None else f"_in{i}", trees=large, max_depth=depth, least=least)
 
-    tasks = {("RandomForest", d, n, i): lambda d=d, n=n, i=i: forest(d, n, i) for d, n, i in product((10, 20), (1, 2), range(folds))}
-    fitted = ensemble.fit_side_by_side({"batch": lambda: fit_many(folded, specs, X, "row_id"), **tasks})
-    fitted = {**fitted.pop("batch"), **fitted}
+    grown = {("RandomForest", d, n, i): forest(d, n, i) for d, n, i in product((10, 20), (1, 2), range(folds))}
+    both = {"boosted": lambda: fit_many(folded, specs, X, "row_id"), "forests": lambda: ensemble.fit_forest_batch(folded, grown, X, "row_id")}
+    found = ensemble.fit_side_by_side(both)
+    fitted = {**found["boosted"], **found["forests"]}
 
     def errors(model, df):
         return model.errors(df, "y", (small, large)) if hasattr(model, "errors") else models.forest_errors(model, df, "y", (small, large))
@@ -418,7 +425,10 @@ def ex_grid(spark, sf):
     held = {}
     for name in {r[0] for r in rows}:
         _, depth, n, step, least, _, _ = max((r for r in rows if r[0] == name), key=lambda r: r[5])
-        best = errors(forest(depth, least, None), parts[None])[n] if name == "RandomForest" else found[name, depth, step, None][n]
+        if name == "RandomForest":
+            best = errors(ensemble.fit_forest_batch(folded, {"": forest(depth, least, None)}, X, "row_id")[""], parts[None])[n]
+        else:
+            best = found[name, depth, step, None][n]
         held[name] = 1.0 - best / spread[None]
     schema = "model string, max_depth int, trees int, step double, min_rows int, cv_r2 double, cv_r2_std double, test_r2_of_best double"
     return spark.createDataFrame([(*r, float(held[r[0]])) for r in rows], schema).orderBy(F.col("cv_r2").desc(), "model", "max_depth", "trees")
@@ -445,10 +455,12 @@ def ex_trees(spark, sf):
     sizes = CURVE_TREES
     boost = Boosting("y", logistic=False, n_estimators=sizes[-1])
     specs = {"XGBoost": replace(boost, learning_rate=0.3, max_depth=6, reg_lambda=1.0, min_child_weight=1.0), "GradientBoosting": replace(boost, max_depth=3, newton=False)}
-    forest = models.forest("y", trees=sizes[-1], depth=FOREST_DEPTH, regression=True)
-    fitted = ensemble.fit_side_by_side({"batch": lambda: fit_many(train, specs, X, "row_id"), "forest": lambda: forest.fit(train)})
-    errors = {name: m.errors(test, "y", sizes) for name, m in fitted["batch"].items()}
-    errors["RandomForest"] = models.forest_errors(fitted["forest"], test, "y", sizes)
+    forest = {"RandomForest": Forest("y", trees=sizes[-1], max_depth=FOREST_DEPTH)}
+    both = {"boosted": lambda: fit_many(train, specs, X, "row_id"), "forest": lambda: ensemble.fit_forest_batch(train, forest, X, "row_id")}
+    fitted = ensemble.fit_side_by_side(both)
+    errors = {name: m.errors(test, "y", sizes) for name, m in fitted["boosted"].items()}
+    for name, m in fitted["forest"].items():
+        errors[name] = m.errors(test, "y", sizes) if hasattr(m, "errors") else models.forest_errors(m, test, "y", sizes)
     spread = test.agg(F.var_pop("y")).first()[0]
     rows = [(name, n, float(e), float(1.0 - e / spread)) for name, by_size in errors.items() for n, e in by_size.items()]
     return spark.createDataFrame(rows, "model string, n_estimators int, mse double, r2_score double")
