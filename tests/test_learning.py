@@ -243,7 +243,7 @@ def sizes_of(learner):
     return {p.name: v for p, v in learner.extractParamMap().items()}
 
 
-@pytest.mark.parametrize(("name", "size"), [("md_rf", {"numTrees": 100, "maxDepth": 15}), ("md_extratrees", {"numTrees": 150}), ("md_gbt", {"maxIter": 100, "maxDepth": 5})])
+@pytest.mark.parametrize(("name", "size"), [("md_gbt", {"maxIter": 100, "maxDepth": 5})])
 def test_registered_learners_have_the_reference_sizes(spark, monkeypatch, name, size):
     from pyspark.ml import Estimator
 
@@ -256,6 +256,59 @@ def test_registered_learners_have_the_reference_sizes(spark, monkeypatch, name,
     assert sizes_of(caught.value.args[0]).items() >= size.items()
 
 
+#: Forests of the registered queries at full size: number of models, trees and depths.
+FORESTS = {"md_rf": (2, {(100, 15), (150, 15)}), "md_extratrees": (1, {(150, 15)}), "en_weights": (10, {(150, 15)}), "en_stack_cls": (6, {(150, 15)}), "ex_grid": (12, {(200, 10), (200, 20)})}
+
+
+@pytest.mark.parametrize("name", FORESTS)
+def test_forests_have_the_registered_sizes(spark, monkeypatch, name):
+    """The recorded sizes are whole; the query goes on to its end with four trees of depth three."""
+    from dataclasses import replace
+
+    from tabforge.operators import boosting, forests
+    from tabforge.plans import learning
+
+    seen = []
+
+    def few_forests(df, specs, features, row_id, seed=42, limits=None):
+        seen.append(list(specs.values()))
+        return forests.fit_forests(df, {n: replace(s, trees=4, max_depth=3) for n, s in specs.items()}, features, row_id, seed, limits)
+
+    def few_boosted(df, specs, features, row_id, seed=42):
+        return boosting.fit_many(df, {n: replace(s, n_estimators=4) for n, s in specs.items()}, features, row_id, seed)
+
+    monkeypatch.setattr(ensemble, "fit_forests", few_forests)
+    for module in (learning, ensemble):
+        monkeypatch.setattr(module, "fit_many", few_boosted)
+    forest = models.forest
+    monkeypatch.setattr(models, "boosted", lambda **kw: forest(trees=4, depth=3))  # the meta model
+    if name == "ex_grid":
+        errors = forests.ForestModel.errors
+        monkeypatch.setattr(forests.ForestModel, "errors", lambda self, df, y, sizes: dict(zip(sizes, errors(self, df, y, (2, 4)).values())))
+        boosted_errors = boosting.BoostedModel.errors
+        monkeypatch.setattr(boosting.BoostedModel, "errors", lambda self, df, y, sizes: dict(zip(sizes, boosted_errors(self, df, y, (2, 4)).values())))
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+    n, sizes = FORESTS[name]
+    assert len(seen[0]) == n and {(s.trees, s.max_depth) for s in seen[0]} == sizes
+
+
+def test_wide_tables_take_mllib_forests(spark, planted, monkeypatch):
+    """Bins that make too many cells: the same specs grow as forests of MLlib."""
+    from tabforge.operators import forests
+    from tabforge.operators.forests import Forest
+
+    df = planted if "features" in planted.columns else models.assemble(planted, ["a", "b", "c"])
+    df = df.withColumn("some", F.col("row_id") % 2 == 0)
+    specs = {"f": Forest("label", rows="some", classes=True, trees=5, max_depth=4), "e": Forest("label", classes=True, trees=5, max_depth=4, bootstrap=False, cuts="random")}
+    kinds, scores = [], []
+    for cells in (forests.CELLS, 10):
+        monkeypatch.setattr(forests, "CELLS", cells)
+        fitted = ensemble.fit_forest_batch(df, specs, ["a", "b", "c"], "row_id")
+        kinds.append(type(fitted["f"]).__name__)
+        scores += [_accuracy(m.transform(df)) for m in fitted.values()]
+    assert kinds == ["ForestModel", "RandomForestClassificationModel"] and min(scores) > 0.85, (kinds, scores)
+
+
 #: Batches of the registered queries at full size: numbers of models, and trees and depths among them.
 BATCHES = {
     "md_xgb": (1, {(150, 5)}),
