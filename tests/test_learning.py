@@ -229,6 +229,18 @@ def test_fits_do_not_follow_the_partitioning(spark):
     assert len(trees) == 1
 
 
+def test_training_partitions_grow_slower_than_small_tables_would_have_it(spark, monkeypatch):
+    from tabforge import session
+
+    assert [session.training_partitions(n) for n in (0, 1, 2_001, 100_000)] == [1, 1, 2, 50]
+    assert [session.training_partitions(n) for n in (600_000, 6_000_000, 36_000_000)] == [64, 120, 720]
+    monkeypatch.setattr(session, "TRAINING_ROWS", 10)
+    monkeypatch.setattr(session, "SMALL_PARTITIONS", 4)
+    monkeypatch.setattr(session, "LARGE_ROWS", 100)
+    data = session.training_table(spark.range(500).withColumnRenamed("id", "row_id"), "row_id")
+    assert data.rdd.getNumPartitions() == 5 and data.distinct().count() == 500
+
+
 # ---- full sizes ------------------------------------------------------------
 
 
