@@ -30,6 +30,26 @@ def _brute(x, k, p=2.0, skip_self=True):
     return out
 
 
+@pytest.mark.parametrize("skip_self", [False, True])
+def test_copies_of_a_donor_are_few_and_lose_no_neighbour(spark, monkeypatch, skip_self):
+    rng = np.random.default_rng(8)
+    x = np.repeat(rng.integers(0, 6, (12, 2)).astype(float), 50, axis=0)[rng.permutation(600)]
+    donors = []
+    build = knn._build_cells
+    monkeypatch.setattr(knn, "_build_cells", lambda d, *rest: donors.append(d.count()) or build(d, *rest))
+    monkeypatch.setattr(knn, "BROADCAST_BYTES", 0)
+    df = _frame(spark, x)
+    edges = knn.knn_edges(
+        df, df, query_id="row_id", donor_id="row_id", query_vector=knn.vector(["f0", "f1"]), donor_vector=knn.vector(["f0", "f1"]),
+        width=2, k=3, skip_self=skip_self, rows_per_cell=8,
+    )
+    got = {}
+    for r in edges.orderBy("query_id", "place").collect():
+        got.setdefault(r["query_id"], []).append(r["donor_id"])
+    assert got == _brute(x, 3, skip_self=skip_self)
+    assert donors[0] <= 12 * (4 if skip_self else 3)
+
+
 @pytest.mark.parametrize("p", [1.0, 2.0])
 @pytest.mark.parametrize("shape", ["plain", "gaps", "hot"])
 def test_cell_search_equals_brute_force(spark, shape, p):
