@@ -44,6 +44,7 @@ MAX_CELLS = 65_536
 AXES = 5
 ROWS_PER_CELL = 64
 BLOCK_ROWS = 1024
+DEALT_ROWS = 50_000  # rows of a part of the donors before copies are left out
 CELLS_PER_GROUP = 64
 _SPLIT_BYTES = 8 * 1024  # each query row is dear, so even small tables are spread out
 _CHUNK = 200_000  # matrix cells worked on at once, so that they stay in cache
@@ -354,7 +355,7 @@ def knn_edges(
     if n <= broadcast_rows and n * (width + 2) * 8 <= BROADCAST_BYTES:
         return _small_search(q, d, width, k, p, wanted, skip_self)
     more = k + 1 if skip_self else k  # an own row is found too, and dropped at the end
-    d = cut_lineage(_nearest_copies(d, more))
+    d = cut_lineage(_nearest_copies(_dealt(d, n), more))
     n = d.count()
     if n <= broadcast_rows and n * (width + 2) * 8 <= BROADCAST_BYTES and not skip_self:
         return _small_search(q, d, width, k, p, wanted, skip_self)
@@ -389,8 +390,15 @@ def knn_edges(
 
 def _nearest_copies(donors: DataFrame, most: int) -> DataFrame:
     """Of equal donors those of the lowest ids: all that can be among the nearest ``most``."""
-    w = Window.partitionBy("v").orderBy(F.col("id").asc_nulls_last())
-    return donors.withColumn("_copy", F.row_number().over(w)).where(F.col("_copy") <= most).drop("_copy")
+    w = Window.partitionBy("_code", "v").orderBy(F.col("id").asc_nulls_last())  # sorting by a number first is cheap
+    marked = donors.withColumn("_code", F.xxhash64("v")).withColumn("_copy", F.row_number().over(w))
+    return marked.where(F.col("_copy") <= most).drop("_code", "_copy")
+
+
+def _dealt(df: DataFrame, n: int) -> DataFrame:
+    """Rows in parts of ``DEALT_ROWS``: a file of many rows in few splits would be few long tasks."""
+    parts = -(-n // DEALT_ROWS)
+    return df.repartition(parts, "id", "v") if parts > 1 else df
 
 
 def _radius(targets: Sequence[int], last: str | None = None) -> dict[str, Column]:
