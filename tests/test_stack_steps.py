@@ -9,13 +9,13 @@ from tabforge.functions.rng import uniform
 from tabforge.operators import ensemble, models
 from tabforge.operators.boosting import Boosting, distinct_cells
 from tabforge.plans import learning
-from tabforge.session import STEP_PARTITIONS, cut_lineage, step_partitions
+from tabforge.session import SMALL_PARTITIONS, STEP_PARTITIONS, cut_lineage, step_partitions
 
 
 @pytest.fixture(scope="module")
 def folded(spark):
-    """400 rows in 16 partitions, of two folds."""
-    rows = spark.range(0, 400, 1, 16).select(F.col("id").alias("row_id"), *(uniform("id", k).alias(c) for k, c in enumerate(learning.X)))
+    """400 rows in 33 partitions, of two folds."""
+    rows = spark.range(0, 400, 1, 33).select(F.col("id").alias("row_id"), *(uniform("id", k).alias(c) for k, c in enumerate(learning.X)))
     rows = rows.withColumns({"label": (F.col("v") + F.col("k") > 1).cast("int"), "fold": (F.col("row_id") % 2).cast("int")})
     return cut_lineage(models.assemble(rows, learning.X))
 
@@ -28,7 +28,7 @@ def one_part(folded):
 def test_level_one_has_few_partitions_and_all_rows(folded):
     fitted = {("lr", i): LogisticRegression(labelCol="label").fit(folded.where(F.col("fold") != i)) for i in range(2)}
     out = ensemble.out_of_fold(folded, ["lr"], fitted, "row_id", "label", "fold", 2)
-    assert out.rdd.getNumPartitions() <= STEP_PARTITIONS < 2 * folded.rdd.getNumPartitions()
+    assert out.rdd.getNumPartitions() <= STEP_PARTITIONS < SMALL_PARTITIONS < 2 * folded.rdd.getNumPartitions()
     got = {r.row_id: r.z_lr for r in out.collect()}
     assert len(got) == out.count() == 400
     for i in range(2):
@@ -66,7 +66,8 @@ def test_margins_of_a_kernel_machine_need_no_feature_column(one_part, kind):
     assert all(r.margin == pytest.approx(want[r.row_id], abs=1e-9) for r in out.select("row_id", "margin").collect())
 
 
-def test_bases_score_by_cell_and_stacks_share_their_outputs(one_part):
+def test_bases_score_by_cell_and_stacks_share_their_outputs(one_part, monkeypatch):
+    monkeypatch.setattr(ensemble, "CELLS", 399)  # fewer than rows
     bases = {"gbt": Boosting("label", n_estimators=5, max_depth=3), "lr": LogisticRegression(labelCol="label")}
     stacks = ensemble.fit_stacks(one_part, bases, {"a": LogisticRegression(), "b": models.tree(depth=2)}, k=2, features=learning.X)
     assert all(s.bases["gbt"].cells for s in stacks.values())
