@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabforge.llm.graph import components
-from tabforge.llm.tables import id_of, keyed, settled
+from tabforge.llm.tables import id_of, in_batches, keyed, settled
 from tabforge.llm.words import Block, blocks, mix
 
 SHINGLE_WORDS = 5
@@ -120,7 +120,7 @@ def _signatures(docs: DataFrame) -> DataFrame:
                     [rows.column(c) for c in ("key", "t1", "t2")] + [pa.ListArray.from_arrays(bounds, found[has].ravel())], ["key", "t1", "t2", "registers"]
                 )
 
-    return docs.select("key", "t1", "t2", "text").mapInArrow(sign, "key long, t1 long, t2 long, registers array<int>")
+    return in_batches(docs.select("key", "t1", "t2", "text")).mapInArrow(sign, "key long, t1 long, t2 long, registers array<int>")
 
 
 def _bags(docs: DataFrame) -> DataFrame:
@@ -140,7 +140,7 @@ def _bags(docs: DataFrame) -> DataFrame:
                     counts.append(sums.tobytes() if (sums != 1).any() else b"")
                 yield pa.RecordBatch.from_arrays([batch.column("key").slice(b.first, b.n_texts), pa.array(ids, pa.binary()), pa.array(counts, pa.binary())], ["key", "ids", "counts"])
 
-    return docs.mapInArrow(make, "key long, ids binary, counts binary")
+    return in_batches(docs).mapInArrow(make, "key long, ids binary, counts binary")
 
 
 def _agreeing(pairs: DataFrame, reps: DataFrame, least: float) -> DataFrame:
@@ -154,7 +154,7 @@ def _agreeing(pairs: DataFrame, reps: DataFrame, least: float) -> DataFrame:
     both = pairs.join(reps.select(F.col("key").alias("a"), F.col("registers").alias("x")), "a").join(
         reps.select(F.col("key").alias("b"), F.col("registers").alias("y")), "b"
     )
-    return both.select("a", "b", "x", "y").mapInArrow(agree, "a long, b long")
+    return in_batches(both.select("a", "b", "x", "y")).mapInArrow(agree, "a long, b long")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, similarity: float) -> DataFrame:
@@ -173,7 +173,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, similarity: fl
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     own = _bags(_wanted_texts(docs, reps, wanted))
     both = pairs.join(own.toDF("a", "ids_a", "counts_a"), "a").join(own.toDF("b", "ids_b", "counts_b"), "b")
-    return both.mapInArrow(measure, "a long, b long, similarity double")
+    return in_batches(both).mapInArrow(measure, "a long, b long, similarity double")
 
 
 def _shared_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:

@@ -24,7 +24,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabforge.llm.tables import text_of
+from tabforge.llm.tables import in_batches, text_of
 
 KINDS = ("assign", "access", "hex")
 #: Characters of a layer, run or decoded run that is held in memory; longer ones are read in chunks,
@@ -417,7 +417,7 @@ def find_secrets(df: DataFrame, text_col: str = "text", redact: bool = False) ->
         columns = zip(*rows) if rows else [()] * 5
         return pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind)], [f.name for f in kind])
 
-    return df.withColumn("secrets", look(text_of(text_col)))
+    return in_batches(df).withColumn("secrets", look(text_of(text_col)))
 
 
 def joined(spans: str) -> Column:

@@ -27,7 +27,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tabforge.llm.tables import settled, sized_broadcast, text_of
+from tabforge.llm.tables import in_batches, settled, sized_broadcast, text_of
 from tabforge.llm.words import Block, blocks, mix
 from tabforge.session import scratch_path
 
@@ -148,7 +148,7 @@ def _counts(labelled: DataFrame) -> DataFrame:
                     {"hash": hashes[first].view(np.int64), "documents": np.diff(np.append(first, len(hashes))), "toxic": np.add.reduceat(toxic, first)}
                 )
 
-    return labelled.select("text", "toxic").mapInArrow(count, "hash long, documents long, toxic long")
+    return in_batches(labelled.select("text", "toxic")).mapInArrow(count, "hash long, documents long, toxic long")
 
 
 def learn_lexicon(labelled: DataFrame, size: int = LEXICON) -> Lexicon | LexiconTable:
@@ -202,7 +202,7 @@ def scanned(df: DataFrame, out: str, text_col: str, lexicon: Lexicon | LexiconTa
     """``df`` with a column ``out`` of ``_scan``. ``own``: the label's column, where the rows are in the lexicon."""
     if isinstance(lexicon, LexiconTable):
         return _scanned_by_blocks(df, out, text_col, lexicon, own)
-    shared, text = df.sparkSession.sparkContext.broadcast(lexicon), F.lower(text_of(text_col))
+    shared, text = in_batches(df).sparkSession.sparkContext.broadcast(lexicon), F.lower(text_of(text_col))
     if own is None:
 
         @F.arrow_udf(_SCAN)
@@ -250,15 +250,15 @@ def _scanned_by_blocks(df: DataFrame, out: str, text_col: str, lexicon: LexiconT
             of = batch.column("block").to_numpy()
             bounds = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1), len(of)] if len(of) else []
             for lo, hi in zip(bounds, bounds[1:]):
-                for b in blocks(batch.column("text").slice(lo, hi - lo), "letter"):
-                    if b.n_words:
-                        hashes = np.unique(np.concatenate(_levels(b)[1]))
-                        bit = hashes & np.uint64(8 * len(bitmap) - 1)
-                        held = (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                        hashes = hashes[held & (hashes != 0)]
-                        yield pa.RecordBatch.from_pydict({"block": np.full(len(hashes), of[lo], dtype=np.int32), "hash": hashes.view(np.int64)})
-
-    wanted = rows.sortWithinPartitions("block").mapInArrow(words, "block int, hash long")
+                own = [np.unique(np.concatenate(_levels(b)[1])) for b in blocks(batch.column("text").slice(lo, hi - lo), "letter") if b.n_words]
+                if own:
+                    hashes = np.unique(np.concatenate(own))
+                    bit = hashes & np.uint64(8 * len(bitmap) - 1)
+                    held = (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                    hashes = hashes[held & (hashes != 0)]
+                    yield pa.RecordBatch.from_pydict({"block": np.full(len(hashes), of[lo], dtype=np.int32), "hash": hashes.view(np.int64)})
+
+    wanted = in_batches(rows.sortWithinPartitions("block")).mapInArrow(words, "block int, hash long")
     found = wanted.join(lexicon.table, "hash")
     labelled, n, n_toxic = own is not None, lexicon.n, lexicon.n_toxic
 

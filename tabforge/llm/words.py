@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are held as 8-byte numbers at a time; one longer text is a block of its own.
-BLOCK_BYTES = 1_000_000
+BLOCK_BYTES = 250_000
 #: Texts of a block at most.
 BLOCK_TEXTS = 4_096
 

@@ -109,6 +109,21 @@ def test_near_duplicates_that_no_pivot_joins(spark, documents, monkeypatch):
     assert got == plain.near_classes(rows) and len({got[k] for k in range(30)}) == 1
 
 
+def test_texts_reach_workers_in_batches_of_bounded_bytes(spark, monkeypatch):
+    whole, most = n.blocks, 6 * 1024 * 1024
+
+    def bounded(column, *args, **named):
+        assert column.nbytes < most, f"{column.nbytes} bytes in a batch"
+        for block in whole(column, *args, **named):
+            assert len(block.data) < 300_000 or block.n_texts == 1
+            yield block
+
+    monkeypatch.setattr(n, "blocks", bounded)
+    text = F.repeat(F.concat(F.lit("w"), F.col("id"), F.lit(" ")), 5000)
+    docs = spark.range(0, 500, 1, 1).select(F.col("id").alias("doc_id"), text.alias("text"))  # 14 MB in one partition
+    assert {r.doc_id: r.class_size for r in n.near_duplicates(docs).collect()} == {k: 1 for k in range(500)}
+
+
 def test_registers_estimate_probability_jaccard():
     rng = np.random.default_rng(3)
     ids = rng.integers(1, 2**63, 300).astype(np.uint64)
