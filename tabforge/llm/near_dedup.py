@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabforge.llm.graph import components
 from tabforge.llm.tables import id_of, in_batches, keyed, settled
-from tabforge.llm.words import Block, blocks, mix
+from tabforge.llm.words import SMALL_BLOCK_BYTES, Block, blocks, mix
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -110,7 +110,7 @@ def _signatures(docs: DataFrame) -> DataFrame:
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in blocks(batch.column("text"), "alnum", fold_case=True):
+            for b in blocks(batch.column("text"), "alnum", fold_case=True, most=SMALL_BLOCK_BYTES):
                 text, shingle, count = bags(b)
                 found = prob_minhash(text, shingle, count.astype(float), b.n_texts)
                 has = np.diff(b.word_bounds) > 0
@@ -128,7 +128,7 @@ def _bags(docs: DataFrame) -> DataFrame:
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in blocks(batch.column("text"), "alnum", fold_case=True):
+            for b in blocks(batch.column("text"), "alnum", fold_case=True, most=SMALL_BLOCK_BYTES):
                 text, shingle, count = bags(b)
                 short = (shingle >> np.uint64(32)).astype(np.uint32)
                 bounds = np.searchsorted(text, np.arange(b.n_texts + 1))

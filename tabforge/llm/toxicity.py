@@ -28,7 +28,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tabforge.llm.tables import in_batches, settled, sized_broadcast, text_of
-from tabforge.llm.words import Block, blocks, mix
+from tabforge.llm.words import SMALL_BLOCK_BYTES, Block, blocks, mix
 from tabforge.session import scratch_path
 
 PREFIX_BYTES = (4, 6, 8)
@@ -130,7 +130,7 @@ def _counts(labelled: DataFrame) -> DataFrame:
     def count(batches):
         for batch in batches:
             labels = batch.column("toxic").to_numpy()
-            for b in blocks(batch.column("text"), "letter"):
+            for b in blocks(batch.column("text"), "letter", most=SMALL_BLOCK_BYTES):
                 if not b.n_words:
                     continue
                 which, levels = _levels(b)
@@ -166,7 +166,7 @@ def _scan(texts: pa.Array, labels: pa.Array | None, lexicon: Lexicon) -> pa.Arra
     block, for the words of its non-toxic rows). ``labels``: where the rows are in the lexicon."""
     label = labels.to_numpy() if labels is not None else np.zeros(len(texts), dtype=int)
     rows = []
-    for b in blocks(texts, "letter"):
+    for b in blocks(texts, "letter", most=SMALL_BLOCK_BYTES):
         mine = label[b.first : b.first + b.n_texts]
         n = np.diff(b.word_bounds)
         if b.n_words:
@@ -250,7 +250,7 @@ def _scanned_by_blocks(df: DataFrame, out: str, text_col: str, lexicon: LexiconT
             of = batch.column("block").to_numpy()
             bounds = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1), len(of)] if len(of) else []
             for lo, hi in zip(bounds, bounds[1:]):
-                own = [np.unique(np.concatenate(_levels(b)[1])) for b in blocks(batch.column("text").slice(lo, hi - lo), "letter") if b.n_words]
+                own = [np.unique(np.concatenate(_levels(b)[1])) for b in blocks(batch.column("text").slice(lo, hi - lo), "letter", most=SMALL_BLOCK_BYTES) if b.n_words]
                 if own:
                     hashes = np.unique(np.concatenate(own))
                     bit = hashes & np.uint64(8 * len(bitmap) - 1)

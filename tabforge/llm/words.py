@@ -13,7 +13,9 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are held as 8-byte numbers at a time; one longer text is a block of its own.
-BLOCK_BYTES = 250_000
+BLOCK_BYTES = 1_000_000
+#: The same for operators that share an executor with others, and hold several arrays a word beside.
+SMALL_BLOCK_BYTES = 250_000
 #: Texts of a block at most.
 BLOCK_TEXTS = 4_096
 
@@ -115,12 +117,12 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)), bounds
 
 
-def blocks(column: pa.Array, kind: str, fold_case: bool = False) -> Iterator[Block]:
-    """Blocks of consecutive texts of a column, each of bounded size."""
+def blocks(column: pa.Array, kind: str, fold_case: bool = False, most: int = BLOCK_BYTES) -> Iterator[Block]:
+    """Blocks of consecutive texts of a column, each of ``most`` bytes or one text."""
     data, bounds = texts_of(column)
     first = 0
     while first < len(column):
-        last = max(int(np.searchsorted(bounds, bounds[first] + BLOCK_BYTES, side="right")) - 1, first + 1)
+        last = max(int(np.searchsorted(bounds, bounds[first] + most, side="right")) - 1, first + 1)
         last = min(last, first + BLOCK_TEXTS)
         own = bounds[first : last + 1]
         yield Block(first, data[own[0] : own[-1]], own - own[0], kind, fold_case)
