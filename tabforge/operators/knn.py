@@ -10,7 +10,9 @@ scaled by the most features that a row of the group can share:
    features observed in all and in any of its rows. The number of cells grows with the
    donors, up to a table of boxes of ``BOX_BYTES``; neighbouring cells share a larger box.
 2. Equal query rows are searched once, and of equal donors only the k of lowest ids are kept, as
-   equal distances are ordered by donor id.
+   equal distances are ordered by donor id. Where queries ask for targets and lack features in few
+   ways (``MAX_ASKS``), each way and target is a search of its own, and donors are equal if they are in the
+   features that such queries have.
 3. Each query first meets its home cells only, the nearest ones that hold enough donors.
    The k-th nearest found there is its radius; then it meets the cells that reach into
    that radius and no others.
@@ -29,6 +31,7 @@ results are the same.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import astuple, dataclass
 
 import numpy as np
@@ -49,6 +52,10 @@ CELLS_PER_GROUP = 64
 _SPLIT_BYTES = 8 * 1024  # each query row is dear, so even small tables are spread out
 _CHUNK = 200_000  # matrix cells worked on at once, so that they stay in cache
 _ROUTE_ROWS = 512  # queries whose bounds are held at once
+_NEAR_GROUPS = 8  # groups of cells among which most queries find their home
+_GROUPS_AT_ONCE = 2048  # pairs of a query and a group whose cells are looked at together
+MAX_ASKS, ASKS_AT_ONCE = 16, 4  # pairs of missing features and target that are searched each on its own, and at a time
+BROADCAST_PAIRS = 2_000_000_000  # pairs of such a search up to which its donors are broadcast
 PLAIN = -1  # target index of an ordinary search
 
 EDGE_SCHEMA = "query_id long, target int, donor_id long, power double, value double, place int"
@@ -203,54 +210,80 @@ class _Boxes:
         with np.errstate(divide="ignore", invalid="ignore"):
             return np.where(shared > 0, total * (width / shared) * (1 - 1e-9), np.inf)
 
+    def lower_of(self, q: np.ndarray, p: float, cells: np.ndarray) -> np.ndarray:
+        """The same bound for pairs: each row of ``q`` and the cell beside it."""
+        width = q.shape[1]
+        total, shared = np.zeros(len(q)), np.zeros(len(q))
+        for j in range(width):
+            x = q[:, j]
+            seen = ~np.isnan(x)
+            near = np.maximum(0.0, np.maximum(self.low[cells, j] - x, x - self.high[cells, j]))
+            total += np.where(self.every[cells, j] & seen, near**p, 0.0)
+            shared += self.some[cells, j] & seen
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where(shared > 0, total * (width / shared) * (1 - 1e-9), np.inf)
+
+
+def _until(rows: np.ndarray, columns: np.ndarray, bound: np.ndarray, have: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of (row, column) entries, sorted by row, those of the smallest bounds of each row until ``have`` adds up to ``need``."""
+    use = np.isfinite(bound) & (have > 0)
+    rows, columns, bound, have = rows[use], columns[use], bound[use], have[use]
+    order = np.lexsort((columns, bound, rows))
+    rows, columns, have = rows[order], columns[order], have[order]
+    before = np.cumsum(have) - have
+    before -= before[np.searchsorted(rows, rows)]
+    return rows[before < need], columns[before < need]
+
+
+def _cells_of(boxes: _Boxes, rows: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, cell) for the cells of each (row, group)."""
+    cells = (groups[:, None] * CELLS_PER_GROUP + np.arange(CELLS_PER_GROUP)).ravel()
+    real = cells < len(boxes.low)
+    return np.repeat(rows, CELLS_PER_GROUP)[real], cells[real]
+
 
 def _home(boxes: _Boxes, groups: _Boxes, q: np.ndarray, k: int, p: float, targets: Sequence[int]) -> list[np.ndarray]:
     """For each query the nearest cells that hold twice the donors asked for, per target."""
-    far = groups.lower(q, p, np.arange(len(groups.low)))
-    out = []
-    for i in range(len(q)):
-        chosen: set[int] = set()
-        order = np.argsort(far[i], kind="stable")
-        order = order[np.isfinite(far[i][order])]
-        for t in targets:
-            if t != PLAIN and not np.isnan(q[i, t]):
-                continue
-            have = groups.count[order].max(axis=1) if t == PLAIN else groups.count[order, t]
-            some = order[: int(np.searchsorted(np.cumsum(have), 4 * k)) + 1]
-            cells = (some[:, None] * CELLS_PER_GROUP + np.arange(CELLS_PER_GROUP)).ravel()
-            cells = cells[cells < len(boxes.low)]
-            near = boxes.lower(q[i : i + 1], p, cells)[0]
-            cells = cells[np.argsort(near, kind="stable")]
-            cells = cells[: int(np.isfinite(near).sum())]
-            have = boxes.count[cells].max(axis=1) if t == PLAIN else boxes.count[cells, t]
-            cells, have = cells[have > 0], have[have > 0]
-            chosen.update(cells[: int(np.searchsorted(np.cumsum(have), 2 * k)) + 1].tolist())
-        out.append(np.array(sorted(chosen), dtype=np.int32))
-    return out
+    far, everywhere = groups.lower(q, p, np.arange(len(groups.low))), np.arange(len(groups.low))
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for t in targets:
+        asks = np.arange(len(q)) if t == PLAIN else np.nonzero(np.isnan(q[:, t]))[0]
+        have = groups.count.max(axis=1) if t == PLAIN else groups.count[:, t]
+        few = min(_NEAR_GROUPS, len(everywhere))
+        near = np.sort(np.argpartition(far[asks], few - 1, axis=1)[:, :few], axis=1) if len(asks) else np.zeros((0, few), dtype=int)
+        enough = np.where(np.isfinite(np.take_along_axis(far[asks], near, axis=1)), have[near], 0).sum(axis=1) >= 4 * k
+        for some, columns in ((asks[enough], near[enough]), (asks[~enough], np.broadcast_to(everywhere, (int((~enough).sum()), len(everywhere))))):
+            rows, columns = np.repeat(some, columns.shape[1]), columns.ravel()
+            rows, chosen = _until(rows, columns, far[rows, columns], have[columns], 4 * k)
+            rows, cells = _cells_of(boxes, rows, chosen)
+            held = boxes.count[cells].max(axis=1) if t == PLAIN else boxes.count[cells, t]
+            found.append(_until(rows, cells, boxes.lower_of(q[rows], p, cells), held, 2 * k))
+    pairs = np.unique(np.concatenate([r * len(boxes.low) + c for r, c in found])) if found else np.zeros(0, dtype=int)
+    rows, cells = np.divmod(pairs, len(boxes.low))
+    return np.split(cells.astype(np.int32), np.searchsorted(rows, np.arange(1, len(q))))
+
+
+def _reached_parts(boxes: _Boxes, groups: _Boxes, q: np.ndarray, power: np.ndarray, p: float, targets: Sequence[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(query, cell) pairs of the cells that reach into a query's radius and hold a target it asks for, in parts of bounded size."""
+    near, reach = groups.lower(q, p, np.arange(len(groups.low))), np.zeros((len(q), len(groups.low)), dtype=bool)
+    for i, t in enumerate(targets):
+        holds = np.ones(len(groups.low), dtype=bool) if t == PLAIN else groups.some[:, t]
+        reach |= (near <= power[:, i, None]) & np.isfinite(near) & holds[None, :]
+    which, group = np.nonzero(reach)
+    for s in range(0, len(which), _GROUPS_AT_ONCE):
+        rows, cells = _cells_of(boxes, which[s : s + _GROUPS_AT_ONCE], group[s : s + _GROUPS_AT_ONCE])
+        bound, inside = boxes.lower_of(q[rows], p, cells), np.zeros(len(rows), dtype=bool)
+        for i, t in enumerate(targets):
+            inside |= (bound <= power[rows, i]) & np.isfinite(bound) & (True if t == PLAIN else boxes.some[cells, t])
+        yield rows[inside], cells[inside].astype(np.int32)
 
 
 def _reached(boxes: _Boxes, groups: _Boxes, q: np.ndarray, power: np.ndarray, p: float, targets: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
-    """(query, cell) pairs of the cells that reach into a query's radius and hold a target it asks for."""
-
-    def inside(table: _Boxes, rows: np.ndarray, cells: np.ndarray) -> np.ndarray:
-        near = table.lower(q[rows], p, cells)
-        out = np.zeros(near.shape, dtype=bool)
-        for i, t in enumerate(targets):
-            holds = np.ones(len(cells), dtype=bool) if t == PLAIN else table.some[cells, t]
-            out |= (near <= power[rows, i, None]) & np.isfinite(near) & holds[None, :]
-        return out
-
-    found_q, found_c = [], []
-    which, group = np.nonzero(inside(groups, np.arange(len(q)), np.arange(len(groups.low))))
-    for g in np.unique(group):
-        rows = which[group == g]
-        cells = np.arange(g * CELLS_PER_GROUP, min((g + 1) * CELLS_PER_GROUP, len(boxes.low)))
-        a, b = np.nonzero(inside(boxes, rows, cells))
-        found_q.append(rows[a])
-        found_c.append(cells[b])
-    if not found_q:
+    """All pairs of ``_reached_parts``."""
+    parts = list(_reached_parts(boxes, groups, q, power, p, targets))
+    if not parts:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
-    return np.concatenate(found_q), np.concatenate(found_c).astype(np.int32)
+    return np.concatenate([rows for rows, _ in parts]), np.concatenate([cells for _, cells in parts])
 
 
 def _build_cells(donors: DataFrame, width: int, n: int, weight: list[float], max_cells: int, rows_per_cell: int):
@@ -354,43 +387,102 @@ def knn_edges(
     n = stats["n"]
     if n <= broadcast_rows and n * (width + 2) * 8 <= BROADCAST_BYTES:
         return _small_search(q, d, width, k, p, wanted, skip_self)
+    if targets is not None:
+        edges = _by_ask(q, d, n, width, k, p, wanted, broadcast_rows, max_cells, rows_per_cell, block_rows)
+        if edges is not None:
+            return edges
     more = k + 1 if skip_self else k  # an own row is found too, and dropped at the end
     d = cut_lineage(_nearest_copies(_dealt(d, n), more))
     n = d.count()
     if n <= broadcast_rows and n * (width + 2) * 8 <= BROADCAST_BYTES and not skip_self:
         return _small_search(q, d, width, k, p, wanted, skip_self)
     weight = [(stats[f"s{j}"] or 0.0) * stats[f"c{j}"] for j in range(width)]
-    marked, boxes, cells = _build_cells(d, width, n, weight, max_cells, rows_per_cell)
-    marked = cut_lineage(marked.withColumn("value", F.array("value")))
     members = cut_lineage(q.withColumn("code", F.xxhash64("v")))
     distinct = cut_lineage(members.groupBy("code", "v").agg(F.min("id").alias("id")))
-    tables = q.sparkSession.sparkContext.broadcast(astuple(boxes))
+    edges = _cell_search(distinct.drop("code"), d, n, weight, width, more, p, wanted, max_cells, rows_per_cell, block_rows)
+    copies = members.join(distinct.withColumnRenamed("id", "query_id"), ["code", "v"]).select("id", "query_id")
+    if not skip_self:
+        return edges.join(copies, "query_id").select(F.col("id").alias("query_id"), "target", "donor_id", "power", "value", "place")
+    every = edges.join(copies, "query_id").where("id <> donor_id").select(F.col("id").alias("query_id"), "target", "donor_id", "power", "value")
+    return _placed(every, k)
+
+
+def _cell_search(
+    distinct: DataFrame, d: DataFrame, n: int, weight: list[float], width: int, k: int, p: float, targets: Sequence[int], max_cells: int, rows_per_cell: int, block_rows: int
+) -> DataFrame:
+    """Edges of different queries (id, v) to n donors (id, v, value): a pass over the home cells for the radius, then one over the cells that reach into it."""
+    marked, boxes, cells = _build_cells(d, width, n, weight, max_cells, rows_per_cell)
+    marked = cut_lineage(marked.withColumn("value", F.array("value")))
+    tables = d.sparkSession.sparkContext.broadcast(astuple(boxes))
 
     def home(ids: np.ndarray, vectors: np.ndarray, _: np.ndarray):
         table = _Boxes(*tables.value)
-        cells_of = _home(table, table.grouped(), vectors, more, p, wanted)
-        rows = np.repeat(np.arange(len(ids)), [len(c) for c in cells_of])
-        return rows, np.concatenate(cells_of) if cells_of else np.zeros(0, dtype=np.int32)
+        cells_of = _home(table, table.grouped(), vectors, k, p, targets)
+        yield np.repeat(np.arange(len(ids)), [len(c) for c in cells_of]), np.concatenate(cells_of)
 
     def reached(ids: np.ndarray, vectors: np.ndarray, power: np.ndarray):
         table = _Boxes(*tables.value)
-        return _reached(table, table.grouped(), vectors, power, p, wanted)
+        yield from _reached_parts(table, table.grouped(), vectors, power, p, targets)
+
+    args = (marked, cells, width, k, p, targets, block_rows)
+    near = _met(distinct.withColumns(_radius(targets)), home, *args)
+    last = near.where(F.col("place") == k).groupBy("query_id").agg(F.map_from_entries(F.collect_list(F.struct("target", F.struct("power", "donor_id")))).alias("last"))
+    asked = distinct.join(last.withColumnRenamed("query_id", "id"), "id", "left")
+    return _met(asked.withColumns(_radius(targets, "last")).drop("last"), reached, *args)
 
-    args = (marked, cells, width, more, p, wanted, block_rows)
-    near = _met(distinct.withColumns(_radius(wanted)).drop("code"), home, *args)
-    last = near.where(F.col("place") == more).groupBy("query_id").agg(F.map_from_entries(F.collect_list(F.struct("target", F.struct("power", "donor_id")))).alias("last"))
-    asked = distinct.drop("code").join(last.withColumnRenamed("query_id", "id"), "id", "left")
-    edges = _met(asked.withColumns(_radius(wanted, "last")).drop("last"), reached, *args)
-    copies = members.join(distinct.withColumnRenamed("id", "query_id"), ["code", "v"]).select("id", "query_id")
-    if not skip_self:
-        return edges.join(copies, "query_id").select(F.col("id").alias("query_id"), "target", "donor_id", "power", "value", "place")
-    every = edges.join(copies, "query_id").where("id <> donor_id").select(F.col("id").alias("query_id"), "target", "donor_id", "power", "value")
-    return _placed(every, k)
 
+def _by_ask(
+    q: DataFrame, d: DataFrame, n: int, width: int, k: int, p: float, targets: list[int], broadcast_rows: int, max_cells: int, rows_per_cell: int, block_rows: int
+) -> DataFrame | None:
+    """The search with targets, for each pair of missing features and target on its own; None where there are more than ``MAX_ASKS``.
 
-def _nearest_copies(donors: DataFrame, most: int) -> DataFrame:
-    """Of equal donors those of the lowest ids: all that can be among the nearest ``most``."""
-    w = Window.partitionBy("_code", "v").orderBy(F.col("id").asc_nulls_last())  # sorting by a number first is cheap
+    A query sees of a donor only the features that it has itself, so of donors that are alike in those the k of lowest
+    ids are enough. They are very many where donors lack features too: each that shares only a
+    few equal ones is at distance 0, and a search among all of them would meet those again for every query.
+    """
+    x = [F.get("v", F.lit(j)) for j in range(width)]
+    lost = [c.isNull() | F.isnan(c) for c in x]
+    members = cut_lineage(q.withColumns({"code": F.xxhash64("v"), "lost": F.concat(*[F.when(c, "1").otherwise("0") for c in lost])}))
+    patterns = sorted(r[0] for r in members.select("lost").distinct().limit(MAX_ASKS + 1).collect())
+    asks = [(m, t) for m in patterns for t in targets if m[t] == "1"]
+    if len(asks) > MAX_ASKS:
+        return None
+    distinct = cut_lineage(members.groupBy("lost", "code", "v").agg(F.min("id").alias("id")))
+    seen = []
+    for a, (m, t) in enumerate(asks):
+        own = [x[j] if m[j] == "0" else F.lit(None).cast("double") for j in range(width)]
+        useful = F.lit(False)
+        for j in range(width):
+            useful = useful | (~lost[j] if m[j] == "0" else F.lit(False))
+        seen.append(F.when(~lost[t] & useful, F.struct(F.lit(a).alias("ask"), F.array(*own).alias("v"), x[t].alias("value"))))
+    parts = _dealt(d, n).select("id", F.explode(F.filter(F.array(*seen), lambda s: s.isNotNull())).alias("s")).select("id", "s.*")
+    donors = cut_lineage(_nearest_copies(parts, k, "ask"))
+    spreads = [f(c).alias(f"{name}{j}") for j, c in enumerate(x) for name, f in (("s", F.stddev_pop), ("c", F.count))]
+    stats = {r["ask"]: r for r in donors.groupBy("ask").agg(F.count(F.lit(1)).alias("n"), *spreads).collect()}
+    asking = {r["lost"]: r["n"] for r in distinct.groupBy("lost").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    def search(a: int) -> DataFrame:
+        m, t = asks[a]
+        rows, own, found = distinct.where(F.col("lost") == m).select("id", "v"), donors.where(F.col("ask") == a).drop("ask"), stats[a]
+        few = found["n"] <= broadcast_rows and found["n"] * (width + 2) * 8 <= BROADCAST_BYTES and found["n"] * asking[m] <= BROADCAST_PAIRS
+        if few:
+            edges = _small_search(rows, own, width, k, p, [PLAIN], False)
+        else:
+            weight = [(found[f"s{j}"] or 0.0) * found[f"c{j}"] for j in range(width)]
+            edges = _cell_search(rows, own, found["n"], weight, width, k, p, [PLAIN], max_cells, rows_per_cell, block_rows)
+        return edges.withColumn("target", F.lit(t))
+
+    out = q.sparkSession.createDataFrame([], EDGE_SCHEMA)
+    with ThreadPoolExecutor(ASKS_AT_ONCE) as pool:
+        for edges in pool.map(search, sorted(stats)):
+            out = out.unionByName(edges)
+    copies = members.join(distinct.withColumnRenamed("id", "query_id"), ["lost", "code", "v"]).select("id", "query_id")
+    return out.join(copies, "query_id").select(F.col("id").alias("query_id"), "target", "donor_id", "power", "value", "place")
+
+
+def _nearest_copies(donors: DataFrame, most: int, *by: str) -> DataFrame:
+    """Of equal donors (and equal ``by``) those of the lowest ids: all that can be among the nearest ``most``."""
+    w = Window.partitionBy("_code", *by, "v").orderBy(F.col("id").asc_nulls_last())  # sorting by a number first is cheap
     marked = donors.withColumn("_code", F.xxhash64("v")).withColumn("_copy", F.row_number().over(w))
     return marked.where(F.col("_copy") <= most).drop("_code", "_copy")
 
@@ -434,6 +526,8 @@ def _small_search(q: DataFrame, d: DataFrame, width: int, k: int, p: float, targ
 def _met(queries: DataFrame, choose, marked: DataFrame, cells: DataFrame, width: int, k: int, p: float, targets: Sequence[int], block_rows: int) -> DataFrame:
     """Edges of the queries (id, v, power, last_id) to the donors of the cells that ``choose`` picks."""
 
+    most = max(1, _CHUNK // width)  # routed rows of a batch
+
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for s in range(0, whole.num_rows, _ROUTE_ROWS):
@@ -441,12 +535,14 @@ def _met(queries: DataFrame, choose, marked: DataFrame, cells: DataFrame, width:
                 ids = b.column("id").to_numpy()
                 vectors = _floats(b.column("v").flatten()).reshape(-1, width)
                 power = _floats(b.column("power").flatten()).reshape(-1, len(targets))
-                rows, found = choose(ids, vectors, power)
                 last_id = b.column("last_id").flatten().to_numpy().reshape(-1, len(targets))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[rows]), _lists(vectors[rows]), _lists(power[rows]), _lists(last_id[rows]), pa.array(found.astype(np.int32))],
-                    names=["id", "v", "power", "last_id", "cell"],
-                )
+                for every, found in choose(ids, vectors, power):
+                    for at in range(0, len(every), most):
+                        rows = every[at : at + most]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(ids[rows]), _lists(vectors[rows]), _lists(power[rows]), _lists(last_id[rows]), pa.array(found[at : at + most].astype(np.int32))],
+                            names=["id", "v", "power", "last_id", "cell"],
+                        )
 
     plain = queries.select("id", "v", "power", "last_id")
     routed = cut_lineage(spread(plain, _SPLIT_BYTES).mapInArrow(route, "id long, v array<double>, power array<double>, last_id array<long>, cell int"))

@@ -83,6 +83,51 @@ def test_small_and_cell_search_fill_alike(spark):
         assert small[i] == pytest.approx(cells[i])
 
 
+def test_donors_alike_in_what_a_query_has_are_few(spark, monkeypatch):
+    """Donors that share one equal feature only are all at distance 0; a search meets k of them, whatever their number."""
+    rng = np.random.default_rng(9)
+    x = np.column_stack([rng.integers(0, 500, 600), rng.integers(0, 500, 600), rng.integers(0, 3, 600)]).astype(float)
+    x[rng.random(600) < 0.3, 0] = np.nan
+    x[rng.random(600) < 0.6, 1] = np.nan
+    met = []
+    build = knn._build_cells
+    monkeypatch.setattr(knn, "_build_cells", lambda d, *rest: met.append(d.count()) or build(d, *rest))
+    df, cols, k = _frame(spark, x), ["f0", "f1", "f2"], 4
+    edges = knn.knn_edges(
+        df, df, query_id="row_id", donor_id="row_id", query_vector=knn.vector(cols), donor_vector=knn.vector(cols),
+        width=3, k=k, targets=[0, 1, 2], broadcast_rows=0, rows_per_cell=8, block_rows=16,
+    )
+    got = {}
+    for r in edges.orderBy("query_id", "target", "place").collect():
+        assert r["value"] == x[r["donor_id"], r["target"]]
+        got.setdefault((r["query_id"], r["target"]), []).append(r["donor_id"])
+    want = {}
+    for i, t in zip(*np.nonzero(np.isnan(x))):
+        have = np.nonzero(~np.isnan(x[:, t]))[0]
+        shared = ~np.isnan(x[i]) & ~np.isnan(x[have])
+        power = np.where(shared, (x[have] - x[i]) ** 2, 0.0).sum(axis=1) * 3 / shared.sum(axis=1)
+        want[i, t] = [int(j) for j in have[np.lexsort((have, power))][:k]]
+    assert got == want
+    both = int(np.isnan(x[:, :2]).all(axis=1).any())
+    assert both and sorted(met)[:2] == [3 * k, 3 * k]  # rows that have the third feature only meet k donors for each of its values
+
+
+def test_home_cells_of_a_block_are_those_of_each_query():
+    rng = np.random.default_rng(10)
+    low = rng.integers(0, 50, (900, 3)).astype(float)
+    boxes = knn._Boxes(rng.integers(0, 9, (900, 3)), low, low + 3, np.ones((900, 3), dtype=bool), np.ones((900, 3), dtype=bool))
+    q = rng.integers(0, 50, (40, 3)).astype(float)
+    q[::3, 1] = np.nan
+    for targets in ([knn.PLAIN], [1]):
+        together = knn._home(boxes, boxes.grouped(), q, 5, 2.0, targets)
+        alone = [knn._home(boxes, boxes.grouped(), q[i : i + 1], 5, 2.0, targets)[0] for i in range(len(q))]
+        assert all(np.array_equal(a, b) for a, b in zip(together, alone, strict=True))
+        for i, cells in enumerate(together):
+            asks = targets == [knn.PLAIN] or np.isnan(q[i, 1])
+            have = boxes.count.max(axis=1) if targets == [knn.PLAIN] else boxes.count[:, 1]
+            assert have[cells].sum() >= 10 if asks else not len(cells)
+
+
 def test_many_missing_patterns(spark):
     rng = np.random.default_rng(6)
     x = rng.integers(0, 40, (150, 4)).astype(float)
