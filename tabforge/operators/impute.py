@@ -8,7 +8,7 @@ to new rows.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
@@ -22,7 +22,7 @@ from tabforge.operators.encode import _Stage
 from tabforge.operators.prefix import global_positions, running_totals
 from tabforge.operators.profile import quoted
 from tabforge.operators.quantiles import exact_quantiles
-from tabforge.session import cut_lineage
+from tabforge.session import cut_lineage, handed_off
 
 
 # ---- constants -------------------------------------------------------------
@@ -109,6 +109,19 @@ def impute_by_distribution(df: DataFrame, column: str, row_id: str, seed: int =
 # ---- neighbours ------------------------------------------------------------
 
 
+class SharedSearch:
+    """One neighbour search for imputers that differ in k alone: that of the largest k, of which the others take the first places."""
+
+    def __init__(self, most: int):
+        self.most, self.known = most, []
+
+    def edges(self, k: int, of: tuple, search: Callable[[int], DataFrame]) -> DataFrame:
+        """Edges of the k nearest; ``of`` are the objects that the search depends on."""
+        if not self.known or any(a is not b for a, b in zip(self.known[0][0], of, strict=True)):
+            self.known = [(of, handed_off(search(self.most)))]
+        return self.known[0][1].where(F.col("place") <= k)
+
+
 class KnnImputer(Estimator, HasInputCols, _Stage):
     """Mean of the k nearest rows that have the feature; weights uniform or 1/distance."""
 
@@ -123,6 +136,18 @@ class KnnImputer(Estimator, HasInputCols, _Stage):
         self._setDefault(k=5, weights="uniform", rowId="row_id")
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
+    _shared: SharedSearch | None = None
+
+    def sharing(self, search: SharedSearch) -> "KnnImputer":
+        """This imputer, with a search that others of the same columns and rows use too."""
+        self._shared = search
+        return self
+
+    def copy(self, extra=None):
+        new = super().copy(extra)
+        new._shared = self._shared
+        return new
+
     def _fit(self, df: DataFrame) -> "KnnImputerModel":
         cols, rid = self.getInputCols(), self.getOrDefault(self.rowId)
         donors = df.select(rid, *[quoted(c) for c in cols])
@@ -140,6 +165,7 @@ class KnnImputer(Estimator, HasInputCols, _Stage):
             model._set(donorsPath=path)
         else:
             model._donors = donors
+            model._shared, model._source = self._shared, df
         return model
 
 
@@ -151,6 +177,8 @@ class KnnImputerModel(Model, HasInputCols, _Stage):
     means = Param(Params._dummy(), "means", "fallback per column", TypeConverters.toListFloat)
 
     _donors: DataFrame | None = None
+    _source: DataFrame | None = None  # the rows of the fit, as given
+    _shared: SharedSearch | None = None
 
     @keyword_only
     def __init__(self, *, inputCols=None, k=5, weights="uniform", rowId="row_id", means=None):
@@ -159,7 +187,7 @@ class KnnImputerModel(Model, HasInputCols, _Stage):
 
     def copy(self, extra=None):
         new = super().copy(extra)
-        new._donors = self._donors
+        new._donors, new._source, new._shared = self._donors, self._source, self._shared
         return new
 
     def donors(self, df: DataFrame) -> DataFrame:
@@ -171,10 +199,15 @@ class KnnImputerModel(Model, HasInputCols, _Stage):
         """One row per row with a gap: row id and the estimate of every feature (NULL if not missing)."""
         cols, rid = self.getInputCols(), self.getOrDefault(self.rowId)
         vec = knn.vector(cols)
-        edges = knn.knn_edges(
-            df, self.donors(df), query_id=rid, donor_id=rid, query_vector=vec, donor_vector=vec, width=len(cols),
-            k=self.getOrDefault(self.k), targets=range(len(cols)), **options,
-        )
+
+        def search(k: int) -> DataFrame:
+            return knn.knn_edges(
+                df, self.donors(df), query_id=rid, donor_id=rid, query_vector=vec, donor_vector=vec, width=len(cols),
+                k=k, targets=range(len(cols)), **options,
+            )
+
+        k = self.getOrDefault(self.k)
+        edges = self._shared.edges(k, (df, self._source), search) if self._shared and k <= self._shared.most else search(k)
         long = knn.weighted_mean(edges, ["query_id", "target"], 2.0, self.getOrDefault(self.weights))
         return long.groupBy(F.col("query_id").alias(rid)).agg(
             *[F.max(F.when(F.col("target") == i, F.col("estimate"))).alias(f"_f{i}") for i in range(len(cols))]

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabforge.operators import knn, mice, outliers, prefix, quantiles, split, timeseries
+from tabforge.operators import impute, knn, mice, outliers, prefix, quantiles, split, timeseries
 from tabforge.operators.impute import KnnImputer
 from tabforge.operators.mice import ChainedLinearImputer
 
@@ -128,6 +128,31 @@ def test_home_cells_of_a_block_are_those_of_each_query():
             assert have[cells].sum() >= 10 if asks else not len(cells)
 
 
+def test_reached_cells_come_in_parts_of_bounded_size(monkeypatch):
+    monkeypatch.setattr(knn, "_GROUPS_AT_ONCE", 4)
+    boxes = knn._Boxes(np.ones((900, 64)), np.zeros((900, 64)), np.ones((900, 64)), np.ones((900, 64), dtype=bool), np.ones((900, 64), dtype=bool))
+    parts = list(knn._reached_parts(boxes, boxes.grouped(), np.zeros((30, 64)), np.ones((30, 1)), 2.0, [knn.PLAIN]))
+    assert max(len(rows) for rows, _ in parts) <= 4 * knn.CELLS_PER_GROUP
+    assert {(r, c) for rows, cells in parts for r, c in zip(rows.tolist(), cells.tolist())} == {(r, c) for r in range(30) for c in range(900)}
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, knn.BROADCAST_ROWS])
+def test_imputers_of_several_k_share_one_search(spark, monkeypatch, broadcast_rows):
+    rng = np.random.default_rng(11)
+    x = rng.integers(0, 30, (200, 3)).astype(float)
+    x[rng.random(200) < 0.3, 0] = np.nan
+    df, cols, search, calls = _frame(spark, x).cache(), ["f0", "f1", "f2"], impute.SharedSearch(6), []
+    monkeypatch.setitem(knn.knn_edges.__kwdefaults__, "broadcast_rows", broadcast_rows)
+    whole = knn.knn_edges
+    monkeypatch.setattr(knn, "knn_edges", lambda *a, **o: calls.append(o["k"]) or whole(*a, **o))
+    for k in (2, 4, 6):
+        shared = {r.row_id: tuple(r) for r in KnnImputer(inputCols=cols, k=k).sharing(search).fit(df).add_filled(df, "n").collect()}
+        assert calls == [6]
+        own = {r.row_id: tuple(r) for r in KnnImputer(inputCols=cols, k=k).fit(df).add_filled(df, "n").collect()}
+        assert calls.pop() == k and shared.keys() == own.keys()
+        assert all(shared[i] == pytest.approx(own[i], nan_ok=True) for i in own)
+
+
 def test_many_missing_patterns(spark):
     rng = np.random.default_rng(6)
     x = rng.integers(0, 40, (150, 4)).astype(float)
